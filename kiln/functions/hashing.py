@@ -35,4 +35,4 @@ def sql_hash32(*parts: str) -> str:
 
 
 def sql_unit_hash(*parts: str) -> str:
-    return f"({sql_hash32(*parts)} / 4294967296.0)"
+    return f"({sql_hash32(*parts)}::DOUBLE / 4294967296.0::DOUBLE)"

@@ -19,22 +19,28 @@ SOS, EOS = 0, 1          # W2 ids (fixed values of the sentence-pair vocabulary)
 MAP_LOOKUP_ROWS = 500_000
 
 
-def token_positions(df: DataFrame, id_col: str, tokens: Column, keep=()) -> DataFrame:
-    """(id, *keep, pos, word) with 0-based pos."""
-    return df.select(F.col(id_col), *[F.col(k) for k in keep],
+def _keys(id_col) -> list[str]:
+    return [id_col] if isinstance(id_col, str) else list(id_col)
+
+
+def token_positions(df: DataFrame, id_col, tokens: Column, keep=()) -> DataFrame:
+    """(*ids, *keep, pos, word) with 0-based pos; ``id_col`` may be a list."""
+    return df.select(*[F.col(k) for k in _keys(id_col)], *[F.col(k) for k in keep],
                      F.posexplode(tokens).alias("pos", "word"))
 
 
-def build_vocab(df: DataFrame, id_col: str, tokens: Column, min_freq: int = 1,
+def build_vocab(df: DataFrame, id_col, tokens: Column, min_freq: int = 1,
                 first_id: int = 2) -> DataFrame:
     """(word, idx, cnt). Words with cnt >= min_freq, numbered from
-    ``first_id`` in order of first appearance (id_col, pos)."""
-    pos = token_positions(df, id_col, tokens)
+    ``first_id`` in order of first appearance (*id_cols, pos)."""
+    keys = _keys(id_col)
+    pos = token_positions(df, keys, tokens)
+    order = [F.col(k).alias(f"k{i}") for i, k in enumerate(keys)] + [F.col("pos").alias("p")]
     stats = (pos.groupBy("word")
-             .agg(F.count(F.lit(1)).alias("cnt"),
-                  F.min(F.struct(F.col(id_col).alias("d"), F.col("pos").alias("p"))).alias("first"))
+             .agg(F.count(F.lit(1)).alias("cnt"), F.min(F.struct(*order)).alias("first"))
              .filter(F.col("cnt") >= F.lit(min_freq)))
-    ranked = global_index(stats, [F.col("first.d"), F.col("first.p")], out="_i")
+    ranked = global_index(stats, [F.col(f"first.k{i}") for i in range(len(keys))]
+                          + [F.col("first.p")], out="_i")
     return ranked.select("word", (F.col("_i") + F.lit(first_id - 1)).alias("idx"),
                          F.col("cnt").cast("bigint").alias("cnt"))
 
@@ -76,16 +82,17 @@ def decode(encoded: DataFrame, id_col: str, vocab: DataFrame) -> DataFrame:
                                  lambda x: x["word"]), " ").alias("decoded"))
 
 
-def encode_strict_eos(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame) -> DataFrame:
-    """T12 + J4: (id, pos, token_id) with EOS appended; a missing word fails
-    the job (``assert_true``), as the reference's dict lookup raises."""
-    words = token_positions(df, id_col, tokens)
+def encode_strict_eos(df: DataFrame, id_col, tokens: Column, vocab: DataFrame) -> DataFrame:
+    """T12 + J4: (*ids, pos, token_id) with EOS appended; a missing word
+    fails the job (``assert_true``), as the reference's dict lookup raises."""
+    keys = _keys(id_col)
+    words = token_positions(df, keys, tokens)
     v = broadcast_if_small(vocab.select("word", "idx"))
     hits = (words.join(v, "word", "left")
-            .select(id_col, "pos",
+            .select(*keys, "pos",
                     F.when(F.assert_true(F.col("idx").isNotNull(), "word not in vocabulary").isNull(),
                            F.col("idx")).cast("int").alias("token_id")))
-    eos = df.select(F.col(id_col), F.size(tokens).alias("pos"), F.lit(EOS).alias("token_id"))
+    eos = df.select(*keys, F.size(tokens).alias("pos"), F.lit(EOS).alias("token_id"))
     return hits.unionByName(eos)
 
 
@@ -99,7 +106,7 @@ def map_tokens(df: DataFrame, id_col: str, tokens: Column, table: DataFrame,
         m = table.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))
                       .alias("_m"))
         return (df.crossJoin(F.broadcast(m))
-                .withColumn(out, F.transform(tokens, lambda x: F.coalesce(F.element_at("_m", x), x)))
+                .withColumn(out, F.transform(tokens, lambda x: F.coalesce(F.try_element_at("_m", x), x)))
                 .drop("_m"))
     pos = token_positions(df, id_col, tokens)
     t = table.select(F.col(key).alias("word"), F.col(value).alias("_v"))

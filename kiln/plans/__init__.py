@@ -24,6 +24,7 @@ def query(name: str, sql: str | None = None):
 def _load_modules() -> None:
     from kiln.plans import (  # noqa: F401
         text_queries,
+        vocab_queries,
     )
 
 

@@ -28,7 +28,7 @@ d AS (SELECT doc_id, text, lang AS label, {sql_hash32('doc_id', "'42'", "'split'
 r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, doc_id) AS rn,
              count(*) OVER (PARTITION BY label) AS n FROM d),
 s AS (SELECT doc_id, text, label,
-             CASE WHEN rn <= round(n * {VAL_FRAC}) THEN 'val' ELSE 'train' END AS split FROM r)"""
+             CASE WHEN rn <= round(n * {VAL_FRAC}::DOUBLE) THEN 'val' ELSE 'train' END AS split FROM r)"""
 
 SQL_OCC = f"""
 tok AS (SELECT doc_id, label, split,
