@@ -25,6 +25,7 @@ def _load_modules() -> None:
     from kiln.plans import (  # noqa: F401
         text_queries,
         vocab_queries,
+        ev_queries,
     )
 
 
