@@ -26,6 +26,7 @@ def _load_modules() -> None:
         text_queries,
         vocab_queries,
         ev_queries,
+        series_queries,
     )
 
 
