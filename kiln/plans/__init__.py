@@ -27,6 +27,7 @@ def _load_modules() -> None:
         vocab_queries,
         ev_queries,
         series_queries,
+        weather_queries,
     )
 
 
