@@ -28,6 +28,7 @@ def _load_modules() -> None:
         ev_queries,
         series_queries,
         weather_queries,
+        vector_queries,
     )
 
 
