@@ -87,8 +87,12 @@ def global_index(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame (a scalar result) to every row."""
-    return df.crossJoin(require_small(one_row, 1, "scalar row"))
+    """Append the columns of a one-row frame to every row.
+
+    ``one_row`` must be a global aggregate (``df.agg(...)`` without grouping,
+    or a projection of one), which has exactly one row by construction, so
+    it is broadcast without a count."""
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def rounded(c: Column | str, digits: int = 6) -> Column:

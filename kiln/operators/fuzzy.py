@@ -75,22 +75,47 @@ def mamdani(df: DataFrame, y_col: str, theta_col: str, out: str = "u") -> DataFr
         strength.setdefault(ru, []).append(w)
     s_cols = [(F.greatest(*ws) if len(ws) > 1 else ws[0]).alias(f"_s{u}") for u, ws in sorted(strength.items())]
     d = d.select("*", *s_cols)
-    lo, hi = U_RANGE
-    step = (hi - lo) / (U_SAMPLES - 1)
+    num, den = None, None
+    for x, terms in output_samples():
+        parts = [F.least(F.col(f"_s{u}"), F.lit(mu)) for u, mu in terms if u in strength]
+        if not parts:
+            continue
+        m = F.greatest(*parts) if len(parts) > 1 else parts[0]
+        num = m * F.lit(x) if num is None else num + m * F.lit(x)
+        den = m if den is None else den + m
+    drop = [c for c in d.columns if c.startswith(("_y", "_t", "_s"))]
+    return d.withColumn(out, F.when(den > 0, num / den)).drop(*drop)
 
-    def agg_at(i):
-        x = F.lit(lo) + i * F.lit(step)
-        parts = [F.least(F.col(f"_s{u}"), membership(x, MF_U[u - 1][1], MF_U[u - 1][2]))
-                 for u in sorted(strength)]
-        return F.struct((x * F.greatest(*parts)).alias("xm"), F.greatest(*parts).alias("m"))
 
-    pts = F.transform(F.sequence(F.lit(0), F.lit(U_SAMPLES - 1)), agg_at)
-    tot = F.aggregate(pts, F.struct(F.lit(0.0).alias("xm"), F.lit(0.0).alias("m")),
-                      lambda a, p: F.struct((a["xm"] + p["xm"]).alias("xm"), (a["m"] + p["m"]).alias("m")))
-    drop = [c for c in d.columns if c.startswith(("_y", "_t", "_s"))]
-    return (d.withColumn("_tot", tot)
-            .withColumn(out, F.when(F.col("_tot.m") > 0, F.col("_tot.xm") / F.col("_tot.m")))
-            .drop("_tot", *drop))
+def output_samples():
+    """Sampled output universe: [(x, [(set index, membership > 0), ...])].
+
+    Computed from the output membership functions (a rule, not a table), so
+    the aggregation over the universe becomes a flat sum of ``least`` /
+    ``greatest`` terms that whole-stage codegen compiles; no lambda per row.
+    """
+    lo, hi = U_RANGE
+    step = (hi - lo) / (U_SAMPLES - 1)
+    out = []
+    for i in range(U_SAMPLES):
+        x = lo + i * step
+        terms = []
+        for u, (_, shape, p) in enumerate(MF_U, 1):
+            mu = _mu(x, shape, p)
+            if mu > 0:
+                terms.append((u, mu))
+        out.append((x, terms))
+    return out
+
+
+def _mu(x: float, shape: str, p) -> float:
+    if shape == "tri":
+        a, b, c, d = p[0], p[1], p[1], p[2]
+    else:
+        a, b, c, d = p
+    left = 1.0 if a == b else (x - a) / (b - a)
+    right = 1.0 if c == d else (d - x) / (d - c)
+    return max(0.0, min(left, 1.0, right))
 
 
 def sql_mamdani(y: str, theta: str) -> str:
@@ -100,14 +125,15 @@ def sql_mamdani(y: str, theta: str) -> str:
         strength.setdefault(ru, []).append(
             f"least({sql_membership(y, *MF_Y[ry - 1][1:])}, {sql_membership(theta, *MF_THETA[rt - 1][1:])})")
     s = {u: (f"greatest({', '.join(ws)})" if len(ws) > 1 else ws[0]) for u, ws in strength.items()}
-    lo, hi = U_RANGE
-    step = (hi - lo) / (U_SAMPLES - 1)
-    x = f"({lo}::DOUBLE + i * {step}::DOUBLE)"
-    m = "greatest(" + ", ".join(
-        f"least({s[u]}, {sql_membership(x, MF_U[u - 1][1], MF_U[u - 1][2])})" for u in sorted(s)) + ")"
-    num = f"list_sum(list_transform(range({U_SAMPLES}), lambda i: {x} * {m}))"
-    den = f"list_sum(list_transform(range({U_SAMPLES}), lambda i: {m}))"
-    return f"(CASE WHEN {den} > 0 THEN {num} / {den} END)"
+    num, den = None, None
+    for x, terms in output_samples():
+        parts = [f"least({s[u]}, {mu!r}::DOUBLE)" for u, mu in terms if u in s]
+        if not parts:
+            continue
+        m = f"greatest({', '.join(parts)})" if len(parts) > 1 else parts[0]
+        num = f"{m} * {x!r}::DOUBLE" if num is None else f"{num} + {m} * {x!r}::DOUBLE"
+        den = m if den is None else f"{den} + {m}"
+    return f"(CASE WHEN {den} > 0 THEN ({num}) / ({den}) END)"
 
 
 # ------------------------------------------------------------ relations
@@ -140,27 +166,40 @@ def transitive_closure(r: DataFrame, max_rounds: int = 32) -> DataFrame:
     return cur
 
 
-def threshold_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """V5: (node, cluster) = smallest node id reachable over the (undirected)
-    edges; isolated nodes are their own cluster.
+def threshold_components(nodes: DataFrame, edges: DataFrame, group_cols=(), max_rounds: int = 100) -> DataFrame:
+    """V5: (*group, node, cluster) = smallest node id reachable over the
+    (undirected) edges of the same group; isolated nodes are their own
+    cluster. ``nodes``: (*group, node); ``edges``: (*group, i, j).
 
     Each round takes, per node, the minimum label over itself and its
-    neighbours. A hub node is a hot join key; adaptive execution splits
-    skewed join partitions.
+    neighbours, then jumps to its label's label; all groups (e.g. alpha
+    levels) advance in the same rounds. At the fixpoint adjacent nodes share
+    a label that is a node of the component and not above any of its ids,
+    i.e. the component minimum.
+    A hub node is a hot join key; adaptive execution splits skewed join
+    partitions.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
-    und = edges.select("i", "j").unionByName(edges.select(F.col("j").alias("i"), F.col("i").alias("j")))
+    g = list(group_cols)
+    und = edges.select(*g, "i", "j").unionByName(
+        edges.select(*g, F.col("j").alias("i"), F.col("i").alias("j")))
     und = und.distinct().checkpoint(eager=True)
-    labels = nodes.select(F.col("node"), F.col("node").alias("cluster")).checkpoint(eager=True)
+    labels = nodes.select(*g, F.col("node"), F.col("node").alias("cluster")).checkpoint(eager=True)
     for _ in range(max_rounds):
-        pushed = und.join(labels.withColumnRenamed("node", "j"), "j").select(
-            F.col("i").alias("node"), F.col("cluster").alias("c"))
-        nxt = (labels.join(pushed.groupBy("node").agg(F.min("c").alias("c")), "node", "left")
-               .select("node", F.least("cluster", F.coalesce("c", "cluster")).alias("cluster"))
+        pushed = und.join(labels.withColumnRenamed("node", "j"), g + ["j"]).select(
+            *g, F.col("i").alias("node"), F.col("cluster").alias("c"))
+        hooked = (labels.join(pushed.groupBy(*g, "node").agg(F.min("c").alias("c")), g + ["node"], "left")
+                  .select(*g, "node", F.least("cluster", F.coalesce("c", "cluster")).alias("cluster")))
+        # pointer jumping: a node takes its label's label, halving label
+        # chains, so rounds grow with log(diameter) instead of diameter
+        parent = hooked.select(*g, F.col("node").alias("cluster"), F.col("cluster").alias("pc"))
+        nxt = (hooked.join(parent, g + ["cluster"], "left")
+               .select(*g, "node", F.least("cluster", F.coalesce("pc", "cluster")).alias("cluster"))
                .checkpoint(eager=True))
-        changed = (nxt.join(labels.withColumnRenamed("cluster", "c0"), "node")
+        changed = (nxt.join(labels.withColumnRenamed("cluster", "c0"), g + ["node"])
                    .filter(F.col("cluster") != F.col("c0")).limit(1).count())
         labels = nxt
         if changed == 0:
             break
     return labels
+
