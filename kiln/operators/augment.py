@@ -25,7 +25,8 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
     kept = F.filter(F.col("_t"), lambda x, i: unit_hash(F.col(id_col), F.col(copy_col), "del", i)
                     > F.lit(float(p)))
     pick = F.array(F.element_at(
-        "_t", (hash32(F.col(id_col), F.col(copy_col), "delpick") % F.size("_t")).cast("int") + 1))
+        "_t", (hash32(F.col(id_col), F.col(copy_col), "delpick")
+                % F.greatest(F.size("_t"), F.lit(1))).cast("int") + 1))
     res = F.when(F.size("_t") <= 1, F.col(text_col)).otherwise(
         F.array_join(F.when(F.size(kept) == 0, pick).otherwise(kept), " "))
     return t.withColumn(out, res).drop("_t")
@@ -35,8 +36,10 @@ def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
                 out: str = "aug_text") -> DataFrame:
     """Swap one pair of distinct positions; < 2 tokens unchanged."""
     t = df.withColumn("_t", tokenize(text_col)).withColumn("_n", F.size("_t"))
-    i = hash32(F.col(id_col), F.col(copy_col), "swap1") % F.col("_n")
-    j = (i + 1 + hash32(F.col(id_col), F.col(copy_col), "swap2") % (F.col("_n") - 1)) % F.col("_n")
+    # divisors are guarded so texts of 0/1 tokens never divide by zero (ANSI)
+    n1 = F.greatest(F.col("_n"), F.lit(1))
+    i = hash32(F.col(id_col), F.col(copy_col), "swap1") % n1
+    j = (i + 1 + hash32(F.col(id_col), F.col(copy_col), "swap2") % F.greatest(F.col("_n") - 1, F.lit(1))) % n1
     t = t.withColumn("_i", i.cast("int")).withColumn("_j", j.cast("int"))
     swapped = F.transform("_t", lambda x, k: F.when(k == F.col("_i"), F.element_at("_t", F.col("_j") + 1))
                           .when(k == F.col("_j"), F.element_at("_t", F.col("_i") + 1)).otherwise(x))
