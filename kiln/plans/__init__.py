@@ -29,6 +29,7 @@ def _load_modules() -> None:
         series_queries,
         weather_queries,
         vector_queries,
+        ml_queries,
     )
 
 
