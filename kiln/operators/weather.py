@@ -90,7 +90,12 @@ def compare(pred: DataFrame, records: DataFrame, stats: DataFrame) -> DataFrame:
     """F2-F4 per date. ``pred``: (date, p_max, p_min, p_wind); ``records``:
     parsed forecasts; ``stats``: one row of train means / stds."""
     api = records.select("date", F.lit(True).alias("_fetched"), F.col("general").alias("_g"))
-    j = pred.join(api, "date", "left").crossJoin(F.broadcast(stats))
+    return verdict_columns(pred.join(api, "date", "left").crossJoin(F.broadcast(stats)))
+
+
+def verdict_columns(j: DataFrame) -> DataFrame:
+    """The F2-F4 projection over (date, p_*, _fetched, _g, stats columns);
+    shared by the batch comparison and the streaming one."""
     t_mean = (F.col("mean_max") + F.col("mean_min")) / 2.0
     t_std = (F.col("std_max") + F.col("std_min")) / 2.0
     m_avg = (F.col("p_max") + F.col("p_min")) / 2.0
