@@ -30,6 +30,7 @@ def _load_modules() -> None:
         weather_queries,
         vector_queries,
         ml_queries,
+        experiment_queries,
     )
 
 
