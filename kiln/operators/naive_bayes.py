@@ -24,17 +24,36 @@ from kiln.operators.common import attach_row
 MAX_CLASSES = 1000
 
 
+def _gram_hash(tokens, n: int):
+    # one-argument lambda (a two-argument one would be read as (x, index))
+    return lambda i: F.xxhash64(F.lit(n), *[F.element_at(tokens, i + k) for k in range(n)])
+
+
+def hashed_ngrams(tokens, n_min: int, n_max: int):
+    """64-bit ids of all word n-grams: xxhash64(n, w_i, ..., w_i+n-1) over the
+    token values, so no n-gram string is ever built and the shuffle key is 8
+    bytes. Distinct n-grams collide with probability ~ m^2 / 2^65 for m
+    distinct n-grams (negligible below ~10^8)."""
+    parts = []
+    for n in range(n_min, n_max + 1):
+        ids = F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1)), _gram_hash(tokens, n))
+        parts.append(F.when(F.size(tokens) >= n, ids).otherwise(F.array().cast("array<bigint>")))
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
 def term_occurrences(df: DataFrame, id_col: str, text_col: str, n_min: int = 1,
-                     n_max: int = 3, keep=()) -> DataFrame:
+                     n_max: int = 3, keep=(), hashed: bool = True) -> DataFrame:
     """One row per n-gram occurrence: (id, *keep, term). Text is T1-cleaned
-    and split on spaces."""
+    and split on spaces. With ``hashed`` the term is a 64-bit n-gram id
+    (see ``hashed_ngrams``), else the n-gram text."""
     cleaned = clean_text(text_col)
     tokens = F.filter(F.split(cleaned, " "), lambda x: x != F.lit(""))
     # Tokens get their own projection: the n-gram lambdas then read a plain
     # column instead of re-running the regex chain per element.
     keys = [F.col(id_col), *[F.col(k) for k in keep]]
+    grams = hashed_ngrams(F.col("_tok"), n_min, n_max) if hashed else ngrams(F.col("_tok"), n_min, n_max)
     return (df.select(*keys, tokens.alias("_tok"))
-            .select(*keys, F.explode(ngrams(F.col("_tok"), n_min, n_max)).alias("term")))
+            .select(*keys, F.explode(grams).alias("term")))
 
 
 def class_list(df: DataFrame, label_col: str) -> list:

@@ -61,7 +61,7 @@ def q_weather_regression(spark, sf_dir):
     for t in ("t_max", "t_min", "t_wind"):
         st = train.agg(F.avg(t).alias("m"), F.stddev_samp(t).alias("s"))
         w = d.crossJoin(F.broadcast(st)).withColumn("_w", ml.extreme_weight(t, F.col("m"), F.col("s")))
-        model = ml.regression(feats, t, weight="_w", regParam=0.01).fit(w.filter(F.col("split") == "train"))
+        model = ml.regression(feats, t, weight="_w", regParam=0.01, solver="normal").fit(w.filter(F.col("split") == "train"))
         p = model.transform(w.filter(F.col("split") == "test")).select(
             "ds", F.lit(t).alias("target"), F.col(t).alias("actual"), "prediction")
         out = p if out is None else out.unionByName(p)
