@@ -15,13 +15,20 @@ from kiln.functions.text import tokenize
 from kiln.operators.common import broadcast_if_small
 
 TECHNIQUES = ("synonym", "deletion", "swap")
+TOKENS = "_t"
+
+
+def with_tokens(df: DataFrame, text_col: str) -> DataFrame:
+    """Tokenise once; the variant builders reuse an existing ``_t`` column
+    (e.g. one computed below a shuffle that all variants share)."""
+    return df if TOKENS in df.columns else df.withColumn(TOKENS, tokenize(text_col))
 
 
 def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
                     p: float = 0.1, out: str = "aug_text") -> DataFrame:
     """Drop each token with probability p; keep one token if all go;
     texts of one token (or none) are returned unchanged."""
-    t = df.withColumn("_t", tokenize(text_col))
+    t = with_tokens(df, text_col)
     kept = F.filter(F.col("_t"), lambda x, i: unit_hash(F.col(id_col), F.col(copy_col), "del", i)
                     > F.lit(float(p)))
     pick = F.array(F.element_at(
@@ -35,7 +42,7 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
 def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
                 out: str = "aug_text") -> DataFrame:
     """Swap one pair of distinct positions; < 2 tokens unchanged."""
-    t = df.withColumn("_t", tokenize(text_col)).withColumn("_n", F.size("_t"))
+    t = with_tokens(df, text_col).withColumn("_n", F.size("_t"))
     # divisors are guarded so texts of 0/1 tokens never divide by zero (ANSI)
     n1 = F.greatest(F.col("_n"), F.lit(1))
     i = hash32(F.col(id_col), F.col(copy_col), "swap1") % n1
@@ -68,7 +75,7 @@ def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str
     order, the first with a synonym is replaced everywhere by one of its
     synonyms (hash-chosen). Without any candidate the tokens are re-joined."""
     syn = synonyms.groupBy(F.col("word")).agg(F.array_sort(F.collect_set("synonym")).alias("_syns"))
-    t = df.withColumn("_t", tokenize(text_col))
+    t = with_tokens(df, text_col)
     cands = (t.select(id_col, copy_col, F.explode(F.array_distinct(
         F.filter("_t", lambda x: x.rlike(r"^[\p{L}\p{N}]+$")))).alias("word"))
         .join(broadcast_if_small(syn), "word"))
@@ -89,7 +96,8 @@ def augment(df: DataFrame, id_col: str, text_col: str, techniques=TECHNIQUES,
     per known technique, one variant. Unknown techniques are skipped.
     Output keeps all input columns, plus copy and technique; text replaced."""
     known = [t for t in techniques if t in TECHNIQUES and (t != "synonym" or synonyms is not None)]
-    orig = df.withColumn("copy", F.lit(0)).withColumn("technique", F.lit("original"))
+    orig = (df.drop(TOKENS) if TOKENS in df.columns else df) \
+        .withColumn("copy", F.lit(0)).withColumn("technique", F.lit("original"))
     parts = [orig]
     if known and multiplier > 0:
         copies = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(multiplier))))
@@ -101,7 +109,7 @@ def augment(df: DataFrame, id_col: str, text_col: str, techniques=TECHNIQUES,
                 c = random_swap(c, id_col, text_col, "copy")
             else:
                 c = synonym_replacement(c, id_col, text_col, "copy", synonyms)
-            parts.append(c.withColumn(text_col, F.col("aug_text")).drop("aug_text"))
+            parts.append(c.withColumn(text_col, F.col("aug_text")).drop("aug_text", TOKENS))
     res = parts[0]
     for x in parts[1:]:
         res = res.unionByName(x)

@@ -250,7 +250,10 @@ UNION ALL SELECT doc_id, 1, 'deletion', aug_text, label FROM {sql_deletion('tok'
 UNION ALL SELECT doc_id, 1, 'swap', aug_text, label FROM {sql_swap('tok', 1)} JOIN tok USING (doc_id)""")
 def q_aug_union(spark, sf_dir):
     s = split_documents(spark, sf_dir)
-    train = spread(s.filter(F.col("split") == "train").select("doc_id", "text", "label"))
+    # tokens are computed before the round-robin shuffle, whose output the
+    # three variant branches then share (exchange reuse)
+    train = spread(s.filter(F.col("split") == "train").select("doc_id", "text", "label")
+                   .withColumn(aug.TOKENS, tx.tokenize("text")))
     syn = _synonyms_from(documents(spark, sf_dir))
     out = aug.augment(train, "doc_id", "text", aug.TECHNIQUES, 1, syn)
     return out.select("doc_id", "copy", "technique", "text", "label")
