@@ -184,3 +184,23 @@ def test_symmetric_difference_chain(spark):
     c = spark.createDataFrame([(3,), (5,)], "k int")
     assert sorted(r.k for r in symmetric_difference([a, b], "k").collect()) == [1, 4]
     assert sorted(r.k for r in symmetric_difference([a, b, c], "k").collect()) == [1, 3, 4, 5]
+
+
+def test_distributed_ranks_on_skewed_groups(spark):
+    """rank_by_hash equals row_number over (group order by hash, id), also
+    when one group holds most rows; global_index is a dense 1..n order."""
+    from pyspark.sql import Window
+    from kiln.functions.hashing import hash32
+    from kiln.operators.common import global_index, rank_by_hash
+    df = spark.range(3000).withColumn("g", F.when(F.col("id") % 10 < 8, "hot").otherwise(
+        (F.col("id") % 7).cast("string"))).withColumn("h", hash32(F.col("id"), "t"))
+    got = {r.id: r.rk for r in rank_by_hash(df, ["g"], "h", ["id"], out="rk", bucket_bits=6).collect()}
+    want = {r.id: r.rk for r in df.withColumn(
+        "rk", F.row_number().over(Window.partitionBy("g").orderBy("h", "id"))).collect()}
+    assert got == want
+    gi = {r.id: r.idx for r in global_index(df, ["h", "id"]).collect()}
+
+    assert sorted(gi.values()) == list(range(1, 3001))
+    hs = {r.id: r.h for r in df.collect()}
+    assert [i for i, _ in sorted(gi.items(), key=lambda kv: kv[1])] == sorted(hs, key=lambda i: (hs[i], i))
+
