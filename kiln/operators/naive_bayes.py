@@ -64,9 +64,11 @@ def class_list(df: DataFrame, label_col: str) -> list:
 
 
 def fit(train: DataFrame, id_col: str, text_col: str, label_col: str,
-        classes: list, n_min: int = 1, n_max: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Returns (per-term class counts ``c0..cK``, one-row class statistics)."""
-    occ = term_occurrences(train, id_col, text_col, n_min, n_max, keep=[label_col])
+        classes: list, n_min: int = 1, n_max: int = 3, occ: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Returns (per-term class counts ``c0..cK``, one-row class statistics).
+    ``occ`` may carry precomputed (label, term) occurrences of ``train``."""
+    if occ is None:
+        occ = term_occurrences(train, id_col, text_col, n_min, n_max, keep=[label_col])
     model = occ.groupBy("term").agg(*[
         F.sum(F.when(F.col(label_col) == F.lit(c), 1).otherwise(0)).cast("bigint").alias(f"c{i}")
         for i, c in enumerate(classes)])
@@ -80,10 +82,12 @@ def fit(train: DataFrame, id_col: str, text_col: str, label_col: str,
 
 def predict(docs: DataFrame, model: DataFrame, stats: DataFrame, id_col: str,
             text_col: str, classes: list, alpha: float = 0.1, n_min: int = 1,
-            n_max: int = 3, out: str = "prediction") -> DataFrame:
-    """Arg-max class per document; ties go to the smallest class."""
+            n_max: int = 3, out: str = "prediction", occ: DataFrame | None = None) -> DataFrame:
+    """Arg-max class per document; ties go to the smallest class. ``occ``
+    may carry precomputed (id, term) occurrences of ``docs``."""
     k = len(classes)
-    occ = term_occurrences(docs, id_col, text_col, n_min, n_max)
+    if occ is None:
+        occ = term_occurrences(docs, id_col, text_col, n_min, n_max)
     hits = occ.join(model, "term")
     a = F.lit(float(alpha))
     per_doc = hits.groupBy(id_col).agg(

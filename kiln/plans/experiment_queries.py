@@ -23,25 +23,38 @@ _GRID: dict = {}
 
 
 def experiment_grid(spark, sf_dir):
+    """Nine fits share one tokenisation: the n-gram occurrences of every
+    training text variant (original, deletion, swap) and of the validation
+    texts are computed once and persisted; each configuration is a filter
+    over them (training size by a nested hash subset, augmentation by the
+    variant), followed by the sparse fit and scoring."""
     key = (id(spark), sf_dir)
     if key not in _GRID:
-        # the split is reused by all nine fits: keep it (text included) in
-        # executor memory/disk for the duration of the grid only
-        s = split_documents(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        s = split_documents(spark, sf_dir)
+        train = (s.filter(F.col("split") == "train").select("doc_id", "text", "label")
+                 .withColumn("u", unit_hash(F.col("doc_id"), 42, "size")))
         val = s.filter(F.col("split") == "val").select("doc_id", "text", "label")
+        variants = train.withColumn("variant", F.lit("baseline"))
+        for a in AUGS[1:]:
+            v = aug.augment(train, "doc_id", "text", [a], 1).filter(F.col("technique") == a)
+            variants = variants.unionByName(v.select("doc_id", "text", "label", "u", F.lit(a).alias("variant")))
+        docs = variants.select("doc_id", "label", "u", "variant").persist(StorageLevel.MEMORY_AND_DISK)
+        occ = nb.term_occurrences(variants, "doc_id", "text", 1, 3, keep=["label", "u", "variant"]) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        val_occ = nb.term_occurrences(val, "doc_id", "text", 1, 3).persist(StorageLevel.MEMORY_AND_DISK)
+        classes = nb.class_list(docs, "label")
         rows = []
         for size in SIZES:
-            train = (s.filter((F.col("split") == "train")
-                              & (unit_hash(F.col("doc_id"), 42, "size") < F.lit(size)))
-                     .select("doc_id", "text", "label"))
             for a in AUGS:
-                data = train if a == "baseline" else aug.augment(train, "doc_id", "text", [a], 1) \
-                    .select("doc_id", "text", "label")
-                pred = nb.fit_predict(data, val, "doc_id", "text", "label", alpha=ALPHA, n_min=1, n_max=3)
+                keep = (F.col("u") < F.lit(size)) & F.col("variant").isin(["baseline", a])
+                tr = docs.filter(keep)
+                model, stats = nb.fit(tr, "doc_id", "text", "label", classes, occ=occ.filter(keep))
+                pred = nb.predict(val, model, stats, "doc_id", "text", classes, alpha=ALPHA, occ=val_occ)
                 m = metrics.accuracy_weighted(pred).collect()[0]
                 rows.append(("naive_bayes", a, size, float(m.accuracy), float(m.precision),
-                             float(m.recall), float(m.f1), data.count()))
-        s.unpersist()
+                             float(m.recall), float(m.f1), tr.count()))
+        for d in (docs, occ, val_occ):
+            d.unpersist()
         _GRID[key] = rows
     return spark.createDataFrame(_GRID[key], "model string, augmentation string, dataset_size double, "
                                              "accuracy double, precision double, recall double, f1 double, "
