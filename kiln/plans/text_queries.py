@@ -87,6 +87,7 @@ from kiln.functions.hashing import sql_unit_hash  # noqa: E402
 from kiln.operators import augment as aug  # noqa: E402
 from kiln.operators import vocab as vc  # noqa: E402
 from kiln.operators.common import spread  # noqa: E402
+from kiln.session import ensure_checkpoint_dir  # noqa: E402
 from kiln.operators.split import exact_sample, hash_split  # noqa: E402
 
 TOK = f"regexp_extract_all(text, '{tx.TOKEN_RE}', 0)"
@@ -252,8 +253,12 @@ def q_aug_union(spark, sf_dir):
     s = split_documents(spark, sf_dir)
     # tokens are computed before the round-robin shuffle, whose output the
     # three variant branches then share (exchange reuse)
+    # The four output branches read one written copy of the tokenised train
+    # split (reliable checkpoint in spark.checkpoint.dir) instead of each
+    # re-running the scan, the distributed split ranks and the tokenizer.
+    ensure_checkpoint_dir(spark)
     train = spread(s.filter(F.col("split") == "train").select("doc_id", "text", "label")
-                   .withColumn(aug.TOKENS, tx.tokenize("text")))
+                   .withColumn(aug.TOKENS, tx.tokenize("text"))).checkpoint(eager=True)
     syn = _synonyms_from(documents(spark, sf_dir))
     out = aug.augment(train, "doc_id", "text", aug.TECHNIQUES, 1, syn)
     return out.select("doc_id", "copy", "technique", "text", "label")
