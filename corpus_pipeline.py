@@ -1,12 +1,74 @@
-"""Corpus pipeline: language id, line dedup, near dedup, decontamination, packing."""
+"""Corpus pipeline: language id, line dedup, near dedup, decontamination and packing of ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the
+``docs`` of the next. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kiln.llm import decontaminate, language, line_dedup, near_dup, packing
+from kiln.llm.storage import Scratch
+from kiln.sources.tables import load
+
+#: A document stays when its leading language has at least this score.
+LEAST_SCORE = 0.3
+#: Near duplicates: five words and a similarity of at least 0.8.
+SIMILAR_PERCENT = 80
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without letters or without any learned language that explains them."""
+    found = language.with_language(docs)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take later copies of repeated line runs out; documents of which nothing is left go."""
+    cleaned = line_dedup.dedup_lines(docs)
+    left = (F.col("n_deleted") == 0) | (F.length(F.regexp_replace("text", r"\s+", "")) > 0)
+    return (cleaned.where(left)
+            .withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars"))
+                        .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+            .select(*docs.columns))
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates, the one with the smallest doc_id."""
+    kept = (near_dup.near_duplicates(docs, SIMILAR_PERCENT).where("NOT kept")
+            .select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(kept, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+
+
+def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain a benchmark item."""
+    return decontaminate.clean_documents(docs, load(spark, sf_dir, "benchmark"))
+
+
+def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 ids with their place in a sequence."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("minhash_near_dup", dedup_documents),
+    ("decontaminate", decontaminate_documents),
+    ("pack", pack_documents),
+]
 
-STAGES: list = []
+#: Language inference, MinHash and packing have no SQL form; tests compare the stages with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the documents table; each but the last is written to the shared checkpoint folder."""
+    work = Scratch(spark, "pipeline")
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = work.write(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,21 +4,99 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kiln.llm import near_dup
+from kiln.llm import chat, decontaminate, embedding_dup, language, line_dedup, near_dup, packing, pii, secrets, token_count
 from kiln.sources.tables import load
 
 
+#: Key of the registered query only; a caller brings a secret one.
+DEMO_KEY = b"kiln-demonstration-key"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(load(spark, sf_dir, "documents")))
+
+
+def op2_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = F.lit(r"\### Assistant: </turn> ok")
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), hard.alias("text"))
+    return chat.digests(chat.render(turns.unionByName(added)))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_deleted", "text")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").withColumn("held_out", language.held_out())
+    return language.with_language(docs, keep=["doc_id", "held_out"])
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(load(spark, sf_dir, "documents"), DEMO_KEY)
+
+
+def op7_embedding_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dup.near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
 def op8_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"), percent=85)
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), percent=80)
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.drop("loss_tokens")
+
+
+#: Exact containment by plain joins of all shingles.
+DECONTAMINATE_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+split AS (
+  SELECT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM words),
+grams AS (
+  SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                                  lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+  FROM split WHERE len(w) > 0),
+items AS (SELECT id, g, count(*) OVER (PARTITION BY id) AS n FROM grams WHERE side = 'b')
+SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared
+FROM grams d JOIN items i USING (g) WHERE d.side = 'd'
+GROUP BY ALL HAVING count(*) * 100 >= i.n * 80
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
+        "op2_token_count": op2_token_count,
+        "op3_chat_format": op3_chat_format,
+        "op4_line_dedup": op4_line_dedup,
+        "op5_language_id": op5_language_id,
+        "op6_pseudonyms": op6_pseudonyms,
+        "op7_embedding_near_dup": op7_embedding_near_dup,
         "op8_minhash_near_dup": op8_minhash_near_dup,
+        "op9_decontaminate": op9_decontaminate,
+        "op10_pack": op10_pack,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontaminate": DECONTAMINATE_SQL}
