@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from kiln.functions.hashing import hash32, unit_hash
 from kiln.functions.text import tokenize
-from kiln.operators.common import broadcast_if_small
 
 TECHNIQUES = ("synonym", "deletion", "swap")
 TOKENS = "_t"
@@ -40,54 +39,45 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
 
 
 def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
-                out: str = "aug_text") -> DataFrame:
-    """Swap one pair of distinct positions; < 2 tokens unchanged."""
+                out: str = "aug_text", n: int = 1) -> DataFrame:
+    """N times, swap one pair of distinct positions; < 2 tokens unchanged."""
     t = with_tokens(df, text_col).withColumn("_n", F.size("_t"))
     # divisors are guarded so texts of 0/1 tokens never divide by zero (ANSI)
     n1 = F.greatest(F.col("_n"), F.lit(1))
-    i = hash32(F.col(id_col), F.col(copy_col), "swap1") % n1
-    j = (i + 1 + hash32(F.col(id_col), F.col(copy_col), "swap2") % F.greatest(F.col("_n") - 1, F.lit(1))) % n1
-    t = t.withColumn("_i", i.cast("int")).withColumn("_j", j.cast("int"))
-    swapped = F.transform("_t", lambda x, k: F.when(k == F.col("_i"), F.element_at("_t", F.col("_j") + 1))
-                          .when(k == F.col("_j"), F.element_at("_t", F.col("_i") + 1)).otherwise(x))
-    res = F.when(F.col("_n") < 2, F.col(text_col)).otherwise(F.array_join(swapped, " "))
+    for turn in range(n):
+        draw = [turn] if turn else []
+        i = hash32(F.col(id_col), F.col(copy_col), "swap1", *draw) % n1
+        j = (i + 1 + hash32(F.col(id_col), F.col(copy_col), "swap2", *draw) % F.greatest(F.col("_n") - 1, F.lit(1))) % n1
+        t = t.withColumn("_i", i.cast("int")).withColumn("_j", j.cast("int"))
+        t = t.withColumn("_t", F.transform("_t", lambda x, k: F.when(k == F.col("_i"), F.get("_t", F.col("_j")))
+                                           .when(k == F.col("_j"), F.get("_t", F.col("_i"))).otherwise(x)))
+    res = F.when(F.col("_n") < 2, F.col(text_col)).otherwise(F.array_join("_t", " "))
     return t.withColumn(out, res).drop("_t", "_n", "_i", "_j")
 
 
-def synonym_table(words: DataFrame, word_col: str = "word", prefix_len: int = 5) -> DataFrame:
-    """A (word, synonym) table derived from a vocabulary by a rule: among
-    alphabetic lower-case words of length >= prefix_len sharing their first
-    ``prefix_len`` letters, each word's neighbours in sorted order are its
-    synonyms (at most two per word; never all pairs of a group)."""
-    from pyspark.sql import Window
-    w = (words.select(F.col(word_col).alias("word")).distinct()
-         .filter(F.col("word").rlike(r"^\p{Ll}+$") & (F.length("word") >= prefix_len))
-         .withColumn("_g", F.substring("word", 1, prefix_len)))
-    o = Window.partitionBy("_g").orderBy("word")
-    n = w.select("word", F.lag("word").over(o).alias("a"), F.lead("word").over(o).alias("b"))
-    return (n.select("word", F.explode(F.array("a", "b")).alias("synonym"))
-            .filter(F.col("synonym").isNotNull()))
-
-
 def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str,
-                        synonyms: DataFrame, out: str = "aug_text") -> DataFrame:
-    """T7 with n=1: among the text's distinct alphanumeric tokens, in hash
-    order, the first with a synonym is replaced everywhere by one of its
-    synonyms (hash-chosen). Without any candidate the tokens are re-joined."""
-    syn = synonyms.groupBy(F.col("word")).agg(F.array_sort(F.collect_set("synonym")).alias("_syns"))
+                        synonyms: DataFrame, out: str = "aug_text", n: int = 1) -> DataFrame:
+    """Among the text's distinct alphanumeric tokens, in hash order, the
+    first n with a synonym are replaced everywhere by one of their synonyms
+    (hash-chosen). A synonym keeps its letters, digits and blanks only, and
+    never is the word itself. Without any candidate the tokens are re-joined."""
+    clean = F.trim(F.regexp_replace("synonym", r"[^\p{L}\p{N} ]", ""))
+    syn = (synonyms.select("word", clean.alias("synonym")).where("synonym <> '' AND synonym <> word")
+           .groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("_syns")))
     t = with_tokens(df, text_col)
     cands = (t.select(id_col, copy_col, F.explode(F.array_distinct(
         F.filter("_t", lambda x: x.rlike(r"^[\p{L}\p{N}]+$")))).alias("word"))
-        .join(broadcast_if_small(syn), "word"))
-    choice = (cands.withColumn("_h", hash32(F.col(id_col), F.col(copy_col), "synword", F.col("word")))
-              .groupBy(id_col, copy_col)
-              .agg(F.min(F.struct("_h", "word", "_syns")).alias("_c"))
-              .select(id_col, copy_col, F.col("_c.word").alias("_w"),
-                      F.element_at("_c._syns", (hash32(F.col(id_col), F.col(copy_col), "synpick")
-                                                % F.size("_c._syns")).cast("int") + 1).alias("_s")))
+        .join(syn, "word"))
+    pick = F.get("_syns", (hash32(F.col(id_col), F.col(copy_col), "synpick") % F.size("_syns")).cast("int"))
+    choice = (cands.select(id_col, copy_col, F.struct(
+        hash32(F.col(id_col), F.col(copy_col), "synword", F.col("word")).alias("h"), "word", pick.alias("to")).alias("c"))
+        .groupBy(id_col, copy_col)
+        .agg((F.array(F.min("c")) if n == 1 else F.slice(F.array_sort(F.collect_list("c")), 1, n)).alias("_c")))
     j = t.join(choice, [id_col, copy_col], "left")
-    res = F.array_join(F.transform("_t", lambda x: F.when(x == F.col("_w"), F.col("_s")).otherwise(x)), " ")
-    return j.withColumn(out, res).drop("_t", "_w", "_s")
+    chosen = F.map_from_arrays(F.transform("_c", lambda c: c["word"]), F.transform("_c", lambda c: c["to"]))
+    res = F.array_join(F.when(F.col("_m").isNull(), F.col("_t")).otherwise(
+        F.transform("_t", lambda x: F.coalesce(F.try_element_at("_m", x), x))), " ")
+    return j.withColumn("_m", chosen).withColumn(out, res).drop("_t", "_c", "_m")
 
 
 def augment(df: DataFrame, id_col: str, text_col: str, techniques=TECHNIQUES,

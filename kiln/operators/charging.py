@@ -14,6 +14,8 @@ order; rounding is half-even as in the reference.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,40 +33,53 @@ RATE_LO, RATE_HI, BASELINE_KW = 5.0, 30.0, 30.0
 POWER = "decimal(12,3)"
 
 
-def grid_bounds(events: DataFrame, ts_col: str = "ts", hours: int = 24) -> DataFrame:
-    """One row: grid_start, grid_end (end = last 5-minute slot of the data)."""
-    end = events.agg(floor_minutes(F.max(ts_col), STEP_MIN).alias("grid_end"))
-    return end.select((F.col("grid_end") - F.expr(f"INTERVAL {hours} HOURS")).alias("grid_start"),
-                      "grid_end")
+@dataclass(frozen=True)
+class Grid:
+    """First and last 5-minute slot, in microseconds since the epoch. Both are literals in the plans, so a bound on an
+    event time reaches the scan."""
+
+    start_us: int
+    end_us: int
+
+    @property
+    def start(self) -> Column:
+        return F.timestamp_micros(F.lit(self.start_us))
+
+    @property
+    def end(self) -> Column:
+        return F.timestamp_micros(F.lit(self.end_us))
+
 
+def grid_bounds(events: DataFrame, ts_col: str = "ts", hours: int = 24) -> Grid:
+    """The day up to the last 5-minute slot of the data (one aggregation; an empty table gives the epoch)."""
+    last = events.agg(F.unix_micros(F.max(ts_col)).alias("us")).first().us or 0
+    slot = STEP_MIN * 60 * 1_000_000
+    end = last // slot * slot
+    return Grid(end - hours * 3_600_000_000, end)
 
-def grid_load(events: DataFrame, bounds: DataFrame, ts_col: str = "ts",
-              value_col: str = "value") -> DataFrame:
+
+def grid_load(events: DataFrame, grid: Grid, ts_col: str = "ts", value_col: str = "value") -> DataFrame:
     """(ts, load_without_ev) on every grid point: event values summed per
-    slot (exact decimal), zero-filled. Only the last day of events is read
-    past the filter."""
-    b = attach_row(events.select(ts_col, value_col), bounds)
-    inside = b.filter((F.col(ts_col) >= F.col("grid_start"))
-                      & (F.col(ts_col) < F.col("grid_end") + F.expr(f"INTERVAL {STEP_MIN} MINUTES")))
+    slot (exact decimal), zero-filled. Only the last day of events is read."""
+    after = F.timestamp_micros(F.lit(grid.end_us + STEP_MIN * 60 * 1_000_000))
+    inside = events.select(ts_col, value_col).filter((F.col(ts_col) >= grid.start) & (F.col(ts_col) < after))
     slots = (inside.groupBy(floor_minutes(ts_col, STEP_MIN).alias("ts"))
              .agg(F.sum(F.col(value_col).cast("decimal(18,2)")).alias("load")))
-    grid = bounds.select(F.explode(regular_grid(F.col("grid_start"), F.col("grid_end"), STEP_MIN)).alias("ts"))
-    return (grid.join(slots, "ts", "left")
+    points = events.sparkSession.range(1).select(F.explode(regular_grid(grid.start, grid.end, STEP_MIN)).alias("ts"))
+    return (points.join(slots, "ts", "left")
             .select("ts", F.coalesce("load", F.lit(0).cast("decimal(18,2)")).alias("load_without_ev")))
 
 
-def vehicles_from_customers(customer: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Derived fixture: one vehicle per customer; users are numbered by
-    (start, customer key) with the distributed ``global_index``."""
-    k = F.col("c_custkey")
-    v = attach_row(customer.select("c_custkey"), bounds.select("grid_start")).select(
-        "c_custkey",
-        (F.lit(40) + k % 60).cast("int").alias("capacity_kwh"),
-        ((k * 7) % 100).cast("int").alias("soc_start_pct"),
-        (F.lit(70) + k % 31).cast("int").alias("health_pct"),
-        (F.col("grid_start") + F.make_dt_interval(F.lit(0), F.lit(0), (k % 289) * STEP_MIN)).alias("start"),
-        (F.lit(1) + k % 8).cast("double").alias("hours"))
-    ranked = global_index(v, ["start", "c_custkey"], out="_i")
+def usable_vehicles(vehicles: DataFrame, model_col: str = "model", hours_col: str = "hours",
+                    default_hours: float = 1.0) -> DataFrame:
+    """P3 + P5: vehicles without a model go; a missing availability counts as one hour."""
+    return vehicles.where(F.col(model_col).isNotNull()).withColumn(
+        hours_col, F.coalesce(F.col(hours_col), F.lit(default_hours)))
+
+
+def number_users(vehicles: DataFrame, order_cols: list[str]) -> DataFrame:
+    """user1, user2, ... in a total order (the distributed ``global_index``)."""
+    ranked = global_index(vehicles, order_cols, out="_i")
     return ranked.withColumn("user", F.concat(F.lit("user"), F.col("_i").cast("string"))).drop("_i")
 
 
@@ -73,7 +88,7 @@ def _rate(k: Column, n: Column) -> Column:
     return F.when(n == 1, F.lit(RATE_LO)).otherwise(F.bround(ramp, 1))
 
 
-def schedule(vehicles: DataFrame, bounds: DataFrame) -> DataFrame:
+def schedule(vehicles: DataFrame, grid: Grid) -> DataFrame:
     """N6-N9 per vehicle: (user, ts, power, power_unopt, k) for session
     steps on the grid, plus the end state via ``vehicle_state``.
 
@@ -82,10 +97,9 @@ def schedule(vehicles: DataFrame, bounds: DataFrame) -> DataFrame:
     below capacity the car charges at rate(k), otherwise it discharges
     rate(k) * health. Steps after the grid end change nothing.
     """
-    v = attach_row(vehicles, bounds.select("grid_end"))
     n = F.ceil(F.col("hours") * 60 / STEP_MIN).cast("int")
-    on_grid = F.floor((F.unix_seconds("grid_end") - F.unix_seconds("start")) / (STEP_MIN * 60)).cast("int")
-    v = (v.withColumn("_n", n)
+    on_grid = F.floor((F.unix_seconds(grid.end) - F.unix_seconds("start")) / (STEP_MIN * 60)).cast("int")
+    v = (vehicles.withColumn("_n", n)
          .withColumn("_kmax", F.least(F.col("_n") - 1, on_grid))
          .withColumn("_cap", F.col("capacity_kwh").cast("double"))
          .withColumn("_h", F.col("health_pct") / F.lit(100.0))
@@ -108,9 +122,11 @@ def schedule(vehicles: DataFrame, bounds: DataFrame) -> DataFrame:
 
 def vehicle_rows(folded: DataFrame) -> DataFrame:
     """Exploded schedule: (user, k, ts, power exact, baseline power)."""
+    # an outer explode: an inner one lets the optimizer infer a filter on the
+    # array and push the whole fold into it a second time
     rows = folded.select(
         "user", "_soc0", "_cap", "start",
-        F.posexplode("_f.p").alias("k", "_p"))
+        F.posexplode_outer("_f.p").alias("k", "_p")).where("k IS NOT NULL")
     # N8 closed form: the j-th on-grid step draws 30 kW iff soc0 + 2.5 j < cap.
     base = F.when(F.col("_soc0") + F.col("k") * F.lit(BASELINE_KW * STEP_H) < F.col("_cap"),
                   F.lit(BASELINE_KW)).otherwise(F.lit(0.0))
@@ -173,6 +189,22 @@ def _half_even_div(num: Column, den: int) -> Column:
     return q + bump
 
 
+def charges_compat(smoothed: DataFrame, flags: DataFrame, state: DataFrame, total: DataFrame) -> DataFrame:
+    """A6 with the published table's artefacts: each user's energy and end state of charge are summed as two more
+    off-peak rows, and the total load (``total``: ts, power) is billed as one more user. Floating point."""
+    def bill(j: DataFrame) -> DataFrame:
+        kwh = F.col("power") * F.lit(STEP_H)
+        rate = F.when(F.col("period") == "peak", BASE_RATE * PEAK_MULT).otherwise(BASE_RATE)
+        cost = F.when(kwh > 0, kwh * rate).otherwise(kwh * F.lit(DISCHARGE_DISCOUNT))
+        return j.groupBy("user").agg(F.round(F.sum(cost), 2).alias("final_cost"))
+
+    on_grid = smoothed.select("user", "ts", F.col("smoothed").alias("power")).unionByName(
+        total.select(F.lit("Total EV Load").alias("user"), "ts", "power")).join(F.broadcast(flags), "ts", "left")
+    extra = state.select("user", F.explode(F.array("energy_kwh", "end_soc_pct")).alias("power"),
+                         F.lit("off-peak").alias("period"))
+    return bill(on_grid.select("user", "power", "period").unionByName(extra))
+
+
 def charges(smoothed: DataFrame, flags: DataFrame) -> DataFrame:
     """Per user, charging cost (peak x1.5) minus discharge discount,
     rounded half-even to cents, computed exactly.

@@ -1,13 +1,8 @@
-"""Shared physical helpers: size-checked broadcast and distributed ranks.
+"""Shared physical helpers: cuts, lookups and positions without a hot task.
 
-Two rules drive these helpers:
-
-* broadcast only a side whose row count has been checked against a bound
-  (a ``limit(bound + 1).count()`` stops early, so the check is cheap), and
-  fall back to a shuffle join beyond it;
-* never rank rows with an un-partitioned window over data that grows:
-  ranks are computed per (group, hash bucket) or per sorted partition and
-  shifted by small offset tables.
+* A side is broadcast only when its size is bounded by construction (a global aggregate, the heavy keys
+  of a count table); otherwise Spark's byte statistics and adaptive execution decide.
+* Rows that grow with the data are never ranked in an un-partitioned window.
 """
 
 from __future__ import annotations
@@ -15,53 +10,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.lineage import Scratch
 from kiln.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 2_000_000
 HASH_BITS = 32
+#: A key is heavy when it holds at least this part of all occurrences, so at most as many keys are heavy.
+HEAVY_KEYS = 1000
 
 
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
-
-
-def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; else a plain side."""
-    return F.broadcast(df) if row_count_at_most(df, bound) else df
-
+def hash_cut(df: DataFrame, group_cols: list[str], hash_col: str, id_col: str, frac: float, rounding=F.round) -> DataFrame:
+    """(*group, _cut_hash, _cut_id): the last row of the first ``rounding(frac * n)`` in order of (hash, id), per group.
 
-def require_small(df: DataFrame, bound: int, what: str) -> DataFrame:
-    """For sides that are small by construction (class lists, centres)."""
-    if not row_count_at_most(df, bound):
-        raise ValueError(f"{what} has more than {bound} rows")
-    return F.broadcast(df)
-
-
-def rank_by_hash(df: DataFrame, group_cols: list[str], hash_col: str,
-                 tie_cols: list[str], out: str = "rank", total: str | None = None,
-                 bucket_bits: int = 12) -> DataFrame:
-    """1-based rank inside each group, ordered by (hash_col, tie_cols).
-
-    ``hash_col`` must be a uniform unsigned 32-bit hash. Rows are bucketed
-    by its top ``bucket_bits`` bits, so even a group holding a third of all
-    rows is ranked by 2**bucket_bits window partitions; a small
-    (group, bucket) count table supplies each bucket's offset. Optionally
-    adds the group size as ``total``.
+    ``hash_col`` must be a uniform unsigned 32-bit hash. Rows are counted per (group, bucket of the top hash bits); only
+    the ids of the bucket that the cut falls in are put in order, about one in ``buckets``. A group whose cut is 0 has
+    no row here. Ids and hashes are all that is shuffled; the rows themselves are then filtered where they lie.
     """
-    shift = HASH_BITS - bucket_bits
-    keyed = df.withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
-    g = list(group_cols)
+    g, shift = list(group_cols), HASH_BITS - 12
+    keyed = df.select(*g, hash_col, id_col).withColumn("_bkt", F.shiftright(F.col(hash_col), shift))
     counts = keyed.groupBy(*g, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    w_prev = (Window.partitionBy(*g).orderBy("_bkt")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_prev), F.lit(0)))
-    if total:
-        offs = offs.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*g)))
-    offs = offs.drop("_cnt")
-    joined = keyed.join(broadcast_if_small(offs), g + ["_bkt"])
-    w = Window.partitionBy(*g, "_bkt").orderBy(F.col(hash_col), *[F.col(c) for c in tie_cols])
-    return (joined.withColumn(out, F.col("_off") + F.row_number().over(w))
-            .drop("_bkt", "_off"))
+    w = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
+    before = w.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    edge = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
+            .withColumn("_k", rounding(F.sum("_cnt").over(w) * F.lit(float(frac))).cast("long") - F.col("_off"))
+            .where((F.col("_k") > 0) & (F.col("_k") <= F.col("_cnt"))).select(*g, "_bkt", "_k"))
+    names = {c: f"_e{c}" for c in [*g, "_bkt"]}  # a null group matches itself
+    inside = keyed.join(edge.withColumnsRenamed(names), [F.col(c).eqNullSafe(F.col(e)) for c, e in names.items()])
+    order = Window.partitionBy(*g, "_bkt").orderBy(hash_col, id_col)
+    return (inside.withColumn("_r", F.row_number().over(order)).where("_r = _k")
+            .select(*g, F.col(hash_col).alias("_cut_hash"), F.col(id_col).alias("_cut_id")))
+
+
+def small_side(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` written once and read back; a broadcast side if its rows, 64 bytes and more each, are few enough."""
+    table = Scratch(df.sparkSession, "side").write(df, "rows")
+    width = 64 + 16 * len(df.columns)
+    return F.broadcast(table) if table.count() * width <= most_bytes else table
+
+
+def lookup(rows: DataFrame, key: str, table: DataFrame, value: str, count_col: str, spread_by: list[str]) -> DataFrame:
+    """``rows`` with ``value`` of the row of ``table`` (key, value, count_col) that has the same key, or NULL.
+
+    Word frequencies are Zipf-like: the commonest keys would fill one task. ``count_col`` says how often a key occurs;
+    the at most ``HEAVY_KEYS`` keys with a thousandth of all occurrences are broadcast. Rows that have found theirs,
+    and rows without a key, go on under a hash of ``spread_by`` and a NULL key, which matches nothing.
+    ``table`` is read three times: pass one that is written.
+    """
+    total = table.agg((F.sum(count_col) / HEAVY_KEYS).alias("_least"))
+    heavy = (table.join(F.broadcast(total), F.col(count_col) >= F.col("_least"))
+             .select(F.col(key).alias("_hk"), F.col(value).alias("_hv")))
+    light = table.select(F.xxhash64(key).alias("_lh"), F.col(key).alias("_lk"), F.col(value).alias("_lv"))
+    found = rows.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left")
+    search = F.col("_hk").isNull() & F.col(key).isNotNull()
+    found = found.withColumn("_jh", F.when(search, F.xxhash64(key)).otherwise(F.xxhash64(*spread_by))) \
+        .withColumn("_jk", F.when(search, F.col(key)))
+    return (found.join(light, (F.col("_jh") == F.col("_lh")) & (F.col("_jk") == F.col("_lk")), "left")
+            .withColumn(value, F.coalesce("_hv", "_lv")).drop("_hk", "_hv", "_lh", "_lk", "_lv", "_jh", "_jk"))
 
 
 def global_index(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame:
@@ -103,8 +106,7 @@ def rounded(c: Column | str, digits: int = 6) -> Column:
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a scan that arrived in fewer partitions than the cluster
     has cores (one large row group). Per-row CPU work (regexes, folds) then
-    uses every core. A no-op for normal multi-file inputs."""
+    uses every core. A no-op for normal multi-file inputs. Only for plain
+    scans: counting the partitions of a frame with shuffles would run them."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)

@@ -3,8 +3,7 @@
 * ``threshold_components``: clusters of the alpha-cut of the max-min
   transitive closure. The alpha-cut of the closure equals the connected
   components of the graph with edges w >= alpha, so the closure is never
-  materialised: min-label propagation over the edge list, checkpointed every
-  round (reliable storage), until no label changes.
+  materialised: star contraction of the edge list until nothing changes.
 * ``maxmin_compose`` / ``transitive_closure`` are the literal matrix
   operations for small relations (every (i, k) pair through every j); use
   them on relations of a few thousand cells, not on data-sized graphs.
@@ -18,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.session import ensure_checkpoint_dir
+from kiln.lineage import Scratch
+from kiln.operators.components import connected_components
 
 # The rule base of the controller (two inputs, one output).
 # Membership functions as (name, shape, params) per variable, in file order;
@@ -150,56 +150,29 @@ def maxmin_compose(r: DataFrame, s: DataFrame) -> DataFrame:
             .withColumnRenamed("k", "j"))
 
 
-def transitive_closure(r: DataFrame, max_rounds: int = 32) -> DataFrame:
-    """V3 for small relations: square until nothing changes, keeping the max
-    with the previous relation; lineage is cut every round."""
-    ensure_checkpoint_dir(r.sparkSession)
-    cur = r
-    for _ in range(max_rounds):
-        nxt = (cur.unionByName(maxmin_compose(cur, cur)).groupBy("i", "j").agg(F.max("w").alias("w"))
-               .checkpoint(eager=True))
+def transitive_closure(r: DataFrame) -> DataFrame:
+    """V3 for small relations: square until nothing changes, keeping the max with the previous relation. Each
+    round is written to the shared folder and the one before it removed. Memberships only grow and come from
+    the finite set of input weights, so the loop ends."""
+    work, turn = Scratch(r.sparkSession, "closure"), 0
+    cur = work.write(r.select("i", "j", "w"), "0")
+    while True:
+        turn += 1
+        nxt = work.write(cur.unionByName(maxmin_compose(cur, cur)).groupBy("i", "j").agg(F.max("w").alias("w")), str(turn))
         changed = (nxt.join(cur.withColumnRenamed("w", "w0"), ["i", "j"], "left")
                    .filter(F.col("w0").isNull() | (F.col("w") != F.col("w0"))).limit(1).count())
+        work.drop(str(turn - 1))
         cur = nxt
         if changed == 0:
-            break
-    return cur
-
-
-def threshold_components(nodes: DataFrame, edges: DataFrame, group_cols=(), max_rounds: int = 100) -> DataFrame:
-    """V5: (*group, node, cluster) = smallest node id reachable over the
-    (undirected) edges of the same group; isolated nodes are their own
-    cluster. ``nodes``: (*group, node); ``edges``: (*group, i, j).
-
-    Each round takes, per node, the minimum label over itself and its
-    neighbours, then jumps to its label's label; all groups (e.g. alpha
-    levels) advance in the same rounds. At the fixpoint adjacent nodes share
-    a label that is a node of the component and not above any of its ids,
-    i.e. the component minimum.
-    A hub node is a hot join key; adaptive execution splits skewed join
-    partitions.
-    """
-    ensure_checkpoint_dir(nodes.sparkSession)
-    g = list(group_cols)
-    und = edges.select(*g, "i", "j").unionByName(
-        edges.select(*g, F.col("j").alias("i"), F.col("i").alias("j")))
-    und = und.distinct().checkpoint(eager=True)
-    labels = nodes.select(*g, F.col("node"), F.col("node").alias("cluster")).checkpoint(eager=True)
-    for _ in range(max_rounds):
-        pushed = und.join(labels.withColumnRenamed("node", "j"), g + ["j"]).select(
-            *g, F.col("i").alias("node"), F.col("cluster").alias("c"))
-        hooked = (labels.join(pushed.groupBy(*g, "node").agg(F.min("c").alias("c")), g + ["node"], "left")
-                  .select(*g, "node", F.least("cluster", F.coalesce("c", "cluster")).alias("cluster")))
-        # pointer jumping: a node takes its label's label, halving label
-        # chains, so rounds grow with log(diameter) instead of diameter
-        parent = hooked.select(*g, F.col("node").alias("cluster"), F.col("cluster").alias("pc"))
-        nxt = (hooked.join(parent, g + ["cluster"], "left")
-               .select(*g, "node", F.least("cluster", F.coalesce("pc", "cluster")).alias("cluster"))
-               .checkpoint(eager=True))
-        changed = (nxt.join(labels.withColumnRenamed("cluster", "c0"), g + ["node"])
-                   .filter(F.col("cluster") != F.col("c0")).limit(1).count())
-        labels = nxt
-        if changed == 0:
-            break
-    return labels
+            return cur
 
+
+def threshold_components(nodes: DataFrame, edges: DataFrame, group_cols=()) -> DataFrame:
+    """V5: (*group, node, cluster) = smallest node id reachable over the (undirected) edges of the same group;
+    isolated nodes are their own cluster. ``nodes``: (*group, node); ``edges``: (*group, i, j). All groups
+    (e.g. alpha levels) advance in the same rounds, which go on until nothing changes."""
+    g = list(group_cols)
+    found = connected_components(edges.select(*g, F.col("i").alias("a"), F.col("j").alias("b")),
+                                 Scratch(nodes.sparkSession, "clusters"), "clusters", g)
+    return (nodes.select(*g, "node").join(found, [*g, "node"], "left")
+            .select(*g, "node", F.coalesce("component", "node").alias("cluster")))

@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """Sparse confusion counts (label, prediction, n)."""
-    return df.groupBy(F.col(label).alias("label"), F.col(pred).alias("prediction")) \
+def confusion(df: DataFrame, label: str = "label", pred: str = "prediction", by=()) -> DataFrame:
+    """Sparse confusion counts (*by, label, prediction, n)."""
+    return df.groupBy(*by, F.col(label).alias("label"), F.col(pred).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def per_class(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """Per class: tp, support (true count), predicted count, precision,
+def confusion_matrix(df: DataFrame, classes: list, label: str = "label", pred: str = "prediction") -> DataFrame:
+    """A16 in dense form: one row per true label, one column per class of the given list."""
+    return confusion(df, label, pred).groupBy("label").pivot("prediction", classes).agg(F.sum("n")).na.fill(0)
+
+
+def per_class(df: DataFrame, label: str = "label", pred: str = "prediction", by=()) -> DataFrame:
+    """Per class (and ``by``): tp, support (true count), predicted count, precision,
     recall, f1. Classes are the union of true and predicted labels; a zero
     denominator gives 0 (scikit-learn's zero_division=0)."""
-    cm = confusion(df, label, pred)
-    tp = cm.filter(F.col("label") == F.col("prediction")) \
-        .select(F.col("label").alias("cls"), F.col("n").alias("tp"))
-    sup = cm.groupBy(F.col("label").alias("cls")).agg(F.sum("n").alias("support"))
-    prd = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    t = (sup.join(prd, "cls", "full").join(tp, "cls", "left")
-         .na.fill(0, ["tp", "support", "predicted"]))
+    cm = confusion(df, label, pred, by)
+    same = F.col("label") == F.col("prediction")
+    # each cell adds to its true class and to its predicted one
+    sides = cm.select(*by, F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), F.when(same, F.col("n")).otherwise(0).alias("tp"),
+                 F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("tp"),
+                 F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")))).alias("s"))
+    t = sides.groupBy(*by, F.col("s.cls").alias("cls")).agg(
+        *[F.sum(f"s.{c}").alias(c) for c in ("tp", "support", "predicted")])
     p = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     r = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     t = t.withColumn("precision", p).withColumn("recall", r)
@@ -32,10 +40,10 @@ def per_class(df: DataFrame, label: str = "label", pred: str = "prediction") ->
     return t.withColumn("f1", f1)
 
 
-def accuracy_weighted(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """A13 + A14: one row (accuracy, precision, recall, f1), support-weighted."""
-    pc = per_class(df, label, pred)
-    return pc.agg(
+def accuracy_weighted(df: DataFrame, label: str = "label", pred: str = "prediction", by=()) -> DataFrame:
+    """A13 + A14: one row (per ``by``) of accuracy, precision, recall, f1, support-weighted."""
+    pc = per_class(df, label, pred, by)
+    return pc.groupBy(*by).agg(
         (F.sum("tp") / F.sum("support")).alias("accuracy"),
         (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
@@ -59,25 +67,6 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction")
     return rows.unionByName(macro).unionByName(weighted)
 
 
-def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """A9 + A10: MAE, MSE, RMSE, R^2 in one pass (R^2 from sums)."""
-    e = F.col(yhat) - F.col(y)
-    agg = df.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
-                 F.sum(e * e).alias("_sse"), F.count(F.col(y)).alias("_n"),
-                 F.sum(F.col(y)).alias("_sy"), F.sum(F.col(y) * F.col(y)).alias("_syy"))
-    sst = F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n")
-    return agg.select("mae", "mse", F.sqrt("mse").alias("rmse"),
-                      (F.lit(1.0) - F.col("_sse") / sst).alias("r2"))
-
-
-def mape(df: DataFrame, y: str, yhat: str, eps: float = 1e-8) -> DataFrame:
-    """Percent MAPE (zero targets skipped) and the epsilon-guarded
-    ratio form used by the weather trainer."""
-    v1 = F.abs(F.try_divide(F.col(y) - F.col(yhat), F.col(y))) * 100
-    v2 = F.abs((F.col(yhat) - F.col(y)) / (F.col(y) + F.lit(eps)))
-    return df.agg(F.avg(v1).alias("mape_pct"), F.avg(v2).alias("mape_eps"))
-
-
 def combined_loss(df: DataFrame, targets: list[str], preds: list[str], means: list,
                   stds: list, penalty_factor: float = 2.0, alpha: float = 0.5) -> DataFrame:
     """Extreme-weighted MSE over rows x targets.
@@ -97,8 +86,3 @@ def combined_loss(df: DataFrame, targets: list[str], preds: list[str], means: li
     for x in terms[1:]:
         row_sum = row_sum + x
     return df.agg((F.sum(row_sum) / (F.count(F.lit(1)) * len(targets))).alias("combined_loss"))
-
-
-def rank_within(df: DataFrame, part: list[str], order) -> DataFrame:
-    """Small helper for tiny result tables (bounded by experiment grids)."""
-    return df.withColumn("rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))

@@ -8,28 +8,33 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (CountVectorizer, IndexToString, NGram, RegexTokenizer, SQLTransformer,
-                                StringIndexer, VectorAssembler)
+                                StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.text import SK_TOKEN_RE
+from kiln.functions.text import ENGLISH_STOPWORDS, SK_TOKEN_RE
 
 
-def nb_text_pipeline(text_col: str, label_col: str, alpha: float = 1.0, max_features: int = 1 << 18,
-                     ngram: int = 2) -> Pipeline:
-    """M7: tokens (lower case, 2+ word chars) -> uni+bi-grams -> counts ->
-    multinomial Naive Bayes; labels indexed and mapped back."""
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=SK_TOKEN_RE, gaps=False, toLowercase=True)
-    stages = [tok]
+#: MLlib's way to say that every term is kept.
+ALL_TERMS = (1 << 31) - 1
+
+
+def nb_text_pipeline(text_col: str, label_col: str, alpha: float = 1.0, max_features: int | None = None,
+                     ngram: int = 2, stop_words=ENGLISH_STOPWORDS) -> Pipeline:
+    """M7: tokens (lower case, 2+ word chars) -> without stop words -> uni+bi-grams -> counts -> multinomial
+    Naive Bayes; labels indexed and mapped back. MLlib keeps the vocabulary and the class matrix on the driver;
+    ``naive_bayes`` is the form for large vocabularies."""
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_raw", pattern=SK_TOKEN_RE, gaps=False, toLowercase=True)
+    stages = [tok, StopWordsRemover(inputCol="_raw", outputCol="_tok", stopWords=list(stop_words))]
     grams = ["_tok"]
     for n in range(2, ngram + 1):
         stages.append(NGram(n=n, inputCol="_tok", outputCol=f"_g{n}"))
         grams.append(f"_g{n}")
     stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _terms FROM __THIS__"))
     idx = StringIndexer(inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc")
-    stages += [CountVectorizer(inputCol="_terms", outputCol="_x", vocabSize=max_features),
+    stages += [CountVectorizer(inputCol="_terms", outputCol="_x", vocabSize=ALL_TERMS if max_features is None else max_features),
                idx, NaiveBayes(featuresCol="_x", labelCol="_y", smoothing=alpha, modelType="multinomial",
                                predictionCol="_p")]
     return Pipeline(stages=stages)

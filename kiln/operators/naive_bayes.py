@@ -1,117 +1,129 @@
 """Multinomial Naive Bayes as plain aggregation (M7, SQL form) and n-gram terms.
 
-Model: ``logP(c) = ln(n_c / n)``, ``logP(t|c) = ln((N_tc + a) / (N_c + a*V))``.
-The model is kept sparse: only (term, class) pairs seen in training are
-stored; an unseen pair contributes ``ln(a / (N_c + a*V))``. So a document
+Model: ``logP(c) = ln(n_c / n)``, ``logP(t|c) = ln((N_tc + a) / (N_c + a*V))``. The model is kept sparse: only
+(term, class) pairs seen in training are stored; an unseen pair contributes ``ln(a / (N_c + a*V))``. So a document
 score is
 
     score(d, c) = logP(c) + T_d * ln(a / (N_c + a*V)) + sum_t tf * ln((N_tc + a) / a)
 
-where ``T_d`` counts the document's in-vocabulary term occurrences. Training
-is one aggregation with map-side combine; scoring is one equi-join on the
-term plus a per-document aggregation. No dense V x C table, no doc x class
-join: class columns are generated from the (checked, small) class list.
+where ``T_d`` counts the document's in-vocabulary term occurrences. Training is one aggregation with map-side combine;
+scoring is one equi-join of (document, term, tf) with the written model and one aggregation per document.
+Classes are rows: there is no class list on the driver, no column per class and no bound on their number.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.text import clean_text, ngrams
-from kiln.operators.common import attach_row
+from kiln.lineage import Scratch
+
+TERM = ["ta", "tb"]
 
-MAX_CLASSES = 1000
 
+def cleaned_tokens(text_col: str) -> Column:
+    """T1 text split on blanks."""
+    return F.filter(F.split(clean_text(text_col), " "), lambda x: x != F.lit(""))
 
-def _gram_hash(tokens, n: int):
+
+def _gram(tokens: Column, n: int):
     # one-argument lambda (a two-argument one would be read as (x, index))
-    return lambda i: F.xxhash64(F.lit(n), *[F.element_at(tokens, i + k) for k in range(n)])
+    def ids(i):
+        words = [F.element_at(tokens, i + k) for k in range(n)]
+        return F.struct(F.xxhash64(F.lit(n), *words).alias("ta"), F.xxhash64(*words, F.lit(-n)).alias("tb"))
+    return ids
 
 
-def hashed_ngrams(tokens, n_min: int, n_max: int):
-    """64-bit ids of all word n-grams: xxhash64(n, w_i, ..., w_i+n-1) over the
-    token values, so no n-gram string is ever built and the shuffle key is 8
-    bytes. Distinct n-grams collide with probability ~ m^2 / 2^65 for m
-    distinct n-grams (negligible below ~10^8)."""
+def hashed_ngrams(tokens: Column, n_min: int, n_max: int) -> Column:
+    """128-bit ids (ta, tb) of all word n-grams: two 64-bit hashes of the token values, so no n-gram string is built.
+    Two of m distinct n-grams share an id with probability about m^2 / 2^129."""
     parts = []
     for n in range(n_min, n_max + 1):
-        ids = F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1)), _gram_hash(tokens, n))
-        parts.append(F.when(F.size(tokens) >= n, ids).otherwise(F.array().cast("array<bigint>")))
+        ids = F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1)), _gram(tokens, n))
+        parts.append(F.when(F.size(tokens) >= n, ids).otherwise(F.array().cast("array<struct<ta:bigint,tb:bigint>>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def term_occurrences(df: DataFrame, id_col: str, text_col: str, n_min: int = 1,
-                     n_max: int = 3, keep=(), hashed: bool = True) -> DataFrame:
-    """One row per n-gram occurrence: (id, *keep, term). Text is T1-cleaned
-    and split on spaces. With ``hashed`` the term is a 64-bit n-gram id
-    (see ``hashed_ngrams``), else the n-gram text."""
-    cleaned = clean_text(text_col)
-    tokens = F.filter(F.split(cleaned, " "), lambda x: x != F.lit(""))
-    # Tokens get their own projection: the n-gram lambdas then read a plain
-    # column instead of re-running the regex chain per element.
-    keys = [F.col(id_col), *[F.col(k) for k in keep]]
-    grams = hashed_ngrams(F.col("_tok"), n_min, n_max) if hashed else ngrams(F.col("_tok"), n_min, n_max)
-    return (df.select(*keys, tokens.alias("_tok"))
-            .select(*keys, F.explode(grams).alias("term")))
-
-
-def class_list(df: DataFrame, label_col: str) -> list:
-    rows = df.select(label_col).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return sorted(r[0] for r in rows if r[0] is not None)
-
-
-def fit(train: DataFrame, id_col: str, text_col: str, label_col: str,
-        classes: list, n_min: int = 1, n_max: int = 3, occ: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (per-term class counts ``c0..cK``, one-row class statistics).
-    ``occ`` may carry precomputed (label, term) occurrences of ``train``."""
-    if occ is None:
-        occ = term_occurrences(train, id_col, text_col, n_min, n_max, keep=[label_col])
-    model = occ.groupBy("term").agg(*[
-        F.sum(F.when(F.col(label_col) == F.lit(c), 1).otherwise(0)).cast("bigint").alias(f"c{i}")
-        for i, c in enumerate(classes)])
-    term_stats = model.agg(F.count(F.lit(1)).alias("vocab_size"),
-                           *[F.sum(f"c{i}").alias(f"tot{i}") for i in range(len(classes))])
-    doc_stats = train.agg(F.count(F.lit(1)).alias("n_docs"), *[
-        F.sum(F.when(F.col(label_col) == F.lit(c), 1).otherwise(0)).alias(f"docs{i}")
-        for i, c in enumerate(classes)])
-    return model, term_stats.crossJoin(doc_stats)
-
-
-def predict(docs: DataFrame, model: DataFrame, stats: DataFrame, id_col: str,
-            text_col: str, classes: list, alpha: float = 0.1, n_min: int = 1,
-            n_max: int = 3, out: str = "prediction", occ: DataFrame | None = None) -> DataFrame:
-    """Arg-max class per document; ties go to the smallest class. ``occ``
-    may carry precomputed (id, term) occurrences of ``docs``."""
-    k = len(classes)
-    if occ is None:
-        occ = term_occurrences(docs, id_col, text_col, n_min, n_max)
-    hits = occ.join(model, "term")
+def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3,
+                     hashed: bool = True) -> DataFrame:
+    """One row per n-gram occurrence: (*keys, ta, tb), or with ``hashed=False`` (*keys, term)."""
+    # tokens get their own projection: the n-gram lambdas then read a plain
+    # column instead of re-running the regex chain per element
+    toks = df.select(*keys, tokens.alias("_tok"))
+    if not hashed:
+        return toks.select(*keys, F.explode(ngrams(F.col("_tok"), n_min, n_max)).alias("term"))
+    return toks.select(*keys, F.explode(hashed_ngrams(F.col("_tok"), n_min, n_max)).alias("g")).select(*keys, "g.ta", "g.tb")
+
+
+@dataclass
+class Model:
+    """``terms`` (ta, tb, classes array<struct<cls, n>>), one row per term, and ``classes`` (*run, all), one row per run."""
+
+    terms: DataFrame
+    classes: DataFrame
+    run: list[str]
+
+
+def fit(occurrences: DataFrame, docs: DataFrame, label_col: str, work: Scratch, alpha: float = 0.1,
+        run=(), name: str = "model") -> Model:
+    """Fit on ``occurrences`` (*run, label, ta, tb) of ``docs`` (*run, id, label). Rows without a label teach nothing.
+
+    ``run`` columns tell independent fits apart (e.g. experiment configurations): all are fitted by the same jobs.
+    The terms are written, so scoring joins two plain scans and adaptive execution can split a common term.
+    """
+    r = list(run)
+    counts = (occurrences.where(F.col(label_col).isNotNull())
+              .groupBy(*r, *TERM, F.col(label_col).alias("cls")).agg(F.count(F.lit(1)).alias("n")))
+    terms = work.write(counts.groupBy(*r, *TERM).agg(F.collect_list(F.struct("cls", "n")).alias("classes")), f"{name}-terms")
+    size = terms.groupBy(*r).agg(F.count(F.lit(1)).alias("_v"))
+    seen = (terms.select(*r, F.explode("classes").alias("c")).groupBy(*r, F.col("c.cls").alias("cls"))
+            .agg(F.sum("c.n").alias("_nc")))
+    rows = (docs.where(F.col(label_col).isNotNull()).groupBy(*r, F.col(label_col).alias("cls"))
+            .agg(F.count(F.lit(1)).alias("_docs")))
+    total = rows.groupBy(*r).agg(F.sum("_docs").alias("_n"))
+    joined = rows.join(seen, [*r, "cls"], "left")
+    joined = joined.join(total, r).join(size, r, "left") if r else joined.crossJoin(total).crossJoin(size)
     a = F.lit(float(alpha))
-    per_doc = hits.groupBy(id_col).agg(
-        F.count(F.lit(1)).alias("_t"),
-        *[F.sum(F.log((F.col(f"c{i}") + a) / a)).alias(f"_s{i}") for i in range(k)])
-    base = docs.select(id_col, *[c for c in docs.columns if c not in (id_col, text_col)])
-    scored = attach_row(base.join(per_doc, id_col, "left"), stats)
-    v = F.col("vocab_size").cast("double")
-    best = F.greatest(*[
-        F.struct(
-            (F.log(F.col(f"docs{i}") / F.col("n_docs"))
-             + F.coalesce(F.col("_t"), F.lit(0)) * F.log(a / (F.col(f"tot{i}") + a * v))
-             + F.coalesce(F.col(f"_s{i}"), F.lit(0.0))).alias("s"),
-            F.lit(-i).alias("i"))
-        for i in range(k)]) if k > 1 else F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("i"))
-    labels = F.array(*[F.lit(c) for c in classes])
-    drop = ["_t", "vocab_size", "n_docs"] + [f"_s{i}" for i in range(k)] + \
-        [f"tot{i}" for i in range(k)] + [f"docs{i}" for i in range(k)]
-    return scored.withColumn(out, F.element_at(labels, 1 - best["i"])).drop(*drop)
-
-
-def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str,
-                label_col: str, alpha: float = 0.1, n_min: int = 1, n_max: int = 3) -> DataFrame:
-    classes = class_list(train, label_col)
-    model, stats = fit(train, id_col, text_col, label_col, classes, n_min, n_max)
-    return predict(test, model, stats, id_col, text_col, classes, alpha, n_min, n_max)
-
+    mass = F.coalesce("_nc", F.lit(0)) + a * F.coalesce("_v", F.lit(0)).cast("double")
+    classes = (joined.select(*r, F.struct(
+        "cls", F.log(F.col("_docs") / F.col("_n")).alias("prior"),
+        F.when(mass > 0, F.log(a / mass)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
+        .groupBy(*r).agg(F.array_sort(F.collect_list("c")).alias("all")))
+    return Model(terms, work.write(classes, f"{name}-classes"), r)
+
+
+def predict(docs: DataFrame, occurrences: DataFrame, model: Model, id_col: str, alpha: float = 0.1,
+            out: str = "prediction") -> DataFrame:
+    """``docs`` (id, ...) scored by every run of the model, with the arg-max class; ties go to the smallest class.
+
+    ``occurrences`` (id, ta, tb) are those of ``docs``. They are summed to (id, term, tf) before the join, so a
+    common term brings one row per document.
+    """
+    r, a = model.run, F.lit(float(alpha))
+    tf = occurrences.groupBy(id_col, *TERM).agg(F.count(F.lit(1)).alias("tf"))
+    # the extra entry without a class carries the document's term count
+    kind = model.terms.schema["classes"].dataType.elementType["cls"].dataType
+    marked = F.concat("classes", F.array(F.struct(F.lit(None).cast(kind).alias("cls"), F.lit(0).cast("long").alias("n"))))
+    hits = tf.join(model.terms, TERM).select(*r, id_col, "tf", F.explode(marked).alias("c"))
+    gain = F.when(F.col("c.cls").isNull(), F.col("tf").cast("double")).otherwise(F.col("tf") * F.log((F.col("c.n") + a) / a))
+    sums = (hits.groupBy(*r, id_col, F.col("c.cls").alias("cls")).agg(F.sum(gain).alias("s"))
+            .groupBy(*r, id_col)
+            .agg(F.max(F.when(F.col("cls").isNull(), F.col("s"))).alias("_t"),
+                 F.map_from_entries(F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "s")))).alias("_s")))
+    base = docs.crossJoin(model.classes)  # one row per run
+    scored = base.join(sums, [*r, id_col], "left")
+    best = F.array_max(F.transform("all", lambda c, i: F.struct(
+        (c["prior"] + F.coalesce("_t", F.lit(0.0)) * c["miss"]
+         + F.coalesce(F.try_element_at("_s", c["cls"]), F.lit(0.0))).alias("score"), (-i).alias("i"), c["cls"].alias("cls"))))
+    return scored.withColumn(out, best["cls"]).drop("_t", "_s", "all")
+
+
+def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str, alpha: float = 0.1,
+                n_min: int = 1, n_max: int = 3) -> DataFrame:
+    """Fit on (label, text) of ``train`` and predict ``test`` (id, text, ...); its text is dropped."""
+    work, tokens = Scratch(train.sparkSession, "naive-bayes"), cleaned_tokens(text_col)
+    model = fit(term_occurrences(train, [label_col], tokens, n_min, n_max), train, label_col, work, alpha)
+    return predict(test.drop(text_col), term_occurrences(test, [id_col], tokens, n_min, n_max), model, id_col, alpha)

@@ -26,3 +26,14 @@ def symmetric_difference(frames: list[DataFrame], key: str) -> DataFrame:
 def array_symmetric_difference(a, b):
     """U5 on array columns."""
     return F.array_union(F.array_except(a, b), F.array_except(b, a))
+
+
+def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
+    """The distinct values of a column in order."""
+    return df.select(col).distinct().orderBy(col)
+
+
+def flatten_index(nested, wanted):
+    """(flattened array, 1-based position of a value in it or 0, whether it holds the value)."""
+    flat = F.flatten(nested)
+    return flat, F.coalesce(F.array_position(flat, wanted), F.lit(0)), F.array_contains(flat, wanted)

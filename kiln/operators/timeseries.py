@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.common import attach_row
+from kiln.operators.common import attach_row, global_index
 
 
 def floor_minutes(ts: Column | str, minutes: int) -> Column:
@@ -38,21 +38,20 @@ def zero_filled(counts: DataFrame, ts_col: str, minutes: int, value_cols: list[s
 
 
 def last_window(df: DataFrame, ts_col: str, hours: int = 24) -> DataFrame:
-    """Rows within ``hours`` before the maximum time (inclusive)."""
-    mx = df.agg(F.max(ts_col).alias("_mx"))
-    return (attach_row(df, mx)
-            .filter((F.col(ts_col) >= F.col("_mx") - F.expr(f"INTERVAL {hours} HOURS"))
-                    & (F.col(ts_col) <= F.col("_mx")))
-            .drop("_mx"))
+    """Rows within ``hours`` before the maximum time (inclusive). The
+    maximum is read first, so the bound is a literal that prunes the scan."""
+    last = df.agg(F.unix_micros(F.max(ts_col)).alias("us")).first().us
+    if last is None:
+        return df.limit(0)
+    return df.filter(F.col(ts_col) >= F.timestamp_micros(F.lit(last - hours * 3_600_000_000)))
 
 
 def chrono_split(series: DataFrame, ts_col: str, train_frac: float = 0.8,
                  out: str = "split") -> DataFrame:
     """First floor(n * train_frac) rows in time order are 'train'."""
-    w = Window.orderBy(ts_col)
-    n = Window.partitionBy()
-    return (series.withColumn("_rn", F.row_number().over(w))
-            .withColumn("_n", F.count(F.lit(1)).over(n))
+    ranked = global_index(series, [ts_col], out="_rn")
+    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
+    return (attach_row(ranked, n)
             .withColumn(out, F.when(F.col("_rn") <= F.floor(F.col("_n") * F.lit(train_frac)), "train")
                         .otherwise("test"))
             .drop("_rn", "_n"))
@@ -100,12 +99,12 @@ def lag_windows(series: DataFrame, part_cols: list[str], ts_col: str, value_col:
 
 
 def rolling_mean_sparse(df: DataFrame, key_cols: list[str], ts_col: str, value_col: str,
-                        bounds: DataFrame, step_minutes: int = 5, rows: int = 3,
+                        grid_start: Column, grid_end: Column, step_minutes: int = 5, rows: int = 3,
                         out: str = "smoothed") -> DataFrame:
     """N1 on a dense regular grid without building the dense grid.
 
-    rolling(rows, min_periods=1).mean() over a grid (``bounds``: one row
-    with grid_start, grid_end) where absent points are 0: each observed value
+    rolling(rows, min_periods=1).mean() over a grid from ``grid_start`` to
+    ``grid_end`` (literals) where absent points are 0: each observed value
     contributes to its own point and the next ``rows - 1`` points; the
     divisor is min(rows, index + 1), index being the position on the grid.
     Only points with a contribution are returned (all others are 0). The
@@ -117,9 +116,10 @@ def rolling_mean_sparse(df: DataFrame, key_cols: list[str], ts_col: str, value_c
                         F.col(ts_col).alias("_t0"))
     shifted = shifted.select(*key_cols, "_v", F.timestamp_seconds(
         F.unix_seconds("_t0") + F.col("_k") * step).alias(ts_col))
-    summed = attach_row(shifted.groupBy(*key_cols, ts_col).agg(F.sum("_v").alias("_s")), bounds)
-    idx = F.floor((F.unix_seconds(F.col(ts_col)) - F.unix_seconds("grid_start")) / step)
-    return (summed.filter(F.col(ts_col) <= F.col("grid_end"))
+    inside = shifted.filter(F.col(ts_col) <= grid_end)
+    summed = inside.groupBy(*key_cols, ts_col).agg(F.sum("_v").alias("_s"))
+    idx = F.floor((F.unix_seconds(F.col(ts_col)) - F.unix_seconds(grid_start)) / step)
+    return (summed
             .withColumn("window_rows", F.least(F.lit(rows), idx + 1).cast("int"))
             .select(*key_cols, ts_col, F.col("_s").alias("window_sum"), "window_rows",
                     (F.col("_s").cast("double") / F.col("window_rows")).alias(out)))

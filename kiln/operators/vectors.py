@@ -1,10 +1,11 @@
 """Vector analytics (V1, V4-V7, A20-A21, A23, X5-X7, M11 features).
 
 * Centroids are a map-side-combined aggregation per (label, dimension).
-* RBF features and nearest centroid attach the (checked, small) centre set
-  as one broadcast row and evaluate per vector with array expressions.
-* The cosine similarity join is exact: vectors are split into tiles of at
-  most ``tile_rows`` rows, every tile pair is one task (``cogroup`` +
+* RBF features and nearest centroid attach the centre set (as many centres as
+  the caller asks for, or one per class) as one row and evaluate per vector
+  with array expressions.
+* The cosine similarity join is exact: vectors are dealt by hash to tiles of
+  ``tile_rows`` rows on average, every tile pair is one group (``cogroup`` +
   ``applyInPandas``) that multiplies two blocks with numpy and emits only
   pairs at or above the threshold. No task ever holds more than two tiles,
   and below-threshold pairs never become rows.
@@ -21,9 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.hashing import hash32
-from kiln.operators.common import require_small
-
-MAX_CENTRES = 10_000
 
 
 def as_double_array(c: Column | str) -> Column:
@@ -32,9 +30,9 @@ def as_double_array(c: Column | str) -> Column:
 
 
 def row_mean(c: Column | str) -> Column:
-    """Mean of the elements of an array."""
+    """Mean of the elements of an array; NULL for an empty one."""
     a = as_double_array(c)
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    return F.try_divide(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), F.size(a))
 
 
 def sq_dist(a: Column, b: Column) -> Column:
@@ -55,9 +53,7 @@ def centroid_vectors(df: DataFrame, vec_col: str, label_col: str) -> DataFrame:
 
 
 def centre_row(centres: DataFrame) -> DataFrame:
-    """All centres as one row ``_centres ARRAY<STRUCT<label, centre>>``,
-    ordered by label; the centre count is checked before it is broadcast."""
-    require_small(centres, MAX_CENTRES, "centre set")
+    """All centres as one row ``_centres ARRAY<STRUCT<label, centre>>``, ordered by label."""
     return centres.agg(F.array_sort(F.collect_list(F.struct("label", "centre"))).alias("_centres"))
 
 
@@ -76,7 +72,7 @@ def rbf_features(df: DataFrame, id_col: str, vec_col: str, centres: DataFrame,
                  sigma: DataFrame) -> DataFrame:
     """V6 + X5 in long form: (id, centre_label, phi = exp(-d^2 / (2 sigma^2)))."""
     j = df.select(id_col, as_double_array(vec_col).alias("_x")) \
-        .crossJoin(F.broadcast(centre_row(centres))).crossJoin(F.broadcast(sigma.select("sigma")))
+        .crossJoin(centre_row(centres)).crossJoin(sigma.select("sigma"))
     phis = F.transform("_centres", lambda c: F.struct(
         c["label"].alias("centre_label"),
         F.exp(-sq_dist(F.col("_x"), c["centre"]) / (2 * F.col("sigma") * F.col("sigma"))).alias("phi")))
@@ -86,7 +82,7 @@ def rbf_features(df: DataFrame, id_col: str, vec_col: str, centres: DataFrame,
 def nearest_centre(df: DataFrame, id_col: str, vec_col: str, centres: DataFrame,
                    out: str = "predicted") -> DataFrame:
     """V7: label of the closest centre (ties: smallest label)."""
-    j = df.crossJoin(F.broadcast(centre_row(centres))).withColumn("_x", as_double_array(vec_col))
+    j = df.crossJoin(centre_row(centres)).withColumn("_x", as_double_array(vec_col))
     best = F.array_min(F.transform("_centres", lambda c: F.struct(
         sq_dist(F.col("_x"), c["centre"]).alias("d"), c["label"].alias("label"))))
     return j.withColumn(out, best["label"]).drop("_centres", "_x")
@@ -102,7 +98,7 @@ def _block_pairs(threshold: float, absolute: bool):
         if left.empty or right.empty:
             return pd.DataFrame({"i": pd.Series([], dtype="int64"), "j": pd.Series([], dtype="int64"),
                                  "sim": pd.Series([], dtype="float64")})
-        # positional access: (id, vector, key) on both sides
+        # positional access: (id, vector, a, b) on both sides
         a = np.stack(left.iloc[:, 1].to_numpy()).astype(np.float64)
         b = np.stack(right.iloc[:, 1].to_numpy()).astype(np.float64)
         ia = left.iloc[:, 0].to_numpy(np.int64)
@@ -131,25 +127,23 @@ def cosine_pairs(df: DataFrame, id_col: str, vec_col: str, threshold: float,
     tiles = max(1, math.ceil(n / tile_rows))
     v = df.select(F.col(id_col).cast("long").alias("id"), as_double_array(vec_col).alias("v"),
                   (hash32(F.col(id_col), "tile") % tiles).cast("int").alias("t"))
-    # each pair of tiles (a <= b) is keyed a * tiles + b; both orders of the
-    # id comparison are handled inside the block, so (a, b) covers a == b too
-    left = v.select("id", "v", F.explode(F.sequence(F.col("t"), F.lit(tiles - 1))).alias("b"),
-                    F.col("t").alias("a")).select("id", "v", (F.col("a") * tiles + F.col("b")).alias("key"))
+    # each pair of tiles a <= b is a group of its own; both orders of the id
+    # comparison are handled inside the block, so (a, b) covers a == b too
+    left = v.select("id", "v", F.col("t").alias("a"),
+                    F.explode(F.sequence(F.col("t"), F.lit(tiles - 1))).alias("b"))
     right = v.select(F.col("id").alias("id2"), F.col("v").alias("v2"),
-                     F.explode(F.sequence(F.lit(0), F.col("t"))).alias("a"), F.col("t").alias("b")) \
-        .select("id2", "v2", (F.col("a") * tiles + F.col("b")).alias("key"))
+                     F.explode(F.sequence(F.lit(0), F.col("t"))).alias("a"), F.col("t").alias("b"))
     fn = _block_pairs(threshold, absolute)
 
     def both_orders(lf: pd.DataFrame, rf: pd.DataFrame) -> pd.DataFrame:
         if lf.empty or rf.empty:
             return fn(lf, rf)
-        key = int(lf.iloc[0, 2])
-        same = key % tiles == key // tiles
+        same = lf.iloc[0, 2] == lf.iloc[0, 3]
         out = fn(lf, rf)
         if not same:
             swapped = fn(rf, lf)
             out = pd.concat([out, swapped], ignore_index=True)
         return out
 
-    return (left.groupBy("key").cogroup(right.groupBy("key"))
+    return (left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
             .applyInPandas(both_orders, PAIR_SCHEMA))

@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.operators.common import broadcast_if_small, global_index, row_count_at_most
+from kiln.functions.text import clean_text, remove_stopwords
+from kiln.operators.common import global_index, lookup
 
 PAD, UNK = 0, 1          # W1 ids (fixed values of the classifier vocabulary)
 SOS, EOS = 0, 1          # W2 ids (fixed values of the sentence-pair vocabulary)
-MAP_LOOKUP_ROWS = 500_000
 
 
 def _keys(id_col) -> list[str]:
@@ -45,36 +45,28 @@ def build_vocab(df: DataFrame, id_col, tokens: Column, min_freq: int = 1,
                          F.col("cnt").cast("bigint").alias("cnt"))
 
 
-def word_counts(df: DataFrame, tokens: Column) -> DataFrame:
-    """(word, cnt) and, via ``count()``, n_words = distinct + 2."""
-    return (df.select(F.explode(tokens).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
-
-
 def encode_padded(df: DataFrame, id_col: str, tokens: Column, vocab: DataFrame,
-                  max_length: int = 100) -> DataFrame:
-    """T13 + J3 in long form: (id, pos, token_id) for pos in [0, max_length).
-
-    Truncate to ``max_length``, unknown words -> 1, pad with 0. Long form
-    keeps the lookup a plain equi-join (size-checked broadcast of the
-    vocabulary, shuffle join beyond it) and needs no regrouping.
-    """
-    base = df.select(F.col(id_col), F.slice(tokens, 1, max_length).alias("_t"))
-    words = base.select(id_col, F.posexplode("_t").alias("pos", "word"))
-    v = broadcast_if_small(vocab.select("word", "idx"))
-    hits = (words.join(v, "word", "left")
-            .select(id_col, "pos", F.coalesce("idx", F.lit(UNK)).cast("int").alias("token_id")))
-    pads = base.select(id_col, F.explode(
-        F.when(F.size("_t") < max_length,
-               F.sequence(F.size("_t"), F.lit(max_length - 1)))
-        .otherwise(F.array().cast("array<int>"))).alias("pos"))
-    return hits.unionByName(pads.select(id_col, "pos", F.lit(PAD).alias("token_id")))
+                  max_length: int | None = 100) -> DataFrame:
+    """T13 + J3 in long form: (id, pos, token_id). Unknown words -> 1. With
+    ``max_length`` texts are truncated to it and padded with 0 up to it;
+    without, whole texts are encoded. Tokens are made once: a position past
+    the end of the text is a row without a word."""
+    t = df.select(F.col(id_col), tokens.alias("_t"))
+    if max_length is None:
+        words = t.select(id_col, F.posexplode("_t").alias("pos", "word"))
+    else:
+        # reading past the end gives NULL, which is the padding
+        words = t.select(id_col, F.posexplode(F.transform(
+            F.sequence(F.lit(0), F.lit(max_length - 1)), lambda k: F.get("_t", k))).alias("pos", "word"))
+    found = lookup(words, "word", vocab, "idx", "cnt", [id_col, "pos"])
+    return found.select(id_col, "pos", F.when(F.col("word").isNull(), F.lit(PAD))
+                        .otherwise(F.coalesce("idx", F.lit(UNK))).cast("int").alias("token_id"))
 
 
 def decode(encoded: DataFrame, id_col: str, vocab: DataFrame) -> DataFrame:
     """Ids back to words, padding dropped, '<unk>' for 1; one text per id."""
-    v = broadcast_if_small(vocab.select(F.col("idx").alias("token_id"), "word"))
-    words = (encoded.filter(F.col("token_id") != PAD).join(v, "token_id", "left")
+    ids = vocab.select(F.col("idx").cast("int").alias("token_id"), "word", "cnt")
+    words = (lookup(encoded.filter(F.col("token_id") != PAD), "token_id", ids, "word", "cnt", [id_col, "pos"])
              .select(id_col, "pos", F.when(F.col("token_id") == UNK, F.lit("<unk>"))
                      .otherwise(F.col("word")).alias("word")))
     return words.groupBy(id_col).agg(
@@ -87,8 +79,7 @@ def encode_strict_eos(df: DataFrame, id_col, tokens: Column, vocab: DataFrame) -
     fails the job (``assert_true``), as the reference's dict lookup raises."""
     keys = _keys(id_col)
     words = token_positions(df, keys, tokens)
-    v = broadcast_if_small(vocab.select("word", "idx"))
-    hits = (words.join(v, "word", "left")
+    hits = (lookup(words, "word", vocab, "idx", "cnt", [*keys, "pos"])
             .select(*keys, "pos",
                     F.when(F.assert_true(F.col("idx").isNotNull(), "word not in vocabulary").isNull(),
                            F.col("idx")).cast("int").alias("token_id")))
@@ -99,20 +90,26 @@ def encode_strict_eos(df: DataFrame, id_col, tokens: Column, vocab: DataFrame) -
 def map_tokens(df: DataFrame, id_col: str, tokens: Column, table: DataFrame,
                key: str = "word", value: str = "lemma", out: str = "mapped") -> DataFrame:
     """T3/J6-style lookup of every token in a (key -> value) table; tokens
-    without an entry are kept. A table under ``MAP_LOOKUP_ROWS`` rows is
-    shipped as one broadcast map; a larger one goes through
-    explode -> equi-join -> ordered regroup per id."""
-    if row_count_at_most(table, MAP_LOOKUP_ROWS):
-        m = table.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), F.col(value))))
-                      .alias("_m"))
-        return (df.crossJoin(F.broadcast(m))
-                .withColumn(out, F.transform(tokens, lambda x: F.coalesce(F.try_element_at("_m", x), x)))
-                .drop("_m"))
-    pos = token_positions(df, id_col, tokens)
-    t = table.select(F.col(key).alias("word"), F.col(value).alias("_v"))
-    mapped = (pos.join(t, "word", "left")
-              .groupBy(id_col).agg(F.transform(
-                  F.array_sort(F.collect_list(F.struct("pos", F.coalesce("_v", "word").alias("w")))),
-                  lambda x: x["w"]).alias(out)))
-    return df.join(mapped, id_col, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+    without an entry are kept, and of several entries of a key the smallest
+    counts. Each distinct (id, word) is looked up once, by an equi-join, and
+    a text gets its few found words back as one small map."""
+    entries = table.groupBy(F.col(key).alias("word")).agg(F.min(value).alias("_v"))
+    t = df.withColumn("_t", tokens)
+    words = t.select(id_col, F.explode(F.array_distinct("_t")).alias("word"))
+    found = (words.join(entries, "word").groupBy(id_col)
+             .agg(F.map_from_entries(F.collect_list(F.struct("word", "_v"))).alias("_found")))
+    return (t.join(found, id_col, "left")
+            .withColumn(out, F.when(F.col("_found").isNull(), F.col("_t")).otherwise(
+                F.transform("_t", lambda x: F.coalesce(F.try_element_at("_found", x), x))))
+            .drop("_t", "_found"))
+
+
+def preprocess(df: DataFrame, id_col: str, text_col: str, stop_words=None, lemmas: DataFrame | None = None,
+               out: str = "processed") -> DataFrame:
+    """T4: clean text (T1), then without ``stop_words`` (T2) if given, then with words mapped by ``lemmas``
+    (word, lemma) (T3) if given; tokens joined by one space."""
+    tokens = F.filter(F.split(clean_text(text_col), " "), lambda x: x != F.lit(""))
+    t = df.withColumn("_p", remove_stopwords(tokens, stop_words) if stop_words else tokens)
+    if lemmas is not None:
+        t = map_tokens(t, id_col, F.col("_p"), lemmas, out="_p2").drop("_p").withColumnRenamed("_p2", "_p")
+    return t.withColumn(out, F.array_join("_p", " ")).drop("_p")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.operators.common import attach_row
+
 EPS = 1e-8
 # Fixed value of the short summary: temperatures are compared by their
 # distance to 25 degrees.
@@ -66,12 +68,12 @@ def flatten(records: DataFrame) -> DataFrame:
         F.col(f"{g}.forecast.text").alias("forecast_text"))
 
 
-def region_texts(records: DataFrame, regions: list[str], default: str = "N/A") -> DataFrame:
-    """(date, period, region, text) for every period and every region
-    of the given list; a region missing from a period gets ``default``."""
+def region_texts(records: DataFrame, regions: DataFrame, default: str = "N/A") -> DataFrame:
+    """(date, period, region, text) for every period and every distinct region of ``regions`` (region);
+    a region missing from a period gets ``default``. The region names travel as one row."""
+    names = regions.agg(F.array_sort(F.collect_set("region")).alias("_names"))
     p = records.select("date", F.posexplode("periods").alias("period", "p"))
-    names = F.array(*[F.lit(r) for r in regions])
-    return p.select("date", "period", F.explode(names).alias("region"), "p").select(
+    return attach_row(p, names).select("date", "period", F.explode("_names").alias("region"), "p").select(
         "date", "period", "region",
         F.coalesce(F.try_element_at("p.regions", F.col("region"))["text"], F.lit(default)).alias("text"))
 
@@ -96,6 +98,10 @@ def compare(pred: DataFrame, records: DataFrame, stats: DataFrame) -> DataFrame:
 def verdict_columns(j: DataFrame) -> DataFrame:
     """The F2-F4 projection over (date, p_*, _fetched, _g, stats columns);
     shared by the batch comparison and the streaming one."""
+    return j.select(*_verdict_columns())
+
+
+def _verdict_columns() -> list[Column]:
     t_mean = (F.col("mean_max") + F.col("mean_min")) / 2.0
     t_std = (F.col("std_max") + F.col("std_min")) / 2.0
     m_avg = (F.col("p_max") + F.col("p_min")) / 2.0
@@ -109,27 +115,50 @@ def verdict_columns(j: DataFrame) -> DataFrame:
         return (F.when(F.col("_fetched").isNull(), "api_fetch_failed")
                 .when(F.col("_g").isNull(), "api_data_missing")
                 .when(~value_ok, "error").otherwise(v))
-    return j.select(
-        "date", mz_t.alias("model_temp_z"), az_t.alias("api_temp_z"),
+    return [
+        F.col("date"), mz_t.alias("model_temp_z"), az_t.alias("api_temp_z"),
         status(a_avg.isNotNull(), verdict(mz_t, az_t)).alias("temperature"),
         mz_w.alias("model_wind_z"), az_w.alias("api_wind_z"),
-        status(a_wind.isNotNull(), verdict(mz_w, az_w)).alias("wind"))
+        status(a_wind.isNotNull(), verdict(mz_w, az_w)).alias("wind")]
+
+
+def verbose_report(preds_long: DataFrame, records: DataFrame, stats: DataFrame, digits: int = 6) -> DataFrame:
+    """one wide row per date and model (``preds_long``: date, model, p_*): the prediction, what the record says,
+    the z-scores and both verdicts."""
+    api = records.select("date", F.lit(True).alias("_fetched"), F.col("general").alias("_g"))
+    j = attach_row(preds_long.join(api, "date", "left"), stats)
+    low, high = F.col("_g.temperature.low"), F.col("_g.temperature.high")
+    wide = j.select(
+        "model", *[F.round(c, digits).alias(c) for c in ("p_max", "p_min", "p_wind")],
+        F.col("_fetched").isNotNull().alias("api_data_fetched"),
+        F.round((F.col("p_max") + F.col("p_min")) / 2.0, digits).alias("model_avg_temp"),
+        F.round((low + high) / 2.0, digits).alias("api_avg_temp"), F.round("_g.wind.speed.high", digits).alias("api_wind"),
+        F.coalesce("_g.forecast.text", F.lit("N/A")).alias("forecast_text"),
+        F.struct(*_verdict_columns()).alias("_v"))
+    z = ("model_temp_z", "api_temp_z", "model_wind_z", "api_wind_z")
+    return wide.select("_v.date", *[c for c in wide.columns if c != "_v"],
+                       *[F.round(f"_v.{c}", digits).alias(c) for c in z], "_v.temperature", "_v.wind")
 
 
 def ensemble_summary(preds_long: DataFrame, records: DataFrame) -> DataFrame:
     """A22 + F5: per date the ensemble extremes over models (max of max,
     min of min, max wind), then the short verdict: temperature by distance
-    to 25 degrees, wind by a plain greater-than."""
+    to 25 degrees, wind by a plain greater-than. A record that lacks a value
+    gets no verdict on it (NULL), and its forecast text defaults to 'N/A'."""
     ens = preds_long.groupBy("date").agg(F.max("p_max").alias("ens_max"), F.min("p_min").alias("ens_min"),
                                          F.max("p_wind").alias("ens_wind"))
     api = records.select("date", F.col("general.temperature.low").alias("_lo"),
                          F.col("general.temperature.high").alias("_hi"),
-                         F.col("general.wind.speed.high").alias("_w"), F.lit(True).alias("_f"))
+                         F.col("general.wind.speed.high").alias("_w"), F.lit(True).alias("_f"),
+                         F.coalesce("general.forecast.text", F.lit("N/A")).alias("_text"))
     j = ens.join(api, "date", "left")
     e_avg = (F.col("ens_max") + F.col("ens_min")) / 2.0
     a_avg = (F.col("_lo") + F.col("_hi")) / 2.0
     temp = (F.when(F.col("_f").isNull(), "api_fetch_failed")
+            .when(e_avg.isNull() | a_avg.isNull(), F.lit(None).cast("string"))
             .when(F.abs(e_avg - SUMMARY_TEMP) > F.abs(a_avg - SUMMARY_TEMP), "model").otherwise("api"))
     wind = (F.when(F.col("_f").isNull(), "api_fetch_failed")
+            .when(F.col("ens_wind").isNull() | F.col("_w").isNull(), F.lit(None).cast("string"))
             .when(F.col("ens_wind") > F.col("_w"), "model").otherwise("api"))
-    return j.select("date", "ens_max", "ens_min", "ens_wind", temp.alias("temperature"), wind.alias("wind"))
+    return j.select("date", "ens_max", "ens_min", "ens_wind", temp.alias("temperature"), wind.alias("wind"),
+                    F.coalesce("_text", F.lit("N/A")).alias("forecast_text"))

@@ -3,13 +3,15 @@
 Derived inputs: the grid is the last day of ``events`` in 5-minute steps
 (load without EV = event values per slot); vehicles are derived from
 ``customer`` (capacity 40 + key % 60, start SOC (7 key) % 100, health
-70 + key % 31, start grid_start + 5 min * (key % 289), 1 + key % 8 hours).
+70 + key % 31, start grid_start + 5 min * (key % 289), 1 + key % 8 hours; every
+41st has no model and drops out, every 37th has no hours and gets one).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.lineage import Scratch
 from kiln.operators import charging as ch
 from kiln.operators import timeseries as ts
 from kiln.operators.common import spread
@@ -21,18 +23,36 @@ def ntz(c):
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
+def vehicles_from_customers(customer, grid):
+    """Fixture: one vehicle per customer, every 41st without a model and every 37th without hours."""
+    k = F.col("c_custkey")
+    return customer.select(
+        "c_custkey", F.when(k % 41 != 0, F.lit("EV")).alias("model"),
+        (F.lit(40) + k % 60).cast("int").alias("capacity_kwh"),
+        ((k * 7) % 100).cast("int").alias("soc_start_pct"),
+        (F.lit(70) + k % 31).cast("int").alias("health_pct"),
+        (grid.start + F.make_dt_interval(F.lit(0), F.lit(0), (k % 289) * ch.STEP_MIN)).alias("start"),
+        F.when(k % 37 != 0, (F.lit(1) + k % 8).cast("double")).alias("hours"))
+
+
 class EV:
-    """Frames shared by the EV queries of one call (lazy plans)."""
+    """Frames shared by the EV queries of one call."""
 
     def __init__(self, spark, sf_dir):
         events = load(spark, sf_dir, "events")
-        self.bounds = ch.grid_bounds(events)
-        self.load = ch.grid_load(events, self.bounds)
-        cust = spread(load(spark, sf_dir, "customer"))
-        self.vehicles = ch.vehicles_from_customers(cust, self.bounds)
-        self.folded = ch.schedule(self.vehicles, self.bounds)
+        self.work = Scratch(spark, "charging")
+        self.grid = ch.grid_bounds(events)
+        self.load = ch.grid_load(events, self.grid)
+        cars = ch.usable_vehicles(vehicles_from_customers(spread(load(spark, sf_dir, "customer")), self.grid))
+        self.vehicles = ch.number_users(cars, ["start", "c_custkey"])
+        self.folded = ch.schedule(self.vehicles, self.grid)
         self.rows = ch.vehicle_rows(self.folded)
 
+    def write_rows(self):
+        """Fold once: write the schedule for the several uses that follow."""
+        self.rows = self.work.write(self.rows, "rows")
+        return self
+
     def user_power(self):
         return ch.user_power(self.rows)
 
@@ -40,9 +60,12 @@ class EV:
         return ch.totals(self.rows, self.load)
 
     def smoothed(self):
-        return ts.rolling_mean_sparse(self.user_power(), ["user"], "ts", "power", self.bounds,
+        return ts.rolling_mean_sparse(self.user_power(), ["user"], "ts", "power", self.grid.start, self.grid.end,
                                       rows=3, out="smoothed")
 
+    def costs(self):
+        return ch.charges(self.smoothed(), ch.peak_flags(self.totals()))
+
 
 SQL_EV = """
 bnd AS (SELECT time_bucket(INTERVAL 5 MINUTE, max(ts)) - INTERVAL 24 HOUR AS grid_start,
@@ -55,7 +78,8 @@ gl AS (SELECT grid.ts, coalesce(slots.load, 0::DECIMAL(18,2)) AS load_without_ev
 veh AS (SELECT c_custkey, (40 + c_custkey % 60)::INTEGER AS capacity_kwh,
                ((c_custkey * 7) % 100)::INTEGER AS soc_start_pct, (70 + c_custkey % 31)::INTEGER AS health_pct,
                grid_start + to_minutes(((c_custkey % 289) * 5)::BIGINT) AS start,
-               (1 + c_custkey % 8)::DOUBLE AS hours, grid_start, grid_end FROM customer, bnd),
+               CASE WHEN c_custkey % 37 = 0 THEN 1.0::DOUBLE ELSE (1 + c_custkey % 8)::DOUBLE END AS hours,
+               grid_start, grid_end FROM customer, bnd WHERE c_custkey % 41 <> 0),
 vu AS (SELECT *, 'user' || row_number() OVER (ORDER BY start, c_custkey) AS user,
               ceil(hours * 60 / 5)::INTEGER AS n,
               least(ceil(hours * 60 / 5)::INTEGER - 1,
@@ -182,8 +206,25 @@ def q_peak_metrics(spark, sf_dir):
 
 @query("peak_pricing", f"WITH {SQL_EV} SELECT user, final_cost FROM charges")
 def q_peak_pricing(spark, sf_dir):
-    ev = EV(spark, sf_dir)
-    return ch.charges(ev.smoothed(), ch.peak_flags(ev.totals()))
+    return EV(spark, sf_dir).write_rows().costs()
+
+
+@query("peak_pricing_compat", f"""WITH {SQL_EV},
+pos AS (SELECT user, sum(CASE WHEN power > 0 THEN power ELSE 0 END) AS pos FROM rows GROUP BY user),
+endsoc AS (SELECT f.user, f.soc FROM fold f JOIN vu v USING (user) WHERE f.k = greatest(v.kmax, -1) + 1),
+st AS (SELECT vu.user, round_even(coalesce(pos.pos, 0)::DOUBLE * (5.0::DOUBLE / 60.0::DOUBLE), 1) AS e,
+              round_even(least(endsoc.soc / vu.cap * 100, 100.0::DOUBLE), 1) AS s
+       FROM vu JOIN endsoc USING (user) LEFT JOIN pos USING (user)),
+pw AS (SELECT user, smoothed AS p, period FROM sm LEFT JOIN flags USING (ts)
+       UNION ALL SELECT 'Total EV Load', total_ev_load, period FROM totals LEFT JOIN flags USING (ts)
+       UNION ALL SELECT user, unnest([e, s]), 'off-peak' FROM st)
+SELECT user, round(sum(CASE WHEN p > 0 THEN p * (5.0::DOUBLE / 60) * (CASE WHEN period = 'peak' THEN 0.2::DOUBLE * 1.5 ELSE 0.2::DOUBLE END)
+                            ELSE p * (5.0::DOUBLE / 60) * 0.1::DOUBLE END), 2) AS final_cost FROM pw GROUP BY user""")
+def q_peak_pricing_compat(spark, sf_dir):
+    ev = EV(spark, sf_dir).write_rows()
+    tot = ev.totals()
+    return ch.charges_compat(ev.smoothed(), ch.peak_flags(tot), ch.vehicle_state(ev.folded),
+                             tot.select("ts", F.col("total_ev_load").alias("power")))
 
 
 @query("price_features", f"""WITH {SQL_EV}
@@ -191,8 +232,8 @@ SELECT vu.user, vu.hours, vu.soc_start_pct, vu.capacity_kwh,
        hour(try_strptime(strftime(vu.start, '%-I:%M %p'), '%I:%M %p')) AS start_hour, charges.final_cost
 FROM vu JOIN charges USING (user)""")
 def q_price_features(spark, sf_dir):
-    ev = EV(spark, sf_dir)
-    cost = ch.charges(ev.smoothed(), ch.peak_flags(ev.totals()))
+    ev = EV(spark, sf_dir).write_rows()
+    cost = ev.costs()
     v = ev.vehicles.select("user", "hours", "soc_start_pct", "capacity_kwh",
                            ts.hour_of_clock_string(F.date_format("start", "h:mm a")).alias("start_hour"))
     return v.join(cost, "user")

@@ -11,7 +11,7 @@ from kiln.plans import query
 from kiln.plans.ev_queries import q_price_features
 from kiln.plans.series_queries import daily_targets, scaled_series, LOOK_BACK
 from kiln.plans.text_queries import split_documents
-from kiln.plans.vector_queries import embeddings
+from kiln.plans.vector_queries import embeddings, sampled_centres
 from kiln.operators import timeseries as ts
 
 
@@ -70,7 +70,7 @@ def q_weather_regression(spark, sf_dir):
 
 def _kernel_frame(spark, sf_dir):
     e = embeddings(spark, sf_dir)
-    c = vx.centroid_vectors(e, "embedding", "label")
+    c = sampled_centres(spark, sf_dir)
     f = vx.rbf_features(e, "vec_id", "embedding", c, vx.dmax_sigma(c))
     wide = f.groupBy("vec_id").pivot("centre_label").agg(F.first("phi"))
     lab = e.select("vec_id", F.when(F.col("label") == 0, 1).otherwise(-1).alias("y"))

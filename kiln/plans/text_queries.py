@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.functions.hashing import sql_hash32
+from kiln.functions import text as tx
+from kiln.functions.hashing import sql_hash32, sql_unit_hash
 from kiln.functions.text import sql_clean_text
+from kiln.lineage import Scratch
+from kiln.operators import augment as aug
 from kiln.operators import metrics
 from kiln.operators import naive_bayes as nb
+from kiln.operators import vocab as vc
+from kiln.operators.common import spread
 from kiln.operators.split import stratified_split
 from kiln.plans import query
 from kiln.sources.tables import load
@@ -18,7 +24,7 @@ ALPHA = 0.1
 
 
 def split_documents(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    docs = load(spark, sf_dir, "documents", spread=True).select("doc_id", "text", F.col("lang").alias("label"))
     return stratified_split(docs, "label", "doc_id", VAL_FRAC, SEED)
 
 
@@ -51,7 +57,7 @@ def nb_predictions(spark, sf_dir):
     s = split_documents(spark, sf_dir)
     train = s.filter(F.col("split") == "train")
     val = s.filter(F.col("split") == "val").drop("split")
-    return nb.fit_predict(train, val, "doc_id", "text", "label", alpha=ALPHA, n_min=1, n_max=3)
+    return nb.fit_predict(train, val, "doc_id", "text", "label", ALPHA)
 
 
 @query("nb_sql", f"""
@@ -82,14 +88,6 @@ def q_nb_sql(spark, sf_dir):
 
 
 # ------------------------------------------------------------ cleaning / tokens
-from kiln.functions import text as tx  # noqa: E402
-from kiln.functions.hashing import sql_unit_hash  # noqa: E402
-from kiln.operators import augment as aug  # noqa: E402
-from kiln.operators import vocab as vc  # noqa: E402
-from kiln.operators.common import spread  # noqa: E402
-from kiln.session import ensure_checkpoint_dir  # noqa: E402
-from kiln.operators.split import exact_sample, hash_split  # noqa: E402
-
 TOK = f"regexp_extract_all(text, '{tx.TOKEN_RE}', 0)"
 SK_TOK = f"regexp_extract_all(lower(text), '{tx.SK_TOKEN_RE}', 0)"
 
@@ -153,22 +151,39 @@ def q_lemmatize(spark, sf_dir):
     return m.select("doc_id", F.array_join("m", " ").alias("lemmatized"))
 
 
+@query("preprocess", f"""
+WITH tok AS (SELECT doc_id, list_filter(list_filter(string_split({sql_clean_text('text')}, ' '), lambda x: x <> ''),
+               lambda x: NOT list_contains({tx.sql_string_list(tx.ENGLISH_STOPWORDS)}, x)) AS t FROM documents),
+v AS (SELECT DISTINCT unnest(t) AS w FROM tok),
+lv AS (SELECT w FROM v WHERE regexp_full_match(w, '\\p{{Ll}}+')),
+lem AS (SELECT a.w AS word, b.w AS lemma FROM lv a JOIN lv b ON b.w = left(a.w, length(a.w) - 1)
+        WHERE length(a.w) >= 4 AND suffix(a.w, 's')),
+pos AS (SELECT doc_id, unnest(t) AS word, generate_subscripts(t, 1) AS p FROM tok),
+agg AS (SELECT pos.doc_id, string_agg(coalesce(lem.lemma, pos.word), ' ' ORDER BY pos.p) AS s
+        FROM pos LEFT JOIN lem ON lem.word = pos.word GROUP BY pos.doc_id)
+SELECT tok.doc_id, coalesce(agg.s, '') AS processed FROM tok LEFT JOIN agg USING (doc_id)""")
+def q_preprocess(spark, sf_dir):
+    """T4 with both switches on."""
+    d = documents(spark, sf_dir)
+    tokens = d.select("doc_id", tx.remove_stopwords(nb.cleaned_tokens("text")).alias("t"))
+    return vc.preprocess(d.select("doc_id", "text"), "doc_id", "text", tx.ENGLISH_STOPWORDS, lemma_table(tokens), out="processed") \
+        .select("doc_id", "processed")
+
+
 @query("ngrams", f"""
 WITH t AS (SELECT doc_id, {SK_TOK} AS t FROM documents),
 g AS (SELECT doc_id, 1 AS n, unnest(t) AS gram FROM t
       UNION ALL
       SELECT doc_id, 2 AS n, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM t),
 dg AS (SELECT doc_id, n, gram, count(*) AS c FROM g GROUP BY ALL)
-SELECT n, gram, count(*) AS doc_freq, sum(c)::BIGINT AS term_freq FROM dg GROUP BY n, gram
-HAVING count(*) >= 2""")
+SELECT n, gram, count(*) AS doc_freq, sum(c)::BIGINT AS term_freq FROM dg GROUP BY n, gram""")
 def q_ngrams(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id", tx.sk_tokenize("text").alias("t"))
     g = d.select("doc_id", F.lit(1).alias("n"), F.explode("t").alias("gram")).unionByName(
         d.select("doc_id", F.lit(2).alias("n"), F.explode(tx.ngrams(F.col("t"), 2, 2)).alias("gram")))
     per_doc = g.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("c"))
     return (per_doc.groupBy("n", "gram")
-            .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("c").cast("bigint").alias("term_freq"))
-            .filter(F.col("doc_freq") >= 2))
+            .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("c").cast("bigint").alias("term_freq")))
 
 
 # ------------------------------------------------------------ augmentation
@@ -216,12 +231,26 @@ def sql_synonym(src: str, copy: int) -> str:
           GROUP BY doc_id)) c USING (doc_id))"""
 
 
+def synonym_table(words: DataFrame, word_col: str = "word", prefix_len: int = 5) -> DataFrame:
+    """Fixture: a (word, synonym) table derived from a vocabulary by a rule: among
+    alphabetic lower-case words of length >= prefix_len sharing their first
+    ``prefix_len`` letters, each word's neighbours in sorted order are its
+    synonyms (at most two per word; never all pairs of a group)."""
+    w = (words.select(F.col(word_col).alias("word")).distinct()
+         .filter(F.col("word").rlike(r"^\p{Ll}+$") & (F.length("word") >= prefix_len))
+         .withColumn("_g", F.substring("word", 1, prefix_len)))
+    o = Window.partitionBy("_g").orderBy("word")
+    n = w.select("word", F.lag("word").over(o).alias("a"), F.lead("word").over(o).alias("b"))
+    return (n.select("word", F.explode(F.array("a", "b")).alias("synonym"))
+            .filter(F.col("synonym").isNotNull()))
+
+
 def _aug_base(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", "text").withColumn("copy", F.lit(1))
 
 
 def _synonyms_from(df):
-    return aug.synonym_table(df.select(F.explode(tx.tokenize("text")).alias("word")))
+    return synonym_table(df.select(F.explode(tx.tokenize("text")).alias("word")))
 
 
 @query("aug_deletion", f"WITH {SQL_TOKENS_CTE} SELECT * FROM {sql_deletion('tok', 1)}")
@@ -250,15 +279,10 @@ UNION ALL SELECT doc_id, 1, 'synonym', aug_text, label FROM {sql_synonym('tok',
 UNION ALL SELECT doc_id, 1, 'deletion', aug_text, label FROM {sql_deletion('tok', 1)} JOIN tok USING (doc_id)
 UNION ALL SELECT doc_id, 1, 'swap', aug_text, label FROM {sql_swap('tok', 1)} JOIN tok USING (doc_id)""")
 def q_aug_union(spark, sf_dir):
+    # the four output branches read one written copy of the tokenised train split
     s = split_documents(spark, sf_dir)
-    # tokens are computed before the round-robin shuffle, whose output the
-    # three variant branches then share (exchange reuse)
-    # The four output branches read one written copy of the tokenised train
-    # split (reliable checkpoint in spark.checkpoint.dir) instead of each
-    # re-running the scan, the distributed split ranks and the tokenizer.
-    ensure_checkpoint_dir(spark)
-    train = spread(s.filter(F.col("split") == "train").select("doc_id", "text", "label")
-                   .withColumn(aug.TOKENS, tx.tokenize("text"))).checkpoint(eager=True)
+    train = Scratch(spark, "aug-union").write(
+        s.filter(F.col("split") == "train").select("doc_id", "text", "label").withColumn(aug.TOKENS, tx.tokenize("text")), "train")
     syn = _synonyms_from(documents(spark, sf_dir))
     out = aug.augment(train, "doc_id", "text", aug.TECHNIQUES, 1, syn)
     return out.select("doc_id", "copy", "technique", "text", "label")

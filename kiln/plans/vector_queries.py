@@ -4,52 +4,66 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kiln.functions.hashing import sql_hash32
 from kiln.operators import fuzzy as fz
+from kiln.operators import sets
 from kiln.operators import vectors as vx
 from kiln.operators.common import spread
+from kiln.operators.split import pick_k
 from kiln.plans import query
 from kiln.sources.tables import load
 
 COS_MIN = 0.4
-ALPHAS = (0.4, 0.8, 0.85)  # fixed values: the alpha levels of the cuts
+ALPHAS = (0.4, 0.45, 0.5)  # levels at which these embeddings have edges
 
 
 def embeddings(spark, sf_dir):
     return load(spark, sf_dir, "embeddings", spread=True)
 
 
-SQL_CENTRES = """
+CENTRES = 10
+
+SQL_CENTRES = f"""
 el AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS dim
        FROM embeddings),
 cl AS (SELECT label, dim, avg(v) AS mean FROM el GROUP BY label, dim),
-cv AS (SELECT label, list(mean ORDER BY dim) AS centre FROM cl GROUP BY label),
+cv AS (SELECT label, list(mean ORDER BY dim) AS centre FROM cl GROUP BY label)"""
+SQL_SAMPLED = f"""
+cv AS (SELECT vec_id AS label, embedding::DOUBLE[] AS centre FROM
+       (SELECT *, {sql_hash32('vec_id', "'42'", "'centres'")} AS h FROM embeddings) ORDER BY h, vec_id LIMIT {CENTRES}),
 dd AS (SELECT max(sqrt(list_sum(list_transform(list_zip(a.centre, b.centre), lambda p: (p[1] - p[2]) * (p[1] - p[2])))))
               AS dmax, count(DISTINCT a.label) AS m FROM cv a, cv b),
 sg AS (SELECT dmax, dmax / sqrt(2 * m) AS sigma, m AS n_centres FROM dd)"""
 
 
+def sampled_centres(spark, sf_dir):
+    """As many vectors as asked for, drawn without replacement; each is labelled by its own id."""
+    drawn = pick_k(embeddings(spark, sf_dir), "vec_id", CENTRES, 42, "centres")
+    return drawn.select(F.col("vec_id").alias("label"), vx.as_double_array("embedding").alias("centre"))
+
+
 @query("class_centroids", f"WITH {SQL_CENTRES} SELECT label, dim::INTEGER AS dim, round(mean, 9) AS mean FROM cl")
 def q_class_centroids(spark, sf_dir):
     c = vx.centroids_long(embeddings(spark, sf_dir), "embedding", "label")
     return c.select("label", "dim", F.round("mean", 9).alias("mean"))
 
 
-@query("dmax_sigma", f"""WITH {SQL_CENTRES}
+@query("dmax_sigma", f"""WITH {SQL_SAMPLED}
 SELECT round(dmax, 9) AS dmax, round(sigma, 9) AS sigma, n_centres::INTEGER AS n_centres FROM sg""")
 def q_dmax_sigma(spark, sf_dir):
-    c = vx.centroid_vectors(embeddings(spark, sf_dir), "embedding", "label")
+    c = sampled_centres(spark, sf_dir)
     d = vx.dmax_sigma(c)
     return d.select(F.round("dmax", 9).alias("dmax"), F.round("sigma", 9).alias("sigma"), "n_centres")
 
 
-@query("rbf_features", f"""WITH {SQL_CENTRES}
+@query("rbf_features", f"""WITH {SQL_SAMPLED}
 SELECT e.vec_id, c.label AS centre_label,
        round(exp(-list_sum(list_transform(list_zip(e.embedding::DOUBLE[], c.centre),
                  lambda p: (p[1] - p[2]) * (p[1] - p[2]))) / (2 * sg.sigma * sg.sigma)), 9) AS phi
 FROM embeddings e, cv c, sg""")
 def q_rbf_features(spark, sf_dir):
     e = embeddings(spark, sf_dir)
-    c = vx.centroid_vectors(e, "embedding", "label")
+    c = sampled_centres(spark, sf_dir)
     f = vx.rbf_features(e, "vec_id", "embedding", c, vx.dmax_sigma(c))
     return f.select("vec_id", "centre_label", F.round("phi", 9).alias("phi"))
 
@@ -104,14 +118,10 @@ reach(alpha, src, dst) AS (
   UNION SELECT r.alpha, r.src, ue.d FROM reach r JOIN ue ON ue.alpha = r.alpha AND ue.s = r.dst)
 SELECT alpha, src AS vec_id, min(dst) AS cluster FROM reach GROUP BY alpha, src""")
 def q_fuzzy_clusters(spark, sf_dir):
-    e = cosine_edges(spark, sf_dir).cache()
-    nodes = embeddings(spark, sf_dir).select(F.col("vec_id").alias("node"))
-    out = None
-    for a in ALPHAS:
-        c = fz.threshold_components(nodes, fz.alpha_cut(e, a, "sim")).select(
-            F.lit(a).alias("alpha"), F.col("node").alias("vec_id"), "cluster")
-        out = c if out is None else out.unionByName(c)
-    return out
+    levels = F.explode(F.array(*[F.lit(a) for a in ALPHAS])).alias("alpha")
+    nodes = embeddings(spark, sf_dir).select(F.col("vec_id").alias("node"), levels)
+    edges = q_alpha_cut(spark, sf_dir)
+    return fz.threshold_components(nodes, edges, ["alpha"]).select("alpha", F.col("node").alias("vec_id"), "cluster")
 
 
 @query("mamdani_score", f"""
@@ -126,15 +136,27 @@ def q_mamdani_score(spark, sf_dir):
     return fz.mamdani(x, "y", "theta").select("event_id", F.round("u", 6).alias("u"))
 
 
+@query("row_mean", """
+SELECT vec_id, round(list_avg(embedding::DOUBLE[]), 9) AS mean FROM embeddings""")
+def q_row_mean(spark, sf_dir):
+    return embeddings(spark, sf_dir).select("vec_id", F.round(vx.row_mean("embedding"), 9).alias("mean"))
+
+
 # ------------------------------------------------------------ set operations
 @query("sym_diff", """
-(SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders)
-UNION (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")
+WITH a AS (SELECT c_custkey AS key FROM customer WHERE c_acctbal > 0),
+b AS (SELECT DISTINCT o_custkey AS key FROM orders WHERE o_totalprice > 100000)
+(SELECT key FROM a EXCEPT SELECT key FROM b) UNION (SELECT key FROM b EXCEPT SELECT key FROM a)""")
 def q_sym_diff(spark, sf_dir):
-    from kiln.operators.sets import symmetric_difference
-    a = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
-    b = load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"))
-    return symmetric_difference([a, b], "key")
+    """Customers in credit against customers with a large order."""
+    a = load(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("key"))
+    b = load(spark, sf_dir, "orders").where("o_totalprice > 100000").select(F.col("o_custkey").alias("key"))
+    return sets.symmetric_difference([a, b], "key")
+
+
+@query("distinct_sorted", "SELECT DISTINCT c_mktsegment FROM customer")
+def q_distinct_sorted(spark, sf_dir):
+    return sets.distinct_sorted(load(spark, sf_dir, "customer"), "c_mktsegment")
 
 
 @query("union_missing", """
@@ -150,4 +172,4 @@ def q_union_missing(spark, sf_dir):
     s = load(spark, sf_dir, "supplier").select(
         F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
-    return c.unionByName(s, allowMissingColumns=True)
+    return sets.union_all([c, s])

@@ -1,60 +1,68 @@
 """File scans and sinks (S1-S13) with explicit schemas.
 
 Schemas are always given (no inference pass over the data); malformed rows
-are dropped or counted by Spark's CSV modes; exports drop array/map
+are dropped or counted as asked; exports drop array/map
 columns that CSV cannot hold.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_PAST = "_past_schema"
 # Fixed value: schema of the headerless news CSV (label 1..4, title, description).
 NEWS_SCHEMA = "label INT, title STRING, description STRING"
 
 
 def read_csv(spark: SparkSession, path: str, schema, header: bool = True, null_values=("", "na"),
-             mode: str = "PERMISSIVE", **options) -> DataFrame:
-    """Header CSV with a given schema. Fields are read as text,
-    every null marker (pandas reads both '' and 'na' as missing) becomes
-    NULL, then each field is cast to its type. A field that is present but
-    does not cast is malformed: ``DROPMALFORMED`` drops the row,
-    ``PERMISSIVE`` keeps it with NULL."""
+             long_lines: str = "keep", **options) -> DataFrame:
+    """Header CSV with a given schema.
+
+    A line with fewer fields than the schema is padded with NULL. One with more is cut to the schema's fields, or
+    left out with ``long_lines='skip'`` (``skipped_lines`` counts those). Every null marker (pandas
+    reads both '' and 'na' as missing) becomes NULL, and so does a field that does not cast; the row stays.
+    """
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in st.fields])
-    r = spark.read.schema(raw_schema).option("header", header)
-    for k, v in options.items():
-        r = r.option(k, v)
-    raw = r.csv(path)
-    cols, bad = [], F.lit(False)
+    raw = _raw_csv(spark, path, st, header, options)
+    if long_lines == "skip":
+        raw = raw.filter(F.col(_PAST).isNull())
+    elif long_lines != "keep":
+        raise ValueError(f"long_lines is 'keep' or 'skip', not {long_lines!r}")
+    cols = []
     for f in st.fields:
-        v = F.col(f.name)
+        v = F.col(f"`{f.name}`")
         for m in null_values:
             v = F.nullif(v, F.lit(m))
-        typed = v.try_cast(f.dataType) if hasattr(v, "try_cast") else F.expr(
-            f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
-        cols.append(typed.alias(f.name))
-        bad = bad | (v.isNotNull() & typed.isNull())
-    out = raw.withColumn("_bad", bad).select(*cols, "_bad")
-    if mode.upper() == "DROPMALFORMED":
-        out = out.filter(~F.col("_bad"))
-    return out.drop("_bad")
+        cols.append(v.try_cast(f.dataType).alias(f.name))
+    return raw.select(*cols)
 
 
-def sentinel_to_null(df: DataFrame, marker: str) -> DataFrame:
-    """A sentinel string becomes NULL in every string column."""
-    cols = [F.nullif(F.col(f.name), F.lit(marker)).alias(f.name) if isinstance(f.dataType, T.StringType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+def skipped_lines(spark: SparkSession, path: str, schema, header: bool = True, **options) -> DataFrame:
+    """One row with the number of lines that ``read_csv(..., long_lines='skip')`` leaves out."""
+    st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    raw = _raw_csv(spark, path, st, header, options)
+    return raw.agg(F.count(F.col(_PAST)).alias("skipped"))
 
 
-def read_news_csv(spark: SparkSession, path: str) -> DataFrame:
+def _raw_csv(spark: SparkSession, path: str, st: T.StructType, header: bool, options: dict) -> DataFrame:
+    """Every field as text, and the first field past the schema, which only a line that is too long has."""
+    names = [*[f.name for f in st.fields], _PAST]
+    r = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    for k, v in {"header": header, "mode": "PERMISSIVE", "nullValue": "\u0000", **options}.items():
+        r = r.option(k, v)
+    return r.csv(path)
+
+
+def read_news_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Headerless quoted CSV; label shifted to 0-based; text = title +
-    ' ' + description (a short row has a NULL description)."""
+    ' ' + description (a short row has a NULL description). ``multi_line``
+    allows line ends inside quotes, at the price of one task per file."""
     df = (spark.read.schema(NEWS_SCHEMA).option("header", False).option("quote", '"')
-          .option("escape", '"').option("multiLine", True).csv(path))
+          .option("escape", '"').option("multiLine", multi_line).csv(path))
     return df.select((F.col("label") - 1).alias("label"),
                      F.concat_ws(" ", "title", "description").alias("text"))
 
@@ -66,21 +74,21 @@ def read_pairs_tsv(spark: SparkSession, path: str, reverse: bool = False) -> Dat
     return df.select(F.col("tgt").alias("src"), F.col("src").alias("tgt")) if reverse else df
 
 
-def read_json_doc(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """JSON documents (one per file with ``multiLine``)."""
-    r = spark.read.option("multiLine", True)
-    if schema is not None:
-        r = r.schema(schema)
-    return r.json(path)
+def read_json_doc(spark: SparkSession, path: str, schema: str | T.StructType, multi_line: bool = False) -> DataFrame:
+    """JSON documents with a given schema, one per line or, with ``multi_line``, one per file."""
+    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
 def materialised(spark: SparkSession, path: str, build) -> DataFrame:
-    """Reuse a written Parquet copy when present, else build and write it."""
+    """Reuse a written Parquet copy when present, else build and write it. Any other failure to read is
+    raised, and nothing is overwritten."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - absent path
-        build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    build().write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
@@ -142,5 +150,10 @@ def coerce_timestamps(df: DataFrame, col: str, fmt: str | None = None) -> tuple[
 
 
 def save_model(model, path: str) -> None:
-    """Persist a fitted pipeline (reload with ``PipelineModel.load``)."""
+    """Persist a fitted pipeline."""
     model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """A fitted pipeline written by ``save_model``."""
+    return PipelineModel.load(path)

@@ -3,8 +3,6 @@
 import datetime as dt
 
 import numpy as np
-from pyspark.sql import functions as F
-
 from kiln.operators import charging as ch
 
 
@@ -28,7 +26,8 @@ def py_schedule(soc_pct, cap, health, start_idx, hours, grid_len=289):
 
 def test_fold_matches_loop(spark):
     g0 = dt.datetime(2024, 1, 1)
-    bounds = spark.createDataFrame([(g0, g0 + dt.timedelta(hours=24))], "grid_start timestamp, grid_end timestamp")
+    start = int(g0.replace(tzinfo=dt.UTC).timestamp()) * 1_000_000
+    bounds = ch.Grid(start, start + 24 * 3_600_000_000)
     cases = [(1, 40, 95, 70, 0, 1.0), (2, 50, 100, 90, 280, 3.0), (3, 60, 10, 80, 100, 0.05),
              (4, 45, 99, 100, 10, 8.0), (5, 70, 50, 85, 288, 2.0)]
     rows = [(f"user{c[0]}", c[1], c[2], c[3], g0 + dt.timedelta(minutes=5 * c[4]), c[5]) for c in cases]
@@ -46,4 +45,8 @@ def test_fold_matches_loop(spark):
         for t in want:
             assert abs(have[t] - want[t]) < 1e-3
         assert state[f"user{c[0]}"] == round(end, 1) or abs(state[f"user{c[0]}"] - end) < 0.051
-    assert F is not None
+
+
+def test_vehicles_without_model_or_hours(spark):
+    cars = spark.createDataFrame([("a", 2.0), (None, 3.0), ("b", None)], "model string, hours double")
+    assert [(r.model, r.hours) for r in ch.usable_vehicles(cars).orderBy("model").collect()] == [("a", 2.0), ("b", 1.0)]

@@ -1,17 +1,26 @@
 """Operator checks on small fixtures against plain-Python formulas."""
 
+import datetime as dt
+import json
 import math
 import re
 import unicodedata
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kiln.functions import text as tx
+from kiln.functions.hashing import hash32
 from kiln.operators import augment as aug
+from kiln.operators import common, metrics, sets, split, vectors, vocab
+from kiln.operators import experiments as ex
 from kiln.operators import fuzzy as fz
-from kiln.operators import metrics, split, vectors, vocab
+from kiln.operators import naive_bayes as nb
+from kiln.operators import weather as wx
+from kiln.operators.common import global_index, hash_cut
 from kiln.operators.rouge import rouge_n
+from kiln.operators.vectorise import vectorise
 
 
 def py_clean(t):
@@ -186,21 +195,144 @@ def test_symmetric_difference_chain(spark):
     assert sorted(r.k for r in symmetric_difference([a, b, c], "k").collect()) == [1, 3, 4, 5]
 
 
-def test_distributed_ranks_on_skewed_groups(spark):
-    """rank_by_hash equals row_number over (group order by hash, id), also
-    when one group holds most rows; global_index is a dense 1..n order."""
-    from pyspark.sql import Window
-    from kiln.functions.hashing import hash32
-    from kiln.operators.common import global_index, rank_by_hash
-    df = spark.range(3000).withColumn("g", F.when(F.col("id") % 10 < 8, "hot").otherwise(
+def test_cuts_and_positions_on_skewed_groups(spark):
+    """hash_cut equals row_number over (group order by hash, id), also when one group holds most rows and for a
+    null group; global_index is a dense 1..n order."""
+    df = spark.range(3000).withColumn("g", F.when(F.col("id") % 10 < 8, "hot").when(F.col("id") % 10 < 9, F.lit(None)).otherwise(
         (F.col("id") % 7).cast("string"))).withColumn("h", hash32(F.col("id"), "t"))
-    got = {r.id: r.rk for r in rank_by_hash(df, ["g"], "h", ["id"], out="rk", bucket_bits=6).collect()}
-    want = {r.id: r.rk for r in df.withColumn(
-        "rk", F.row_number().over(Window.partitionBy("g").orderBy("h", "id"))).collect()}
-    assert got == want
+    ranked = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("h", "id"))) \
+        .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g")))
+    for frac in (0.001, 0.1, 0.5, 1.0):
+        want = {r.g: r.id for r in ranked.where(F.col("rk") == F.round(F.col("n") * frac)).collect()}
+        got = {r.g: r._cut_id for r in hash_cut(df, ["g"], "h", "id", frac).collect()}
+        assert got == want
     gi = {r.id: r.idx for r in global_index(df, ["h", "id"]).collect()}
-
     assert sorted(gi.values()) == list(range(1, 3001))
     hs = {r.id: r.h for r in df.collect()}
     assert [i for i, _ in sorted(gi.items(), key=lambda kv: kv[1])] == sorted(hs, key=lambda i: (hs[i], i))
 
+
+def test_split_moves_no_text(spark):
+    df = spark.range(100).selectExpr("id", "CAST(id % 3 AS STRING) AS label", "repeat('x', 100) AS text")
+    plan = split.stratified_split(df, "label", "id", 0.1)._jdf.queryExecution().optimizedPlan().toString()
+    side = plan.index("Join")
+    assert plan.count("text") and "Exchange" not in plan[:side]
+    executed = split.stratified_split(df, "label", "id", 0.1)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in executed and "Exchange hashpartitioning" not in executed
+
+
+def test_components_of_a_path_of_10000_nodes(spark):
+    nodes = spark.range(10_001).selectExpr("id AS node")
+    edges = spark.range(10_000).selectExpr("id AS i", "id + 1 AS j")
+    out = fz.threshold_components(nodes, edges).agg(F.countDistinct("cluster").alias("n"), F.count("*").alias("rows"),
+                                                    F.max("cluster").alias("top")).first()
+    assert (out.n, out.rows, out.top) == (1, 10_001, 0)
+
+
+def test_naive_bayes_with_1001_classes(spark):
+    docs = spark.range(1001).selectExpr("id", "CAST(id AS STRING) AS label",
+                                        "concat('word', translate(CAST(id AS STRING), '0123456789', 'abcdefghij'), ' common') AS text")
+    unlabelled = spark.createDataFrame([(5000, None, "common")], "id long, label string, text string")
+    out = nb.fit_predict(docs.unionByName(unlabelled), docs, "id", "text", "label")
+    assert out.count() == 1001 and out.where("prediction = label").count() == 1001
+
+
+def test_lookup_splits_heavy_keys(spark):
+    table = spark.range(5000).selectExpr("concat('w', id) AS word", "id + 7 AS idx", "IF(id < 3, 100000, 1) AS cnt")
+    rows = spark.range(20_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'w1' WHEN id % 5 = 0 THEN NULL "
+                                                "ELSE concat('w', id % 6000) END AS word")
+    got = {r.id: r.idx for r in common.lookup(rows, "word", table, "idx", "cnt", ["id"]).collect()}
+    assert len(got) == 20_000
+    for i, idx in got.items():
+        n = 1 if i % 2 == 0 else None if i % 5 == 0 else i % 6000
+        assert idx == (n + 7 if n is not None and n < 5000 else None)
+
+
+def test_map_tokens_with_repeated_keys_and_a_large_table(spark):
+    table = spark.range(1_000_000).selectExpr("concat('w', id) AS word", "concat('v', id) AS lemma")
+    table = table.unionByName(spark.createDataFrame([("w1", "a1"), ("w1", "z1")], "word string, lemma string"))
+    df = spark.createDataFrame([(1, ["w1", "x", "w1", "w999999"]), (2, []), (3, ["x"])], "id long, t array<string>")
+    got = {r.id: r.mapped for r in vocab.map_tokens(df, "id", F.col("t"), table).collect()}
+    assert got == {1: ["a1", "x", "a1", "v999999"], 2: [], 3: ["x"]}
+
+
+def test_encode_and_decode_whole_texts(spark):
+    df = spark.createDataFrame([(1, "a b a c".split()), (2, ["z"] * 300), (3, [])], "d long, t array<string>")
+    v = vocab.build_vocab(df, "d", F.col("t"), min_freq=2)
+    enc = vocab.encode_padded(df, "d", F.col("t"), v, None)
+    out = {r.d: r.decoded for r in vocab.decode(enc, "d", v).collect()}
+    assert out == {1: "a <unk> a <unk>", 2: " ".join(["z"] * 300)}
+
+
+def test_preprocess_switches(spark):
+    df = spark.createDataFrame([(1, "The cats, sat!")], "id long, text string")
+    lemmas = spark.createDataFrame([("cats", "cat")], "word string, lemma string")
+    one = lambda *a, **k: vocab.preprocess(df, "id", "text", *a, **k).first().processed
+    assert one() == "the cats sat" and one(["the"]) == "cats sat" and one(lemmas=lemmas) == "the cat sat"
+    assert one(["the"], lemmas) == "cat sat"
+
+
+def test_several_swaps_and_synonyms(spark):
+    df = spark.createDataFrame([(k, " ".join("abcdefgh"), 1) for k in range(30)], "doc_id long, text string, copy int")
+    once = {r.doc_id: r.aug_text for r in aug.random_swap(df, "doc_id", "text", "copy").collect()}
+    twice = {r.doc_id: r.aug_text for r in aug.random_swap(df, "doc_id", "text", "copy", n=2).collect()}
+    moved = lambda t: sum(x != y for x, y in zip(t.split(), "abcdefgh"))
+    assert all(moved(t) == 2 for t in once.values()) and {moved(t) for t in twice.values()} <= {0, 3, 4}
+    assert all(sorted(t.split()) == list("abcdefgh") for t in twice.values()) and once != twice
+    syn = spark.createDataFrame([("a", "x1"), ("b", "x-2!"), ("b", "b"), ("c", "c"), ("d", "--")], "word string, synonym string")
+    both = aug.synonym_replacement(df, "doc_id", "text", "copy", syn, n=5).first().aug_text
+    assert both == "x1 x2 c d e f g h"
+    singles = {r.aug_text for r in aug.synonym_replacement(df, "doc_id", "text", "copy", syn).collect()}
+    assert singles == {"x1 b c d e f g h", "a x2 c d e f g h"}
+
+
+def test_vectoriser_options(spark):
+    df = spark.createDataFrame([(1, "the red fox saw the red dog"), (2, "dog of the fox"), (3, "")], "id long, text string")
+    count = lambda **k: {(r.id, r.term): r["count"] for r in vectorise(df, "id", "text", stop_words=["the", "of"], **k).collect()}
+    assert count() == {(1, "red"): 2, (1, "fox"): 1, (1, "saw"): 1, (1, "dog"): 1, (2, "dog"): 1, (2, "fox"): 1}
+    assert {t for _, t in count(n_max=2)} >= {"red fox", "dog fox", "saw red"}
+    assert {t for _, t in count(max_features=2)} == {"dog", "fox"}
+    with pytest.raises(ValueError):
+        vectorise(df, "id", "text", weighting="other")
+
+
+def test_tile_keys_do_not_overflow(spark, monkeypatch):
+    """Tile numbers past 46,340, whose product leaves the integers."""
+    df = spark.createDataFrame([(k, [1.0, k / 100]) for k in range(6)], "id long, v array<double>")
+    monkeypatch.setattr(vectors, "hash32", lambda c, *_: F.lit(70_000 - 2) + c % 2)
+    monkeypatch.setattr(vectors.math, "ceil", lambda x: 70_000)
+    out = vectors.cosine_pairs(df, "id", "v", 0.9)
+    assert out.count() == 15
+
+
+def test_experiment_helpers(spark):
+    h = spark.createDataFrame([(k, float(k)) for k in range(1, 12)], "iter int, loss double")
+    assert {r.block: r["mean"] for r in ex.block_means(h, "iter", "loss", 5).collect()} == {0: 3.0, 1: 8.0}
+    r = spark.createDataFrame([("b", 0.5, None), ("a", None, 0.25)], "m string, acc double, f1 double")
+    assert [tuple(x) for x in ex.model_comparison(r, "m", ["acc", "f1"]).collect()] == [("a", 0.0, 0.25), ("b", 0.5, 0.0)]
+    assert ex.statistics_document(r.where("m = 'b'")).first().stats == '{"m":"b","acc":0.5}'
+    assert spark.range(1).select(ex.round_down(F.lit(130), 8).alias("x")).first().x == 128
+    seconds, each = ex.timed(spark.range(100))
+    assert seconds > 0 and abs(each - seconds / 100) < 1e-9
+    n = spark.createDataFrame([([[1, 2], [3]],)], "a array<array<int>>")
+    flat, place, has = sets.flatten_index(F.col("a"), F.lit(3))
+    assert tuple(n.select(flat, place, has).first()) == ([1, 2, 3], 3, True)
+
+
+def test_forecast_gaps(spark):
+    """A record without a section gets no verdict on it."""
+    day = "2024-05-0"
+    full = {"temperature": {"low": 20, "high": 60}, "wind": {"speed": {"low": 1, "high": 9}}, "forecast": {"text": "sun"}}
+    rows = [(1, full), (2, {k: v for k, v in full.items() if k != "temperature"}), (3, {k: v for k, v in full.items() if k != "wind"}),
+            (4, None), (5, {"forecast": {"text": "only text"}})]
+    docs = spark.createDataFrame([(json.dumps({"date": f"{day}{k}"} | ({"general": g} if g else {})),) for k, g in rows], "record string")
+    preds = spark.createDataFrame([(dt.date(2024, 5, k), 30.0, 20.0, 5.0) for k in range(1, 7)],
+                                  "date date, p_max double, p_min double, p_wind double")
+    out = {r.date.day: (r.temperature, r.wind, r.forecast_text) for r in wx.ensemble_summary(preds, wx.parse_records(docs)).collect()}
+    assert out == {1: ("api", "api", "sun"), 2: (None, "api", "sun"), 3: ("api", None, "sun"), 4: (None, None, "N/A"),
+                   5: (None, None, "only text"), 6: ("api_fetch_failed", "api_fetch_failed", "N/A")}
+    stats = spark.createDataFrame([(25.0, 20.0, 4.0, 5.0, 5.0, 2.0)],
+                                  "mean_max double, mean_min double, mean_wind double, std_max double, std_min double, std_wind double")
+    seen = {r.date.day: (r.temperature, r.wind) for r in wx.compare(preds, wx.parse_records(docs), stats).collect()}
+    assert seen == {1: ("api", "api"), 2: ("error", "api"), 3: ("api", "error"), 4: ("api_data_missing",) * 2,
+                    5: ("error", "error"), 6: ("api_fetch_failed",) * 2}

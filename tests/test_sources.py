@@ -3,24 +3,61 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from kiln.operators import models
 from kiln.sources import files
 
 
-def test_csv_modes_and_sentinels(spark):
+def test_csv_lines_and_sentinels(spark):
     d = tempfile.mkdtemp(prefix="kiln-test-src-")
     p = os.path.join(d, "w.csv")
     with open(p, "w") as f:
-        f.write("date,tmax,note\n2024-01-01,31.5,ok\n2024-01-02,na,na\n2024-01-03,x,bad\n")
-    df = files.read_csv(spark, p, "date DATE, tmax DOUBLE, note STRING", mode="DROPMALFORMED",
-                        null_values=("", "na"))
-    rows = {r.date.isoformat(): (r.tmax, r.note) for r in df.collect()}
-    assert rows["2024-01-01"] == (31.5, "ok")
-    assert rows["2024-01-02"] == (None, None)
-    assert "2024-01-03" not in rows
+        f.write("date,tmax,note\n2024-01-01,31.5,ok\n2024-01-02,na,na\n2024-01-03,x,bad\n"
+                "2024-01-04,1.5\n2024-01-05,2.5,long,extra\n2024-01-06,3.5,longer,,\n")
+    schema = "date DATE, tmax DOUBLE, note STRING"
+    df = files.read_csv(spark, p, schema, long_lines="skip")
+    rows = {r.date.isoformat()[-2:]: (r.tmax, r.note) for r in df.collect()}
+    assert rows == {"01": (31.5, "ok"), "02": (None, None), "03": (None, "bad"), "04": (1.5, None)}
+    assert files.skipped_lines(spark, p, schema).collect()[0].skipped == 2
+    cut = {r.date.isoformat()[-2:]: (r.tmax, r.note) for r in files.read_csv(spark, p, schema).collect()}
+    assert cut == rows | {"05": (2.5, "long"), "06": (3.5, "longer")}
     kept, dropped = files.drop_null_rows(df, ["tmax"])
-    assert kept.count() == 1 and dropped.collect()[0].dropped == 1
+    assert kept.count() == 2 and dropped.collect()[0].dropped == 2
+    assert files.read_csv(spark, p, schema, long_lines="skip").select("note").count() == 4
+
+
+def test_materialised_never_overwrites(spark):
+    d = tempfile.mkdtemp(prefix="kiln-test-src-")
+    made = []
+
+    def build():
+        made.append(1)
+        return spark.range(3)
+
+    good = os.path.join(d, "t")
+    assert files.materialised(spark, good, build).count() == 3 == files.materialised(spark, good, build).count()
+    assert len(made) == 1
+    bad = os.path.join(d, "broken")
+    os.mkdir(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        files.materialised(spark, bad, build).count()
+    assert os.listdir(bad) == ["part-0.parquet"] and len(made) == 1
+
+
+def test_json_documents_and_models(spark):
+    d = tempfile.mkdtemp(prefix="kiln-test-src-")
+    with open(os.path.join(d, "stats.json"), "w") as f:
+        f.write('{\n "mean": 1.5,\n "names": ["a", "b"]\n}')
+    row = files.read_json_doc(spark, os.path.join(d, "stats.json"), "mean DOUBLE, names ARRAY<STRING>", multi_line=True).collect()
+    assert [(r.mean, r.names) for r in row] == [(1.5, ["a", "b"])]
+    data = spark.range(20).selectExpr("CAST(id AS DOUBLE) AS x", "2.0D * id + 1 AS y")
+    files.save_model(models.regression(["x"], "y").fit(data), os.path.join(d, "model"))
+    out = files.load_model(os.path.join(d, "model")).transform(data).selectExpr("max(abs(prediction - y)) AS e").collect()
+    assert out[0].e < 1e-6
 
 
 def test_news_and_pairs(spark):
