@@ -103,9 +103,11 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                         F.explode(_let(line_ids(F.col("text")), lambda lines: minimal_runs(lines, min_chars))).alias("r"))
             .select(F.struct("doc_id", "text_hash", "r.first").alias("at"), F.col("r.last").alias("last"),
                     F.col("r.a").alias("a"), F.col("r.b").alias("b")))
-    runs = Scratch(docs.sparkSession, "line-dedup").write(runs, "runs")
-    copied = runs.groupBy("a", "b").agg(F.min("at").alias("origin"), F.max("at").alias("final")) \
-        .where("origin <> final").select("a", "b", "origin")
+    work = Scratch(docs.sparkSession, "line-dedup")
+    runs = work.write(runs, "runs")
+    # written, so that both sides of the join are plain scans: the runs of a very common line can be split
+    copied = work.write(runs.groupBy("a", "b").agg(F.min("at").alias("origin"), F.max("at").alias("final"))
+                        .where("origin <> final").select("a", "b", "origin"), "copied")
     return (runs.join(copied, ["a", "b"]).where("at > origin")
             .select("at.doc_id", "at.text_hash", "at.first", "last"))
 
