@@ -4,13 +4,17 @@ small parameter grid."""
 
 from __future__ import annotations
 
+import hashlib
+import math
+import statistics
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, NaiveBayes
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (CountVectorizer, IndexToString, NGram, RegexTokenizer, SQLTransformer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,22 +50,64 @@ def nb_predict(model, df: DataFrame, label_col: str) -> DataFrame:
     return IndexToString(inputCol="_p", outputCol="prediction", labels=labels).transform(out)
 
 
-def nb_grid_search(train: DataFrame, text_col: str, label_col: str, alphas=(0.1, 0.5, 1.0),
-                   vocab_sizes=(1 << 12, 1 << 16), parallelism: int = 4, seed: int = 42):
-    """M8: every (alpha, vocabulary size) on one train/validation split,
-    fitted in parallel; returns (rows of (alpha, vocab_size, accuracy), best model)."""
+def sample_space(space: dict, trials: int, seed: int = 42) -> list[dict]:
+    """M8/M9: parameter rows drawn by hash. A list is a choice, a pair of integers a range (both ends count), a pair of
+    floats a uniform range, and ('log', low, high) a log-uniform one. The same seed gives the same rows."""
+    def draw(name: str, trial: int) -> float:
+        return int(hashlib.md5(f"{seed}|{name}|{trial}".encode()).hexdigest()[:13], 16) / 16**13
+
+    def value(spec, u: float):
+        if isinstance(spec, list):
+            return spec[int(u * len(spec))]
+        if spec[0] == "log":
+            return float(math.exp(math.log(spec[1]) + u * (math.log(spec[2]) - math.log(spec[1]))))
+        low, high = spec
+        if isinstance(low, int) and isinstance(high, int):
+            return low + int(u * (high - low + 1))
+        return low + u * (high - low)
+
+    return [{k: value(v, draw(k, t)) for k, v in space.items()} for t in range(trials)]
+
+
+def nb_search(train: DataFrame, text_col: str, label_col: str, trials: list[dict], parallelism: int = 4, seed: int = 42):
+    """M8: every trial (alpha, max_features) on one train/validation split, fitted in parallel; returns
+    (rows of (trial, alpha, max_features, accuracy), best model)."""
     pipe = nb_text_pipeline(text_col, label_col)
     nb, cv = pipe.getStages()[-1], pipe.getStages()[-3]
-    grid = ParamGridBuilder().addGrid(nb.smoothing, list(alphas)).addGrid(cv.vocabSize, list(vocab_sizes)).build()
+    grid = [{nb.smoothing: float(t["alpha"]), cv.vocabSize: int(t["max_features"])} for t in trials]
     ev = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_p", metricName="accuracy")
     tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.9,
                                parallelism=parallelism, seed=seed)
     model = tvs.fit(train)
-    rows = [(float(p[nb.smoothing]), int(p[cv.vocabSize]), float(m))
-            for p, m in zip(grid, model.validationMetrics)]
+    rows = [(n, float(t["alpha"]), int(t["max_features"]), float(m))
+            for n, (t, m) in enumerate(zip(trials, model.validationMetrics))]
     return rows, model
 
 
+def kfold_search(df: DataFrame, features: list[str], label: str, fold_col: str, folds: int, trials: list[dict]) -> list[tuple]:
+    """M9: K-fold search of linear regression with median pruning.
+
+    Folds of a trial run in order; a trial ends when its loss on a fold is above the median of what earlier trials
+    had on that fold. Returns (trial, reg, elastic, fold, rmse, pruned) per fitted fold. The loop is over
+    trials and folds, as many as asked for; every fit and loss is a Spark job.
+    """
+    seen: dict[int, list[float]] = {}
+    out = []
+    for n, t in enumerate(trials):
+        for fold in range(folds):
+            model = regression(features, label, regParam=t["reg"], elasticNetParam=t["elastic"], solver="normal"
+                               if t["elastic"] == 0 else "auto").fit(df.where(F.col(fold_col) != fold))
+            loss = (model.transform(df.where(F.col(fold_col) == fold))
+                    .agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(label), 2))).alias("rmse")).first().rmse)
+            before = seen.setdefault(fold, [])
+            pruned = len(before) > 0 and loss > statistics.median(before)
+            before.append(loss)
+            out.append((n, t["reg"], t["elastic"], fold, loss, pruned))
+            if pruned and fold < folds - 1:
+                break
+    return out
+
+
 def regression(features: list[str], label: str, kind: str = "linear", weight: str | None = None,
                **params) -> Pipeline:
     """Assembler + LinearRegression or GBTRegressor."""

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kiln.lineage import Scratch
 from kiln.operators import models as ml
+from kiln.operators import timeseries as ts
 from kiln.operators import vectors as vx
-from kiln.operators.split import hash_split
+from kiln.operators import weather as wx
+from kiln.operators.common import attach_row
+from kiln.operators.split import hash_split, kfold
 from kiln.plans import query
 from kiln.plans.ev_queries import q_price_features
-from kiln.plans.series_queries import daily_targets, scaled_series, LOOK_BACK
+from kiln.plans.series_queries import LOOK_BACK, daily_targets, scaled_series, target_stats
 from kiln.plans.text_queries import split_documents
 from kiln.plans.vector_queries import embeddings, sampled_centres
-from kiln.operators import timeseries as ts
+from kiln.plans.weather_queries import records
 
 
 @query("nb_pipeline")
@@ -24,37 +29,101 @@ def q_nb_pipeline(spark, sf_dir):
     return ml.nb_predict(model, val, "label").select("doc_id", "label", "prediction")
 
 
+#: The ranges of the search (a choice and an integer range).
+NB_SPACE = {"alpha": [0.01, 0.1, 0.5, 1.0], "max_features": (5_000, 50_000)}
+
+
 @query("param_search")
 def q_param_search(spark, sf_dir):
     s = split_documents(spark, sf_dir)
-    rows, _ = ml.nb_grid_search(s.filter(F.col("split") == "train"), "text", "label")
-    return spark.createDataFrame(rows, "alpha double, vocab_size int, accuracy double")
+    train = Scratch(spark, "param-search").write(s.filter(F.col("split") == "train"), "train")
+    rows, _ = ml.nb_search(train, "text", "label", ml.sample_space(NB_SPACE, 5))
+    return spark.createDataFrame(rows, "trial int, alpha double, max_features int, accuracy double")
+
+
+GBT_FEATURES = ["hours", "soc_start_pct", "capacity_kwh", "start_hour"]
+
+
+def _cost_gbt(spark, sf_dir):
+    d = Scratch(spark, "cost-gbt").write(hash_split(q_price_features(spark, sf_dir), "user", 0.2, 42), "features")
+    pipe = ml.regression(GBT_FEATURES, "final_cost", "gbt", maxIter=100, stepSize=0.1, maxDepth=5, seed=42)
+    model = pipe.fit(d.filter(F.col("split") == "train"))
+    return model, model.transform(d.filter(F.col("split") == "test"))
 
 
 @query("cost_gbt")
 def q_cost_gbt(spark, sf_dir):
-    feats = ["hours", "soc_start_pct", "capacity_kwh", "start_hour"]
-    d = hash_split(q_price_features(spark, sf_dir), "user", 0.2, 42)
-    pipe = ml.regression(feats, "final_cost", "gbt", maxIter=100, stepSize=0.1, maxDepth=5, seed=42)
-    model = pipe.fit(d.filter(F.col("split") == "train"))
-    out = model.transform(d.filter(F.col("split") == "test"))
-    return out.select("user", "final_cost", "prediction")
+    return _cost_gbt(spark, sf_dir)[1].select("user", "final_cost", "prediction")
 
 
-@query("load_forecast")
-def q_load_forecast(spark, sf_dir):
+def _errors(df, y, yhat, eps=1e-8):
+    """A9-A11 in one pass: MAE, RMSE, R2 from sums, percent MAPE without zero targets."""
+    e = F.col(yhat) - F.col(y)
+    agg = df.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("_sse"),
+                 F.var_pop(y).alias("_v"), F.count(F.lit(1)).alias("_n"), F.avg(F.abs(F.try_divide(e, F.col(y))) * 100).alias("mape_pct"))
+    return agg.select("mae", "rmse", "mape_pct", (1 - F.try_divide(F.col("_sse"), F.col("_v") * F.col("_n"))).alias("r2"))
+
+
+@query("cost_gbt_report")
+def q_cost_gbt_report(spark, sf_dir):
+    """M6: importances, largest first, next to the errors on the held-out users."""
+    model, out = _cost_gbt(spark, sf_dir)
+    rows = [(n + 1, *x) for n, x in enumerate(ml.feature_importances(model, GBT_FEATURES))]
+    ranked = spark.createDataFrame(rows, "rank int, feature string, importance double")
+    return attach_row(ranked, _errors(out, "final_cost", "prediction"))
+
+
+def _load_forecast(spark, sf_dir):
+    """Lagged values as columns; the prediction is turned back to the unit of the series."""
+    w = Window.partitionBy("split").orderBy("ds")
     s = scaled_series(spark, sf_dir)
-    lw = ts.lag_windows(s, ["split"], "ds", "scaled", LOOK_BACK, drop_last=True)
-    wide = lw.groupBy("split", "ds", "target").pivot("lag", list(range(1, LOOK_BACK + 1))).agg(F.first("value"))
-    feats = [str(i) for i in range(1, LOOK_BACK + 1)]
+    feats = [f"lag{k}" for k in range(1, LOOK_BACK + 1)]
+    wide = s.select("split", "ds", "revenue", F.col("scaled").alias("target"),
+                    *[F.lag("scaled", k).over(w).alias(f) for k, f in enumerate(feats, 1)]).where(F.col(feats[-1]).isNotNull())
+    wide = Scratch(spark, "load-forecast").write(wide, "windows")
     model = ml.regression(feats, "target").fit(wide.filter(F.col("split") == "train"))
-    return model.transform(wide.filter(F.col("split") == "test")).select("ds", "target", "prediction")
+    out = model.transform(wide.filter(F.col("split") == "test"))
+    fit = ts.minmax_fit(s.filter(F.col("split") == "train"), "revenue")
+    return ts.minmax_inverse(out, "prediction", fit, out="forecast").select("ds", "target", "prediction", "revenue", "forecast")
+
+
+@query("load_forecast")
+def q_load_forecast(spark, sf_dir):
+    return _load_forecast(spark, sf_dir)
+
+
+@query("load_forecast_errors")
+def q_load_forecast_errors(spark, sf_dir):
+    """M5: errors of the forecast in the unit of the series."""
+    return _errors(_load_forecast(spark, sf_dir), "revenue", "forecast")
+
+
+WEATHER_FEATURES = [f"{c}_{f}" for c in ("day_of_year", "day_of_week", "month") for f in ("sin", "cos")]
+
+
+@query("kfold_search")
+def q_kfold_search(spark, sf_dir):
+    """M9 on the daily maximum: ten trials, five folds by hash."""
+    d = kfold(ts.cyclic_features(daily_targets(spark, sf_dir), "ds"), "ds", 5, 42)
+    d = Scratch(spark, "kfold").write(d.select("t_max", "fold", *WEATHER_FEATURES), "days")
+    trials = ml.sample_space({"reg": ("log", 1e-3, 10.0), "elastic": [0.0, 0.5, 1.0]}, 10)
+    rows = ml.kfold_search(d, WEATHER_FEATURES, "t_max", "fold", 5, trials)
+    return spark.createDataFrame(rows, "trial int, reg double, elastic double, fold int, rmse double, pruned boolean")
+
+
+@query("forecast_model_verdict")
+def q_forecast_model_verdict(spark, sf_dir):
+    """F1: the fitted weather model scored for the held-out dates and compared with their forecasts."""
+    p = q_weather_regression(spark, sf_dir).groupBy(F.col("ds").alias("date")).pivot("target", ["t_max", "t_min", "t_wind"]) \
+        .agg(F.first("prediction"))
+    preds = p.select("date", F.col("t_max").alias("p_max"), F.col("t_min").alias("p_min"), F.col("t_wind").alias("p_wind"))
+    return wx.compare(preds, records(spark, sf_dir), target_stats(spark, sf_dir))
 
 
 @query("weather_regression")
 def q_weather_regression(spark, sf_dir):
     d = ts.cyclic_features(daily_targets(spark, sf_dir), "ds")
-    feats = [f"{c}_{f}" for c in ("day_of_year", "day_of_week", "month") for f in ("sin", "cos")]
+    feats = WEATHER_FEATURES
     d = hash_split(d, "ds", 0.2, 42)
     train = d.filter(F.col("split") == "train")
     out = None
@@ -84,8 +153,9 @@ def q_rbf_classifier(spark, sf_dir):
     model = ml.regression(feats, "y", fitIntercept=False, regParam=1e-9, solver="normal") \
         .fit(d.filter(F.col("split") == "train"))
     out = model.transform(d.filter(F.col("split") == "test"))
-    # threshold = mean of the two class labels (-1, 1) = 0
-    return out.select("vec_id", "y", F.when(F.col("prediction") > 0, 1).otherwise(-1).alias("predicted"))
+    # the threshold is the mean of the training labels
+    mean = d.filter(F.col("split") == "train").agg(F.avg("y").alias("_m"))
+    return attach_row(out, mean).select("vec_id", "y", F.when(F.col("prediction") > F.col("_m"), 1).otherwise(-1).alias("predicted"))
 
 
 @query("kernel_svc")
