@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontaminate, embedding_dup, language, line_dedup, near_dup, packing, pii, secrets, token_count
+from kiln.llm import chat, decontaminate, embedding_dup, language, line_dedup, near_dup, oracles, packing, pii, secrets, token_count
 from kiln.sources.tables import load
 
 
@@ -65,24 +65,6 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("loss_tokens")
 
 
-#: Exact containment by plain joins of all shingles.
-DECONTAMINATE_SQL = r"""
-WITH words AS (
-  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
-split AS (
-  SELECT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      '[^\x20\x09-\x0D]+') AS w FROM words),
-grams AS (
-  SELECT DISTINCT side, id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-                                                  lambda i: array_to_string(w[i:i + 4], ' '))) AS g
-  FROM split WHERE len(w) > 0),
-items AS (SELECT id, g, count(*) OVER (PARTITION BY id) AS n FROM grams WHERE side = 'b')
-SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared
-FROM grams d JOIN items i USING (g) WHERE d.side = 'd'
-GROUP BY ALL HAVING count(*) * 100 >= i.n * 80
-"""
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -99,4 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontaminate": DECONTAMINATE_SQL}
+    """The others have no SQL form: learned models, tokenizers, keyed permutations, compression."""
+    return {
+        "op3_chat_format": oracles.CHAT_FORMAT,
+        "op4_line_dedup": oracles.LINE_DEDUP,
+        "op7_embedding_near_dup": oracles.EMBEDDING_NEAR_DUP,
+        "op8_minhash_near_dup": oracles.MINHASH_NEAR_DUP,
+        "op9_decontaminate": oracles.DECONTAMINATE,
+    }
