@@ -10,6 +10,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -162,8 +163,6 @@ def unicode_to_ascii(c) -> Column:
 
 def unicode_to_ascii_exact(c) -> Column:
     """T10 via an Arrow-batched pandas UDF (the slow path)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def _fold(s: pd.Series) -> pd.Series:
         def one(x):

@@ -23,11 +23,6 @@ def symmetric_difference(frames: list[DataFrame], key: str) -> DataFrame:
             .filter(F.col("_n") % 2 == 1).select(key))
 
 
-def array_symmetric_difference(a, b):
-    """U5 on array columns."""
-    return F.array_union(F.array_except(a, b), F.array_except(b, a))
-
-
 def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     """The distinct values of a column in order."""
     return df.select(col).distinct().orderBy(col)

@@ -82,12 +82,13 @@ def lag_windows(series: DataFrame, part_cols: list[str], ts_col: str, value_col:
 
     Sample i uses values i..i+look_back-1 as features and i+look_back as the
     target. With ``drop_last`` the final possible sample is left out, as the
-    reference does (len - look_back - 1 samples). Built as an equi-join on
-    positions, not a growing window array.
+    reference does (len - look_back - 1 samples). Positions come from one
+    distributed order, not from a window per series, and the features from an
+    equi-join on positions. Part columns must not be NULL.
     """
-    w = Window.partitionBy(*part_cols).orderBy(ts_col)
-    pos = (series.withColumn("_pos", F.row_number().over(w))
-           .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*part_cols))))
+    ranked = global_index(series, [*part_cols, ts_col], out="_idx")
+    parts = ranked.groupBy(*part_cols).agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    pos = ranked.join(parts, part_cols).withColumn("_pos", F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first")
     last = F.col("_n") - (1 if drop_last else 0)
     targets = pos.filter((F.col("_pos") > look_back) & (F.col("_pos") <= last)).select(
         *part_cols, F.col(ts_col), F.col(value_col).alias("target"),

@@ -95,7 +95,7 @@ def q_pair_prepare(spark, sf_dir):
 #: Prefixes that occur in the invented prose, next to the published ones.
 PAIR_STARTS = (*tx.PAIR_PREFIXES, "the ", "th", "an", "on")
 #: The invented turns are long; the published bound is ``tx.PAIR_MAX_LENGTH``.
-PAIR_WORDS = 40
+PAIR_WORDS = 100
 
 
 def sql_prefix_any(x: str) -> str:

@@ -46,22 +46,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder for lineage cuts.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when it is unset (local tests) a fresh scratch folder is
-    created.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only a local session without
+    that setting gets a fresh scratch folder; elsewhere executors would not see it, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
-    if not configured:
-        base = os.environ.get("KILN_SCRATCH", tempfile.gettempdir())
-        configured = tempfile.mkdtemp(prefix="kiln-ckpt-", dir=base)
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="kiln-ckpt-", dir=os.environ.get("KILN_SCRATCH", tempfile.gettempdir()))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

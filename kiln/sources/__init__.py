@@ -1,5 +1,5 @@
 """Scans and sinks: driver tables, CSV/JSON/TSV files, exports."""
 
-from kiln.sources.tables import TABLES, load, load_all
+from kiln.sources.tables import TABLES, load
 
-__all__ = ["TABLES", "load", "load_all"]
+__all__ = ["TABLES", "load"]

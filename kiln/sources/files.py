@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PAST = "_past_schema"
+_LONG = "_long_line"
 # Fixed value: schema of the headerless news CSV (label 1..4, title, description).
 NEWS_SCHEMA = "label INT, title STRING, description STRING"
 
@@ -29,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema, header: bool = True, null_v
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     raw = _raw_csv(spark, path, st, header, options)
     if long_lines == "skip":
-        raw = raw.filter(F.col(_PAST).isNull())
+        raw = raw.filter(~F.col(_LONG))
     elif long_lines != "keep":
         raise ValueError(f"long_lines is 'keep' or 'skip', not {long_lines!r}")
     cols = []
@@ -45,16 +45,26 @@ def skipped_lines(spark: SparkSession, path: str, schema, header: bool = True, *
     """One row with the number of lines that ``read_csv(..., long_lines='skip')`` leaves out."""
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     raw = _raw_csv(spark, path, st, header, options)
-    return raw.agg(F.count(F.col(_PAST)).alias("skipped"))
+    first = F.coalesce(F.col(f"`{st.fields[0].name}`"), F.lit(""))  # Spark wants a field to be read besides the line
+    return raw.agg(F.count(F.when(F.col(_LONG), first)).alias("skipped"))
 
 
 def _raw_csv(spark: SparkSession, path: str, st: T.StructType, header: bool, options: dict) -> DataFrame:
-    """Every field as text, and the first field past the schema, which only a line that is too long has."""
-    names = [*[f.name for f in st.fields], _PAST]
+    """Every field as text, and ``_LONG``: whether the line has more fields than the schema.
+
+    The reader gets one field more than the schema. A line that fills it exactly is too long by one; every other line
+    is a corrupt record to the reader, whose text tells by its separators outside quotes.
+    """
+    names = [*[f.name for f in st.fields], "_past", "_line"]
     r = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
-    for k, v in {"header": header, "mode": "PERMISSIVE", "nullValue": "\u0000", **options}.items():
+    for k, v in {"header": header, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line", "columnPruning": False,
+                 **options}.items():
         r = r.option(k, v)
-    return r.csv(path)
+    sep = options.get("sep", ",")
+    bare = F.regexp_replace("_line", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    return r.csv(path).withColumn(_LONG, F.when(F.col("_line").isNull(), True).otherwise(fields > len(st.fields))) \
+        .drop("_past", "_line")
 
 
 def read_news_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

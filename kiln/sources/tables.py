@@ -32,7 +32,3 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
         from kiln.operators.common import spread as _spread
         df = _spread(df)
     return df
-
-
-def load_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: load(spark, sf_dir, t) for t in TABLES}

@@ -336,3 +336,10 @@ def test_forecast_gaps(spark):
     seen = {r.date.day: (r.temperature, r.wind) for r in wx.compare(preds, wx.parse_records(docs), stats).collect()}
     assert seen == {1: ("api", "api"), 2: ("error", "api"), 3: ("api", "error"), 4: ("api_data_missing",) * 2,
                     5: ("error", "error"), 6: ("api_fetch_failed",) * 2}
+
+
+def test_exact_ascii_fold(spark):
+    texts = ["한국", "é", "ﷺ", None, "ñandú"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, t string")
+    fold = lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")
+    assert {r.id: r.f for r in df.select("id", tx.unicode_to_ascii_exact("t").alias("f")).collect()} == {k: fold(t) for k, t in enumerate(texts)}

@@ -6,7 +6,8 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from kiln.operators import models
+from kiln import session
+from kiln.operators import augment, models, weather
 from kiln.sources import files
 
 
@@ -84,3 +85,38 @@ def test_export_profile_metadata(spark):
     assert files.profile(df.select("id")).filter(F.col("summary") == "count").collect()[0].id == "2"
     ok, rest = files.coerce_timestamps(spark.createDataFrame([("2024-01-01 10:00:00",), ("Total",)], "t string"), "t")
     assert ok.count() == 1 and rest.collect()[0].t == "Total"
+
+
+def test_required_columns_and_records(spark):
+    df = spark.range(1).selectExpr("id", "1 AS a")
+    assert files.require_columns(df, ["id", "a"]) is df
+    with pytest.raises(ValueError, match="missing columns: .'b'."):
+        files.require_columns(df, ["a", "b"])
+    d = tempfile.mkdtemp(prefix="kiln-test-src-")
+    with open(os.path.join(d, "r.json"), "w") as f:
+        f.write('{"date": "2024-05-01", "general": {"temperature": {"low": 1, "high": 3}}}\n{"date": "2024-05-02"}\n')
+    rows = weather.flatten(weather.read_records(spark, d)).orderBy("date").collect()
+    assert [(r.temp_low, r.temp_high, r.forecast_text) for r in rows] == [(1.0, 3.0, None), (None, None, None)]
+
+
+def test_augment_and_save(spark):
+    """An augmented table is written and read back."""
+    d = os.path.join(tempfile.mkdtemp(prefix="kiln-test-src-"), "aug")
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    files.write_table(augment.augment(docs, "doc_id", "text", ["deletion", "swap"], 2), d, partition_by=["technique"])
+    back = spark.read.parquet(d)
+    assert back.count() == 5 and {r.technique for r in back.collect()} == {"original", "deletion", "swap"}
+
+
+def test_checkpoint_folder_is_shared_or_local(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session)
