@@ -45,8 +45,7 @@ def skipped_lines(spark: SparkSession, path: str, schema, header: bool = True, *
     """One row with the number of lines that ``read_csv(..., long_lines='skip')`` leaves out."""
     st = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     raw = _raw_csv(spark, path, st, header, options)
-    first = F.coalesce(F.col(f"`{st.fields[0].name}`"), F.lit(""))  # Spark wants a field to be read besides the line
-    return raw.agg(F.count(F.when(F.col(_LONG), first)).alias("skipped"))
+    return raw.agg(F.count(F.when(F.col(_LONG), 1)).alias("skipped"))
 
 
 def _raw_csv(spark: SparkSession, path: str, st: T.StructType, header: bool, options: dict) -> DataFrame:
@@ -63,7 +62,9 @@ def _raw_csv(spark: SparkSession, path: str, st: T.StructType, header: bool, opt
     sep = options.get("sep", ",")
     bare = F.regexp_replace("_line", '"[^"]*"', "")
     fields = F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
-    return r.csv(path).withColumn(_LONG, F.when(F.col("_line").isNull(), True).otherwise(fields > len(st.fields))) \
+    # Spark refuses to read the line without any field, so the first field is always part of the test
+    never = F.coalesce(F.col(f"`{names[0]}`") == "\u0000", F.lit(False))
+    return r.csv(path).withColumn(_LONG, never | F.when(F.col("_line").isNull(), True).otherwise(fields > len(st.fields))) \
         .drop("_past", "_line")
 
 
