@@ -153,7 +153,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     parts = sorted(r.part for r in touched.select("part").distinct().collect())  # at most 64 values
     signs = touched.select("doc_row", "part", F.explode(F.arrays_zip("turns", "signs")).alias("s")) \
         .select("doc_row", "part", F.col("s.turns").alias("turn"), F.col("s.signs").alias("sign"))
-    candidates = signs.join(signed_items(sets, parts), ["part", "turn", "sign"]).select("doc_row", "item_row").distinct()
+    # written, so that Spark joins it by its real size: it is many times that of the items
+    wanted = work.write(signed_items(sets, parts), "signed-items")
+    candidates = signs.join(wanted, ["part", "turn", "sign"]).select("doc_row", "item_row").distinct()
     shared = (touched.select("doc_row", F.explode("touching").alias("x"))
               .join(sets.select("item_row", F.explode("shingles").alias("x")), "x")
               .groupBy("doc_row", "item_row").agg(F.count(F.lit(1)).alias("n_shared")))
