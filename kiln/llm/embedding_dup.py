@@ -172,9 +172,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     classes = (rows.where("usable").groupBy("label", "a", "b")
                .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight"), F.first("embedding").alias("embedding"))
                .withColumn("size", F.size("embedding")))
+    keyed = work.write(sort_keys(classes), "keyed")  # the sort samples its input before it reads it
     placed = work.write(
-        sort_keys(classes).orderBy("size", "label", "key", "node").withColumn("mid", F.monotonically_increasing_id()),
+        keyed.orderBy("size", "label", "key", "node").withColumn("mid", F.monotonically_increasing_id()),
         "sorted")
+    work.drop("keyed")
     # positions from the partition sizes: a table with one row per partition of the sort
     parts = placed.groupBy(F.shiftright("mid", 33).alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = parts.select("part", F.coalesce(F.sum("n").over(
@@ -192,8 +194,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
         pairs.select("size", "first", "second", F.explode(F.array_distinct(F.array("first", "second"))).alias("tile")),
         ["size", "tile"])
     found = work.write(tile_links(units, cosine), "links")
+    work.drop("spans")
     sums = found.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("others"))
-    labels = connected_components(found.where("other IS NOT NULL").selectExpr("node AS a", "other AS b"), work, "links")
+    labels = connected_components(found.where("other IS NOT NULL").selectExpr("node AS a", "other AS b"), work, "components")
     named = (placed.select("label", "a", "b", "node", "weight").join(sums, "node", "left").join(labels, "node", "left")
              .select("label", "a", "b", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n"),
                      F.coalesce("component", "node").alias("c")))
