@@ -66,9 +66,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; each but the last is written to the shared checkpoint folder."""
+    """All stages over the documents table; each but the last is written to the shared checkpoint folder, and a stage's
+    table is removed when the next is written."""
     work = Scratch(spark, "pipeline")
-    docs = load(spark, sf_dir, "documents")
+    docs, before = load(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = work.write(stage(spark, docs, sf_dir), name)
+        if before:
+            work.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)

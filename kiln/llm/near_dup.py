@@ -197,6 +197,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     units = (docs.select(F.col("doc_id").cast("long").alias("node"), "text")
              .join(whole.unionByName(tiled), "node"))
     labels = connected_components(confirmed_links(units, percent), work, "links")
+    for name in ("groups", "members", "tile-pairs"):
+        work.drop(name)
     named = (classes.select("set_a", "set_b", "node").join(labels, "node", "left")
              .select("set_a", "set_b", F.coalesce("component", "node").alias("component_id")))
     return (sig.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
