@@ -1,29 +1,33 @@
-"""Line dedup: repeated runs of lines, found by prefix doubling over line ids.
-
-Every line gets a 128-bit id. Doubling names the block of 2^k lines at each position from the names of its
-two halves, so two positions have equal names exactly when the next 2^k lines are equal: a name is an
-interval of the suffix array with a longest common prefix of at least 2^k lines. A run of any length
-is named by the two (overlapping) power-of-two blocks that cover it. The order between different
-intervals is never used, so they are kept as hash groups and not sorted; names need only the document's own
-line ids, so doubling needs no shuffle.
-
-Repeated runs of any length are unions of minimal ones: for each line, the shortest run that starts
-(ends) there with at least ``min_chars`` characters. Grouping those by name gives each run's first copy;
-every later copy is deleted.
+"""Line dedup: repeated runs of lines from a suffix array over line ids, built by distributed prefix doubling.
+
+Lines get ids, and ids that occur once in the corpus drop out: no repeated run holds them. The others are ranked
+in id order. Round k ranks the blocks of 2^k lines that start at each position by sorting the pairs (rank of the first
+half, rank of the second half); pairs that occur once drop out. So after round k, rank order is the order
+of the suffix array to a depth of 2^k lines, and the positions of one rank are an interval of it whose longest
+common prefix is at least 2^k lines. A run of any length is named by the ranks of the two overlapping blocks that
+cover it.
+
+Every repeated run that is long enough is a union of minimal ones: for each line, the shortest run that starts (ends)
+there with at least ``min_chars`` characters. A line has a character at least, which bounds the depth that is needed.
+The first copy of each minimal run stays and every later copy is deleted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
+from kiln.operators.common import global_index
 
 #: A run is deleted when its lines, trimmed, hold as many characters.
 MIN_CHARS = 25
 _BLANK = " \t\r\x0b\x0c"
+#: A document in the tables below: its id (the least long for null) and the hash of its text.
+_DOC = ["d", "t"]
+_NO_ID = -(1 << 63)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -31,6 +35,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def _doc_key(docs: DataFrame) -> list[Column]:
+    return [F.coalesce(docs["doc_id"].cast("long"), F.lit(_NO_ID)), F.xxhash64(docs["text"])]
+
+
 def line_ids(text: Column) -> Column:
     """array<struct<n, size, a, b>>: number, trimmed length and 128-bit id of each line that isn't blank."""
     trimmed = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_BLANK)))
@@ -41,20 +49,6 @@ def line_ids(text: Column) -> Column:
         lambda line: line["size"] > 0)
 
 
-def _doubled(lines: Column, field: str, levels: int) -> Column:
-    """Names of the blocks of 1, 2, 4, ... lines at each position; a block past the end has no name."""
-    level = F.transform(lines, lambda line: line[field])
-
-    def grow(done: Column, k: int) -> Column:
-        if k > levels:
-            return done
-        longer = _let(F.element_at(done, k), lambda below: F.transform(below, lambda x, i: F.when(
-            F.get(below, i + (1 << (k - 1))).isNotNull(), F.xxhash64(x, F.get(below, i + (1 << (k - 1)))))))
-        return _let(F.concat(done, F.array(longer)), lambda more: grow(more, k + 1))
-
-    return _let(F.array(level), lambda done: grow(done, 1))
-
-
 def _shortest(sizes: Column, least: int) -> Column:
     """Length of the shortest prefix of ``sizes`` that sums to ``least``; null if none does."""
     return F.aggregate(
@@ -64,69 +58,91 @@ def _shortest(sizes: Column, least: int) -> Column:
         lambda at: F.when(at["sum"] >= least, at["n"]))
 
 
-def minimal_runs(lines: Column, least: int) -> Column:
-    """array<struct<first, last, a, b>>: line numbers and 128-bit name of each minimal run of a document."""
-    levels = least.bit_length() - 1  # lines have a character at least, so no minimal run is longer
-
-    def runs(sizes: Column) -> Column:
-        ahead = F.transform(lines, lambda line, i: F.struct(
-            i.alias("at"),
-            F.when(line["size"] >= least, 1).otherwise(_shortest(F.slice(sizes, i + 1, least), least)).alias("n")))
-        back = F.transform(lines, lambda line, i: F.when(line["size"] < least, _let(
-            _shortest(F.reverse(F.slice(sizes, F.greatest(i + 2 - least, F.lit(1)), F.least(i + 1, F.lit(least)))), least),
-            lambda n: F.struct((i + 1 - n).alias("at"), n.alias("n")))))
-        return F.filter(F.concat(ahead, back), lambda run: run["n"].isNotNull())
-
-    def named(names_a: Column, names_b: Column, found: Column) -> Column:
-        def name(names: Column, run: Column) -> Column:
-            level = F.floor(F.log2(run["n"])).cast("int")
-            return _let(F.get(names, level), lambda block: F.xxhash64(
-                run["n"], F.get(block, run["at"]),
-                F.get(block, run["at"] + run["n"] - F.pow(F.lit(2), level).cast("int"))))
-
-        return F.transform(found, lambda run: F.struct(
-            F.get(lines, run["at"])["n"].alias("first"),
-            F.get(lines, run["at"] + run["n"] - 1)["n"].alias("last"),
-            name(names_a, run).alias("a"), name(names_b, run).alias("b")))
-
-    needed = F.when(F.exists(lines, lambda line: line["size"] < least), levels).otherwise(0)
-    one = lambda field: F.array(F.transform(lines, lambda line: line[field]))
-    return _let(F.transform(lines, lambda line: line["size"]), lambda sizes: _let(
-        F.when(needed == 0, one("a")).otherwise(_doubled(lines, "a", levels)), lambda names_a: _let(
-            F.when(needed == 0, one("b")).otherwise(_doubled(lines, "b", levels)), lambda names_b: _let(
-                runs(sizes), lambda found: named(names_a, names_b, found)))))
+def _minimal_runs(lines: Column, sizes: Column, line: Column, i: Column, least: int) -> Column:
+    """array<struct<at, n, first, last>>: the shortest runs of n lines that start and that end at line i."""
+    def run(at: Column, n: Column) -> Column:
+        return F.struct(at.alias("at"), n.alias("n"), F.get(lines, at)["n"].alias("first"),
+                        F.get(lines, at + n - 1)["n"].alias("last"))
+
+    alone = F.array(run(i, F.lit(1)))
+    ahead = _let(_shortest(F.slice(sizes, i + 1, least), least), lambda n: run(i, n))
+    behind = F.reverse(F.slice(sizes, F.greatest(i + 2 - least, F.lit(1)), F.least(i + 1, F.lit(least))))
+    back = _let(_shortest(behind, least), lambda n: run(i + 1 - n, n))
+    return F.when(line["size"] >= least, alone).otherwise(
+        F.filter(F.array(ahead, back), lambda r: r["n"].isNotNull()))
+
+
+def line_table(docs: DataFrame, least: int) -> DataFrame:
+    """(d, t, i, a, b, runs): one row per line that isn't blank, i counting those of its document."""
+    def rows(lines: Column) -> Column:
+        return _let(F.transform(lines, lambda line: line["size"]), lambda sizes: F.transform(lines, lambda line, i: F.struct(
+            i.alias("i"), line["a"].alias("a"), line["b"].alias("b"),
+            _minimal_runs(lines, sizes, line, i, least).alias("runs"))))
+
+    d, t = _doc_key(docs)
+    return (docs.select(d.alias("d"), t.alias("t"), F.explode(_let(line_ids(docs["text"]), rows)).alias("r"))
+            .select(*_DOC, "r.i", "r.a", "r.b", "r.runs"))
+
+
+def _ranked(rows: DataFrame, by: list[str], work: Scratch, name: str) -> DataFrame:
+    """``rows`` whose ``by`` values occur more than once, with ``rank``, their place in sort order, instead of them."""
+    again = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    # written, so that both sides of the join are plain scans: a very common value can be split
+    ranks = work.write(global_index(again, by, out="_rank"), f"{name}-ranks")
+    return work.write(rows.join(ranks, by).drop(*by).withColumnRenamed("_rank", "rank"), name)
+
+
+def repeated_runs(docs: DataFrame, work: Scratch, least: int) -> DataFrame:
+    """(d, t, first, last, n, x, y): minimal runs that may be repeated; equal (n, x, y) are equal runs of n lines."""
+    lines = work.write(line_table(docs, least), "lines")
+    blocks = _ranked(lines, ["a", "b"], work, "blocks-0")
+    one = F.filter("runs", lambda r: r["n"] == 1)
+    found = blocks.select(*_DOC, F.explode(one).alias("r"), F.col("rank").alias("x"), F.col("rank").alias("y")) \
+        .select(*_DOC, "r.first", "r.last", "r.n", "x", "y")
+    longer = work.write(lines.select(*_DOC, F.explode(F.filter("runs", lambda r: r["n"] > 1)).alias("r"))
+                        .select(*_DOC, "r.*").distinct(), "longer-runs")
+    blocks, depth = blocks.drop("runs"), 1
+    while 2 * depth <= least:
+        ahead = Window.partitionBy(*_DOC).orderBy("i").rangeBetween(depth, depth)
+        pairs = blocks.withColumn("next", F.first("rank").over(ahead)).where("next IS NOT NULL")
+        depth *= 2
+        blocks = _ranked(pairs, ["rank", "next"], work, f"blocks-{depth}")
+        here = longer.where((F.col("n") >= depth) & (F.col("n") < 2 * depth))
+        start = blocks.select(*_DOC, F.col("i").alias("at"), F.col("rank").alias("x"))
+        end = blocks.select(*_DOC, F.col("i").alias("end"), F.col("rank").alias("y"))
+        found = found.unionByName(here.withColumn("end", F.col("at") + F.col("n") - depth)
+                                  .join(start, [*_DOC, "at"]).join(end, [*_DOC, "end"]).drop("at", "end"))
+        if blocks.isEmpty():
+            break
+    return found
 
 
 def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, text_hash, first, last): line ranges that repeat an earlier run, by doc_id and line number."""
-    runs = (docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"),
-                        F.explode(_let(line_ids(F.col("text")), lambda lines: minimal_runs(lines, min_chars))).alias("r"))
-            .select(F.struct("doc_id", "text_hash", "r.first").alias("at"), F.col("r.last").alias("last"),
-                    F.col("r.a").alias("a"), F.col("r.b").alias("b")))
-    work = Scratch(docs.sparkSession, "line-dedup")
-    runs = work.write(runs, "runs")
-    # written, so that both sides of the join are plain scans: the runs of a very common line can be split
-    copied = work.write(runs.groupBy("a", "b").agg(F.min("at").alias("origin"), F.max("at").alias("final"))
-                        .where("origin <> final").select("a", "b", "origin"), "copied")
-    return (runs.join(copied, ["a", "b"]).where("at > origin")
-            .select("at.doc_id", "at.text_hash", "at.first", "last"))
+    """(d, t, first, last): line ranges that repeat an earlier run, by doc_id, text hash and line number."""
+    work, key = Scratch(docs.sparkSession, "line-dedup"), ["n", "x", "y"]
+    runs = work.write(repeated_runs(docs, work, min_chars).select(*key, F.struct(*_DOC, "first").alias("at"), "last"), "runs")
+    copied = work.write(runs.groupBy(*key).agg(F.min("at").alias("origin"), F.max("at").alias("final"))
+                        .where("origin <> final").select(*key, "origin"), "copied")
+    for name in ("lines", "longer-runs"):
+        work.drop(name)
+    return runs.join(copied, key).where("at > origin").select("at.d", "at.t", "at.first", "last")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with later copies of repeated line runs taken out of text, and n_lines, n_deleted added.
 
     Lines end at \\n; their ids ignore blanks at both ends. Blank lines belong to no run, but go with a run that
-    encloses them. The first copy in the order of doc_id (null first), text and line number stays, so some copy of
+    encloses them. The first copy in the order of doc_id (null first), text hash and line number stays, so some copy of
     every line stays. Rows equal in doc_id and text count as one document and keep the same lines. A null text
     stays null with n_lines 0, an empty one is one blank line; a document all of whose lines go has text ''.
     Other columns are passed through, an empty table gives no rows. Input columns n_lines and n_deleted are replaced.
     """
-    gone = (later_copies(docs, min_chars).groupBy("doc_id", "text_hash")
+    gone = (later_copies(docs, min_chars).groupBy(*_DOC)
             .agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
-            .withColumnsRenamed({"doc_id": "_doc_id", "text_hash": "_text_hash"}))
+            .withColumnsRenamed({"d": "_d", "t": "_t"}))
+    d, t = _doc_key(docs)
     rest = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "text")]
-    joined = docs.select(*rest, "text").join(
-        gone, docs["doc_id"].eqNullSafe(F.col("_doc_id")) & (F.xxhash64(docs["text"]) == F.col("_text_hash")), "left")
+    joined = docs.select(*rest, "text").join(gone, (d == F.col("_d")) & (t == F.col("_t")), "left")
     numbers = F.array_distinct(F.flatten(F.transform("_ranges", lambda r: F.sequence(r["first"], r["last"]))))
     # one row holds the lines and the numbers of those that stay, each evaluated once
     kept = _let(F.split("text", "\n"), lambda lines: _let(
