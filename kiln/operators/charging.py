@@ -191,12 +191,14 @@ def _half_even_div(num: Column, den: int) -> Column:
 
 def charges_compat(smoothed: DataFrame, flags: DataFrame, state: DataFrame, total: DataFrame) -> DataFrame:
     """A6 with the published table's artefacts: each user's energy and end state of charge are summed as two more
-    off-peak rows, and the total load (``total``: ts, power) is billed as one more user. Floating point."""
+    off-peak rows, and the total load (``total``: ts, power) is billed as one more user."""
     def bill(j: DataFrame) -> DataFrame:
         kwh = F.col("power") * F.lit(STEP_H)
         rate = F.when(F.col("period") == "peak", BASE_RATE * PEAK_MULT).otherwise(BASE_RATE)
         cost = F.when(kwh > 0, kwh * rate).otherwise(kwh * F.lit(DISCHARGE_DISCOUNT))
-        return j.groupBy("user").agg(F.round(F.sum(cost), 2).alias("final_cost"))
+        # summed as decimals of nine places, so that the order of summation doesn't matter
+        exact = F.sum(F.round(cost, 9).cast("decimal(20,9)"))
+        return j.groupBy("user").agg(F.round(exact, 2).cast("double").alias("final_cost"))
 
     on_grid = smoothed.select("user", "ts", F.col("smoothed").alias("power")).unionByName(
         total.select(F.lit("Total EV Load").alias("user"), "ts", "power")).join(F.broadcast(flags), "ts", "left")

@@ -218,8 +218,9 @@ st AS (SELECT vu.user, round_even(coalesce(pos.pos, 0)::DOUBLE * (5.0::DOUBLE /
 pw AS (SELECT user, smoothed AS p, period FROM sm LEFT JOIN flags USING (ts)
        UNION ALL SELECT 'Total EV Load', total_ev_load, period FROM totals LEFT JOIN flags USING (ts)
        UNION ALL SELECT user, unnest([e, s]), 'off-peak' FROM st)
-SELECT user, round(sum(CASE WHEN p > 0 THEN p * (5.0::DOUBLE / 60) * (CASE WHEN period = 'peak' THEN 0.2::DOUBLE * 1.5 ELSE 0.2::DOUBLE END)
-                            ELSE p * (5.0::DOUBLE / 60) * 0.1::DOUBLE END), 2) AS final_cost FROM pw GROUP BY user""")
+SELECT user, round(sum(round(CASE WHEN p > 0 THEN p * (5.0::DOUBLE / 60) * (CASE WHEN period = 'peak' THEN 0.2::DOUBLE * 1.5 ELSE 0.2::DOUBLE END)
+                                  ELSE p * (5.0::DOUBLE / 60) * 0.1::DOUBLE END, 9)::DECIMAL(20,9)), 2)::DOUBLE AS final_cost
+FROM pw GROUP BY user""")
 def q_peak_pricing_compat(spark, sf_dir):
     ev = EV(spark, sf_dir).write_rows()
     tot = ev.totals()
