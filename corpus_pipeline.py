@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
 from kiln.llm import decontaminate, language, line_dedup, near_dup, packing
+from kiln.llm.names import fresh, quoted
 from kiln.sources.tables import load
 
 #: A document stays when its leading language has at least this score.
@@ -21,9 +22,13 @@ SIMILAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters or without any learned language that explains them."""
-    found = language.with_language(docs)
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    """Drop documents without letters and those that no learned language explains. Without any labelled document to
+    learn from, only the former go."""
+    model = language.learn(docs.where(~language.held_out()))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, model)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*quoted(docs.columns))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,14 +38,14 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return (cleaned.where(left)
             .withColumn("n_chars", F.when(F.col("n_deleted") == 0, F.col("n_chars"))
                         .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-            .select(*docs.columns))
+            .select(*quoted(docs.columns)))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates, the one with the smallest doc_id."""
-    kept = (near_dup.near_duplicates(docs, SIMILAR_PERCENT).where("NOT kept")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(kept, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    gone, = fresh(docs.columns, "_gone")
+    copies = near_dup.near_duplicates(docs, SIMILAR_PERCENT).where("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(copies, docs["doc_id"].cast("long") == F.col(gone), "left_anti")
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
+from kiln.llm.names import fresh
 from kiln.llm.shingles import mix, shingle_set, signed, stream
 
 TURNS, OVERSAMPLE_BITS, LEAST_PART = 3, 2, 6
@@ -168,7 +169,8 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
 
 def clean_documents(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that contain no item, all columns unchanged."""
+    bad_id, bad_hash = fresh(docs.columns, "_bad_id", "_bad_hash")
     bad = contained_items(docs, items, percent).select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad_id"])
-                     & (F.xxhash64(docs["text"]) == bad["_bad_hash"]), "left_anti")
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col(bad_id))
+                     & (F.xxhash64(docs["text"]) == F.col(bad_hash)), "left_anti")

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.names import quoted
+
 #: Labelled documents taken per language to fit the trigram counts (the expected number; by hash of doc_id).
 SAMPLE = 4000
 BUCKETS = 1 << 16
@@ -142,8 +144,9 @@ def identify(docs: DataFrame, model: Mixture, keep: list[str] | None = None) ->
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ("lang_pred", "score", "languages", "proportions")
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    docs = docs.select(*keep, F.col("text").alias("_text"))
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
+    places = [f"c{k}" for k in range(len(keep))]  # plain names for the Python side
+    docs = docs.select(*[c.alias(p) for c, p in zip(quoted(keep), places, strict=True)], docs["text"].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,11 +154,11 @@ def identify(docs: DataFrame, model: Mixture, keep: list[str] | None = None) ->
             kinds = (pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], *(pa.array([x[k] for x in found], t) for k, t in enumerate(kinds))],
-                names=[*keep, *names])
+                names=[*places, *names])
 
-    kind = docs.drop("_text").selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(array() AS array<string>) AS languages",
+    kind = docs.drop("text").selectExpr("*", "'' AS lang_pred", "0D AS score", "CAST(array() AS array<string>) AS languages",
                                     "CAST(array() AS array<double>) AS proportions").schema
-    return docs.mapInArrow(run, kind)
+    return docs.mapInArrow(run, kind).toDF(*keep, *names)
 
 
 def held_out(doc_id: str = "doc_id"):

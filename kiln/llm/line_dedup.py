@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
+from kiln.llm.names import fresh, quoted
 from kiln.operators.common import global_index
 
 #: A run is deleted when its lines, trimmed, hold as many characters.
@@ -137,21 +138,21 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     stays null with n_lines 0, an empty one is one blank line; a document all of whose lines go has text ''.
     Other columns are passed through, an empty table gives no rows. Input columns n_lines and n_deleted are replaced.
     """
+    rest = [c for c in docs.columns if c.lower() not in ("n_lines", "n_deleted", "text")]
+    d0, t0, ranges, changed = fresh(rest, "_d", "_t", "_ranges", "_changed")
     gone = (later_copies(docs, min_chars).groupBy(*_DOC)
-            .agg(F.collect_list(F.struct("first", "last")).alias("_ranges"))
-            .withColumnsRenamed({"d": "_d", "t": "_t"}))
+            .agg(F.collect_list(F.struct("first", "last")).alias(ranges)).withColumnsRenamed({"d": d0, "t": t0}))
     d, t = _doc_key(docs)
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_deleted", "text")]
-    joined = docs.select(*rest, "text").join(gone, (d == F.col("_d")) & (t == F.col("_t")), "left")
-    numbers = F.array_distinct(F.flatten(F.transform("_ranges", lambda r: F.sequence(r["first"], r["last"]))))
+    joined = docs.select(*quoted(rest), docs["text"]).join(gone, (d == F.col(d0)) & (t == F.col(t0)), "left")
+    numbers = F.array_distinct(F.flatten(F.transform(ranges, lambda r: F.sequence(r["first"], r["last"]))))
     # one row holds the lines and the numbers of those that stay, each evaluated once
     kept = _let(F.split("text", "\n"), lambda lines: _let(
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers),
         lambda stay: F.struct(F.size(lines).alias("n"), F.size(stay).alias("stay"),
                               F.array_join(F.transform(stay, lambda n: F.get(lines, n)), "\n").alias("text"))))
-    changed = F.when(F.col("_ranges").isNotNull(), kept)
-    return (joined.select(*rest, "text", changed.alias("_k"))
-            .select(*rest, F.coalesce("_k.text", "text").alias("text"),
-                    F.coalesce(F.col("_k.n"), F.when(F.col("text").isNull(), 0).otherwise(
-                        F.length("text") - F.length(F.translate("text", "\n", "")) + 1)).cast("long").alias("n_lines"),
-                    F.coalesce(F.col("_k.n") - F.col("_k.stay"), F.lit(0)).cast("long").alias("n_deleted")))
+    out = joined.select(*quoted(rest), "text", F.when(F.col(ranges).isNotNull(), kept).alias(changed))
+    new = F.col(changed)
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
+    return out.select(*quoted(rest), F.coalesce(new["text"], F.col("text")).alias("text"),
+                      F.coalesce(new["n"], lines).cast("long").alias("n_lines"),
+                      F.coalesce(new["n"] - new["stay"], F.lit(0)).cast("long").alias("n_deleted"))

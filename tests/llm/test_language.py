@@ -49,5 +49,8 @@ def test_edge_rows(spark):
     out = language.with_language(docs).collect()
     assert len(out) == 7 and sorted(r.lang_pred for r in out)[-3:] == ["und"] * 3
     assert language.with_language(docs.where("doc_id > 9")).collect() == []
+    odd = docs.withColumn("_text", F.lit(1)).withColumn("dotted.name", F.lit(2))
+    assert language.with_language(odd).columns == ["doc_id", "text", "lang", "_text", "dotted.name", "lang_pred", "score", "languages",
+                                                   "proportions"]
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in language.with_language(unlabelled).collect()} == {"und"}
