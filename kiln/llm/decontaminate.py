@@ -24,7 +24,9 @@ from kiln.lineage import Scratch
 from kiln.llm.names import fresh
 from kiln.llm.shingles import mix, shingle_set, signed, stream
 
-TURNS, OVERSAMPLE_BITS, LEAST_PART = 3, 2, 6
+TURNS, OVERSAMPLE_BITS = 3, 2
+#: Size partitions: up to 2^6 shingles, then by powers of two to 2^40.
+LEAST_PART, MOST_PART = 6, 40
 #: The filter of item shingles that every task gets has this fixed size: 2^23 bits, one megabyte.
 FILTER_BITS = 23
 _PROBES = 4
@@ -32,7 +34,7 @@ _PROBES = 4
 
 def size_part(n: int) -> int:
     """Number of the size partition: sets of at most 2^part shingles."""
-    return max(LEAST_PART, int(n - 1).bit_length())
+    return min(max(LEAST_PART, int(n - 1).bit_length()), MOST_PART)
 
 
 def bin_minima(shingles: np.ndarray, part: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -120,20 +122,24 @@ def touched_documents(docs: DataFrame, packed: np.ndarray) -> DataFrame:
                              "touching array<long>"))
 
 
-def signed_items(sets: DataFrame, parts: list[int]) -> DataFrame:
-    """(item_row, part, turn, sign): bin minima of each item in each size partition that occurs."""
+def signed_items(sets: DataFrame) -> DataFrame:
+    """(item_row, turn, sign, parts): the shingles that sign an item, with the size partitions (bits) they do so in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [(row, part, turn, x) for row, values in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-                   for part in parts
-                   for turn, minima in bin_minima(np.array(values, dtype=np.int64).view(np.uint64), part)
-                   for x in signed(minima).tolist()]
+            out = []
+            for row, values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts: dict[tuple[int, int], int] = {}
+                for part in range(LEAST_PART, MOST_PART + 1):
+                    for turn, minima in bin_minima(np.array(values, dtype=np.int64).view(np.uint64), part):
+                        for sign in signed(minima).tolist():
+                            parts[turn, sign] = parts.get((turn, sign), 0) | 1 << part
+                out += [(row, turn, sign, bits) for (turn, sign), bits in parts.items()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64()))],
-                names=["item_row", "part", "turn", "sign"])
+                [pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))],
+                names=["item_row", "turn", "sign", "parts"])
 
-    return sets.select("item_row", "shingles").mapInArrow(run, "item_row long, part int, turn int, sign long")
+    return sets.select("item_row", "shingles").mapInArrow(run, "item_row long, turn int, sign long, parts long")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
@@ -151,12 +157,11 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     sets = work.write(item_sets(items), "items").withColumn("item_row", F.monotonically_increasing_id())
     touched = work.write(touched_documents(docs, _filter_bits(sets)), "touched") \
         .withColumn("doc_row", F.monotonically_increasing_id())
-    parts = sorted(r.part for r in touched.select("part").distinct().collect())  # at most 64 values
     signs = touched.select("doc_row", "part", F.explode(F.arrays_zip("turns", "signs")).alias("s")) \
         .select("doc_row", "part", F.col("s.turns").alias("turn"), F.col("s.signs").alias("sign"))
-    # written, so that Spark joins it by its real size: it is many times that of the items
-    wanted = work.write(signed_items(sets, parts), "signed-items")
-    candidates = signs.join(wanted, ["part", "turn", "sign"]).select("doc_row", "item_row").distinct()
+    wanted = work.write(signed_items(sets), "signed-items")  # written, so that Spark joins it by its real size
+    candidates = (signs.join(wanted, ["turn", "sign"]).where("(parts & shiftleft(1L, part)) <> 0")
+                  .select("doc_row", "item_row").distinct())
     shared = (touched.select("doc_row", F.explode("touching").alias("x"))
               .join(sets.select("item_row", F.explode("shingles").alias("x")), "x")
               .groupBy("doc_row", "item_row").agg(F.count(F.lit(1)).alias("n_shared")))
