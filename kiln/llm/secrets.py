@@ -53,12 +53,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     out, seen = [], -1
     for place in places:
         for m in _CANDIDATE.finditer(text, max(place, seen), min(len(text), place + REACH + 16)):
-            start, end = m.start(), m.end()
+            start = m.start()
             if start - place > REACH:
                 break
-            while end < len(text) and _CANDIDATE.fullmatch(text, start, end + 1):
-                end += 1
-            seen = end
+            seen = end = _CANDIDATE.match(text, start).end()  # the whole run, past the window too
             value = text[start:end]
             if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and \
                     not any(s < end and start < e for s, _, e in base):

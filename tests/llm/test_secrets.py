@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from tests.llm.conftest import MEDIUM
 
@@ -48,3 +49,9 @@ def test_edge_rows(make_docs):
     assert spans == sorted([("1", ""), ("2", ""), ("3", "novel:22:48"), ("3", "novel:22:48"), ("None", "assign:0:23"), ("4", "assign:1200000:1200014")])
     assert {r.base_sha256 for r in out if r.doc_id in (1, 2, 3)} == {hashlib.sha256(b"").hexdigest()}
     assert secrets.scan(make_docs([])).collect() == []
+
+
+def test_long_runs_take_linear_time():
+    text = "token " + "aB3" * 200_000
+    began = time.perf_counter()
+    assert secrets.candidates(text, []) == [(6, len(text))] and time.perf_counter() - began < 2
