@@ -13,6 +13,7 @@ import datetime as dt
 import hashlib
 import re
 import string
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import isqrt
@@ -232,11 +233,12 @@ def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, i
         if kind == "email" and "@" not in text:
             continue
         for m in _PATTERNS[kind].finditer(text):
-            new = pseudonym(key, kind, m[0], back)
-            if new is not None and not any(s < m.end() and m.start() < e for s, e, _, _ in taken):
-                taken.append((m.start(), m.end(), kind, new))
+            at = bisect_left(taken, (m.start(),))  # taken spans don't overlap: only the two neighbours can touch
+            free = (at == 0 or taken[at - 1][1] <= m.start()) and (at == len(taken) or taken[at][0] >= m.end())
+            new = pseudonym(key, kind, m[0], back) if free else None
+            if new is not None:
+                taken.insert(at, (m.start(), m.end(), kind, new))
                 counts[kind] = counts.get(kind, 0) + 1
-    taken.sort()
     parts, at = [], 0
     for start, end, _, new in taken:
         parts += [text[at:start], new]

@@ -7,10 +7,10 @@ identifiers. Ordinary names cost little next to their surroundings; keys cost ne
 
 from __future__ import annotations
 
-import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -50,6 +50,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Candidate spans in a sensitive context that no base span touches."""
     places = [m.end() for m in _CONTEXT.finditer(text)]
+    starts = [s for s, _, _ in base]
+    ends = list(accumulate((e for _, _, e in base), max))  # the furthest end up to each span
     out, seen = [], -1
     for place in places:
         for m in _CANDIDATE.finditer(text, max(place, seen), min(len(text), place + REACH + 16)):
@@ -58,8 +60,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
                 break
             seen = end = _CANDIDATE.match(text, start).end()  # the whole run, past the window too
             value = text[start:end]
-            if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and \
-                    not any(s < end and start < e for s, _, e in base):
+            before = bisect_left(starts, end)  # base spans that begin before the candidate ends
+            touched = before > 0 and ends[before - 1] > start
+            if not touched and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
                 out.append((start, end))
     return sorted(set(out))
 
