@@ -175,10 +175,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "bands")).alias("m"))
         .select("set_a", "set_b", F.col("m.doc_id").alias("node"), "m.bands"), "classes")
     slots = classes.select("node", F.explode("bands").alias("slot"))
-    heads = slots.groupBy("slot").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # heads and counts are written, so that their joins read two plain scans and a hot key can be split
+    heads = work.write(slots.groupBy("slot").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1").select("slot", "head"), "heads")
     stars = slots.join(heads, "slot").where("node <> head").selectExpr("node AS a", "head AS b")
     groups = work.write(connected_components(stars, work, "candidates"), "groups")
-    counts = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+    counts = work.write(groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles")), "counts")
     member = work.write(
         groups.join(counts, "component")
         .select("node", F.col("component").alias("grp"), "tiles",
@@ -197,7 +199,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     units = (docs.select(F.col("doc_id").cast("long").alias("node"), "text")
              .join(whole.unionByName(tiled), "node"))
     labels = connected_components(confirmed_links(units, percent), work, "links")
-    for name in ("groups", "members", "tile-pairs"):
+    for name in ("heads", "groups", "counts", "members", "tile-pairs"):
         work.drop(name)
     named = (classes.select("set_a", "set_b", "node").join(labels, "node", "left")
              .select("set_a", "set_b", F.coalesce("component", "node").alias("component_id")))
