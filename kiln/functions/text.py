@@ -207,10 +207,6 @@ def sql_clean_text(x: str) -> str:
     return f"trim({s})"
 
 
-def sql_tokenize(x: str) -> str:
-    return f"regexp_extract_all({x}, '{TOKEN_RE}', 0)"
-
-
 def sql_split_ws(x: str) -> str:
     stripped = f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
     return f"list_filter(regexp_split_to_array({stripped}, '{WS}+'), lambda t: t <> '')"

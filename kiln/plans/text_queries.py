@@ -13,7 +13,6 @@ from kiln.operators import augment as aug
 from kiln.operators import metrics
 from kiln.operators import naive_bayes as nb
 from kiln.operators import vocab as vc
-from kiln.operators.common import spread
 from kiln.operators.split import stratified_split
 from kiln.plans import query
 from kiln.sources.tables import load
