@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
 from kiln.llm.names import fresh
-from kiln.llm.shingles import mix, shingle_set, signed, stream
+from kiln.llm.shingles import shingle_set, signed, stream
 
 TURNS, OVERSAMPLE_BITS = 3, 2
 #: Size partitions: up to 2^6 shingles, then by powers of two to 2^40.
