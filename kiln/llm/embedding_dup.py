@@ -28,7 +28,7 @@ PROJECTIONS = 32
 WINDOW, WIDE = 1.6, 4.0
 #: Chance that a pair at the threshold passes the count.
 RECALL = 0.9999
-#: Vectors in a tile; a task holds two tiles and a few matrices of this side.
+#: Vectors in a tile, at most 65,535; a task holds two tiles and a few matrices of this side.
 TILE = 1024
 
 
@@ -60,13 +60,14 @@ def links_between(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
     width = np.float32(WINDOW * math.sqrt(2 - 2 * cosine))
     one, two = (a @ ways).astype(np.float32).T, (b @ ways).astype(np.float32).T
     count = np.zeros((len(a), len(b)), dtype=np.uint8)
+    rank = np.empty(len(b), dtype=np.uint16)
     for p in range(PROJECTIONS):
         order = np.argsort(two[p], kind="stable")  # the sorted projection, and each query's window in it
-        lo = np.searchsorted(two[p], one[p] - width, side="left", sorter=order)
-        hi = np.searchsorted(two[p], one[p] + width, side="right", sorter=order)
-        rank = np.empty(len(b), dtype=np.int64)
-        rank[order] = np.arange(len(b))
-        count += (rank >= lo[:, None]) & (rank < hi[:, None])
+        lo = np.searchsorted(two[p], one[p] - width, side="left", sorter=order).astype(np.uint16)
+        hi = np.searchsorted(two[p], one[p] + width, side="right", sorter=order).astype(np.uint16)
+        rank[order] = np.arange(len(b), dtype=np.uint16)
+        # lo <= rank < hi in one unsigned comparison: below lo the difference wraps around
+        count += (rank - lo[:, None]) < (hi - lo)[:, None]
     passed = count >= least_collisions()
     if passed.mean() > 0.02:
         return passed & (a @ b.T >= cosine)
