@@ -296,13 +296,10 @@ def test_vectoriser_options(spark):
         vectorise(df, "id", "text", weighting="other")
 
 
-def test_tile_keys_do_not_overflow(spark, monkeypatch):
-    """Tile numbers past 46,340, whose product leaves the integers."""
-    df = spark.createDataFrame([(k, [1.0, k / 100]) for k in range(6)], "id long, v array<double>")
-    monkeypatch.setattr(vectors, "hash32", lambda c, *_: F.lit(70_000 - 2) + c % 2)
-    monkeypatch.setattr(vectors.math, "ceil", lambda x: 70_000)
-    out = vectors.cosine_pairs(df, "id", "v", 0.9)
-    assert out.count() == 15
+def test_cosine_pairs_across_tiles(spark):
+    df = spark.createDataFrame([(k, [1.0, k / 100]) for k in range(12)], "id long, v array<double>")
+    out = {(r.i, r.j) for r in vectors.cosine_pairs(df, "id", "v", 0.9, tile_rows=3).collect()}
+    assert out == {(i, j) for j in range(12) for i in range(j)}
 
 
 def test_experiment_helpers(spark):
