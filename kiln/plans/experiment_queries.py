@@ -194,7 +194,7 @@ _CURVES = "cv AS (SELECT augmentation, row_number() OVER (PARTITION BY augmentat
 
 
 def _curves(spark, sf_dir):
-    """Learning curves: an augmentation's epochs are its growing training sizes."""
+    """Accuracy by training size: an augmentation's epochs are its growing sizes."""
     w = Window.partitionBy("augmentation").orderBy("dataset_size")
     return experiment_grid(spark, sf_dir).select("augmentation", F.row_number().over(w).alias("epoch"), "accuracy")
 
@@ -208,7 +208,7 @@ sb AS (SELECT *, epoch - max(CASE WHEN improved THEN epoch END) OVER (PARTITION
 SELECT augmentation, epoch::INTEGER AS epoch, accuracy, improved, since_best::INTEGER AS since_best, running_best,
        coalesce(min(CASE WHEN since_best >= 1 THEN epoch END) OVER (PARTITION BY augmentation), last)::INTEGER AS stop_epoch FROM sb""")
 def q_early_stop(spark, sf_dir):
-    """N12 on the learning curves."""
+    """N12 on accuracy by training size."""
     return ex.early_stop(_curves(spark, sf_dir), "augmentation", "epoch", "accuracy", patience=1)
 
 
