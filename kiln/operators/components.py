@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
@@ -35,13 +35,11 @@ def connected_components(edges: DataFrame, work: Scratch, name: str, group_cols=
                  .select(*g, F.explode(F.array(F.struct("hi", F.col("m").alias("lo")),
                                                F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
                  .select(*g, "e.hi", "e.lo").where("hi <> lo").distinct())
-        seen = Observation()
-        current = work.write(
-            small.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*g, "hi", "lo") % (1 << 40)).alias("s")),
-            f"{name}-{turn}")
+        current = work.write(small, f"{name}-{turn}")
         work.drop(f"{name}-{turn - 1}")
         work.drop(f"{name}-least-{turn}")
-        after = (seen.get["n"], seen.get["s"])
+        # read from the table: an Observation would leave a manager in the session that some MLlib models can't serialise
+        after = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*g, "hi", "lo") % (1 << 40))).first()
         if after == before:
             break
         before = after

@@ -92,3 +92,9 @@ def test_sampled_space(spec, ok):
     assert all(ok(r["p"]) for r in rows) and rows == ml.sample_space({"p": spec}, 200) != ml.sample_space({"p": spec}, 200, 7)
     if spec == (2, 5):
         assert {r["p"] for r in rows} == {2, 3, 4, 5}
+
+
+def test_models_score_after_components_in_one_session(spark):
+    """Clusters must leave nothing in the session that a margin classifier can't serialise."""
+    assert run(spark, "fuzzy_clusters", SMOKE).count() > 0
+    assert run(spark, "kernel_svc", SMOKE).count() > 0
