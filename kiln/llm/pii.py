@@ -43,6 +43,17 @@ _PATTERNS = {
     "date": re.compile(r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})"
                        r"(?![0-9])(?![-/.][0-9])"),
 }
+#: Lengths of the countries' IBANs, and national digits of countries whose phone numbers all have the same.
+_IBAN_SIZES = {c: n for n, names in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL SO", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in names.split()}
+_PHONE_SIZES = {c: n for n, codes in {
+    8: "45 47 65 370 371 386 852", 9: "27 31 33 34 40 41 48 56 61 351 380 420 421", 10: "1 7 30 52 90 91"}.items()
+    for c in codes.split()}
+#: Characters that a blank within a value stands between.
+_BESIDE_BLANK = frozenset(string.digits + string.ascii_uppercase + "()")
 
 
 class Feistel:
@@ -223,27 +234,101 @@ def pseudonym(key: bytes, kind: str, value: str, back: bool = False) -> str | No
     return _RULES[kind](key, value, back)
 
 
+def _iban_ends(m: re.Match) -> list[int]:
+    """Where an IBAN at the start of a run may end: at the length of its country, else at any blank or the end."""
+    value = m[0]
+    sizes = {k: len(value[:k].replace(" ", "")) for k in (*(m.start() for m in re.finditer(" ", value)), len(value))}
+    ends = [k for k, size in sizes.items() if 15 <= size <= 34]
+    return sorted(ends, key=lambda k: (sizes[k] != _IBAN_SIZES.get(value[:2]), k))
+
+
+def _phone_ends(m: re.Match) -> list[int]:
+    """Where a phone number at the start of a run may end; groups and the country code alone decide.
+
+    With a country of one length, there. Elsewhere before a blank and a date or once a run of six digits behind the
+    area code (or of ten in all) is complete; then at the longest end, which rather takes a number too many.
+    """
+    value = m[0]
+    ends = [k for k in range(len(value), 0, -1) if value[k - 1].isdigit() and not value[k: k + 1].isdigit()
+            and _PATTERNS["phone"].fullmatch(value[:k])]
+    count = lambda k: len(re.sub("[^0-9]", "", value[:k].replace("(0)", "")))
+    code = re.match(r"\+([17](?=[0-9])|[0-9]{1,3}(?![0-9]))", value)
+    size = _PHONE_SIZES.get(code[1]) if code else None
+    exact = [k for k in ends if size and count(k) == len(code[1]) + size]
+    runs = lambda k: re.findall("[0-9]+", value[:k])
+    whole = [k for k in reversed(ends) if value[k: k + 1] == " " and count(k) >= 8 and (
+        _PATTERNS["date"].match(m.string, m.start() + k + 1) or len(runs(k)[-1]) >= 6 and (len(runs(k)) > 2 or count(k) >= 10))]
+    return [*exact[:1], *whole[:1], *ends]
+
+
+_ENDS = {"iban": _iban_ends, "phone": _phone_ends}
+
+
+def _find(text: str, key: bytes, back: bool) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of the values of a text. Earlier kinds win where values overlap."""
+    taken: list[tuple[int, int, str, str]] = []
+    for kind in KINDS:
+        m = None if kind == "email" and "@" not in text else _PATTERNS[kind].search(text)
+        while m:
+            start, behind = m.start(), m.start() + 1
+            for size in _ENDS[kind](m) if kind in _ENDS else [len(m[0])]:
+                at = bisect_left(taken, (start,))  # taken spans don't overlap: only the two neighbours can touch
+                free = (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= start + size)
+                new = pseudonym(key, kind, m[0][:size], back) if free else None
+                if new is not None:
+                    behind = start + size
+                    taken.insert(at, (start, behind, kind, new))
+                    break
+            m = _PATTERNS[kind].search(text, behind)
+    return taken
+
+
+def _apart(text: str, k: int) -> bool:
+    """Whether no value and no look at its neighbours can reach across character k."""
+    if text[k] == " ":
+        return not (0 < k < len(text) - 1 and text[k - 1] in _BESIDE_BLANK and text[k + 1] in _BESIDE_BLANK)
+    return not (text[k].isalnum() or text[k] in "_.%+-@()/")
+
+
 def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int], list[tuple[int, int, str]]]:
-    """(new text, number of values by kind, spans in the old text). Earlier kinds win where values overlap."""
+    """(new text, number of values by kind, spans in the old text). Earlier kinds win where values overlap.
+
+    Where the new values would be read otherwise beside their neighbours (another start of a card number is valid
+    too), the values of that stretch are permuted again until they are read as the old ones were, so that every text
+    can be turned back; equal values get equal pseudonyms but for those.
+    """
     counts: dict[str, int] = {}
     if not re.search("[0-9@]", text):
         return text, counts, []
-    taken: list[tuple[int, int, str, str]] = []
-    for kind in KINDS:
-        if kind == "email" and "@" not in text:
-            continue
-        for m in _PATTERNS[kind].finditer(text):
-            at = bisect_left(taken, (m.start(),))  # taken spans don't overlap: only the two neighbours can touch
-            free = (at == 0 or taken[at - 1][1] <= m.start()) and (at == len(taken) or taken[at][0] >= m.end())
-            new = pseudonym(key, kind, m[0], back) if free else None
-            if new is not None:
-                taken.insert(at, (m.start(), m.end(), kind, new))
-                counts[kind] = counts.get(kind, 0) + 1
-    parts, at = [], 0
-    for start, end, _, new in taken:
-        parts += [text[at:start], new]
-        at = end
-    return "".join([*parts, text[at:]]), counts, [(s, e, k) for s, e, k, _ in taken]
+    found = _find(text, key, back)
+    parts, at, k = [], 0, 0
+    while k < len(found):
+        low, high, first = found[k][0], found[k][1], k
+        while low > at and not _apart(text, low - 1):
+            low -= 1
+        while high < len(text) and not _apart(text, high):
+            if k + 1 < len(found) and high >= found[k + 1][0]:
+                k += 1
+                high = found[k][1]
+            else:
+                high += 1
+        k += 1
+        values = [x[3] for x in found[first:k]]
+        while True:
+            new, spans, behind = "", [], low
+            for (start, end, kind, _), value in zip(found[first:k], values, strict=True):
+                new += text[behind:start]
+                spans.append((len(new), len(new) + len(value), kind))
+                new, behind = new + value, end
+            new += text[behind:high]
+            if [x[:3] for x in _find(new, key, not back)] == spans:
+                break
+            values = [pseudonym(key, x[2], value, back) for x, value in zip(found[first:k], values, strict=True)]
+        parts += [text[at:low], new]
+        at = high
+    for _, _, kind, _ in found:
+        counts[kind] = counts.get(kind, 0) + 1
+    return "".join([*parts, text[at:]]), counts, [x[:3] for x in found]
 
 
 def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -55,6 +56,32 @@ def test_two_cards_side_by_side():
     assert counts == {"card": 3} and a == c != "4532015112830366" and b != "378282246310005"
 
 
+IBAN, SPACED, US, DE = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "+1 415 555 2671", "+49 30 123456"
+FRENCH, CARD = "+33 1 23 45 67 89", "4532 0151 1283 0366"
+
+
+@pytest.mark.parametrize("value,before,after", [
+    (IBAN, "", " BIC COBADEFF"), (SPACED, "", " I"), (IBAN, "", " 2024"), (SPACED, "REF 7 ", " 2024-01-02"), (IBAN, "", " " + IBAN),
+    ("XX83 1234 5678 9012 3456", "", " 20 EUR"), (US, "", " 12 times"), (US, "", " 2024-01-02"), (DE, "", " 2024-01-02"),
+    (DE, "", " 12 times"), ("+49 30 12 34 56", "", " 02.01.2024"), (FRENCH, "", " 12"), ("+14155552671", "", " 12"), (US, "", " " + CARD),
+    (CARD, "1111 ", "")])
+def test_values_beside_capitals_numbers_and_dates(value, before, after):
+    text = before + value + after
+    new, _, spans = pii.rewrite(text, KEY)
+    assert (len(before), len(before) + len(value)) in [x[:2] for x in spans] and pii.rewrite(new, KEY, True)[0] == text
+    assert new.startswith(before + pii.rewrite(value, KEY)[0])  # equal values, equal pseudonyms
+    if not any(c.isdigit() for c in after):
+        assert new.endswith(after)
+
+
+def test_texts_with_several_readings_are_turned_back():
+    draw, parts = random.Random(3), [IBAN, SPACED, US, DE, FRENCH, CARD, "2024", "12", "AB12", "I", "8.8.8.8", "2024-01-02", "x"]
+    for _ in range(1000):
+        text = " ".join(draw.choice(parts) for _ in range(draw.randint(2, 8)))
+        new, counts, _ = pii.rewrite(text, KEY)
+        assert pii.rewrite(new, KEY, True)[:2] == (text, counts)
+
+
 def test_whole_table_loses_all_valid_values(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     old = {r.doc_id: r.text for r in docs.collect()}
