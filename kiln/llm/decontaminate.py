@@ -3,12 +3,13 @@
 A short test item inside a long document has a tiny Jaccard similarity, so documents are partitioned
 by the size of their shingle set (powers of two) and each partition gets a signature that grows with its
 bound: one-permutation MinHash with ``OVERSAMPLE`` bins per shingle of the bound, under ``TURNS``
-permutations. An item is signed once for each partition. One equal bin minimum makes a candidate, and
-candidates are confirmed by exact containment of the item's shingles in the document's whole set.
+permutations. An item is signed once for each partition. One equal bin minimum makes a candidate. Items of one or
+two shingles are candidates of every document that has one of them. Shared shingles are counted for candidates
+only, which are confirmed by exact containment of the item's shingles in the document's whole set.
 
-A shared shingle is the minimum of its bin on both sides with probability about 0.78 a turn, so an item
-with two shared shingles is missed with probability about 1e-4 and one with eight or more practically
-never.
+A shared shingle is the minimum of its bin on both sides with probability about 0.78 a turn. Items of one or two
+shingles are always found; one with three shared shingles is missed with probability about 1e-6 and one with eight
+or more practically never.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from kiln.llm.names import fresh
 from kiln.llm.shingles import shingle_set, signed, stream
 
 TURNS, OVERSAMPLE_BITS = 3, 2
+#: Items that need at most so many shared shingles become candidates by the document's whole set, not its signature.
+EXACT = 2
 #: Size partitions: up to 2^6 shingles, then by powers of two to 2^40.
 LEAST_PART, MOST_PART = 6, 40
 #: The filter of item shingles that every task gets has this fixed size: 2^23 bits, one megabyte.
@@ -160,15 +163,16 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     signs = touched.select("doc_row", "part", F.explode(F.arrays_zip("turns", "signs")).alias("s")) \
         .select("doc_row", "part", F.col("s.turns").alias("turn"), F.col("s.signs").alias("sign"))
     wanted = work.write(signed_items(sets), "signed-items")  # written, so that Spark joins it by its real size
-    candidates = (signs.join(wanted, ["turn", "sign"]).where("(parts & shiftleft(1L, part)) <> 0")
-                  .select("doc_row", "item_row").distinct())
-    shared = (touched.select("doc_row", F.explode("touching").alias("x"))
-              .join(sets.select("item_row", F.explode("shingles").alias("x")), "x")
-              .groupBy("doc_row", "item_row").agg(F.count(F.lit(1)).alias("n_shared")))
-    return (candidates.join(shared, ["doc_row", "item_row"])
-            .join(sets.select("item_row", "item_id", "n_item"), "item_row")
+    by_sign = (signs.join(wanted, ["turn", "sign"]).where("(parts & shiftleft(1L, part)) <> 0")
+               .select("doc_row", "item_row"))
+    by_set = (touched.select("doc_row", F.explode("touching").alias("x"))
+              .join(sets.where(F.col("n_item") * percent <= EXACT * 100).select("item_row", F.explode("shingles").alias("x")), "x")
+              .select("doc_row", "item_row"))
+    candidates = work.write(by_sign.unionByName(by_set).distinct(), "candidates")
+    return (candidates.join(sets, "item_row")
+            .join(touched.select("doc_row", "doc_id", "text_hash", "touching"), "doc_row")
+            .withColumn("n_shared", F.size(F.array_intersect("shingles", "touching")).cast("long"))
             .where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
-            .join(touched.select("doc_row", "doc_id", "text_hash"), "doc_row")
             .select("doc_id", "text_hash", "item_id", "n_item", "n_shared"))
 
 

@@ -5,6 +5,7 @@ from tests.llm import brute
 from tests.llm.conftest import MEDIUM
 
 from kiln.llm import catalogue, decontaminate
+from kiln.llm.shingles import shingle_set
 
 
 def expected(docs, items, percent):
@@ -48,6 +49,19 @@ def test_short_items_in_long_documents(spark, make_docs):
     assert got(decontaminate.contained_items(make_docs(docs), table)) == expected(docs, items, 80)
 
 
+def test_items_of_one_shingle_beside_the_signature(spark, make_docs):
+    draw, items, docs = random.Random(5), [], []
+    while len(docs) < 2:  # documents of 64 shingles whose signature leaves out the item's
+        words = [f"w{draw.randrange(10 ** 6)}" for _ in range(68)]
+        text, item = " ".join(words), " ".join(words[30:35])
+        minima = decontaminate.bin_minima(shingle_set(text.encode()), decontaminate.size_part(64))
+        if shingle_set(item.encode())[0] not in {x for _, found in minima for x in found}:
+            docs.append((len(docs), text))
+            items.append((len(items), item))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert got(decontaminate.contained_items(make_docs(docs), table)) == [(0, 0, 1, 1), (1, 1, 1, 1)]
+
+
 def test_edge_rows(spark, make_docs):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     docs = [(1, None), (2, ""), (3, f"x {passage.upper()}\ty"), (3, f"x {passage.upper()}\ty"), (None, passage), (4, "alpha beta"),
