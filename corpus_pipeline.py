@@ -42,10 +42,21 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates, the one with the smallest doc_id."""
-    gone, = fresh(docs.columns, "_gone")
-    copies = near_dup.near_duplicates(docs, SIMILAR_PERCENT).where("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(copies, docs["doc_id"].cast("long") == F.col(gone), "left_anti")
+    """Keep one row of each group of near duplicates, one with the smallest doc_id. Rows are told apart by a written
+    number, so that copies go too when they repeat a doc_id or lack one (those with a doc_id come first). Null and
+    blank texts are near to nothing and stay."""
+    work = Scratch(spark, "dedup-documents")
+    row, = fresh(docs.columns, "_row")
+    numbered = work.write(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = near_dup.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), SIMILAR_PERCENT)
+    place = numbered.select(F.col(row).alias("row"), F.struct(
+        F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("id"), F.col(row).alias("row")).alias("place"))
+    groups = work.write(found.select(F.col("doc_id").alias("row"), "component_id").join(place, "row"), "groups")
+    first = work.write(groups.groupBy("component_id").agg(F.min("place.row").alias("any"), F.max("place.row").alias("other"),
+                                                          F.min("place").alias("first"))
+                       .where(F.col("any") < F.col("other")).select("component_id", F.col("first.row").alias("first")), "first")
+    gone = groups.join(first, "component_id").where("row <> first").select("row")
+    return numbered.join(gone, F.col(row) == gone["row"], "left_anti").select(*quoted(docs.columns))
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

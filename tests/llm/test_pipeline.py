@@ -85,3 +85,14 @@ def test_edge_rows_pass_every_stage(spark):
         for name, stage in corpus_pipeline.STAGES:
             docs = work.write(stage(spark, docs, SMALL), name)
         assert (docs.count() > 0) == bool(data)
+
+
+def test_one_row_stays_of_repeated_and_null_ids(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    other = " ".join(f"other{k}" for k in range(60))
+    rows = [(None, text)] * 3 + [(7, text)] * 2 + [(5, text + " more")] * 2 + [(9, other)] * 2 + [(3, None), (3, None), (None, other[:90])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    after = corpus_pipeline.dedup_documents(spark, Scratch(spark, "test-copies").write(docs, "docs"), SMALL)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in after.collect()))) == sorted(
+        map(str, [(5, text + " more"), (9, other), (3, None), (3, None), (None, other[:90])]))
