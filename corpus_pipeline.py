@@ -22,8 +22,9 @@ SIMILAR_PERCENT = 80
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without letters and those that no learned language explains. Without any labelled document to
-    learn from, only the former go."""
+    """Drop documents without letters and those whose leading language scores below ``LEAST_SCORE``. Without any
+    labelled document to learn from, only the former go. The score compares the learned languages with each other, so
+    in effect mixtures of several languages go; text in an unlearned language or script, and letter noise, stays."""
     model = language.learn(docs.where(~language.held_out()))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
