@@ -113,7 +113,8 @@ def scan(docs: DataFrame, identifiers: int = IDENTIFIERS, novelty: float = NOVEL
 
     ``docs`` has doc_id and text; other columns are ignored. Offsets are code points of the whole text, ends are
     exclusive. A null or empty text has no spans; repeated rows are scanned one by one; an empty table gives no
-    rows. The identifier dictionary counts all documents; only its ``identifiers`` commonest names, a bounded
+    rows. Only strings of at least 16 characters of A-Za-z0-9+/_=- that mix letters with digits are measured for novelty;
+    keys without a digit or a letter are found by the fixed kinds alone. The identifier dictionary counts all documents; only its ``identifiers`` commonest names, a bounded
     table, reach the tasks. Texts are read once and never shuffled.
     """
     seen = Scratch(docs.sparkSession, "secrets").write(_first_pass(docs), "first-pass")
