@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import chat, decontaminate, embedding_dup, language, line_dedup, near_dup, oracles, packing, pii, secrets, token_count
+from kiln.llm import (best_fit, chat, decontaminate, embedding_dup, fill_middle, language, line_dedup, near_dup, oracles, packing, pii,
+                      ranked_search, secrets, token_count)
 from kiln.sources.tables import load
 
 
@@ -65,6 +66,18 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("loss_tokens")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(load(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -77,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dup": op8_minhash_near_dup,
         "op9_decontaminate": op9_decontaminate,
         "op10_pack": op10_pack,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_best_fit_pack": op12_best_fit_pack,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -88,4 +104,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_embedding_near_dup": oracles.EMBEDDING_NEAR_DUP,
         "op8_minhash_near_dup": oracles.MINHASH_NEAR_DUP,
         "op9_decontaminate": oracles.DECONTAMINATE,
+        "op11_ranked_search": oracles.RANKED_SEARCH,
+        "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
     }

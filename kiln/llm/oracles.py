@@ -69,3 +69,39 @@ items AS (SELECT id, g, count(*) OVER (PARTITION BY id) AS n FROM gr WHERE side
 SELECT d.id AS doc_id, i.id AS item_id, i.n AS n_item, count(*) AS n_shared
 FROM gr d JOIN items i USING (g) WHERE d.side = 'd'
 GROUP BY ALL HAVING count(*) * 100 >= i.n * 80"""
+
+RANKED_SEARCH = (r"""
+WITH d AS (SELECT doc_id, regexp_extract_all({lower}, '{term}') AS t FROM documents),
+s AS (SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS words FROM d WHERE len(t) > 0),
+tf AS (SELECT doc_id, len(t) AS n, term, count(*) AS tf FROM (SELECT doc_id, t, unnest(t) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (SELECT item_id, term, count(*) AS reps FROM (SELECT item_id, unnest(regexp_extract_all({lower}, '{term}')) AS term FROM benchmark)
+      GROUP BY ALL),
+sc AS (
+  SELECT item_id, doc_id,
+         sum(reps * floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN df USING (term) JOIN tf USING (term) CROSS JOIN s GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+WHERE rank <= 10""".replace("{lower}", _LOWER.format(x="coalesce(text, '')"))
+                 .replace("{term}", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+
+FILL_IN_MIDDLE = r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || doc_id::VARCHAR) AS h FROM documents),
+c AS (
+  SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT doc_id, n, form, text, array_to_string(w[1:least(a, b)], '') AS prefix,
+         array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS middle, array_to_string(w[greatest(a, b) + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p"""
