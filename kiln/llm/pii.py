@@ -14,8 +14,10 @@ import hashlib
 import re
 import string
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import count
 from math import isqrt
 
 import pyarrow as pa
@@ -52,8 +54,10 @@ _IBAN_SIZES = {c: n for n, names in {
 _PHONE_SIZES = {c: n for n, codes in {
     8: "45 47 65 370 371 386 852", 9: "27 31 33 34 40 41 48 56 61 351 380 420 421", 10: "1 7 30 52 90 91"}.items()
     for c in codes.split()}
-#: Characters that a blank within a value stands between.
-_BESIDE_BLANK = frozenset(string.digits + string.ascii_uppercase + "()")
+#: No pattern but that of e-mail addresses is longer; those keep their extent, as every character stays in its class.
+_REACH = 80
+#: Characters read behind a value (kinds can block each other in a chain) and before the first place of a window.
+_AHEAD, _LOOK = 400, 4
 
 
 class Feistel:
@@ -264,93 +268,125 @@ def _phone_ends(m: re.Match) -> list[int]:
 _ENDS = {"iban": _iban_ends, "phone": _phone_ends}
 
 
-def _find(text: str, key: bytes, back: bool) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, pseudonym) of the values of a text. Earlier kinds win where values overlap."""
+def _find(text: str, key: bytes, back: bool, behind: int = 0) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, pseudonym) of the values from ``behind`` on. Earlier kinds win where values overlap."""
     taken: list[tuple[int, int, str, str]] = []
     for kind in KINDS:
-        m = None if kind == "email" and "@" not in text else _PATTERNS[kind].search(text)
+        m = None if kind == "email" and "@" not in text else _PATTERNS[kind].search(text, behind)
         while m:
-            start, behind = m.start(), m.start() + 1
+            start, after = m.start(), m.start() + 1
             for size in _ENDS[kind](m) if kind in _ENDS else [len(m[0])]:
                 at = bisect_left(taken, (start,))  # taken spans don't overlap: only the two neighbours can touch
                 free = (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= start + size)
                 new = pseudonym(key, kind, m[0][:size], back) if free else None
                 if new is not None:
-                    behind = start + size
-                    taken.insert(at, (start, behind, kind, new))
+                    after = start + size
+                    taken.insert(at, (start, after, kind, new))
                     break
-            m = _PATTERNS[kind].search(text, behind)
+            m = _PATTERNS[kind].search(text, after)
     return taken
 
 
-def _apart(text: str, k: int) -> bool:
-    """Whether no value and no look at its neighbours can reach across character k."""
-    if text[k] == " ":
-        return not (0 < k < len(text) - 1 and text[k - 1] in _BESIDE_BLANK and text[k + 1] in _BESIDE_BLANK)
-    return not (text[k].isalnum() or text[k] in "_.%+-@()/")
+def _reads_alike(left: str, lead: int, spans: list[tuple[int, int, str]], value: str, kind: str, right: str, key: bytes,
+                 back: bool) -> bool:
+    """Whether ``value`` is read as one value of its kind between its neighbours, and ``spans`` in ``left`` as before.
 
+    ``left`` begins ``lead`` characters before a place between two values. Only matches that touch the value can change with it, and those
+    begin at most ``_REACH`` characters before it; of what follows, ``right`` holds more than can matter.
+    """
+    end = len(left) + len(value)
+    found = _find(left + value + right, key, back, lead)
+    return [x[:3] for x in found if x[0] < end] == [*spans, (len(left), end, kind)]
 
-def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int], list[tuple[int, int, str]]]:
-    """(new text, number of values by kind, spans in the old text). Earlier kinds win where values overlap.
 
-    Where the new values would be read otherwise beside their neighbours (another start of a card number is valid
-    too), the values of that stretch are permuted again until they are read as the old ones were, so that every text
-    can be turned back; equal values get equal pseudonyms but for those.
+def rewrite_values(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[int, int, str]], int]:
+    """(new text, (start, end, kind) of the values in the old one, how many were permuted more than once).
+
+    A new value may be read otherwise beside its neighbours: another start of a card number is valid too. Values are therefore
+    replaced from right to left, each permuted on until the text is read as before, with the new values on its right and the old
+    ones on its left. Turning back goes from left to right, so that each value is walked back between the same neighbours.
+    Only a bounded window around a value is read again, so the time is linear in the text.
     """
-    counts: dict[str, int] = {}
-    if not re.search("[0-9@]", text):
-        return text, counts, []
-    found = _find(text, key, back)
-    parts, at, k = [], 0, 0
-    while k < len(found):
-        low, high, first = found[k][0], found[k][1], k
-        while low > at and not _apart(text, low - 1):
-            low -= 1
-        while high < len(text) and not _apart(text, high):
-            if k + 1 < len(found) and high >= found[k + 1][0]:
-                k += 1
-                high = found[k][1]
-            else:
-                high += 1
-        k += 1
-        values = [x[3] for x in found[first:k]]
-        while True:
-            new, spans, behind = "", [], low
-            for (start, end, kind, _), value in zip(found[first:k], values, strict=True):
-                new += text[behind:start]
-                spans.append((len(new), len(new) + len(value), kind))
-                new, behind = new + value, end
-            new += text[behind:high]
-            if [x[:3] for x in _find(new, key, not back)] == spans:
-                break
-            values = [pseudonym(key, x[2], value, back) for x, value in zip(found[first:k], values, strict=True)]
-        parts += [text[at:low], new]
-        at = high
-    for _, _, kind, _ in found:
-        counts[kind] = counts.get(kind, 0) + 1
-    return "".join([*parts, text[at:]]), counts, [x[:3] for x in found]
+    found = _find(text, key, back) if re.search("[0-9@]", text) else []
+    out: list[str] = []
+    again = 0
+
+    def walk(k: int, left: str, lead: int, spans: list[tuple[int, int, str]], right: str) -> str:
+        nonlocal again
+        _, _, kind, value = found[k]
+        for turn in count():
+            if _reads_alike(left, lead, spans, value, kind, right, key, not back):
+                again += turn > 0
+                return value
+            value = pseudonym(key, kind, value, back)
+
+    if not back:
+        at, right = len(text), ""
+        for k in range(len(found) - 1, -1, -1):
+            start, end, _, _ = found[k]
+            right = (text[end:min(at, end + _AHEAD)] + right)[:_AHEAD]
+            low, first = max(0, start - _REACH), k
+            while first and found[first - 1][1] > low:
+                first -= 1
+                low = min(low, found[first][0])
+            lead = min(low, _LOOK)
+            low -= lead
+            value = walk(k, text[low:start], lead, [(a - low, b - low, kind) for a, b, kind, _ in found[first:k]], right)
+            out += [text[end:at], value]
+            at, right = start, (value + right)[:_AHEAD]
+        out = [*out, text[:at]][::-1]
+    else:
+        at, left = 0, ""  # the end of the new text
+        near: list[tuple[int, int, str]] = []  # values in it, counted from its end
+        for k, (start, end, kind, _) in enumerate(found):
+            gap = text[at:start]
+            left += gap
+            near = [(a - len(gap), b - len(gap), x) for a, b, x in near]
+            low = -min(_REACH, len(left))
+            for a, b, _ in reversed(near):
+                if b <= low:
+                    break
+                low = min(low, a)
+            near = [x for x in near if x[0] >= low]
+            lead = min(len(left) + low, _LOOK)
+            left = left[len(left) + low - lead:]
+            value = walk(k, left, lead, [(len(left) + a, len(left) + b, x) for a, b, x in near], text[end:end + _AHEAD])
+            out += [gap, value]
+            at, left = end, left + value
+            near = [*((a - len(value), b - len(value), x) for a, b, x in near), (-len(value), 0, kind)]
+        out.append(text[at:])
+    return "".join(out), [x[:3] for x in found], again
+
+
+def rewrite(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int], list[tuple[int, int, str]]]:
+    """(new text, number of values by kind, spans in the old text)."""
+    new, spans, _ = rewrite_values(text, key, back)
+    return new, dict(Counter(kind for _, _, kind in spans)), spans
 
 
 def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
-    """(doc_id, text, n_values, kinds): the whole texts with personal data permuted (turned back with ``back``).
+    """(doc_id, text, n_values, kinds, n_again): the whole texts with personal data permuted (turned back with ``back``).
 
-    ``docs`` has doc_id and text; other columns are ignored. ``kinds`` counts the values by kind. A null text stays
-    null, an empty one empty, both with 0 values; repeated rows are handled one by one; an empty table gives
-    no rows. The key must come from the caller's secret store. Nothing is shuffled.
+    ``docs`` has doc_id and text; other columns are ignored. ``kinds`` counts the values by kind, ``n_again`` those that were
+    permuted more than once because their neighbours left several readings; all others have the pseudonym that equal values have
+    everywhere. A null text stays null, an empty one empty, both with 0 values; repeated rows are handled one by one; a text of
+    any length takes time in proportion to it; an empty table gives no rows. The key must come from the caller's secret store. Nothing is shuffled.
     """
     if not 16 <= len(key) <= 64:
         raise ValueError("the key must have 16 to 64 bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, kinds = [], []
+            texts, kinds, again = [], [], []
             for text in batch.column(1):
-                new, found, _ = rewrite(text.as_py() or "", key, back)
+                new, spans, repeated = rewrite_values(text.as_py() or "", key, back)
                 texts.append(new if text.is_valid else None)
-                kinds.append(list(found.items()))
+                kinds.append(list(Counter(kind for _, _, kind in spans).items()))
+                again.append(repeated)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, pa.string()), pa.array([sum(n for _, n in x) for x in kinds], pa.int64()),
-                 pa.array(kinds, pa.map_(pa.string(), pa.int64()))], names=["doc_id", "text", "n_values", "kinds"])
+                 pa.array(kinds, pa.map_(pa.string(), pa.int64())), pa.array(again, pa.int64())],
+                names=["doc_id", "text", "n_values", "kinds", "n_again"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, text string, n_values long, kinds map<string,long>")
+        run, "doc_id long, text string, n_values long, kinds map<string,long>, n_again long")

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 import re
+import time
 
 import pytest
 from tests.llm.conftest import SMALL
@@ -104,3 +105,72 @@ def test_edge_rows(make_docs):
     assert pii.pseudonymise(make_docs([]), KEY).collect() == []
     with pytest.raises(ValueError):
         pii.pseudonymise(make_docs([]), b"short")
+
+
+def luhn(digits):
+    odd, even = digits[-1::-2], digits[-2::-2]
+    return (sum(map(int, odd)) + sum(sum(divmod(2 * int(d), 10)) for d in even)) % 10 == 0
+
+
+def brute_values(text):
+    """Values that stand between blanks, by rules of their own: every word is tried as a card, address, number or date."""
+    out = set()
+    for word in re.findall(r"[^\s,;()<>\"']+", text):
+        word = word.rstrip(".!?:")
+        if re.fullmatch("[0-9]{13,19}", word) and luhn(word) and len(set(word)) > 1:
+            out.add(("card", word))
+        parts = word.split(".")
+        if len(parts) == 4 and all(p.isascii() and p.isdigit() and str(int(p)) == p and int(p) < 256 for p in parts):
+            out.add(("ip", word))
+        if re.fullmatch("[0-9]{3}-[0-9]{2}-[0-9]{4}", word) and word[:3] not in ("000", "666") and word[0] != "9" \
+                and word[4:6] != "00" and word[7:] != "0000":
+            out.add(("ssn", word))
+        if re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", word):
+            try:
+                out.add(("date", word)) if 1900 <= dt.date.fromisoformat(word).year < 2100 else None
+            except ValueError:
+                pass
+        if re.fullmatch(r"[\w.%+-]+@[a-z0-9.-]+\.[a-z]{2,}", word):
+            out.add(("email", word))
+    return out
+
+
+def test_values_of_all_documents_equal_those_of_a_brute_force_reader(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()
+    seen = set()
+    for r in docs:
+        want = brute_values(r.text or "")
+        got = {(kind, r.text[s:e]) for s, e, kind in pii.rewrite(r.text or "", KEY)[2]}
+        assert want <= got, r.doc_id
+        # values beside other characters than blanks ("card:4..."): valid by the same rules when they stand alone
+        assert all((k, v) in brute_values(v) for k, v in got if k in ("ssn", "ip", "email") or k == "card" and v.isdigit()), r.doc_id
+        seen |= {k for k, _ in want}
+    assert len(seen) >= 2
+
+
+@pytest.mark.parametrize("lead", ["1111 ", "7 ", ""])
+def test_ten_thousand_doubtful_cards_take_linear_time(lead):
+    draw = random.Random(8)
+    def card():
+        body = "".join(draw.choice("0123456789") for _ in range(15))
+        number = next(body + d for d in "0123456789" if luhn(body + d))
+        return " ".join(number[k:k + 4] for k in range(0, 16, 4))
+    cards = [card() for _ in range(200)]
+    text = " ".join(lead + draw.choice(cards) for _ in range(10_000))
+    began = time.perf_counter()
+    new, spans, again = pii.rewrite_values(text, KEY)
+    assert time.perf_counter() - began < 30
+    assert len(spans) >= 9_000 and again < 0.3 * len(spans)
+    assert pii.rewrite(new, KEY, True)[0] == text
+    # all values but those permuted again have the pseudonym that they have alone
+    usual = sum(new[s:e] == pii.pseudonym(KEY, kind, text[s:e]) for s, e, kind in spans)
+    assert usual >= len(spans) - again
+
+
+def test_all_kinds_crowded_together_are_turned_back():
+    draw, parts = random.Random(11), [v for values in VALUES.values() for v in values] + ["2024", "12", "7", "AB", "x"]
+    for _ in range(300):
+        text = "".join(draw.choice(parts) + draw.choice([" ", " ", " ", ", ", "-", ".", "/"]) for _ in range(draw.randint(2, 40)))
+        new, spans, _ = pii.rewrite_values(text, KEY)
+        assert pii.rewrite(new, KEY, True)[0] == text
+        assert [k for _, _, k in pii.rewrite(new, KEY)[2]] == [k for _, _, k in spans]
