@@ -157,9 +157,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
     The corpus is read once and not shuffled; what follows grows with the contaminated documents.
     """
     work = Scratch(docs.sparkSession, "decontaminate")
-    sets = work.write(item_sets(items), "items").withColumn("item_row", F.monotonically_increasing_id())
-    touched = work.write(touched_documents(docs, _filter_bits(sets)), "touched") \
-        .withColumn("doc_row", F.monotonically_increasing_id())
+    # numbered before they are written: numbers given to a scan would change with the cores that read it
+    sets = work.write(item_sets(items).withColumn("item_row", F.monotonically_increasing_id()), "items")
+    touched = work.write(touched_documents(docs, _filter_bits(sets)).withColumn("doc_row", F.monotonically_increasing_id()), "touched")
     signs = touched.select("doc_row", "part", F.explode(F.arrays_zip("turns", "signs")).alias("s")) \
         .select("doc_row", "part", F.col("s.turns").alias("turn"), F.col("s.signs").alias("sign"))
     wanted = work.write(signed_items(sets), "signed-items")  # written, so that Spark joins it by its real size
@@ -169,6 +169,7 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
               .join(sets.where(F.col("n_item") * percent <= EXACT * 100).select("item_row", F.explode("shingles").alias("x")), "x")
               .select("doc_row", "item_row"))
     candidates = work.write(by_sign.unionByName(by_set).distinct(), "candidates")
+    work.drop("signed-items")
     return (candidates.join(sets, "item_row")
             .join(touched.select("doc_row", "doc_id", "text_hash", "touching"), "doc_row")
             .withColumn("n_shared", F.size(F.array_intersect("shingles", "touching")).cast("long"))
@@ -177,9 +178,13 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = 80) -> Dat
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that contain no item, all columns unchanged."""
+    """The rows of ``docs`` that contain no item, all columns unchanged.
+
+    The contaminated rows are written before the join, so that their real size decides how it runs: while they are few,
+    the texts are not shuffled.
+    """
     bad_id, bad_hash = fresh(docs.columns, "_bad_id", "_bad_hash")
-    bad = contained_items(docs, items, percent).select(
-        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()
+    bad = Scratch(docs.sparkSession, "contaminated").write(contained_items(docs, items, percent).select(
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct(), "rows")
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col(bad_id))
                      & (F.xxhash64(docs["text"]) == F.col(bad_hash)), "left_anti")

@@ -4,6 +4,7 @@ import duckdb
 from tests.llm import brute
 from tests.llm.conftest import MEDIUM
 
+from kiln.lineage import Scratch
 from kiln.llm import catalogue, decontaminate
 from kiln.llm.shingles import shingle_set
 
@@ -75,3 +76,28 @@ def test_edge_rows(spark, make_docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contained_items(make_docs(docs), empty).collect() == []
     assert decontaminate.contained_items(make_docs([]), items).collect() == []
+
+
+def test_numbers_do_not_follow_the_cores_that_read_a_table(spark, make_docs, monkeypatch):
+    """A changed number of cores between two jobs cuts the scans otherwise; the pairs stay the same."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").repartition(7)
+    items = spark.read.parquet(f"{MEDIUM}/benchmark.parquet")
+    want = got(decontaminate.contained_items(docs, items))
+    names, write = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"), Scratch.write
+    settings = iter([("9", "1000"), ("1", "100000000"), ("5", "20000"), ("2", "4000000"), ("3", "100")] * 3)
+
+    def changed(self, df, name):
+        out = write(self, df, name)
+        for key, value in zip(names, next(settings), strict=True):
+            spark.conf.set(key, value)
+        return out
+
+    monkeypatch.setattr(Scratch, "write", changed)
+    try:
+        found = decontaminate.contained_items(docs, items)
+        for key, value in zip(names, ("4", "50000"), strict=True):
+            spark.conf.set(key, value)
+        assert want and got(found) == want
+    finally:
+        for key in names:
+            spark.conf.unset(key)
