@@ -105,10 +105,17 @@ def render(turns: DataFrame, learner: str = "assistant") -> DataFrame:
         "parsed")
 
 
-def digests(rendered: DataFrame, learner: str = "assistant") -> DataFrame:
-    """Lengths and SHA-256 digests of what ``render`` gives, from the turns read back."""
+def masked_texts(formatted: Column, loss_spans: Column) -> Column:
+    """array<string>: what the loss spans cover in the output, unescaped. Four bytes a code point let every span be cut out without
+    counting from the start of the conversation."""
+    return _let(F.encode(formatted, "UTF-32"), lambda wide: F.transform(loss_spans, lambda span: unescape(F.decode(
+        F.substring(wide, (4 * span["start"] + 1).cast("int"), (4 * (span["end"] - span["start"])).cast("int")), "UTF-32"))))
+
+
+def digests(rendered: DataFrame) -> DataFrame:
+    """Lengths and SHA-256 digests of what ``render`` gives: the turns read back, and the text under the loss mask."""
     said = F.array_join(F.transform("parsed", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learned = F.array_join(F.transform(F.filter("parsed", lambda t: t["role"] == learner), lambda t: t["text"]), "")
+    learned = F.array_join(masked_texts(F.col("formatted"), F.col("loss_spans")), "")
     return (rendered.withColumn("_learned", learned)
             .select("conv_id", "n_turns", F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
                     F.length("_learned").cast("long").alias("loss_chars"),

@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.conftest import MEDIUM
 
 from kiln.llm import catalogue, chat
@@ -68,3 +69,12 @@ def test_plain_texts_are_not_escaped(rendered, spark):
 
 def test_empty_table(spark):
     assert chat.render(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+def test_a_wrong_mask_shows_in_the_digests(spark):
+    table = spark.createDataFrame([(1, 0, "user", "abc"), (1, 1, "assistant", "é😀 </turn> x")], "conv_id long, turn long, role string, text string")
+    out = chat.render(table)
+    right = chat.digests(out).collect()[0]
+    assert (right.loss_chars, right.loss_sha256) == (12, digest("é😀 </turn> x"))
+    moved = out.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["end"].alias("end"))))
+    assert chat.digests(moved).collect()[0].loss_chars == 11
