@@ -109,8 +109,9 @@ class Packer:
         return min(tokens, len(ids) - start, max(0, len(ids) - tail - start) + loss)
 
     def fill(self, tokens: int) -> Iterator[tuple]:
-        """One sequence of at most ``tokens`` tokens."""
+        """One sequence of at most ``tokens`` tokens. One that another limit ends is cut back to a power of two."""
         top, offset, segments, loss = self.limits, 0, self.limits.segments, self.limits.loss
+        placed: list[tuple] = []
         while self.pool and offset < tokens and segments:
             left = tokens - offset
             score = (left / top.tokens) * (self.size / top.tokens) + (segments / top.segments) / top.segments \
@@ -128,10 +129,30 @@ class Packer:
                 doc, ids, start, tail = example
                 self._push((doc, ids, start + length, tail))
             piece = self._piece(example, length, offset)
-            yield piece
+            placed.append((example, piece))
             offset, segments, loss = offset + length, segments - 1, loss - piece[4]
+        if offset < tokens and offset & (offset - 1):
+            end = 1 << (offset.bit_length() - 1)
+            while offset > end:
+                (doc, ids, start, tail), piece = placed.pop()
+                offset -= len(piece[2])
+                keep = max(0, end - offset)
+                if start + len(piece[2]) < len(ids):  # its tail waits already: only this part of it comes back
+                    self._rejoin(doc, ids, start + len(piece[2]), start + keep, tail)
+                else:
+                    self._push((doc, ids, start + keep, tail))
+                if keep:
+                    placed.append(((doc, ids, start, tail), self._piece((doc, ids, start, tail), keep, offset)))
+                    offset += keep
+        yield from (piece for _, piece in placed)
         self.sequence += 1
 
+    def _rejoin(self, doc: object, ids: np.ndarray, start: int, earlier: int, tail: int) -> None:
+        """Let the waiting rest of an example begin earlier."""
+        k = next(k for k, x in enumerate(self.pool) if x[1] is ids and x[2] == start)
+        self._pop(k)
+        self._push((doc, ids, earlier, tail))
+
     def settle(self) -> Iterator[tuple]:
         """Fill sequences while the pool is more than half full."""
         while len(self.pool) > POOL // 2 and self.size.sum() >= self.limits.tokens:

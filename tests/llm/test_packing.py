@@ -73,3 +73,12 @@ def test_ids_column_and_edge_rows(make_docs, reference):
     assert [r.ids for r in out if r.doc_id == 1] == [[1]] and any(r.doc_id is None for r in out)
     assert sum(r.length for r in out if r.doc_id == 4) == len(packing.token_ids("long " * 20_000, PATH))
     assert packing.pack(make_docs([]), PATH).collect() == []
+
+
+def test_sequences_that_the_segment_limit_ends_need_no_padding(spark, reference):
+    words = ["five tokens are here" if k % 3 else "one two three " * (k % 40 + 1) for k in range(600)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").coalesce(2)
+    for limits in (packing.Limits(256, 3, 256), packing.Limits(256, 8, 100)):
+        sequences = check(packing.pack(docs, PATH, limits).collect(), dict(enumerate(words)), reference, limits)
+        lengths = [sum(r.length for r in rows) for rows in sequences.values()]
+        assert all(n & (n - 1) == 0 for n in lengths) and any(n < limits.tokens for n in lengths)
