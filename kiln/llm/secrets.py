@@ -143,6 +143,6 @@ def digests(scanned: DataFrame) -> DataFrame:
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return scanned.select(
-        "doc_id", *(count(k) for k in KINDS),
+        "doc_id", *(count(k) for k in KINDS if k != "novel"),
         F.sha2(text(F.filter("spans", lambda s: s["kind"] != "novel")).cast("binary"), 256).alias("base_sha256"),
-        text(F.col("spans")).alias("spans"))
+        text(F.col("spans")).alias("spans"), count("novel"))
