@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
-from kiln.session import ensure_checkpoint_dir
 
 HASH_BITS = 32
 #: A key is heavy when it holds at least this part of all occurrences, so at most as many keys are heavy.
@@ -71,15 +70,12 @@ def global_index(df: DataFrame, order_cols: list, out: str = "idx") -> DataFrame
     """1-based position of each row in the total order ``order_cols``.
 
     Range-partitioned sort, then per-partition offsets from a table with one
-    row per partition. The sorted frame is checkpointed (reliable storage)
-    so partition ids stay fixed if an executor is lost.
+    row per partition. The sorted frame is written once with its partition
+    numbers, so they stay fixed if an executor is lost.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ordered = (df.orderBy(*cols)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    ordered = Scratch(df.sparkSession, "positions").write(
+        df.orderBy(*cols).withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()), "rows")
     parts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
                                         F.min("_mid").alias("_m0"))
     w_prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
