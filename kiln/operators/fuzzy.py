@@ -4,6 +4,8 @@
   transitive closure. The alpha-cut of the closure equals the connected
   components of the graph with edges w >= alpha, so the closure is never
   materialised: star contraction of the edge list until nothing changes.
+* ``spanning_forest`` stands for the whole closure: the closure weight of two
+  nodes is the least weight on their path in the maximum spanning forest.
 * ``maxmin_compose`` / ``transitive_closure`` are the literal matrix
   operations for small relations (every (i, k) pair through every j); use
   them on relations of a few thousand cells, not on data-sized graphs.
@@ -14,6 +16,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -167,12 +173,112 @@ def transitive_closure(r: DataFrame) -> DataFrame:
             return cur
 
 
-def threshold_components(nodes: DataFrame, edges: DataFrame, group_cols=()) -> DataFrame:
+#: Contracted relations of at most so many edges are finished by one task.
+FINISH_EDGES = 1 << 18
+_EDGE = "a long, b long, i long, j long, w double"
+
+
+def _heaviest() -> Column:
+    """The edge that comes first: greatest w, then smallest i and j."""
+    return F.max(F.struct("w", (-F.col("i")).alias("i"), (-F.col("j")).alias("j"), "a", "b")).alias("e")
+
+
+def _edge(e: str = "e") -> list[Column]:
+    return [F.col(f"{e}.a").alias("a"), F.col(f"{e}.b").alias("b"), (-F.col(f"{e}.i")).alias("i"), (-F.col(f"{e}.j")).alias("j"),
+            F.col(f"{e}.w").alias("w")]
+
+
+def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forest of all edges of one task: heaviest first, an edge is kept when it joins two trees."""
+    batches = list(batches)
+    if not batches:
+        return
+    table = pa.Table.from_batches(batches).sort_by([("w", "descending"), ("i", "ascending"), ("j", "ascending")])
+    root: dict[int, int] = {}
+    kept = []
+    for k, (a, b) in enumerate(zip(table["a"].to_pylist(), table["b"].to_pylist(), strict=True)):
+        a, b = _top(root, a), _top(root, b)
+        if a != b:
+            root[a] = b
+            kept.append(k)
+    yield from table.take(pa.array(kept, pa.int64())).combine_chunks().to_batches()
+
+
+def _top(root: dict, x):
+    """The root of x; nodes on the way then point to it."""
+    path = []
+    while (up := root.get(x, x)) != x:
+        path.append(x)
+        x = up
+    root.update(dict.fromkeys(path, x))
+    return x
+
+
+def spanning_forest(edges: DataFrame, finish: int = FINISH_EDGES) -> DataFrame:
+    """V3 for relations of any size: (i, j, w), i < j, the maximum spanning forest of symmetric ``edges`` (i, j, w).
+
+    The max-min closure of two nodes is the least w on their path in the forest, so n - 1 edges stand for the n^2 cells of the
+    closure and serve every alpha level. Of equal weights the edge with the smallest i, then j comes first, which makes the
+    forest unique. Each round every tree takes its heaviest edge outwards, the trees so joined become one node, and of the
+    edges between two of them the heaviest stays: the number of trees at least halves. Once at most ``finish`` edges are left, one
+    task sorts them. Self-edges and null weights are ignored; an empty relation gives no rows.
+    """
+    work, turn, taken = Scratch(edges.sparkSession, "forest"), 0, []
+    ends = edges.where("i <> j AND w IS NOT NULL").select(F.least("i", "j").cast("long").alias("i"),
+                                                          F.greatest("i", "j").cast("long").alias("j"), F.col("w").cast("double").alias("w"))
+    current = work.write(ends.groupBy("i", "j").agg(F.max("w").alias("w")).selectExpr("i AS a", "j AS b", "i", "j", "w"), "edges-0")
+    while current.count() > finish:
+        turn += 1
+        sides = current.select(F.col("a").alias("x"), "*").unionAll(current.select(F.col("b").alias("x"), "*"))
+        picked = work.write(sides.groupBy("x").agg(_heaviest()).select(*_edge()).distinct(), f"picked-{turn}")
+        taken.append(picked)
+        trees = work.write(connected_components(picked.select("a", "b"), work, f"trees-{turn}"), f"tree-of-{turn}")
+        # both sides of each join are plain scans: the tree with most of the edges can be split
+        moved = work.write(current.join(trees.selectExpr("node AS a", "component AS ta"), "a").drop("a"), f"moved-{turn}")
+        moved = (moved.join(trees.selectExpr("node AS b", "component AS tb"), "b").where("ta <> tb")
+                 .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b"), "i", "j", "w"))
+        current = work.write(moved.groupBy("a", "b").agg(_heaviest()).select(*_edge()), f"edges-{turn}")
+        for name in (f"edges-{turn - 1}", f"moved-{turn}", f"tree-of-{turn}"):
+            work.drop(name)
+    out = current.coalesce(1).mapInArrow(_finish, _EDGE)
+    for picked in taken:
+        out = out.unionByName(picked)
+    return work.write(out.select("i", "j", "w"), "forest")
+
+
+def closure_of_nodes(nodes: DataFrame, forest: DataFrame) -> DataFrame:
+    """(node, cluster, merge): the smallest node with a closure weight above 0 to ``node``, and the greatest closure weight that it
+    has to any other node, the level below which it is no cluster of its own; null for a node without edges."""
+    ends = forest.select(F.explode(F.array("i", "j")).alias("node"), "w")
+    found = threshold_components(nodes, forest.select("i", "j"))
+    return found.join(ends.groupBy("node").agg(F.max("w").alias("merge")), "node", "left").select("node", "cluster", "merge")
+
+
+def threshold_components(nodes: DataFrame, edges: DataFrame, group_cols=(), finish: int = FINISH_EDGES) -> DataFrame:
     """V5: (*group, node, cluster) = smallest node id reachable over the (undirected) edges of the same group;
     isolated nodes are their own cluster. ``nodes``: (*group, node); ``edges``: (*group, i, j). All groups
-    (e.g. alpha levels) advance in the same rounds, which go on until nothing changes."""
-    g = list(group_cols)
-    found = connected_components(edges.select(*g, F.col("i").alias("a"), F.col("j").alias("b")),
-                                 Scratch(nodes.sparkSession, "clusters"), "clusters", g)
+    (e.g. alpha levels) advance in the same rounds, which go on until nothing changes; at most ``finish`` edges are one task's."""
+    g, work = list(group_cols), Scratch(nodes.sparkSession, "clusters")
+    links = work.write(edges.select(*g, F.col("i").cast("long").alias("a"), F.col("j").cast("long").alias("b")), "edges")
+    if links.count() > finish:
+        found = connected_components(links, work, "clusters", g)
+    else:
+        kind = links.select(*g, F.col("a").alias("node"), F.col("b").alias("component")).schema
+        found = links.coalesce(1).mapInArrow(partial(_trees, len(g), [f.name for f in kind]), kind)
     return (nodes.select(*g, "node").join(found, [*g, "node"], "left")
             .select(*g, "node", F.coalesce("component", "node").alias("cluster")))
+
+
+def _trees(keys: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(*group, node, component) of all edges of one task; the root of a tree is its smallest node."""
+    trees: dict[tuple, dict] = {}
+    kinds = []
+    for batch in batches:
+        kinds = batch.schema.types
+        for *group, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            root = trees.setdefault(tuple(group), {})
+            a, b = _top(root, a), _top(root, b)
+            root[max(a, b)] = root[min(a, b)] = min(a, b)
+    rows = [(*group, node, _top(root, node)) for group, root in trees.items() for node in list(root)]
+    if kinds:
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)

@@ -4,24 +4,24 @@
 * RBF features and nearest centroid attach the centre set (as many centres as
   the caller asks for, or one per class) as one row and evaluate per vector
   with array expressions.
-* The cosine similarity join is exact: vectors are dealt by hash to tiles of
-  ``tile_rows`` rows on average, every tile pair is one group (``cogroup`` +
-  ``applyInPandas``) that multiplies two blocks with numpy and emits only
-  pairs at or above the threshold. No task ever holds more than two tiles,
-  and below-threshold pairs never become rows.
+* The cosine similarity join is exact: vectors are dealt to tiles within the
+  cells of a metric partition, tiles that the triangle inequality does not
+  part are multiplied with numpy, and only pairs at or above the threshold
+  become rows. No task ever holds more than two tiles.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kiln.functions.hashing import hash32
+from kiln.lineage import Scratch
 
 
 def as_double_array(c: Column | str) -> Column:
@@ -89,61 +89,128 @@ def nearest_centre(df: DataFrame, id_col: str, vec_col: str, centres: DataFrame,
 
 
 # ------------------------------------------------------------ similarity join
-PAIR_SCHEMA = T.StructType([T.StructField("i", T.LongType()), T.StructField("j", T.LongType()),
-                            T.StructField("sim", T.DoubleType())])
-
-
-def _block_pairs(threshold: float, absolute: bool):
-    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"i": pd.Series([], dtype="int64"), "j": pd.Series([], dtype="int64"),
-                                 "sim": pd.Series([], dtype="float64")})
-        # positional access: (id, vector, a, b) on both sides
-        a = np.stack(left.iloc[:, 1].to_numpy()).astype(np.float64)
-        b = np.stack(right.iloc[:, 1].to_numpy()).astype(np.float64)
-        ia = left.iloc[:, 0].to_numpy(np.int64)
-        ib = right.iloc[:, 0].to_numpy(np.int64)
-        na = np.einsum("ij,ij->i", a, a)
-        nb = np.einsum("ij,ij->i", b, b)
-        dots = a @ b.T
-        with np.errstate(divide="ignore", invalid="ignore"):
-            sim = dots / np.sqrt(np.outer(na, nb))
-        if absolute:
-            sim = np.abs(sim)
-        keep = (sim >= threshold) & (ia[:, None] < ib[None, :])
-        r, c = np.nonzero(keep)
-        return pd.DataFrame({"i": ia[r], "j": ib[c], "sim": sim[r, c]})
-    return fn
+#: Vectors of a tile on average, pivots at most, and vectors drawn (by hash) to choose the pivots from.
+TILE_ROWS, MOST_PIVOTS, PIVOT_SAMPLE = 512, 1024, 4096
+#: Angles are rounded; the bounds of the triangle inequality are widened by this much.
+_SLACK = 1e-6
+_PAIRS = "i long, j long, sim double"
+
+
+def _angles(vectors: np.ndarray, pivots: np.ndarray, absolute: bool) -> np.ndarray:
+    """Angles between vectors and unit pivots; of the lines they span with ``absolute``. Both are metrics."""
+    cos = (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)) @ pivots.T
+    return np.arccos(np.clip(np.abs(cos) if absolute else cos, -1, 1))
+
+
+def spread_pivots(vectors: np.ndarray, count: int, absolute: bool) -> np.ndarray:
+    """``count`` unit vectors, each the one furthest from those before it, until all others coincide with one."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    chosen, far = [0], _angles(unit, unit[:1], absolute)[:, 0]
+    while len(chosen) < count and far.max() > 1e-7:
+        chosen.append(int(np.argmax(far)))
+        far = np.minimum(far, _angles(unit, unit[chosen[-1:]], absolute)[:, 0])
+    return unit[chosen]
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+
+
+def _tile_units(df: DataFrame, id_col: str, vec_col: str, threshold: float, absolute: bool, tile_rows: int, work: Scratch):
+    """(units, tiles by cell): rows (id, v, tile, first, second) of the tile pairs that may hold a pair at the threshold."""
+    v = as_double_array(vec_col)
+    bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = work.write(df.select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+                      .where(F.col("id").isNotNull() & F.coalesce(~bad, F.lit(False)) & F.exists(v, lambda x: x != 0)), "vectors")
+    n = rows.count()
+    drawn = rows.select("v").orderBy(hash32(F.col("id"), "pivots"), "id").limit(PIVOT_SAMPLE).toArrow()["v"]
+    shared = rows.sparkSession.sparkContext.broadcast
+    if n == 0:
+        return rows.select("id", "v", *(F.lit(0).cast("long").alias(c) for c in ("tile", "first", "second"))), []
+    pivots = shared(spread_pivots(_matrix(drawn), min(MOST_PIVOTS, -(-n // tile_rows)), absolute))
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            angles = _angles(_matrix(batch.column(1)), pivots.value, absolute)
+            cell = angles.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int32()), pa.array(angles.min(axis=1))],
+                                             names=["id", "v", "cell", "angle"])
+
+    cells = work.write(rows.mapInArrow(assign, "id long, v array<double>, cell int, angle double"), "cells")
+    work.drop("vectors")
+    found = sorted(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high"))
+                   .toLocalIterator())  # a row per pivot
+    number, tiles = np.array([c.cell for c in found]), np.array([-(-c.n // tile_rows) for c in found])
+    low, high = np.array([c.low for c in found]), np.array([c.high for c in found])
+    base = np.cumsum(tiles) - tiles
+    layout = shared((number, tiles, base, low, high))
+    reach = math.acos(min(1.0, max(-1.0, threshold))) + _SLACK
+    total = int(tiles.sum())
+
+    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, tiles, base, low, high = layout.value
+        owner = np.repeat(np.arange(len(number)), tiles)  # the cell of each tile
+        for batch in batches:
+            angles = _angles(_matrix(batch.column(1)), pivots.value[number], absolute)
+            near = (angles <= high + reach) & (angles >= low - reach)
+            at = np.searchsorted(number, batch.column(2).to_numpy())
+            near[np.arange(len(at)), at] = True
+            tile = base[at] + batch.column(4).to_numpy() % tiles[at]
+            row, other = np.nonzero(near[:, owner])
+            unit = np.minimum(tile[row], other) * total + np.maximum(tile[row], other)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(tile)))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(tile, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(unit, pa.int64()))], names=["id", "v", "tile", "units"])
+
+    dealt = (cells.withColumn("deal", hash32(F.col("id"), "tile").cast("long"))
+             .mapInArrow(partners, "id long, v array<double>, tile long, units array<long>")
+             .select("id", "v", "tile", F.explode("units").alias("unit"))
+             .select("id", "v", "tile", F.floor(F.col("unit") / total).alias("first"), (F.col("unit") % total).alias("second")))
+    return dealt, tiles.tolist()
 
 
 def cosine_pairs(df: DataFrame, id_col: str, vec_col: str, threshold: float,
-                 absolute: bool = True, tile_rows: int = 512) -> DataFrame:
-    """V1 + J7 + X7: all pairs i < j with (|)cos(|) >= threshold, exactly.
-
-    Zero vectors give NaN similarity and never pass. Work is n^2 / 2 dot
-    products in BLAS blocks; shuffle volume is 2 n^2 / tile_rows vectors.
+                 absolute: bool = True, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """V1 + J7 + X7: (i, j, sim), all pairs i < j with (|)cos(|) >= threshold, exactly, for vectors of one length.
+
+    Vectors belong to the cell of their nearest pivot. A vector meets another cell only if its angle to that cell's pivot is
+    within the cell's range of angles, widened by the angle of the threshold: by the triangle inequality no other vector can
+    have a partner there. Cells are dealt into tiles of ``tile_rows`` on average, and a task multiplies two tiles. So work and
+    shuffle follow the clusters in the data; where nothing can be pruned they are those of all pairs, n^2 / 2 products and
+    2 n^2 / tile_rows vectors. Null, zero and non-finite vectors and rows without id are in no pair; a vector twice in the
+    input is in two rows.
     """
-    n = df.count()
-    tiles = max(1, math.ceil(n / tile_rows))
-    v = df.select(F.col(id_col).cast("long").alias("id"), as_double_array(vec_col).alias("v"),
-                  (hash32(F.col(id_col), "tile") % tiles).cast("int").alias("t"))
-    # each pair of tiles a <= b is a group of its own; both orders of the id
-    # comparison are handled inside the block, so (a, b) covers a == b too
-    left = v.select("id", "v", F.col("t").alias("a"),
-                    F.explode(F.sequence(F.col("t"), F.lit(tiles - 1))).alias("b"))
-    right = v.select(F.col("id").alias("id2"), F.col("v").alias("v2"),
-                     F.explode(F.sequence(F.lit(0), F.col("t"))).alias("a"), F.col("t").alias("b"))
-    fn = _block_pairs(threshold, absolute)
-
-    def both_orders(lf: pd.DataFrame, rf: pd.DataFrame) -> pd.DataFrame:
-        if lf.empty or rf.empty:
-            return fn(lf, rf)
-        same = lf.iloc[0, 2] == lf.iloc[0, 3]
-        out = fn(lf, rf)
-        if not same:
-            swapped = fn(rf, lf)
-            out = pd.concat([out, swapped], ignore_index=True)
-        return out
-
-    return (left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
-            .applyInPandas(both_orders, PAIR_SCHEMA))
+    units, _ = _tile_units(df, id_col, vec_col, threshold, absolute, tile_rows, Scratch(df.sparkSession, "cosine-pairs"))
+
+    def pairs(unit: pa.Table) -> pa.Table:
+        tile, first, second = (unit[c].to_numpy() for c in ("tile", "first", "second"))
+        ids, vectors = unit["id"].to_numpy(), _matrix(unit["v"])
+        a, b = np.flatnonzero(tile == first[0]), np.flatnonzero(tile == second[0])
+        length = np.einsum("ij,ij->i", vectors, vectors)
+        sim = (vectors[a] @ vectors[b].T) / np.sqrt(np.outer(length[a], length[b]))
+        if absolute:
+            sim = np.abs(sim)
+        row, col = np.nonzero((sim >= threshold) & (ids[a][:, None] < ids[b][None, :] if first[0] == second[0]
+                                                    else ids[a][:, None] != ids[b][None, :]))
+        i, j = ids[a[row]], ids[b[col]]
+        return pa.table({"i": np.minimum(i, j), "j": np.maximum(i, j), "sim": sim[row, col]})
+
+    return units.groupBy("first", "second").applyInArrow(pairs, _PAIRS)
+
+
+def cosine_join_report(df: DataFrame, id_col: str, vec_col: str, threshold: float,
+                       absolute: bool = True, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row: vectors, tile pairs and products of all pairs, and how many of both ``cosine_pairs`` looks at."""
+    units, tiles = _tile_units(df, id_col, vec_col, threshold, absolute, tile_rows, Scratch(df.sparkSession, "cosine-report"))
+    own, other = F.col("tile") == F.col("first"), F.col("tile") == F.col("second")
+    sizes = units.groupBy("first", "second").agg(F.sum(own.cast("long")).alias("a"), F.sum(other.cast("long")).alias("b"))
+    same = F.col("first") == F.col("second")
+    met = sizes.where((F.col("a") > 0) & (F.col("b") > 0))
+    n, count = F.sum(F.when(same, F.col("a"))), sum(tiles)
+    return met.agg(
+        F.coalesce(n, F.lit(0)).alias("vectors"), F.lit(len(tiles)).alias("cells"), F.lit(count * (count + 1) // 2).alias("tile_pairs"),
+        F.count(F.lit(1)).alias("tile_pairs_met"), F.coalesce(n * (n - 1) / 2, F.lit(0)).cast("long").alias("products"),
+        F.coalesce(F.sum(F.when(same, F.col("a") * (F.col("a") - 1) / 2).otherwise(F.col("a") * F.col("b"))), F.lit(0))
+        .cast("long").alias("products_met"))

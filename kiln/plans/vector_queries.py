@@ -97,6 +97,12 @@ def q_cosine_pairs(spark, sf_dir):
     return cosine_edges(spark, sf_dir).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
+@query("cosine_join_report")
+def q_cosine_join_report(spark, sf_dir):
+    """What the cells of the metric partition spare the join."""
+    return vx.cosine_join_report(embeddings(spark, sf_dir), "vec_id", "embedding", COS_MIN)
+
+
 ALPHA_SQL = ", ".join(f"({a}::DOUBLE)" for a in ALPHAS)
 
 
@@ -109,6 +115,41 @@ def q_alpha_cut(spark, sf_dir):
             .filter(F.col("sim") >= F.col("alpha")).select("alpha", "i", "j"))
 
 
+SQL_FOREST = f"""{SQL_COS},
+nd AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings),
+we AS (SELECT i, j, round(sim, 9) AS w FROM edges),
+od AS (SELECT i, j, w, a.r AS ri, b.r AS rj, row_number() OVER (ORDER BY w DESC, i, j) AS k
+       FROM we JOIN nd a ON a.vec_id = i JOIN nd b ON b.vec_id = j),
+fold(k, tree, i, j, w, taken) AS (
+  SELECT 0::BIGINT, (SELECT list(r ORDER BY r) FROM nd), NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE, false
+  UNION ALL
+  SELECT od.k, list_transform(tree, lambda x: CASE WHEN x = greatest(tree[ri], tree[rj]) THEN least(tree[ri], tree[rj]) ELSE x END),
+         od.i, od.j, od.w, tree[ri] <> tree[rj]
+  FROM fold JOIN od ON od.k = fold.k + 1)"""
+
+
+def similarity_forest(spark, sf_dir):
+    """The similarity relation's spanning forest, with memberships of nine digits."""
+    edges = cosine_edges(spark, sf_dir).select("i", "j", F.round("sim", 9).alias("w"))
+    return fz.spanning_forest(edges)
+
+
+@query("fuzzy_forest", f"WITH RECURSIVE {SQL_FOREST} SELECT i, j, w FROM fold WHERE taken")
+def q_fuzzy_forest(spark, sf_dir):
+    """V3: the max-min closure of the similarity relation as n - 1 edges."""
+    return similarity_forest(spark, sf_dir)
+
+
+@query("fuzzy_closure", f"""WITH RECURSIVE {SQL_FOREST},
+ts AS (SELECT tree FROM fold ORDER BY k DESC LIMIT 1),
+mg AS (SELECT node, max(w) AS merge FROM (SELECT i AS node, w FROM we UNION ALL SELECT j, w FROM we) GROUP BY node)
+SELECT n.vec_id, c.vec_id AS cluster, mg.merge
+FROM nd n CROSS JOIN ts JOIN nd c ON c.r = ts.tree[n.r] LEFT JOIN mg ON mg.node = n.vec_id""")
+def q_fuzzy_closure(spark, sf_dir):
+    nodes = embeddings(spark, sf_dir).select(F.col("vec_id").alias("node"))
+    return fz.closure_of_nodes(nodes, similarity_forest(spark, sf_dir)).withColumnRenamed("node", "vec_id")
+
+
 @query("fuzzy_clusters", f"""WITH RECURSIVE {SQL_COS},
 al AS (SELECT alpha FROM (VALUES {ALPHA_SQL}) a(alpha)),
 ue AS (SELECT al.alpha, i AS s, j AS d FROM edges, al WHERE sim >= al.alpha
@@ -118,9 +159,11 @@ reach(alpha, src, dst) AS (
   UNION SELECT r.alpha, r.src, ue.d FROM reach r JOIN ue ON ue.alpha = r.alpha AND ue.s = r.dst)
 SELECT alpha, src AS vec_id, min(dst) AS cluster FROM reach GROUP BY alpha, src""")
 def q_fuzzy_clusters(spark, sf_dir):
-    levels = F.explode(F.array(*[F.lit(a) for a in ALPHAS])).alias("alpha")
-    nodes = embeddings(spark, sf_dir).select(F.col("vec_id").alias("node"), levels)
-    edges = q_alpha_cut(spark, sf_dir)
+    """All levels from one forest, whose edges are fewer than the nodes."""
+    levels = F.array(*[F.lit(a) for a in ALPHAS])
+    nodes = embeddings(spark, sf_dir).select(F.col("vec_id").alias("node"), F.explode(levels).alias("alpha"))
+    forest = fz.spanning_forest(cosine_edges(spark, sf_dir).select("i", "j", F.col("sim").alias("w")))
+    edges = forest.select("i", "j", "w", F.explode(levels).alias("alpha")).where("w >= alpha")
     return fz.threshold_components(nodes, edges, ["alpha"]).select("alpha", F.col("node").alias("vec_id"), "cluster")
 
 
