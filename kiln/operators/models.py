@@ -6,7 +6,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import statistics
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, NaiveBayes
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.text import ENGLISH_STOPWORDS, SK_TOKEN_RE
+from kiln.operators import gram
 
 
 #: MLlib's way to say that every term is kept.
@@ -85,27 +85,9 @@ def nb_search(train: DataFrame, text_col: str, label_col: str, trials: list[dict
 
 
 def kfold_search(df: DataFrame, features: list[str], label: str, fold_col: str, folds: int, trials: list[dict]) -> list[tuple]:
-    """M9: K-fold search of linear regression with median pruning.
-
-    Folds of a trial run in order; a trial ends when its loss on a fold is above the median of what earlier trials
-    had on that fold. Returns (trial, reg, elastic, fold, rmse, pruned) per fitted fold. The loop is over
-    trials and folds, as many as asked for; every fit and loss is a Spark job.
-    """
-    seen: dict[int, list[float]] = {}
-    out = []
-    for n, t in enumerate(trials):
-        for fold in range(folds):
-            model = regression(features, label, regParam=t["reg"], elasticNetParam=t["elastic"], solver="normal"
-                               if t["elastic"] == 0 else "auto").fit(df.where(F.col(fold_col) != fold))
-            loss = (model.transform(df.where(F.col(fold_col) == fold))
-                    .agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col(label), 2))).alias("rmse")).first().rmse)
-            before = seen.setdefault(fold, [])
-            pruned = len(before) > 0 and loss > statistics.median(before)
-            before.append(loss)
-            out.append((n, t["reg"], t["elastic"], fold, loss, pruned))
-            if pruned and fold < folds - 1:
-                break
-    return out
+    """M9: (trial, reg, elastic, fold, rmse, pruned) of ``gram.kfold_losses`` over folds 0 to ``folds`` - 1, with median pruning."""
+    losses = gram.kfold_losses(df.where(F.col(fold_col).between(0, folds - 1)), features, label, fold_col, trials)
+    return sorted(map(tuple, gram.median_pruning(losses).collect()), key=lambda r: (r[0], r[3]))
 
 
 def regression(features: list[str], label: str, kind: str = "linear", weight: str | None = None,
