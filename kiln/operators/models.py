@@ -9,11 +9,9 @@ import math
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, NaiveBayes
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (CountVectorizer, IndexToString, NGram, RegexTokenizer, SQLTransformer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,21 +67,6 @@ def sample_space(space: dict, trials: int, seed: int = 42) -> list[dict]:
     return [{k: value(v, draw(k, t)) for k, v in space.items()} for t in range(trials)]
 
 
-def nb_search(train: DataFrame, text_col: str, label_col: str, trials: list[dict], parallelism: int = 4, seed: int = 42):
-    """M8: every trial (alpha, max_features) on one train/validation split, fitted in parallel; returns
-    (rows of (trial, alpha, max_features, accuracy), best model)."""
-    pipe = nb_text_pipeline(text_col, label_col)
-    nb, cv = pipe.getStages()[-1], pipe.getStages()[-3]
-    grid = [{nb.smoothing: float(t["alpha"]), cv.vocabSize: int(t["max_features"])} for t in trials]
-    ev = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_p", metricName="accuracy")
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.9,
-                               parallelism=parallelism, seed=seed)
-    model = tvs.fit(train)
-    rows = [(n, float(t["alpha"]), int(t["max_features"]), float(m))
-            for n, (t, m) in enumerate(zip(trials, model.validationMetrics))]
-    return rows, model
-
-
 def kfold_search(df: DataFrame, features: list[str], label: str, fold_col: str, folds: int, trials: list[dict]) -> list[tuple]:
     """M9: (trial, reg, elastic, fold, rmse, pruned) of ``gram.kfold_losses`` over folds 0 to ``folds`` - 1, with median pruning."""
     losses = gram.kfold_losses(df.where(F.col(fold_col).between(0, folds - 1)), features, label, fold_col, trials)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.text import clean_text, ngrams
 from kiln.lineage import Scratch
+from kiln.operators.common import global_index
 
 TERM = ["ta", "tb"]
 
@@ -127,3 +128,53 @@ def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str, l
     work, tokens = Scratch(train.sparkSession, "naive-bayes"), cleaned_tokens(text_col)
     model = fit(term_occurrences(train, [label_col], tokens, n_min, n_max), train, label_col, work, alpha)
     return predict(test.drop(text_col), term_occurrences(test, [id_col], tokens, n_min, n_max), model, id_col, alpha)
+
+
+def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str, held_out: Column, trials: list[dict],
+                     n_min: int = 1, n_max: int = 2) -> DataFrame:
+    """M8: (trial, alpha, max_features, accuracy): every trial fitted on the rows that are not held out, scored on the others.
+
+    Texts are tokenised once for all trials: term counts by document are written, and the fitted terms are ranked once by their
+    number of occurrences (ties in the order of the terms). The vocabulary of a trial is a prefix of that ranking, its class
+    masses are sums over the prefix, and its alpha only enters the formula. So trials are rows that meet the
+    hits of the held-out documents, and neither the vocabulary nor a class matrix leaves the tasks. Held-out rows without a
+    label are not scored; without any hit a document gets the class with the greatest prior.
+    """
+    spark = docs.sparkSession
+    work = Scratch(spark, "parameter-search")
+    table = F.broadcast(spark.createDataFrame([(n, float(t["alpha"]), int(t["max_features"])) for n, t in enumerate(trials)],
+                                              "trial int, alpha double, max_features int"))
+    most = max(int(t["max_features"]) for t in trials)
+    rows = docs.where(F.col(label_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(label_col).alias("cls"), held_out.alias("held"), text_col)
+    counts = work.write(term_occurrences(rows, ["id", "cls", "held"], cleaned_tokens(text_col), n_min, n_max, hashed=False)
+                        .groupBy("id", "cls", "held", "term").agg(F.count(F.lit(1)).alias("tf")), "counts")
+    by_class = (counts.where("NOT held").groupBy("term", "cls").agg(F.sum("tf").alias("n"))
+                .groupBy("term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("cls", "n")).alias("classes")))
+    terms = work.write(global_index(by_class, [F.desc("total"), "term"], out="place").where(F.col("place") <= most)
+                       .select("term", "place", "classes"), "terms")
+    # class masses and vocabulary of each trial, from the counts of its prefix
+    prefix = terms.join(table, F.col("place") <= F.col("max_features"))
+    size = prefix.groupBy("trial").agg(F.count(F.lit(1)).alias("v"))
+    mass = prefix.select("trial", F.explode("classes").alias("c")).groupBy("trial", F.col("c.cls").alias("cls")).agg(F.sum("c.n").alias("mass"))
+    fitted = rows.where("NOT held").groupBy("cls").agg(F.count(F.lit(1)).alias("docs"))
+    priors = fitted.crossJoin(fitted.agg(F.sum("docs").alias("all")))
+    model = work.write(
+        priors.crossJoin(table).join(mass, ["trial", "cls"], "left").join(size, "trial", "left")
+        .select("trial", "cls", F.log(F.col("docs") / F.col("all")).alias("prior"),
+                F.log(F.col("alpha") / (F.coalesce("mass", F.lit(0)) + F.col("alpha") * F.coalesce("v", F.lit(0)))).alias("miss")), "model")
+    hits = (counts.where("held").join(terms, "term").join(table, F.col("place") <= F.col("max_features"))
+            .select("trial", "alpha", "id", "tf", F.explode(F.concat(
+                "classes", F.array(F.struct(F.lit(None).cast(terms.schema["classes"].dataType.elementType["cls"].dataType).alias("cls"),
+                                            F.lit(0).cast("long").alias("n"))))).alias("c")))
+    gain = F.when(F.col("c.cls").isNull(), F.col("tf").cast("double")).otherwise(F.col("tf") * F.log((F.col("c.n") + F.col("alpha")) / F.col("alpha")))
+    sums = hits.groupBy("trial", "id", F.col("c.cls").alias("cls")).agg(F.sum(gain).alias("s"))
+    sums = work.write(sums, "sums")
+    truth = rows.where("held").select("id", F.col("cls").alias("truth"))
+    scored = (truth.join(model).join(sums.where("cls IS NOT NULL"), ["trial", "id", "cls"], "left")
+              .join(sums.where("cls IS NULL").select("trial", "id", F.col("s").alias("t")), ["trial", "id"], "left")
+              .withColumn("score", F.col("prior") + F.coalesce(F.col("t") * F.col("miss"), F.lit(0.0)) + F.coalesce("s", F.lit(0.0))))
+    # the greatest score, of equals the smallest class
+    best = scored.groupBy("trial", "id", "truth").agg(F.min(F.struct((-F.col("score")).alias("o"), "cls")).alias("b"))
+    found = best.groupBy("trial").agg(F.avg((F.col("b.cls") == F.col("truth")).cast("double")).alias("accuracy"))
+    return table.join(found, "trial", "left").select("trial", "alpha", "max_features", "accuracy")

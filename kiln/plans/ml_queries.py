@@ -7,10 +7,12 @@ from pyspark.ml.classification import LinearSVC
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kiln.functions.hashing import sql_hash32, sql_unit_hash
+from kiln.functions import text as tx
+from kiln.functions.hashing import sql_hash32, sql_unit_hash, unit_hash
 from kiln.lineage import Scratch
 from kiln.operators import gram, metrics
 from kiln.operators import models as ml
+from kiln.operators import naive_bayes as nb
 from kiln.operators import timeseries as ts
 from kiln.operators import vectors as vx
 from kiln.operators import weather as wx
@@ -19,7 +21,7 @@ from kiln.operators.split import hash_split, kfold, pick_k
 from kiln.plans import query
 from kiln.plans.ev_queries import q_price_features
 from kiln.plans.series_queries import LOOK_BACK, SQL_TARGETS, daily_targets, scaled_series, target_stats
-from kiln.plans.text_queries import split_documents
+from kiln.plans.text_queries import SQL_SPLIT, split_documents
 from kiln.plans.vector_queries import CENTRES, SQL_SAMPLED, embeddings, sampled_centres
 from kiln.plans.weather_queries import records
 
@@ -37,12 +39,42 @@ def q_nb_pipeline(spark, sf_dir):
 NB_SPACE = {"alpha": [0.01, 0.1, 0.5, 1.0], "max_features": (5_000, 50_000)}
 
 
-@query("param_search")
+NB_TRIALS = ml.sample_space(NB_SPACE, 5)
+
+
+def _sql_param_search() -> str:
+    trials = ", ".join(f"({n}, {t['alpha']!r}::DOUBLE, {t['max_features']})" for n, t in enumerate(NB_TRIALS))
+    return f"""WITH {SQL_SPLIT},
+tr AS (SELECT doc_id, text, label, {sql_unit_hash('doc_id', "'42'", "'holdout'")} < 0.1::DOUBLE AS held
+       FROM s WHERE split = 'train' AND label IS NOT NULL),
+tok AS (SELECT doc_id, label, held, list_filter(string_split({tx.sql_clean_text('text')}, ' '), lambda x: x <> '') AS t FROM tr),
+tf AS (SELECT doc_id, label, held, term, count(*) AS tf FROM (
+         SELECT doc_id, label, held, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: array_to_string(t[i:i+1], ' ')))) AS term
+         FROM tok) GROUP BY ALL),
+tc AS (SELECT term, label, sum(tf) AS n FROM tf WHERE NOT held GROUP BY ALL),
+rk AS (SELECT term, row_number() OVER (ORDER BY sum(n) DESC, term) AS place FROM tc GROUP BY term),
+trials AS (SELECT * FROM (VALUES {trials}) v(trial, alpha, max_features)),
+vs AS (SELECT trial, count(*) AS v FROM rk JOIN trials ON place <= max_features GROUP BY trial),
+ms AS (SELECT trial, label, sum(n) AS mass FROM tc JOIN rk USING (term) JOIN trials ON place <= max_features GROUP BY ALL),
+pr AS (SELECT label, count(*)::DOUBLE / sum(count(*)) OVER () AS prior FROM tr WHERE NOT held GROUP BY label),
+md AS (SELECT trials.trial, pr.label, ln(prior) AS prior, ln(alpha / (coalesce(mass, 0) + alpha * vs.v)) AS miss
+       FROM trials CROSS JOIN pr JOIN vs USING (trial) LEFT JOIN ms ON ms.trial = trials.trial AND ms.label = pr.label),
+ht AS (SELECT trial, alpha, doc_id, term, tf FROM tf JOIN rk USING (term) JOIN trials ON place <= max_features WHERE held),
+td AS (SELECT trial, doc_id, sum(tf) AS t FROM ht GROUP BY ALL),
+sd AS (SELECT trial, doc_id, tc.label, sum(tf * ln((tc.n + alpha) / alpha)) AS s FROM ht JOIN tc USING (term) GROUP BY ALL),
+sc AS (SELECT md.trial, tr.doc_id, tr.label AS truth, md.label AS cls, md.prior + coalesce(td.t, 0) * md.miss + coalesce(sd.s, 0) AS score
+       FROM tr CROSS JOIN md LEFT JOIN td ON td.trial = md.trial AND td.doc_id = tr.doc_id
+       LEFT JOIN sd ON sd.trial = md.trial AND sd.doc_id = tr.doc_id AND sd.label = md.label WHERE tr.held),
+bs AS (SELECT trial, doc_id, truth, first(cls ORDER BY score DESC, cls) AS cls FROM sc GROUP BY ALL)
+SELECT trial, alpha, max_features, avg((cls = truth)::INTEGER) AS accuracy FROM trials JOIN bs USING (trial) GROUP BY ALL"""
+
+
+@query("param_search", _sql_param_search())
 def q_param_search(spark, sf_dir):
-    s = split_documents(spark, sf_dir)
-    train = Scratch(spark, "param-search").write(s.filter(F.col("split") == "train"), "train")
-    rows, _ = ml.nb_search(train, "text", "label", ml.sample_space(NB_SPACE, 5))
-    return spark.createDataFrame(rows, "trial int, alpha double, max_features int, accuracy double")
+    """M8: five trials of smoothing and vocabulary size from one tokenisation."""
+    train = split_documents(spark, sf_dir).where("split = 'train'")
+    held = unit_hash(F.col("doc_id"), 42, "holdout") < F.lit(0.1)
+    return nb.parameter_search(train, "doc_id", "text", "label", held, NB_TRIALS)
 
 
 GBT_FEATURES = ["hours", "soc_start_pct", "capacity_kwh", "start_hour"]
