@@ -98,10 +98,10 @@ def compare(pred: DataFrame, records: DataFrame, stats: DataFrame) -> DataFrame:
 def verdict_columns(j: DataFrame) -> DataFrame:
     """The F2-F4 projection over (date, p_*, _fetched, _g, stats columns);
     shared by the batch comparison and the streaming one."""
-    return j.select(*_verdict_columns())
+    return j.select(*verdict_list())
 
 
-def _verdict_columns() -> list[Column]:
+def verdict_list() -> list[Column]:
     t_mean = (F.col("mean_max") + F.col("mean_min")) / 2.0
     t_std = (F.col("std_max") + F.col("std_min")) / 2.0
     m_avg = (F.col("p_max") + F.col("p_min")) / 2.0
@@ -134,7 +134,7 @@ def verbose_report(preds_long: DataFrame, records: DataFrame, stats: DataFrame,
         F.round((F.col("p_max") + F.col("p_min")) / 2.0, digits).alias("model_avg_temp"),
         F.round((low + high) / 2.0, digits).alias("api_avg_temp"), F.round("_g.wind.speed.high", digits).alias("api_wind"),
         F.coalesce("_g.forecast.text", F.lit("N/A")).alias("forecast_text"),
-        F.struct(*_verdict_columns()).alias("_v"))
+        F.struct(*verdict_list()).alias("_v"))
     z = ("model_temp_z", "api_temp_z", "model_wind_z", "api_wind_z")
     return wide.select("_v.date", *[c for c in wide.columns if c != "_v"],
                        *[F.round(f"_v.{c}", digits).alias(c) for c in z], "_v.temperature", "_v.wind")

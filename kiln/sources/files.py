@@ -7,6 +7,9 @@ columns that CSV cannot hold.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -90,16 +93,98 @@ def read_json_doc(spark: SparkSession, path: str, schema: str | T.StructType, mu
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+_COMMIT, _VERSION = "_committed", "v-"
+
+
 def materialised(spark: SparkSession, path: str, build) -> DataFrame:
-    """Reuse a written Parquet copy when present, else build and write it. Any other failure to read is
-    raised, and nothing is overwritten."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    build().write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    """Reuse the committed copy in folder ``path`` when there is one, else build, write and commit it.
+
+    A copy is written under a fresh name and becomes the table by one rename of a marker file that names it; the rename
+    fails where a marker exists. So a job killed while it writes leaves nothing that is read, of two writers the
+    first to commit wins and the other returns that copy and removes its own, and nothing is overwritten. A folder that a plain
+    Spark job has finished (with its success mark) is read as it is; any other folder with files of other origin is an error. The
+    rename must not replace a file, as on HDFS; a store without such a rename needs a single writer.
+    """
+    folder = _Folder(spark, path)
+    version = folder.committed()
+    if version is None:
+        names = folder.names()
+        if "_SUCCESS" in names:
+            return spark.read.parquet(path)
+        if any(not n.startswith((_VERSION, "_", ".")) for n in names):
+            raise FileExistsError(f"{path} holds files of an unfinished or other job")
+        own = f"{_VERSION}{uuid.uuid4().hex}"
+        build().write.mode("errorifexists").parquet(f"{path}/{own}")
+        version = folder.commit(own)
+        if version != own:
+            folder.remove(own)
+    return spark.read.parquet(f"{path}/{version}")
+
+
+class _Folder:
+    """The few file operations of a committed table, in whatever store the path is."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        self.root = self.hadoop.Path(path)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs, self.context = self.root.getFileSystem(conf), self.hadoop.FileContext.getFileContext(self.root.toUri(), conf)
+        self.jvm = spark.sparkContext._jvm
+
+    def at(self, name: str):
+        return self.hadoop.Path(self.root, name)
+
+    def names(self) -> list[str]:
+        return [s.getPath().getName() for s in self.fs.listStatus(self.root)] if self.fs.exists(self.root) else []
+
+    def committed(self) -> str | None:
+        """The version that the marker names; none without a marker."""
+        if not self.fs.exists(self.at(_COMMIT)):
+            return None
+        stream = self.fs.open(self.at(_COMMIT))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def commit(self, version: str) -> str:
+        """Make ``version`` the table unless another is; the version that is."""
+        draft = self.at(f"_draft-{version}")
+        stream = self.fs.create(draft, False)
+        stream.write(version.encode())
+        stream.close()
+        nothing = self.jvm.java.lang.reflect.Array.newInstance(
+            self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 0)
+        try:
+            self.context.rename(draft, self.at(_COMMIT), nothing)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in str(error.java_exception):
+                raise
+            self.fs.delete(draft, False)
+        return self.committed()
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self.at(name), True)
+
+
+def load_or_default(spark: SparkSession, paths, defaults: dict[str, str]) -> DataFrame:
+    """(key, value, source): each key of ``defaults`` and of the JSON documents at ``paths``, with the value of the first document that
+    has one, else the default. A missing document is passed over, as is one that is no JSON object; null values count as absent.
+    ``source`` is the number of the document, from 1, and 0 for defaults. Values are text, nested ones as JSON.
+    """
+    found = spark.createDataFrame([(k, v, len(paths) + 1, 0) for k, v in defaults.items()], "key string, value string, place int, source int")
+    for n, path in enumerate(paths, 1):
+        try:
+            text = spark.read.text(path, wholetext=True)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        document = F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")
+        rows = text.select(F.explode(document).alias("key", "v")).select(
+            "key", F.coalesce(F.try_variant_get("v", "$", "string"), F.to_json("v")).alias("value"), F.lit(n).alias("place"), F.lit(n).alias("source"))
+        found = found.unionByName(rows.where("value IS NOT NULL AND value <> 'null'"))
+    return found.groupBy("key").agg(F.min_by(F.struct("value", "source"), "place").alias("b")).select("key", "b.value", "b.source")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by=None) -> None:
