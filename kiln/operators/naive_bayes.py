@@ -73,15 +73,16 @@ def fit(occurrences: DataFrame, docs: DataFrame, label_col: str, work: Scratch,
     """Fit on ``occurrences`` (*run, label, ta, tb) of ``docs`` (*run, id, label). Rows without a label teach nothing.
 
     ``run`` columns tell independent fits apart (e.g. experiment configurations): all are fitted by the same jobs.
-    The terms are written, so scoring joins two plain scans and adaptive execution can split a common term.
+    The counts are written once. What reads them, the vocabulary size and the join of the scoring, is one plan with
+    one shuffle by term. A term has as many rows as classes there, so no term makes that shuffle uneven.
     """
     r = list(run)
-    counts = (occurrences.where(F.col(label_col).isNotNull())
-              .groupBy(*r, *TERM, F.col(label_col).alias("cls")).agg(F.count(F.lit(1)).alias("n")))
-    terms = work.write(counts.groupBy(*r, *TERM).agg(F.collect_list(F.struct("cls", "n")).alias("classes")), f"{name}-terms")
-    size = terms.groupBy(*r).agg(F.count(F.lit(1)).alias("_v"))
-    seen = (terms.select(*r, F.explode("classes").alias("c")).groupBy(*r, F.col("c.cls").alias("cls"))
-            .agg(F.sum("c.n").alias("_nc")))
+    counts = work.write(occurrences.where(F.col(label_col).isNotNull())
+                        .groupBy(*r, *TERM, F.col(label_col).alias("cls")).agg(F.count(F.lit(1)).alias("n")), f"{name}-counts")
+    terms = counts.repartition(*TERM).groupBy(*r, *TERM).agg(F.collect_list(F.struct("cls", "n")).alias("classes"))
+    # counted from the collected classes: with the same columns the shuffle is the one of the scoring, and is reused
+    size = terms.groupBy(*r).agg(F.sum((F.size("classes") > 0).cast("long")).alias("_v"))
+    seen = counts.groupBy(*r, "cls").agg(F.sum("n").alias("_nc"))
     rows = (docs.where(F.col(label_col).isNotNull()).groupBy(*r, F.col(label_col).alias("cls"))
             .agg(F.count(F.lit(1)).alias("_docs")))
     total = rows.groupBy(*r).agg(F.sum("_docs").alias("_n"))
@@ -93,7 +94,7 @@ def fit(occurrences: DataFrame, docs: DataFrame, label_col: str, work: Scratch,
         "cls", F.log(F.col("_docs") / F.col("_n")).alias("prior"),
         F.when(mass > 0, F.log(a / mass)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
         .groupBy(*r).agg(F.array_sort(F.collect_list("c")).alias("all")))
-    return Model(terms, work.write(classes, f"{name}-classes"), r)
+    return Model(terms, classes, r)
 
 
 def predict(docs: DataFrame, occurrences: DataFrame, model: Model, id_col: str, alpha: float = 0.1,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kiln.functions import text as tx
 from kiln.functions.hashing import sql_hash32, sql_unit_hash, unit_hash
 from kiln.lineage import Scratch
+from kiln.operators import experiments as ex
 from kiln.operators import gram, metrics
 from kiln.operators import models as ml
 from kiln.operators import naive_bayes as nb
@@ -21,7 +22,7 @@ from kiln.operators.split import hash_split, kfold, pick_k
 from kiln.plans import query
 from kiln.plans.ev_queries import q_price_features
 from kiln.plans.series_queries import LOOK_BACK, SQL_TARGETS, daily_targets, scaled_series, target_stats
-from kiln.plans.text_queries import SQL_SPLIT, split_documents
+from kiln.plans.text_queries import SQL_SPLIT, nb_predictions, split_documents
 from kiln.plans.vector_queries import CENTRES, SQL_SAMPLED, embeddings, sampled_centres
 from kiln.plans.weather_queries import records
 
@@ -80,9 +81,17 @@ def q_param_search(spark, sf_dir):
 GBT_FEATURES = ["hours", "soc_start_pct", "capacity_kwh", "start_hour"]
 
 
+#: Boosting ends when a tree improves the loss on the validation rows by less than this share.
+GBT_TREES, GBT_TOLERANCE = 100, 0.01
+
+
 def _cost_gbt(spark, sf_dir):
-    d = Scratch(spark, "cost-gbt").write(hash_split(q_price_features(spark, sf_dir), "user", 0.2, 42), "features")
-    pipe = ml.regression(GBT_FEATURES, "final_cost", "gbt", maxIter=100, stepSize=0.1, maxDepth=5, seed=42)
+    """The model stops adding trees by its loss on a tenth of the training users."""
+    d = hash_split(q_price_features(spark, sf_dir), "user", 0.2, 42)
+    d = d.withColumn("stop_on", unit_hash(F.col("user"), 42, "early-stop") < F.lit(0.1))
+    d = Scratch(spark, "cost-gbt").write(d, "features")
+    pipe = ml.regression(GBT_FEATURES, "final_cost", "gbt", maxIter=GBT_TREES, stepSize=0.1, maxDepth=5, seed=42,
+                         validationIndicatorCol="stop_on", validationTol=GBT_TOLERANCE)
     model = pipe.fit(d.filter(F.col("split") == "train"))
     return model, model.transform(d.filter(F.col("split") == "test"))
 
@@ -291,3 +300,9 @@ def q_kernel_svc(spark, sf_dir):
 def q_kernel_svc_report(spark, sf_dir):
     """Precision, recall and F1 of the margin classifier on the held-out vectors."""
     return metrics.class_report(_svc_predictions(spark, sf_dir), "y", "predicted")
+
+
+@query("model_timings")
+def q_model_timings(spark, sf_dir):
+    """Wall-clock and per-sample seconds of predicting the held-out documents and vectors."""
+    return ex.timing_report({"naive_bayes": nb_predictions(spark, sf_dir), "radial_network": _rbf_predictions(spark, sf_dir)})

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kiln.functions.hashing import hash32, sql_hash32, sql_unit_hash, unit_hash
+from kiln.operators import experiments as ex
 from kiln.operators import metrics
 from kiln.operators import timeseries as ts
 from kiln.plans import query
@@ -57,6 +58,15 @@ def q_minmax_scale(spark, sf_dir):
     return s.select("ds", "revenue", F.round("scaled", 6).alias("scaled"))
 
 
+@query("minmax_inverse", f"WITH {SQL_DAILY} SELECT ds, round(scaled, 9) AS scaled, round(revenue, 4) AS unscaled FROM sc")
+def q_minmax_inverse(spark, sf_dir):
+    """Scaled by the training part's range and back."""
+    s = scaled_series(spark, sf_dir)
+    fit = ts.minmax_fit(s.filter(F.col("split") == "train"), "revenue")
+    back = ts.minmax_inverse(s, "scaled", fit)
+    return back.select("ds", F.round("scaled", 9).alias("scaled"), F.round("unscaled", 4).alias("unscaled"))
+
+
 @query("lag_windows", f"""WITH {SQL_DAILY},
 p AS (SELECT *, row_number() OVER (PARTITION BY split ORDER BY ds) AS pos,
              count(*) OVER (PARTITION BY split) AS n FROM sc),
@@ -265,3 +275,28 @@ def q_linreg_simple(spark, sf_dir):
                   F.round(F.regr_intercept("l_extendedprice", "l_quantity"), 6).alias("intercept"),
                   F.round(F.regr_r2("l_extendedprice", "l_quantity"), 6).alias("r2"))
 
+
+@query("block_means", """
+SELECT (l_orderkey // 50)::INTEGER AS block, round(avg(q), 6) AS mean
+FROM (SELECT l_orderkey, sum(l_quantity)::DOUBLE AS q FROM lineitem GROUP BY l_orderkey) GROUP BY 1 HAVING count(*) = 50""")
+def q_block_means(spark, sf_dir):
+    """Mean quantity over blocks of fifty orders, full blocks only."""
+    history = load(spark, sf_dir, "lineitem").groupBy((F.col("l_orderkey") + 1).alias("n")).agg(F.sum("l_quantity").cast("double").alias("q"))
+    return ex.block_means(history, "n", "q", 50).select("block", F.round("mean", 6).alias("mean"))
+
+
+@query("statistics_document", f"""WITH {SQL_DAILY}
+SELECT json_object('first', min(ds)::VARCHAR, 'last', max(ds)::VARCHAR, 'days', count(*), 'train', count(*) FILTER (WHERE split = 'train'))::VARCHAR AS stats
+FROM cs""")
+def q_statistics_document(spark, sf_dir):
+    """What a run was fitted on, as one document."""
+    s = ts.chrono_split(daily_revenue(spark, sf_dir), "ds")
+    return ex.statistics_document(s.agg(
+        F.min("ds").cast("string").alias("first"), F.max("ds").cast("string").alias("last"), F.count(F.lit(1)).alias("days"),
+        F.count(F.when(F.col("split") == "train", 1)).alias("train")))
+
+
+@query("round_down", "SELECT l_orderkey, l_linenumber, ((l_orderkey // 8) * 8)::BIGINT AS size FROM lineitem")
+def q_round_down(spark, sf_dir):
+    """The largest multiple of eight not above a value."""
+    return load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", ex.round_down("l_orderkey", 8).alias("size"))

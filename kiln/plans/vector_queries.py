@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.hashing import sql_hash32
 from kiln.operators import fuzzy as fz
-from kiln.operators import sets
+from kiln.operators import rules, sets
 from kiln.operators import vectors as vx
 from kiln.operators.common import spread
 from kiln.operators.split import pick_k
@@ -167,6 +167,32 @@ def q_fuzzy_clusters(spark, sf_dir):
     return fz.threshold_components(nodes, edges, ["alpha"]).select("alpha", F.col("node").alias("vec_id"), "cluster")
 
 
+SQL_MAMDANI = f"""
+SELECT event_id, round({fz.sql_mamdani('y', 'theta')}, 6) AS u FROM (
+  SELECT event_id, least(greatest((value - 25.0::DOUBLE) * 4.0::DOUBLE, -100.0::DOUBLE), 100.0::DOUBLE) AS y,
+         (json_extract(props, '$.k')::DOUBLE - 50.0::DOUBLE) * 3.6::DOUBLE AS theta FROM events)"""
+
+
+def controller_inputs(spark, sf_dir):
+    ev = spread(load(spark, sf_dir, "events"))
+    return ev.select("event_id", F.least(F.greatest((F.col("value") - 25.0) * 4.0, F.lit(-100.0)), F.lit(100.0)).alias("y"),
+                     ((F.get_json_object("props", "$.k").cast("double") - 50.0) * 3.6).alias("theta"))
+
+
+@query("mamdani_tables", SQL_MAMDANI)
+def q_mamdani_tables(spark, sf_dir):
+    """The same controller from rule tables, by a join of memberships with antecedents."""
+    kinds = {"tri": "trimf", "trap": "trapmf"}
+    sides = (("input", 1, "Y", (-100, 100), fz.MF_Y), ("input", 2, "THETA", (-180, 180), fz.MF_THETA), ("output", 1, "U", fz.U_RANGE, fz.MF_U))
+    lines = []
+    for side, n, name, (low, high), sets_of in sides:
+        lines += [f"[{side.capitalize()}{n}]", f"Name='{name}'", f"Range=[{low} {high}]"]
+        lines += [f"MF{k}='{label}':'{kinds[kind]}',[{' '.join(map(str, corners))}]" for k, (label, kind, corners) in enumerate(sets_of, 1)]
+    tables = rules.parse(spark, "\n".join([*lines, "[Rules]", *(f"{y} {t}, {u} (1) : 1" for y, t, u in fz.RULES)]))
+    scored = rules.score(controller_inputs(spark, sf_dir), "event_id", ["y", "theta"], *tables)
+    return scored.select("event_id", F.round("u", 6).alias("u"))
+
+
 @query("mamdani_score", f"""
 SELECT event_id, round({fz.sql_mamdani('y', 'theta')}, 6) AS u FROM (
   SELECT event_id, least(greatest((value - 25.0::DOUBLE) * 4.0::DOUBLE, -100.0::DOUBLE), 100.0::DOUBLE) AS y,
@@ -216,3 +242,13 @@ def q_union_missing(spark, sf_dir):
         F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
     return sets.union_all([c, s])
+
+
+@query("flatten_index", """
+SELECT c_custkey, flat, coalesce(list_position(flat, c_nationkey), 0)::BIGINT AS place, list_contains(flat, c_nationkey) AS held
+FROM (SELECT c_custkey, c_nationkey, flatten([[c_custkey % 25, 7], [c_nationkey % 13]]) AS flat FROM customer)""")
+def q_flatten_index(spark, sf_dir):
+    """A nested list flattened, and where the customer's nation stands in it."""
+    nested = F.array(F.array(F.col("c_custkey") % 25, F.lit(7).cast("long")), F.array((F.col("c_nationkey") % 13).cast("long")))
+    flat, place, held = sets.flatten_index(nested, F.col("c_nationkey").cast("long"))
+    return load(spark, sf_dir, "customer").select("c_custkey", flat.alias("flat"), place.cast("long").alias("place"), held.alias("held"))

@@ -12,8 +12,8 @@ from kiln.sources.tables import TABLES
 from tests.conftest import SMOKE
 
 #: Fitted models have no SQL form; tests/test_models.py checks them.
-FITTED = {"nb_pipeline", "param_search", "kfold_search", "cost_gbt", "cost_gbt_report", "load_forecast", "load_forecast_errors",
-          "weather_regression", "forecast_model_verdict", "rbf_classifier", "kernel_svc"}
+FITTED = {"nb_pipeline", "cost_gbt", "cost_gbt_report", "load_forecast", "load_forecast_errors",
+          "weather_regression", "forecast_model_verdict", "kernel_svc", "kernel_svc_report", "model_timings", "cosine_join_report"}
 #: Reports over the experiment grid, which each of them computes; the grid itself and one report are compared here.
 REPORTS = {"pivot_accuracy", "baseline_delta", "group_mean", "model_comparison", "best_trial", "early_stop", "pad_history"}
 PARITY = sorted(set(plans.oracle_sql()) - REPORTS)
