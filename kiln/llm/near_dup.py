@@ -164,9 +164,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     an empty set and links with nothing. Rows with one doc_id share a component. A row without doc_id
     links with nothing: its component_id is null and it is kept. An empty table gives no rows.
 
-    Shuffles: one row per class and band, the texts of candidate documents only, and edges. Equal
-    sets, hot or not, are reduced map-side to one class; groups larger than ``TILE`` are dealt as tile
-    pairs, and only tiles that share a band key meet.
+    Shuffles: one row per class and band, the texts of candidate documents, and edges. Which documents those are is
+    written before the join with the texts: while the list is small enough for Spark to broadcast, no other text moves; a larger
+    one shuffles all texts once. Equal sets, hot or not, are reduced map-side to one class; groups larger than ``TILE`` are
+    dealt as tile pairs, and only tiles that share a band key meet.
     """
     work = Scratch(docs.sparkSession, "near-dup")
     sig = work.write(signatures(docs), "signatures")
@@ -196,10 +197,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     tiled = big.select("node", "grp", "tile").join(
         pairs.select("grp", "first", "second",
                      F.explode(F.array_distinct(F.array("first", "second"))).alias("tile")), ["grp", "tile"])
-    units = (docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-             .join(whole.unionByName(tiled), "node"))
+    wanted = work.write(whole.unionByName(tiled), "units")
+    units = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node")
     labels = connected_components(confirmed_links(units, percent), work, "links")
-    for name in ("heads", "groups", "counts", "members", "tile-pairs"):
+    for name in ("heads", "groups", "counts", "members", "tile-pairs", "units"):
         work.drop(name)
     named = (classes.select("set_a", "set_b", "node").join(labels, "node", "left")
              .select("set_a", "set_b", F.coalesce("component", "node").alias("component_id")))
