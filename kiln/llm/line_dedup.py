@@ -108,6 +108,7 @@ def repeated_runs(docs: DataFrame, work: Scratch, least: int) -> DataFrame:
         pairs = blocks.withColumn("next", F.first("rank").over(ahead)).where("next IS NOT NULL")
         depth *= 2
         blocks = _ranked(pairs, ["rank", "next"], work, f"blocks-{depth}")
+        work.drop(f"blocks-{depth}-ranks")
         here = longer.where((F.col("n") >= depth) & (F.col("n") < 2 * depth))
         start = blocks.select(*_DOC, F.col("i").alias("at"), F.col("rank").alias("x"))
         end = blocks.select(*_DOC, F.col("i").alias("end"), F.col("rank").alias("y"))
@@ -140,8 +141,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """
     rest = [c for c in docs.columns if c.lower() not in ("n_lines", "n_deleted", "text")]
     d0, t0, ranges, changed = fresh(rest, "_d", "_t", "_ranges", "_changed")
-    gone = (later_copies(docs, min_chars).groupBy(*_DOC)
-            .agg(F.collect_list(F.struct("first", "last")).alias(ranges)).withColumnsRenamed({"d": d0, "t": t0}))
+    # written, so that the join with the texts knows its real size: a short list is broadcast and no text moves
+    gone = Scratch(docs.sparkSession, "later-copies").write(
+        later_copies(docs, min_chars).groupBy(*_DOC).agg(F.collect_list(F.struct("first", "last")).alias(ranges))
+        .withColumnsRenamed({"d": d0, "t": t0}), "ranges")
     d, t = _doc_key(docs)
     joined = docs.select(*quoted(rest), docs["text"]).join(gone, (d == F.col(d0)) & (t == F.col(t0)), "left")
     numbers = F.array_distinct(F.flatten(F.transform(ranges, lambda r: F.sequence(r["first"], r["last"]))))
