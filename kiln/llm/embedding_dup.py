@@ -28,6 +28,8 @@ PROJECTIONS = 32
 WINDOW, WIDE = 1.6, 4.0
 #: Chance that a pair at the threshold passes the count.
 RECALL = 0.9999
+#: A block product and the sum of one pair differ by less, so that a pair is judged alike in every tile.
+_ROUNDING = 1e-9
 #: Vectors in a tile, at most 65,535; a task holds two tiles and a few matrices of this side.
 TILE = 1024
 
@@ -69,9 +71,13 @@ def links_between(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
         # lo <= rank < hi in one unsigned comparison: below lo the difference wraps around
         count += (rank - lo[:, None]) < (hi - lo)[:, None]
     passed = count >= least_collisions()
-    if passed.mean() > 0.02:
-        return passed & (a @ b.T >= cosine)
-    rows, cols = np.nonzero(passed)
+    if passed.mean() > 0.02:  # a block product decides what rounding can't; the sum of one pair decides all others
+        dots = a @ b.T
+        doubtful = passed & (np.abs(dots - cosine) <= _ROUNDING)
+        passed &= dots >= cosine
+    else:
+        doubtful = passed
+    rows, cols = np.nonzero(doubtful)
     passed[rows, cols] = np.einsum("ij,ij->i", a[rows], b[cols]) >= cosine
     return passed
 

@@ -57,3 +57,14 @@ def test_edge_rows(spark):
     nobody = spark.createDataFrame([(None, 0, one), (None, 0, one)], "vec_id long, label int, embedding array<double>")
     assert [(r.n_links, r.component_id, r.kept) for r in embedding_dup.near_duplicates(nobody).collect()] == [(0, None, True)] * 2
     assert embedding_dup.near_duplicates(table.where("vec_id > 99")).collect() == []
+
+
+def test_pairs_at_the_threshold_are_judged_alike_in_every_tile():
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((40, 24))
+    a = embedding_dup.unit_rows(np.repeat(base, 20, axis=0) + 0.05 * rng.standard_normal((800, 24)))
+    cosine = float(np.einsum("ij,ij->i", a[:1], a[1:2])[0])  # exactly at the bound
+    whole = embedding_dup.links_between(a, a, cosine)  # many pass: by block product
+    alone = embedding_dup.links_between(a[:1], a[1:], cosine)  # few pass
+    far = embedding_dup.links_between(a[1:2], a[rng.permutation(len(a))], cosine)
+    assert whole[0, 1] and alone[0, 0] and far.sum() == whole[1].sum()
