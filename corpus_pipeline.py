@@ -56,7 +56,9 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = work.write(groups.groupBy("component_id").agg(F.min("place.row").alias("any"), F.max("place.row").alias("other"),
                                                           F.min("place").alias("first"))
                        .where(F.col("any") < F.col("other")).select("component_id", F.col("first.row").alias("first")), "first")
-    gone = groups.join(first, "component_id").where("row <> first").select("row")
+    gone = work.write(groups.join(first, "component_id").where("row <> first").select("row"), "gone")
+    for name in ("groups", "first"):
+        work.drop(name)
     return numbered.join(gone, F.col(row) == gone["row"], "left_anti").select(*quoted(docs.columns))
 
 
