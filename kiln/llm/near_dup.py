@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from kiln.lineage import Scratch
 from kiln.llm.shingles import mix, shingle_set, signed, stream
+from kiln.llm.sieve import sieve
 from kiln.operators.components import connected_components
 
 BANDS, ROWS = 25, 5
@@ -165,8 +166,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     links with nothing: its component_id is null and it is kept. An empty table gives no rows.
 
     Shuffles: one row per class and band, the texts of candidate documents, and edges. Which documents those are is
-    written before the join with the texts: while the list is small enough for Spark to broadcast, no other text moves; a larger
-    one shuffles all texts once. Equal sets, hot or not, are reduced map-side to one class; groups larger than ``TILE`` are
+    written, and a filter of fixed size keeps most other texts from the join. Equal sets, hot or not, are reduced map-side to one class; groups larger than ``TILE`` are
     dealt as tile pairs, and only tiles that share a band key meet.
     """
     work = Scratch(docs.sparkSession, "near-dup")
@@ -198,7 +198,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         pairs.select("grp", "first", "second",
                      F.explode(F.array_distinct(F.array("first", "second"))).alias("tile")), ["grp", "tile"])
     wanted = work.write(whole.unionByName(tiled), "units")
-    units = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
+    units = sieve(texts, "node", wanted).join(wanted, "node")
     labels = connected_components(confirmed_links(units, percent), work, "links")
     for name in ("heads", "groups", "counts", "members", "tile-pairs", "units"):
         work.drop(name)
