@@ -98,16 +98,3 @@ def test_models_score_after_components_in_one_session(spark):
     """Clusters must leave nothing in the session that a margin classifier can't serialise."""
     assert run(spark, "fuzzy_clusters", SMOKE).count() > 0
     assert run(spark, "kernel_svc", SMOKE).count() > 0
-
-
-def test_boosting_stops_on_the_validation_rows(spark):
-    """Fewer trees than the maximum, and errors no worse than with all of them."""
-    from kiln.plans import ml_queries
-
-    model, out = ml_queries._cost_gbt(spark, MEDIUM)
-    assert 1 < model.stages[-1].getNumTrees < ml_queries.GBT_TREES
-    train = spark.createDataFrame(ml_queries.q_price_features(spark, MEDIUM).toPandas())
-    train = ml_queries.hash_split(train, "user", 0.2, 42)
-    full = ml.regression(ml_queries.GBT_FEATURES, "final_cost", "gbt", maxIter=ml_queries.GBT_TREES, stepSize=0.1, maxDepth=5, seed=42) \
-        .fit(train.where("split = 'train'")).transform(train.where("split = 'test'"))
-    assert r2(out, "final_cost", "prediction") > r2(full, "final_cost", "prediction") - 0.02
