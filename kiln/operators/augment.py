@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.hashing import hash32, unit_hash
+from kiln.functions.hashing import hash32, hash_digits, unit_above
 from kiln.functions.text import tokenize
+from kiln.lineage import Scratch
 
 TECHNIQUES = ("synonym", "deletion", "swap")
 TOKENS = "_t"
@@ -28,8 +29,7 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
     """Drop each token with probability p; keep one token if all go;
     texts of one token (or none) are returned unchanged."""
     t = with_tokens(df, text_col)
-    kept = F.filter(F.col("_t"), lambda x, i: unit_hash(F.col(id_col), F.col(copy_col), "del", i)
-                    > F.lit(float(p)))
+    kept = F.filter(F.col("_t"), lambda x, i: unit_above(float(p), F.col(id_col), F.col(copy_col), "del", i))
     pick = F.array(F.element_at(
         "_t", (hash32(F.col(id_col), F.col(copy_col), "delpick")
                 % F.greatest(F.size("_t"), F.lit(1))).cast("int") + 1))
@@ -60,19 +60,21 @@ def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str
     """Among the text's distinct alphanumeric tokens, in hash order, the
     first n with a synonym are replaced everywhere by one of their synonyms
     (hash-chosen). A synonym keeps its letters, digits and blanks only, and
-    never is the word itself. Without any candidate the tokens are re-joined."""
+    never is the word itself. Without any candidate the tokens are re-joined.
+    The synonyms and the choices are written before their joins, so that
+    their real size decides: while they are short, no token and no text is
+    shuffled."""
+    work = Scratch(df.sparkSession, "synonyms")
     clean = F.trim(F.regexp_replace("synonym", r"[^\p{L}\p{N} ]", ""))
-    syn = (synonyms.select("word", clean.alias("synonym")).where("synonym <> '' AND synonym <> word")
-           .groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("_syns")))
+    syn = work.write(synonyms.select("word", clean.alias("synonym")).where("synonym <> '' AND synonym <> word")
+                     .where(F.col("word").rlike(r"^[\p{L}\p{N}]+$")).groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("_syns")), "words")
     t = with_tokens(df, text_col)
-    cands = (t.select(id_col, copy_col, F.explode(F.array_distinct(
-        F.filter("_t", lambda x: x.rlike(r"^[\p{L}\p{N}]+$")))).alias("word"))
-        .join(syn, "word"))
+    cands = (t.select(id_col, copy_col, F.explode(F.array_distinct("_t")).alias("word")).join(syn, "word"))
     pick = F.get("_syns", (hash32(F.col(id_col), F.col(copy_col), "synpick") % F.size("_syns")).cast("int"))
-    choice = (cands.select(id_col, copy_col, F.struct(
-        hash32(F.col(id_col), F.col(copy_col), "synword", F.col("word")).alias("h"), "word", pick.alias("to")).alias("c"))
+    choice = work.write(cands.select(id_col, copy_col, F.struct(
+        hash_digits(F.col(id_col), F.col(copy_col), "synword", F.col("word")).alias("h"), "word", pick.alias("to")).alias("c"))
         .groupBy(id_col, copy_col)
-        .agg((F.array(F.min("c")) if n == 1 else F.slice(F.array_sort(F.collect_list("c")), 1, n)).alias("_c")))
+        .agg((F.array(F.min("c")) if n == 1 else F.slice(F.array_sort(F.collect_list("c")), 1, n)).alias("_c")), "choice")
     j = t.join(choice, [id_col, copy_col], "left")
     chosen = F.map_from_arrays(F.transform("_c", lambda c: c["word"]), F.transform("_c", lambda c: c["to"]))
     res = F.array_join(F.when(F.col("_m").isNull(), F.col("_t")).otherwise(

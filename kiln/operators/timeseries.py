@@ -13,8 +13,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kiln.lineage import Scratch
 from kiln.operators.common import attach_row, global_index
 
+#: Positions of a series that one window of ``lag_windows`` holds.
+BLOCK_ROWS = 65536
+
 
 def floor_minutes(ts: Column | str, minutes: int) -> Column:
     """Epoch-aligned bucket start (UTC)."""
@@ -83,20 +87,25 @@ def lag_windows(series: DataFrame, part_cols: list[str], ts_col: str, value_col:
     Sample i uses values i..i+look_back-1 as features and i+look_back as the
     target. With ``drop_last`` the final possible sample is left out, as the
     reference does (len - look_back - 1 samples). Positions come from one
-    distributed order, not from a window per series, and the features from an
-    equi-join on positions. Part columns must not be NULL.
+    distributed order, not from a window per series. A series is cut into
+    blocks of positions, each with the ``look_back`` rows before it, so that
+    a long series is many windows and its rows are shuffled about once. Part
+    columns must not be NULL.
     """
-    ranked = global_index(series, [*part_cols, ts_col], out="_idx")
+    written = Scratch(series.sparkSession, "lag-windows").write(series.select(*part_cols, ts_col, value_col), "series")
+    ranked = global_index(written, [*part_cols, ts_col], out="_idx")
     parts = ranked.groupBy(*part_cols).agg(F.min("_idx").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    pos = ranked.join(parts, part_cols).withColumn("_pos", F.col("_idx") - F.col("_first") + 1).drop("_idx", "_first")
+    pos = ranked.join(parts, part_cols).withColumn("_pos", F.col("_idx") - F.col("_first")).drop("_idx", "_first")
+    rows = max(BLOCK_ROWS, look_back)
+    own = F.floor(F.col("_pos") / rows)
+    blocks = pos.withColumn("_own", own).withColumn("_block", F.explode(
+        F.when(F.col("_pos") % rows >= rows - look_back, F.array(own, own + 1)).otherwise(F.array(own))))
+    before = Window.partitionBy(*part_cols, "_block").orderBy("_pos").rowsBetween(-look_back, -1)
     last = F.col("_n") - (1 if drop_last else 0)
-    targets = pos.filter((F.col("_pos") > look_back) & (F.col("_pos") <= last)).select(
-        *part_cols, F.col(ts_col), F.col(value_col).alias("target"),
-        F.explode(F.sequence(F.lit(1), F.lit(look_back))).alias("lag"), "_pos")
-    targets = targets.withColumn("_fpos", F.col("_pos") - F.col("lag")).drop("_pos")
-    feats = pos.select(*part_cols, F.col("_pos").alias("_fpos"), F.col(value_col).alias("value"))
-    return (targets.join(feats, [*part_cols, "_fpos"])
-            .select(*part_cols, ts_col, "target", "lag", "value"))
+    samples = (blocks.withColumn("_past", F.reverse(F.collect_list(F.struct(F.col(value_col).alias("value"))).over(before)))
+               .where((F.col("_own") == F.col("_block")) & (F.col("_pos") >= look_back) & (F.col("_pos") < last)))
+    return samples.select(*part_cols, ts_col, F.col(value_col).alias("target"), F.posexplode("_past").alias("_k", "_f")) \
+        .select(*part_cols, ts_col, "target", (F.col("_k") + 1).alias("lag"), "_f.value")
 
 
 def rolling_mean_sparse(df: DataFrame, key_cols: list[str], ts_col: str, value_col: str,

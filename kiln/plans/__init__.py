@@ -31,6 +31,7 @@ def _load_modules() -> None:
         vector_queries,
         ml_queries,
         experiment_queries,
+        source_queries,
     )
 
 

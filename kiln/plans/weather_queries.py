@@ -107,7 +107,7 @@ def persistence(spark, sf_dir, lag_days=1):
 Z = ["model_temp_z", "api_temp_z", "model_wind_z", "api_wind_z"]
 
 
-@query("forecast_verdict", f"""WITH {SQL_DAY}, {SQL_TARGETS},
+VERDICT_SQL = f"""WITH {SQL_DAY}, {SQL_TARGETS},
 pr AS (SELECT ds + INTERVAL 1 DAY AS date, t_max AS p_max, t_min AS p_min, t_wind AS p_wind FROM dt),
 j AS (SELECT pr.date::DATE AS date, pr.*, day.date IS NOT NULL AS fetched, day.general, day.lo, day.hi, day.whi,
              (mean_max + mean_min) / 2.0 AS tm, (std_max + std_min) / 2.0 AS tsd, mean_wind, std_wind
@@ -125,7 +125,10 @@ SELECT date, round(model_temp_z, 6) AS model_temp_z, round(api_temp_z, 6) AS api
        CASE WHEN NOT fetched THEN 'api_fetch_failed' WHEN NOT general THEN 'api_data_missing' WHEN whi IS NULL THEN 'error'
             WHEN model_wind_z > api_wind_z THEN 'model' WHEN api_wind_z > model_wind_z THEN 'api'
             ELSE 'equal' END AS wind
-FROM z""")
+FROM z"""
+
+
+@query("forecast_verdict", VERDICT_SQL)
 def q_forecast_verdict(spark, sf_dir):
     c = wx.compare(persistence(spark, sf_dir), records(spark, sf_dir), target_stats(spark, sf_dir))
     return c.select("date", *[F.round(z, 6).alias(z) if z in Z else F.col(z)

@@ -17,6 +17,7 @@ from kiln.operators import common, metrics, sets, split, vectors, vocab
 from kiln.operators import experiments as ex
 from kiln.operators import fuzzy as fz
 from kiln.operators import naive_bayes as nb
+from kiln.operators import timeseries as ts
 from kiln.operators import weather as wx
 from kiln.operators.common import global_index, hash_cut
 from kiln.operators.rouge import rouge_n
@@ -340,3 +341,18 @@ def test_exact_ascii_fold(spark):
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, t string")
     fold = lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if unicodedata.category(c) != "Mn")
     assert {r.id: r.f for r in df.select("id", tx.unicode_to_ascii_exact("t").alias("f")).collect()} == {k: fold(t) for k, t in enumerate(texts)}
+
+
+def test_lag_windows_across_blocks(spark, monkeypatch):
+    """Series cut into blocks of seven positions, nulls among the values, against plain slices."""
+    monkeypatch.setattr(ts, "BLOCK_ROWS", 7)
+    rows = [(s, t, None if t % 9 == 4 else float(t * t + len(s))) for s, n in (("a", 40), ("bb", 7), ("c", 3), ("d", 14)) for t in range(n)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    for look_back, drop in ((5, True), (7, False), (12, True)):
+        got = sorted((tuple(r) for r in ts.lag_windows(df, ["s"], "t", "v", look_back, drop).collect()), key=lambda r: (r[0], r[1], r[3]))
+        want = []
+        for s in ("a", "bb", "c", "d"):
+            v = [r[2] for r in rows if r[0] == s]
+            want += [(s, t, v[t], lag, v[t - lag]) for t in range(look_back, len(v) - drop) for lag in range(1, look_back + 1)]
+        assert [r[:2] + r[3:4] for r in got] == [r[:2] + r[3:4] for r in sorted(want, key=lambda r: (r[0], r[1], r[3]))]
+        assert {(r[0], r[1], r[3]): (r[2], r[4]) for r in got} == {(r[0], r[1], r[3]): (r[2], r[4]) for r in want}
