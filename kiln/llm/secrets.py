@@ -33,8 +33,9 @@ _CONTEXT = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.AS
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _IDENTIFIER = re.compile(r"([A-Za-z_][A-Za-z0-9_]{2,63})[\"']?\x20*[:=](?![:=])")
 REACH, AROUND = 48, 160
-#: A candidate is reported when it adds at least this many bytes per character and mixes letters with digits.
-NOVELTY = 0.55
+#: A candidate is reported when it adds at least this many bytes per character. Names are mostly letters alone, so one that doesn't mix
+#: letters with digits has to add ``PLAIN_NOVELTY``: it compresses not at all next to its surroundings.
+NOVELTY, PLAIN_NOVELTY = 0.55, 1.0
 #: Most identifiers in the dictionary, by the number of documents that assign to them, each at most 64 bytes.
 IDENTIFIERS = 4096
 
@@ -59,10 +60,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             if start - place > REACH:
                 break
             seen = end = _CANDIDATE.match(text, start).end()  # the whole run, past the window too
-            value = text[start:end]
             before = bisect_left(starts, end)  # base spans that begin before the candidate ends
             touched = before > 0 and ends[before - 1] > start
-            if not touched and any(c.isdigit() for c in value) and any(c.isalpha() for c in value):
+            if not touched:
                 out.append((start, end))
     return sorted(set(out))
 
@@ -82,6 +82,11 @@ class Novelty:
         return max(0, size(before + value + after) - size(before + after)) / len(value)
 
 
+def least_novelty(value: str, novelty: float = NOVELTY, plain: float = PLAIN_NOVELTY) -> float:
+    """What a candidate has to add to be reported."""
+    return novelty if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) else plain
+
+
 def _first_pass(docs: DataFrame) -> DataFrame:
     """Base spans, candidates with what surrounds them, and identifiers, of each whole text."""
 
@@ -108,14 +113,14 @@ def _first_pass(docs: DataFrame) -> DataFrame:
              "near array<struct<start int, end int, before string, value string, after string>>, names array<string>")
 
 
-def scan(docs: DataFrame, identifiers: int = IDENTIFIERS, novelty: float = NOVELTY) -> DataFrame:
+def scan(docs: DataFrame, identifiers: int = IDENTIFIERS, novelty: float = NOVELTY, plain: float = PLAIN_NOVELTY) -> DataFrame:
     """(doc_id, spans): one row per document, spans array<struct<start, kind, end>> in order.
 
     ``docs`` has doc_id and text; other columns are ignored. Offsets are code points of the whole text, ends are
     exclusive. A null or empty text has no spans; repeated rows are scanned one by one; an empty table gives no
-    rows. Only strings of at least 16 characters of A-Za-z0-9+/_=- that mix letters with digits are measured for novelty;
-    keys without a digit or a letter are found by the fixed kinds alone. The identifier dictionary counts all documents; only its ``identifiers`` commonest names, a bounded
-    table, reach the tasks. Texts are read once and never shuffled.
+    rows. Every run of at least 16 characters of A-Za-z0-9+/_=- in a sensitive context is measured for novelty; one that doesn't mix
+    letters with digits needs ``plain`` instead of ``novelty``. The identifier dictionary counts all documents; only its
+    ``identifiers`` commonest names, a bounded table, reach the tasks. Texts are read once and never shuffled.
     """
     seen = Scratch(docs.sparkSession, "secrets").write(_first_pass(docs), "first-pass")
     common = (seen.select(F.explode("names").alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
@@ -129,7 +134,7 @@ def scan(docs: DataFrame, identifiers: int = IDENTIFIERS, novelty: float = NOVEL
             for base, near in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 spans = [(x["start"], x["kind"], x["end"]) for x in base]
                 spans += [(x["start"], 3, x["end"]) for x in near
-                          if measure(x["before"], x["value"], x["after"]) >= novelty]
+                          if measure(x["before"], x["value"], x["after"]) >= least_novelty(x["value"], novelty, plain)]
                 out.append([{"start": s, "kind": KINDS[k], "end": e} for s, k, e in sorted(spans)])
             kind = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["doc_id", "spans"])
