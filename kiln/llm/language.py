@@ -23,7 +23,8 @@ BUCKETS = 1 << 16
 SMOOTHING = 0.1
 #: A letter takes part in three trigrams, so a text has about a third as many independent ones.
 OVERLAP = 3.0
-ROUNDS = 12
+#: EM ends when no proportion moves by ``STILL``, or after ``ROUNDS``.
+STILL, ROUNDS = 1e-5, 500
 UNKNOWN = "und"
 _TABLE = 0x32000
 
@@ -67,7 +68,9 @@ class Mixture:
         share = np.full(chance.shape[1], 1 / chance.shape[1])
         total = weight.sum()
         for _ in range(ROUNDS if chance.shape[1] > 1 else 0):
-            share = share * (chance.T @ (weight / (chance @ share))) / total
+            before, share = share, share * (chance.T @ (weight / (chance @ share))) / total
+            if np.abs(share - before).max() < STILL:
+                break
         return share, float(weight @ np.log(chance @ share))
 
     def infer(self, text: str | None) -> tuple[str, float, list[str], list[float]]:

@@ -1,5 +1,7 @@
+import itertools
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 from tests.llm.conftest import MEDIUM
 
@@ -16,7 +18,6 @@ def test_held_out_accuracy(spark):
 
 
 def model():
-    import numpy as np
     texts = {"aa": "lorem dolor sit amet ipsum " * 50, "bb": "the quick brown fox jumps over dogs " * 50, "cc": "zyx wvu tsr qpo " * 50}
     counts = np.zeros((3, language.BUCKETS))
     for k, text in enumerate(texts.values()):
@@ -31,6 +32,36 @@ def test_mixture_of_two_languages():
     assert model().infer("the quick brown fox jumps")[2] == ["bb"]
 
 
+def grid(n, steps):
+    """All proportions of n languages in ``steps`` equal parts."""
+    if n == 1:
+        yield (steps,)
+        return
+    for first in range(steps + 1):
+        for rest in (grid(n - 1, steps - first) if n > 2 else [(steps - first,)]):
+            yield (first, *rest)
+
+
+def test_mixtures_against_a_likelihood_grid():
+    """EM reaches the best likelihood of a grid, and the set is the best of all sets by penalised likelihood."""
+    m = model()
+    for text in ("lorem dolor sit amet " * 30 + "the quick brown fox " * 10, "zyx wvu tsr " * 20 + "ipsum lorem " * 20 + "over dogs jumps " * 20,
+                 "the quick brown fox jumps", "zyx wvu the quick lorem " * 3, "dogs dolor " * 40):
+        buckets, weight = np.unique(language.trigrams(text), return_counts=True)
+        total, best = weight.sum(), {}
+        for chosen in (c for n in (1, 2, 3) for c in itertools.combinations(range(3), n)):
+            chance = m.chance[buckets][:, chosen]
+            # the smallest proportion is a part in a thousand, so that no trigram has chance 0
+            shares = [(np.array(p) / 50 + 1e-3) / (1 + 1e-3 * len(chosen)) for p in grid(len(chosen), 50)]
+            likelihoods = [float(weight @ np.log(chance @ share)) for share in shares]
+            share, likelihood = m._proportions(chance, weight.astype(float))
+            at = int(np.argmax(likelihoods))
+            assert likelihood > likelihoods[at] - 1e-3 * total and (len(chosen) == 1 or np.abs(share - shares[at]).max() < 0.05)
+            best[chosen] = max(likelihood, likelihoods[at]) / language.OVERLAP - np.log1p(total / language.OVERLAP) * (len(chosen) - 1)
+        found = m.infer(text)[2]
+        assert tuple(sorted(m.languages.index(x) for x in found)) == max(best, key=best.get)
+
+
 def test_texts_without_letters():
     for text in (None, "", "123 !! ...", "\n"):
         assert model().infer(text) == ("und", 0.0, [], [])
