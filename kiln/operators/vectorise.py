@@ -2,12 +2,54 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.functions.text import ngrams, remove_stopwords, sk_tokenize
 from kiln.lineage import Scratch
-from kiln.operators.common import attach_row, lookup
+from kiln.operators.common import attach_row, lookup, small_side
+
+#: Rows of a batch of counted terms, about.
+BATCH_TERMS = 1 << 17
+
+
+def document_terms(df: DataFrame, id_col: str, tokens: Column, n_min: int = 1, n_max: int = 1) -> DataFrame:
+    """(id, n, term, count) of the word n-grams of each document, joined by one blank.
+
+    A row's n-grams are counted where the row lies. Only the rows of ids that come more than once, null among them, are
+    added up by a shuffle; those ids are found by themselves, without the texts.
+    """
+    again = small_side(df.groupBy(F.col(id_col).alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1"))
+    rows = df.join(again, F.col(id_col).eqNullSafe(F.col("_id")), "left").select(id_col, "_rows", tokens.alias("_tok")).where("size(_tok) > 0")
+    kind = rows.select(id_col).schema.add("n", "integer").add("term", "string").add("count", "long")
+
+    def counted(part: DataFrame) -> DataFrame:
+        return part.select(id_col, "_tok").mapInArrow(partial(_count_terms, n_min, n_max, [f.name for f in kind]), kind)
+
+    return counted(rows.where("_rows IS NULL")).unionByName(
+        counted(rows.where("_rows IS NOT NULL")).groupBy(id_col, "n", "term").agg(F.sum("count").alias("count")))
+
+
+def _count_terms(n_min: int, n_max: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, order, terms, counts = [], [], [], []
+        for k, words in enumerate(batch.column(1)):
+            words = words.as_py()
+            for n in range(n_min, n_max + 1):
+                found = Counter(words if n == 1 else map(" ".join, zip(*(words[i:] for i in range(n)), strict=False)))
+                at += [k] * len(found)
+                order += [n] * len(found)
+                terms += found
+                counts += found.values()
+            if len(at) >= BATCH_TERMS or k == len(batch) - 1:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(order, pa.int32()),
+                                                  pa.array(terms, pa.string()), pa.array(counts, pa.int64())], names=names)
+                at, order, terms, counts = [], [], [], []
 
 
 def grams(text_col: str, n_min: int = 1, n_max: int = 1, stop_words=()) -> tuple[Column, Column]:
@@ -23,15 +65,14 @@ def vectorise(df: DataFrame, id_col: str, text_col: str, n_min: int = 1, n_max:
 
     ``max_features`` keeps the terms with the highest total count (ties by term); None keeps all. TF-IDF is
     tf * (ln((1 + n) / (1 + df)) + 1), divided by the document's L2 norm. A document without terms has no rows.
-    Tokens are made once: (id, term, tf) is written and everything else reads that. Document frequencies are looked up
+    Terms are counted where the texts lie: (id, term, tf) is written and everything else reads that. Document frequencies are looked up
     with the commonest terms split off.
     """
     if weighting not in ("count", "tfidf"):
         raise ValueError(f"unknown weighting {weighting!r}")
     work = Scratch(df.sparkSession, "vectorise")
-    tokens, terms = grams(text_col, n_min, n_max, stop_words)
-    tf = work.write(df.select(id_col, tokens.alias("_tok")).select(id_col, F.explode(terms).alias("term"))
-                    .groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("count")), "tf")
+    tokens, _ = grams(text_col, n_min, n_max, stop_words)
+    tf = work.write(document_terms(df, id_col, tokens, n_min, n_max).drop("n"), "tf")
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("_total"))
     if max_features is not None:
         stats = stats.orderBy(F.desc("_total"), "term").limit(max_features)

@@ -14,6 +14,7 @@ from kiln.operators import metrics
 from kiln.operators import naive_bayes as nb
 from kiln.operators import vocab as vc
 from kiln.operators.split import stratified_split
+from kiln.operators.vectorise import document_terms
 from kiln.plans import query
 from kiln.sources.tables import load
 
@@ -178,9 +179,7 @@ dg AS (SELECT doc_id, n, gram, count(*) AS c FROM g GROUP BY ALL)
 SELECT n, gram, count(*) AS doc_freq, sum(c)::BIGINT AS term_freq FROM dg GROUP BY n, gram""")
 def q_ngrams(spark, sf_dir):
     d = documents(spark, sf_dir).select("doc_id", tx.sk_tokenize("text").alias("t"))
-    g = d.select("doc_id", F.lit(1).alias("n"), F.explode("t").alias("gram")).unionByName(
-        d.select("doc_id", F.lit(2).alias("n"), F.explode(tx.ngrams(F.col("t"), 2, 2)).alias("gram")))
-    per_doc = g.groupBy("doc_id", "n", "gram").agg(F.count(F.lit(1)).alias("c"))
+    per_doc = document_terms(d, "doc_id", F.col("t"), 1, 2).select("n", F.col("term").alias("gram"), F.col("count").alias("c"))
     return (per_doc.groupBy("n", "gram")
             .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("c").cast("bigint").alias("term_freq")))
 
