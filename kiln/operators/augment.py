@@ -7,7 +7,7 @@ same rows. Tokens come from the T5 tokenizer and are joined by one space.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.hashing import hash32, hash_digits, unit_above
@@ -28,20 +28,26 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
                     p: float = 0.1, out: str = "aug_text") -> DataFrame:
     """Drop each token with probability p; keep one token if all go;
     texts of one token (or none) are returned unchanged."""
-    t = with_tokens(df, text_col)
+    return with_tokens(df, text_col).withColumn(out, _deleted(id_col, text_col, copy_col, p)).drop("_t")
+
+
+def _deleted(id_col: str, text_col: str, copy_col: str, p: float) -> Column:
     kept = F.filter(F.col("_t"), lambda x, i: unit_above(float(p), F.col(id_col), F.col(copy_col), "del", i))
     pick = F.array(F.element_at(
         "_t", (hash32(F.col(id_col), F.col(copy_col), "delpick")
                 % F.greatest(F.size("_t"), F.lit(1))).cast("int") + 1))
-    res = F.when(F.size("_t") <= 1, F.col(text_col)).otherwise(
+    return F.when(F.size("_t") <= 1, F.col(text_col)).otherwise(
         F.array_join(F.when(F.size(kept) == 0, pick).otherwise(kept), " "))
-    return t.withColumn(out, res).drop("_t")
 
 
 def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
                 out: str = "aug_text", n: int = 1) -> DataFrame:
     """N times, swap one pair of distinct positions; < 2 tokens unchanged."""
-    t = with_tokens(df, text_col).withColumn("_n", F.size("_t"))
+    return _swapped(with_tokens(df, text_col), id_col, text_col, copy_col, out, n).drop("_t")
+
+
+def _swapped(df: DataFrame, id_col: str, text_col: str, copy_col: str, out: str, n: int = 1) -> DataFrame:
+    t = df.withColumn("_w", F.col("_t")).withColumn("_n", F.size("_t"))
     # divisors are guarded so texts of 0/1 tokens never divide by zero (ANSI)
     n1 = F.greatest(F.col("_n"), F.lit(1))
     for turn in range(n):
@@ -49,10 +55,10 @@ def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
         i = hash32(F.col(id_col), F.col(copy_col), "swap1", *draw) % n1
         j = (i + 1 + hash32(F.col(id_col), F.col(copy_col), "swap2", *draw) % F.greatest(F.col("_n") - 1, F.lit(1))) % n1
         t = t.withColumn("_i", i.cast("int")).withColumn("_j", j.cast("int"))
-        t = t.withColumn("_t", F.transform("_t", lambda x, k: F.when(k == F.col("_i"), F.get("_t", F.col("_j")))
-                                           .when(k == F.col("_j"), F.get("_t", F.col("_i"))).otherwise(x)))
-    res = F.when(F.col("_n") < 2, F.col(text_col)).otherwise(F.array_join("_t", " "))
-    return t.withColumn(out, res).drop("_t", "_n", "_i", "_j")
+        t = t.withColumn("_w", F.transform("_w", lambda x, k: F.when(k == F.col("_i"), F.get("_w", F.col("_j")))
+                                           .when(k == F.col("_j"), F.get("_w", F.col("_i"))).otherwise(x)))
+    res = F.when(F.col("_n") < 2, F.col(text_col)).otherwise(F.array_join("_w", " "))
+    return t.withColumn(out, res).drop("_w", "_n", "_i", "_j")
 
 
 def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str,
@@ -64,11 +70,14 @@ def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str
     The synonyms and the choices are written before their joins, so that
     their real size decides: while they are short, no token and no text is
     shuffled."""
-    work = Scratch(df.sparkSession, "synonyms")
+    return _replaced(with_tokens(df, text_col), id_col, copy_col, synonyms, out, n).drop("_t")
+
+
+def _replaced(t: DataFrame, id_col: str, copy_col: str, synonyms: DataFrame, out: str, n: int = 1) -> DataFrame:
+    work = Scratch(t.sparkSession, "synonyms")
     clean = F.trim(F.regexp_replace("synonym", r"[^\p{L}\p{N} ]", ""))
     syn = work.write(synonyms.select("word", clean.alias("synonym")).where("synonym <> '' AND synonym <> word")
                      .where(F.col("word").rlike(r"^[\p{L}\p{N}]+$")).groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("_syns")), "words")
-    t = with_tokens(df, text_col)
     cands = (t.select(id_col, copy_col, F.explode(F.array_distinct("_t")).alias("word")).join(syn, "word"))
     pick = F.get("_syns", (hash32(F.col(id_col), F.col(copy_col), "synpick") % F.size("_syns")).cast("int"))
     choice = work.write(cands.select(id_col, copy_col, F.struct(
@@ -79,30 +88,32 @@ def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str
     chosen = F.map_from_arrays(F.transform("_c", lambda c: c["word"]), F.transform("_c", lambda c: c["to"]))
     res = F.array_join(F.when(F.col("_m").isNull(), F.col("_t")).otherwise(
         F.transform("_t", lambda x: F.coalesce(F.try_element_at("_m", x), x))), " ")
-    return j.withColumn("_m", chosen).withColumn(out, res).drop("_t", "_c", "_m")
+    return j.withColumn("_m", chosen).withColumn(out, res).drop("_c", "_m")
 
 
 def augment(df: DataFrame, id_col: str, text_col: str, techniques=TECHNIQUES,
             multiplier: int = 1, synonyms: DataFrame | None = None, p: float = 0.1) -> DataFrame:
     """The original row (copy 0, 'original') plus, per copy 1..m and
     per known technique, one variant. Unknown techniques are skipped.
-    Output keeps all input columns, plus copy and technique; text replaced."""
+    Output keeps all input columns, plus copy and technique; text replaced. Tokens are made once for all variants, and
+    the variants of a text follow each other."""
     known = [t for t in techniques if t in TECHNIQUES and (t != "synonym" or synonyms is not None)]
-    orig = (df.drop(TOKENS) if TOKENS in df.columns else df) \
-        .withColumn("copy", F.lit(0)).withColumn("technique", F.lit("original"))
-    parts = [orig]
-    if known and multiplier > 0:
-        copies = df.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(multiplier))))
-        for tech in known:
-            c = copies.withColumn("technique", F.lit(tech))
-            if tech == "deletion":
-                c = random_deletion(c, id_col, text_col, "copy", p)
-            elif tech == "swap":
-                c = random_swap(c, id_col, text_col, "copy")
-            else:
-                c = synonym_replacement(c, id_col, text_col, "copy", synonyms)
-            parts.append(c.withColumn(text_col, F.col("aug_text")).drop("aug_text", TOKENS))
-    res = parts[0]
-    for x in parts[1:]:
-        res = res.unionByName(x)
-    return res
+    columns = [c for c in df.columns if c != TOKENS]
+    if not known or multiplier < 1:
+        return df.select(*columns, F.lit(0).alias("copy"), F.lit("original").alias("technique"))
+    t = with_tokens(df, text_col).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(multiplier))))
+    for tech in dict.fromkeys(known):
+        if tech == "deletion":
+            t = t.withColumn("_v_deletion", _deleted(id_col, text_col, "copy", p))
+        elif tech == "swap":
+            t = _swapped(t, id_col, text_col, "copy", "_v_swap")
+        else:
+            t = _replaced(t, id_col, "copy", synonyms, "_v_synonym")
+
+    def variant(copy, tech: str, text: str) -> Column:
+        return F.struct(copy.alias("copy"), F.lit(tech).alias("technique"), F.col(text).alias("text"))
+
+    made = F.array(*[variant(F.col("copy"), tech, f"_v_{tech}") for tech in known])
+    made = F.when(F.col("copy") == 1, F.concat(F.array(variant(F.lit(0), "original", text_col)), made)).otherwise(made)
+    return t.select(*[c for c in columns if c != text_col], F.explode(made).alias("_v")).select(
+        *[F.col("_v.text").alias(text_col) if c == text_col else F.col(c) for c in columns], "_v.copy", "_v.technique")

@@ -7,15 +7,12 @@ work is the Spark jobs that produce each row.
 from __future__ import annotations
 
 import time
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.lineage import Scratch
-from kiln.operators.naive_bayes import TERM, cleaned_tokens, term_occurrences
+from kiln.operators.naive_bayes import cell_predictions, cleaned_tokens
 
 
 def size_label(c) -> F.Column:
@@ -126,53 +123,8 @@ def naive_bayes_grid(texts: DataFrame, val: DataFrame, configs: DataFrame, cells
 
     ``texts`` (cell, label, text) are the training texts, each in one of ``cells`` disjoint cells (e.g. text variant by size
     band); ``configs`` (config, members array<int>) says which cells a configuration trains on; ``val`` is
-    (doc_id, label, text). Counts are kept per term and cell, one row per term, and added up per configuration
-    only where a validation text has the term.
+    (doc_id, label, text). Counts are kept per term and cell, and added up per configuration only where a validation text
+    has the term. Variants of a text that follow each other are counted together.
     """
-    work, tokens = Scratch(texts.sparkSession, "grid"), cleaned_tokens("text")
-    occ = term_occurrences(texts, ["cell", "label"], tokens)
-    counts = occ.groupBy(*TERM, F.col("label").alias("cls")).agg(F.array(*[
-        F.sum(F.when(F.col("cell") == k, 1).otherwise(0)).cast("long") for k in range(cells)]).alias("n"))
-    terms = work.write(counts.groupBy(*TERM).agg(F.collect_list(F.struct("cls", "n")).alias("classes")), "terms")
-    plans = work.write(configs.select("config", "members"), "configs")
-
-    def chosen(n: Column) -> Column:
-        return F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.get(n, k))
-
-    # totals per class and cell, and the vocabulary size per set of cells that a term occurs in
-    mass = terms.select(F.explode("classes").alias("c")).groupBy(F.col("c.cls").alias("cls")).agg(F.array(*[
-        F.sum(F.get("c.n", F.lit(k))) for k in range(cells)]).alias("mass"))
-    docs = texts.groupBy(F.col("label").alias("cls")).agg(F.array(*[
-        F.sum(F.when(F.col("cell") == k, 1).otherwise(0)).cast("long") for k in range(cells)]).alias("docs"))
-    def occurs(k: int) -> Column:
-        return F.exists("classes", lambda c: F.get(c["n"], F.lit(k)) > 0)
-
-    held = reduce(add, [occurs(k).cast("long") * (1 << k) for k in range(cells)])
-    shapes = terms.groupBy(held.alias("held")).agg(F.count(F.lit(1)).alias("terms"))
-    bits = F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.pow(F.lit(2.0), k).cast("long"))
-    size = (plans.crossJoin(shapes).where(F.col("held").bitwiseAND(bits) != 0)
-            .groupBy("config").agg(F.sum("terms").alias("v")))
-    a = F.lit(float(alpha))
-    classes = (plans.crossJoin(docs.join(mass, "cls", "left")).join(size, "config")
-               .select("config", "members", "cls", "v", chosen(F.col("docs")).alias("d"),
-                       F.coalesce(chosen(F.col("mass")), F.lit(0)).alias("m")).where("d > 0"))
-    total = Window.partitionBy("config")
-    classes = classes.select("config", "members", F.struct(
-        "cls", F.log(F.col("d") / F.sum("d").over(total)).alias("prior"),
-        F.log(a / (F.col("m") + a * F.col("v").cast("double"))).alias("miss")).alias("c"))
-    heads = work.write(classes.groupBy("config").agg(F.array_sort(F.collect_list("c")).alias("all")), "classes")
-    tf = term_occurrences(val, ["doc_id"], tokens).groupBy("doc_id", *TERM).agg(F.count(F.lit(1)).alias("tf"))
-    hits = tf.join(terms, TERM).crossJoin(F.broadcast(plans)).select(
-        "config", "doc_id", "tf", F.transform("classes", lambda c: F.struct(c["cls"].alias("cls"), chosen(c["n"]).alias("n"))).alias("c"))
-    known = F.exists("c", lambda c: c["n"] > 0)
-    gains = hits.where(known).select("config", "doc_id", "tf", F.explode("c").alias("c")) \
-        .select("config", "doc_id", F.col("c.cls").alias("cls"), "tf", (F.col("tf") * F.log((F.col("c.n") + a) / a)).alias("s"))
-    seen = hits.where(known).groupBy("config", "doc_id").agg(F.sum("tf").alias("t"))
-    sums = (gains.groupBy("config", "doc_id", "cls").agg(F.sum("s").alias("s"))
-            .groupBy("config", "doc_id").agg(F.map_from_entries(F.collect_list(F.struct("cls", "s"))).alias("s"))
-            .join(seen, ["config", "doc_id"]))
-    scored = val.select("doc_id", "label").crossJoin(F.broadcast(heads)).join(sums, ["config", "doc_id"], "left")
-    best = F.array_max(F.transform("all", lambda c, i: F.struct(
-        (c["prior"] + F.coalesce("t", F.lit(0)) * c["miss"] + F.coalesce(F.try_element_at("s", c["cls"]), F.lit(0.0))).alias("score"),
-        (-i).alias("i"), c["cls"].alias("cls"))))
-    return scored.select("config", "doc_id", "label", best["cls"].alias("prediction"))
+    return cell_predictions(texts, val, configs, cells, "doc_id", "text", "label", cleaned_tokens("text"), alpha) \
+        .select("config", "doc_id", "label", "prediction")

@@ -6,17 +6,24 @@ score is
 
     score(d, c) = logP(c) + T_d * ln(a / (N_c + a*V)) + sum_t tf * ln((N_tc + a) / a)
 
-where ``T_d`` counts the document's in-vocabulary term occurrences. Training is one aggregation with map-side combine;
-scoring is one equi-join of (document, term, tf) with the written model and one aggregation per document.
+where ``T_d`` counts the document's in-vocabulary term occurrences. Training is one aggregation of counts made by chunks of
+texts; scoring is one equi-join of (document, term, tf) with the counts of the terms that are asked for, and one aggregation
+per document.
 Classes are rows: there is no class list on the driver, no column per class and no bound on their number.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import hashlib
+from collections.abc import Iterator
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kiln.functions.text import clean_text, ngrams
 from kiln.lineage import Scratch
@@ -30,105 +37,179 @@ def cleaned_tokens(text_col: str) -> Column:
     return F.filter(F.split(clean_text(text_col), " "), lambda x: x != F.lit(""))
 
 
-def _gram(tokens: Column, n: int):
-    # one-argument lambda (a two-argument one would be read as (x, index))
-    def ids(i):
-        words = [F.element_at(tokens, i + k) for k in range(n)]
-        return F.struct(F.xxhash64(F.lit(n), *words).alias("ta"), F.xxhash64(*words, F.lit(-n)).alias("tb"))
-    return ids
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A one-to-one scrambling of 64-bit integers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def hashed_ngrams(tokens: Column, n_min: int, n_max: int) -> Column:
-    """128-bit ids (ta, tb) of all word n-grams: two 64-bit hashes of the token values, so no n-gram string is built.
-    Two of m distinct n-grams share an id with probability about m^2 / 2^129."""
-    parts = []
-    for n in range(n_min, n_max + 1):
-        ids = F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1)), _gram(tokens, n))
-        parts.append(F.when(F.size(tokens) >= n, ids).otherwise(F.array().cast("array<struct<ta:bigint,tb:bigint>>")))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+#: Tokens whose n-grams are counted together, and characters of text whose counts a task of the reduction gets on average.
+CHUNK_TOKENS, PART_CHARS = 1 << 19, 1 << 23
 
 
-def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3,
-                     hashed: bool = True) -> DataFrame:
-    """One row per n-gram occurrence: (*keys, ta, tb), or with ``hashed=False`` (*keys, term)."""
+def ngram_counts(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3, cell: str | None = None) -> DataFrame:
+    """(*keys, ta, tb, held long, n array<int>): how often each key has each n-gram, in the cells that the bits of ``held`` name.
+
+    (ta, tb) is a 96-bit id made of the words' digests, so no n-gram string is built; two of m distinct n-grams share an id
+    with probability about m^2 / 2^97. ``cell`` is a column of numbers below 58 (none: all rows are in cell 0). Tasks count some texts
+    that follow each other at a time, in bounded memory, so a key and term may have several rows: their counts add up. A
+    row without ta and tb holds the number of all n-grams of a key.
+    """
+    rows = df.select(*keys, (F.col(cell) if cell else F.lit(0)).cast("long").alias("_cell"), tokens.alias("_tok"))
+    kind = rows.select(*keys).schema.add("ta", "long").add("tb", "long").add("held", "long").add("n", T.ArrayType(T.IntegerType()))
+    return rows.mapInArrow(partial(_count_ngrams, n_min, n_max, [f.name for f in kind]), kind)
+
+
+def _count_ngrams(n_min: int, n_max: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        *keys, cell, tokens = batch.columns
+        length = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = pc.list_flatten(tokens).dictionary_encode()
+        digests = b"".join(hashlib.blake2b(w.encode(), digest_size=16).digest() for w in coded.dictionary.to_pylist())
+        words, code = np.frombuffer(digests, np.uint64).reshape(-1, 2), coded.indices.to_numpy(zero_copy_only=False)
+        places: dict[tuple, int] = {}
+        owner = np.array([places.setdefault(k, len(places)) for k in zip(*(c.to_pylist() for c in keys), strict=True)], np.int64)
+        first = np.unique(owner, return_index=True)[1]
+        cells, ends = cell.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(length)
+        cuts = np.flatnonzero(np.diff((ends - 1) // CHUNK_TOKENS)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(length)], strict=True):
+            part = code[ends[low] - length[low]:ends[high - 1]] if high > low else code[:0]
+            if len(part):
+                yield from _count_chunk(keys, first, words[part], np.repeat(np.arange(low, high), length[low:high]), owner, cells, n_min, n_max, names)
+
+
+def _count_chunk(keys, first, words, row, owner, cells, n_min, n_max, names) -> Iterator[pa.RecordBatch]:
+    a = b = np.zeros(len(words), np.uint64)
+    grams = []
+    for n in range(1, n_max + 1):
+        m = len(words) - n + 1
+        if m <= 0:
+            break
+        a, b = _mix(a[:m] + words[n - 1:, 0] + np.uint64(n)), _mix((b[:m] ^ words[n - 1:, 1]) + np.uint64(n))
+        at = np.flatnonzero(row[:m] == row[n - 1:])  # n-grams end with their text
+        if n >= n_min and len(at):
+            grams.append((a[at], b[at] >> np.uint64(32), row[at]))
+    if not grams:
+        return
+    ta, tb, row = (np.concatenate(x) for x in zip(*grams, strict=True))
+    own, cell = owner[row], cells[row]
+    # equal terms of a key come together, by cell; should others come between, they only have more rows
+    order = np.argsort((_mix(ta ^ _mix(own.astype(np.uint64))) << np.uint64(6)) | cell.astype(np.uint64), kind="stable")
+    ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
+    starts = np.ones(len(ta), bool)
+    starts[1:] = (ta[1:] != ta[:-1]) | (tb[1:] != tb[:-1]) | (own[1:] != own[:-1])
+    runs = starts.copy()
+    runs[1:] |= cell[1:] != cell[:-1]
+    start, run = np.flatnonzero(starts), np.flatnonzero(runs)
+    counts = _count_rows(keys, first[own[start]], ta[start], tb[start], np.searchsorted(run, start), cell[run], np.diff(run, append=len(ta)), names)
+    # rows of a key and of the same cells follow each other: the shuffle then compresses all but their ids
+    yield counts.take(pa.array(np.lexsort((counts.column(len(keys) + 2).to_numpy(), own[start]))))
+    total = np.unique(np.stack([own, cell]), axis=1, return_counts=True)
+    whole = np.flatnonzero(np.diff(total[0][0], prepend=-1))
+    yield _count_rows(keys, first[total[0][0][whole]], None, None, whole, total[0][1], total[1], names)
+
+
+def _count_rows(keys, at, ta, tb, starts, cell, n, names) -> pa.RecordBatch:
+    ids = [pa.nulls(len(at), pa.int64()) if x is None else pa.array(x.view(np.int64)) for x in (ta, tb)]
+    held = np.bitwise_or.reduceat(np.int64(1) << cell, starts)
+    counts = pa.ListArray.from_arrays(pa.array([*starts, len(n)], pa.int32()), pa.array(n, pa.int32()))
+    return pa.RecordBatch.from_arrays([*(k.take(pa.array(at)) for k in keys), *ids, pa.array(held), counts], names=names)
+
+
+def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3) -> DataFrame:
+    """One row per n-gram occurrence: (*keys, term)."""
     # tokens get their own projection: the n-gram lambdas then read a plain
     # column instead of re-running the regex chain per element
     toks = df.select(*keys, tokens.alias("_tok"))
-    if not hashed:
-        return toks.select(*keys, F.explode(ngrams(F.col("_tok"), n_min, n_max)).alias("term"))
-    return toks.select(*keys, F.explode(hashed_ngrams(F.col("_tok"), n_min, n_max)).alias("g")).select(*keys, "g.ta", "g.tb")
+    return toks.select(*keys, F.explode(ngrams(F.col("_tok"), n_min, n_max)).alias("term"))
 
 
-@dataclass
-class Model:
-    """``terms`` (ta, tb, classes array<struct<cls, n>>), one row per term, and ``classes`` (*run, all), one row per run."""
-
-    terms: DataFrame
-    classes: DataFrame
-    run: list[str]
+def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str, alpha: float = 0.1,
+                n_min: int = 1, n_max: int = 3, tokens: Column | None = None, prior: float = 0.0) -> DataFrame:
+    """Fit on (label, text) of ``train`` and predict ``test`` (id, text, ...); its text is dropped. Rows without a label teach
+    nothing. ``tokens`` are by default the words of the cleaned text; ``prior`` is added to the texts of every class."""
+    tokens = cleaned_tokens(text_col) if tokens is None else tokens
+    one = train.sparkSession.createDataFrame([(0, [0])], "config int, members array<int>")
+    texts = train.where(F.col(label_col).isNotNull()).withColumn("cell", F.lit(0))
+    return cell_predictions(texts, test, one, 1, id_col, text_col, label_col, tokens, alpha, n_min, n_max, prior, bare=True).drop(text_col, "config")
 
 
-def fit(occurrences: DataFrame, docs: DataFrame, label_col: str, work: Scratch, alpha: float = 0.1,
-        run=(), name: str = "model") -> Model:
-    """Fit on ``occurrences`` (*run, label, ta, tb) of ``docs`` (*run, id, label). Rows without a label teach nothing.
+def cell_predictions(texts: DataFrame, test: DataFrame, configs: DataFrame, cells: int, id_col: str, text_col: str, label_col: str,
+                     tokens: Column, alpha: float, n_min: int = 1, n_max: int = 3, prior: float = 0.0, bare: bool = False) -> DataFrame:
+    """``test`` (id, ...) with config and prediction: one fit per configuration, all by the same jobs; ties go to the smallest class.
 
-    ``run`` columns tell independent fits apart (e.g. experiment configurations): all are fitted by the same jobs.
-    The counts are written once. What reads them, the vocabulary size and the join of the scoring, is one plan with
-    one shuffle by term. A term has as many rows as classes there, so no term makes that shuffle uneven.
-    """
-    r = list(run)
-    counts = work.write(occurrences.where(F.col(label_col).isNotNull())
-                        .groupBy(*r, *TERM, F.col(label_col).alias("cls")).agg(F.count(F.lit(1)).alias("n")), f"{name}-counts")
-    terms = counts.repartition(*TERM).groupBy(*r, *TERM).agg(F.collect_list(F.struct("cls", "n")).alias("classes"))
-    # counted from the collected classes: with the same columns the shuffle is the one of the scoring, and is reused
-    size = terms.groupBy(*r).agg(F.sum((F.size("classes") > 0).cast("long")).alias("_v"))
-    seen = counts.groupBy(*r, "cls").agg(F.sum("n").alias("_nc"))
-    rows = (docs.where(F.col(label_col).isNotNull()).groupBy(*r, F.col(label_col).alias("cls"))
-            .agg(F.count(F.lit(1)).alias("_docs")))
-    total = rows.groupBy(*r).agg(F.sum("_docs").alias("_n"))
-    joined = rows.join(seen, [*r, "cls"], "left")
-    joined = joined.join(total, r).join(size, r, "left") if r else joined.crossJoin(total).crossJoin(size)
-    a = F.lit(float(alpha))
-    mass = F.coalesce("_nc", F.lit(0)) + a * F.coalesce("_v", F.lit(0)).cast("double")
-    classes = (joined.select(*r, F.struct(
-        "cls", F.log(F.col("_docs") / F.col("_n")).alias("prior"),
-        F.when(mass > 0, F.log(a / mass)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
-        .groupBy(*r).agg(F.array_sort(F.collect_list("c")).alias("all")))
-    return Model(terms, classes, r)
-
-
-def predict(docs: DataFrame, occurrences: DataFrame, model: Model, id_col: str, alpha: float = 0.1,
-            out: str = "prediction") -> DataFrame:
-    """``docs`` (id, ...) scored by every run of the model, with the arg-max class; ties go to the smallest class.
-
-    ``occurrences`` (id, ta, tb) are those of ``docs``. They are summed to (id, term, tf) before the join, so a
-    common term brings one row per document.
+    ``texts`` (cell, label, text) are the training texts, each in one of ``cells`` disjoint cells; ``configs`` (config,
+    members array<int>) says which cells a configuration trains on. Counts of the training texts meet the terms of the
+    test texts in one shuffle by term. What leaves it is the vocabulary by the cells that a term occurs in, and the counts of
+    those terms only that a test text has: the others enter a score by their number alone. A term has a row per class and chunk of
+    texts there, so no term makes that shuffle uneven. With ``bare`` a configuration without any term predicts by its priors;
+    otherwise it has no rows.
     """
-    r, a = model.run, F.lit(float(alpha))
-    tf = occurrences.groupBy(id_col, *TERM).agg(F.count(F.lit(1)).alias("tf"))
-    # the extra entry without a class carries the document's term count
-    kind = model.terms.schema["classes"].dataType.elementType["cls"].dataType
-    marked = F.concat("classes", F.array(F.struct(F.lit(None).cast(kind).alias("cls"), F.lit(0).cast("long").alias("n"))))
-    hits = tf.join(model.terms, TERM).select(*r, id_col, "tf", F.explode(marked).alias("c"))
-    gain = F.when(F.col("c.cls").isNull(), F.col("tf").cast("double")).otherwise(F.col("tf") * F.log((F.col("c.n") + a) / a))
-    sums = (hits.groupBy(*r, id_col, F.col("c.cls").alias("cls")).agg(F.sum(gain).alias("s"))
-            .groupBy(*r, id_col)
-            .agg(F.max(F.when(F.col("cls").isNull(), F.col("s"))).alias("_t"),
-                 F.map_from_entries(F.collect_list(F.when(F.col("cls").isNotNull(), F.struct("cls", "s")))).alias("_s")))
-    base = docs.crossJoin(model.classes)  # one row per run
-    scored = base.join(sums, [*r, id_col], "left")
+    work = Scratch(texts.sparkSession, "naive-bayes")
+    spark, a = texts.sparkSession, F.lit(float(alpha))
+    plans = work.write(configs.select("config", "members"), "configs")
+    tf = work.write(ngram_counts(test, [id_col], tokens, n_min, n_max).where(F.col("ta").isNotNull())
+                    .select(F.col(id_col).alias("id"), *TERM, F.get("n", F.lit(0)).alias("tf")), "held-out")
+    chars = texts.agg(F.sum(F.length(text_col))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS))
+    seen = ngram_counts(texts, [label_col], tokens, n_min, n_max, "cell").select(
+        *TERM, F.col(label_col).alias("cls"), "held", "n", F.when(F.col("ta").isNull(), 2).otherwise(0).alias("kind"))
+    asked = tf.select(*TERM, F.lit(None).cast(seen.schema["cls"].dataType).alias("cls"), F.lit(0).cast("long").alias("held"),
+                      F.lit(None).cast("array<int>").alias("n"), F.lit(1).alias("kind"))
+
+    def count(k: int) -> Column:
+        bit = F.lit(1 << k).cast("long")
+        return F.sum(F.when(F.col("held").bitwiseAND(bit) != 0, F.get("n", F.bit_count(F.col("held").bitwiseAND(bit - 1)))).otherwise(0)).alias(f"n{k}")
+
+    by_class = (seen.unionByName(asked).repartition(parts, *TERM).groupBy(*TERM, "cls")
+                .agg(F.bit_or("held").alias("held"), F.max("kind").alias("kind"), *[count(k) for k in range(cells)]))
+    by_term = by_class.groupBy(*TERM).agg(
+        F.bit_or("held").alias("held"), F.max("kind").alias("kind"),
+        F.collect_list(F.when(F.col("held") != 0, F.struct("cls", F.array(*[f"n{k}" for k in range(cells)]).alias("n")))).alias("classes"))
+    found = F.col("kind") > 0
+    terms = work.write(by_term.where("held <> 0").select(
+        *[F.when(found, F.col(c)).alias(c) for c in TERM], "held", "kind", F.when(found, F.col("classes")).alias("classes")), "terms")
+
+    def chosen(n: Column) -> Column:
+        return F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.get(n, k))
+
+    # totals per class and cell, and the vocabulary size per set of cells that a term occurs in
+    mass = terms.where("kind = 2").select(F.explode("classes").alias("c")).select("c.cls", F.col("c.n").alias("mass"))
+    docs = texts.groupBy(F.col(label_col).alias("cls")).agg(F.array(*[
+        F.sum(F.when(F.col("cell") == k, 1).otherwise(0)).cast("long") for k in range(cells)]).alias("docs"))
+    shapes = terms.where("kind < 2").groupBy("held").agg(F.count(F.lit(1)).alias("terms"))
+    bits = F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.pow(F.lit(2.0), k).cast("long"))
+    size = (plans.crossJoin(shapes).where(F.col("held").bitwiseAND(bits) != 0)
+            .groupBy("config").agg(F.sum("terms").alias("v")))
+    classes = (plans.crossJoin(docs.join(mass, "cls", "left")).join(size, "config", "left" if bare else "inner")
+               .select("config", "cls", F.coalesce("v", F.lit(0)).cast("double").alias("v"), chosen(F.col("docs")).alias("d"),
+                       F.coalesce(chosen(F.col("mass")), F.lit(0)).alias("m")).where("d > 0"))
+    total = Window.partitionBy("config")
+    weight = F.col("m") + a * F.col("v")
+    classes = classes.select("config", F.struct(
+        "cls", F.log((F.col("d") + prior) / (F.sum("d").over(total) + prior * F.count(F.lit(1)).over(total))).alias("prior"),
+        F.when(weight > 0, F.log(a / weight)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
+    heads = work.write(classes.groupBy("config").agg(F.array_sort(F.collect_list("c")).alias("all")), "classes")
+    # dealt by text before the configurations multiply the rows
+    hits = (tf.where(F.col("id").isNotNull()).join(terms.where("kind = 1").select(*TERM, "classes"), TERM)
+            .select("id", "tf", "classes").repartition("id").crossJoin(F.broadcast(plans))
+            .select("config", "id", "tf", F.transform("classes", lambda c: F.struct(c["cls"].alias("cls"), chosen(c["n"]).alias("n"))).alias("c"))
+            .where(F.exists("c", lambda c: c["n"] > 0)))
+    # the extra entry carries the text's term count
+    whole = F.transform("c", lambda c: F.struct(c["cls"].alias("cls"), (F.col("tf") * F.log((c["n"] + a) / a)).alias("s"), F.lit(False).alias("all")))
+    kind = hits.schema["c"].dataType.elementType["cls"].dataType
+    extra = F.array(F.struct(F.lit(None).cast(kind).alias("cls"), F.col("tf").cast("double").alias("s"), F.lit(True).alias("all")))
+    sums = (hits.select("config", "id", F.explode(F.concat(whole, extra)).alias("g")).groupBy("config", "id", "g.cls", "g.all").agg(F.sum("g.s").alias("s"))
+            .groupBy("config", "id").agg(F.max(F.when(F.col("all"), F.col("s"))).alias("_t"),
+                                         F.map_from_entries(F.collect_list(F.when(~F.col("all"), F.struct("cls", "s")))).alias("_s"))
+            .select("config", F.col("id").alias(id_col), "_t", "_s"))
+    base = test.drop(text_col).join(F.broadcast(heads), F.lit(True), "left" if bare else "inner")
+    scored = base.join(sums, ["config", id_col], "left")
     best = F.array_max(F.transform("all", lambda c, i: F.struct(
         (c["prior"] + F.coalesce("_t", F.lit(0.0)) * c["miss"]
          + F.coalesce(F.try_element_at("_s", c["cls"]), F.lit(0.0))).alias("score"), (-i).alias("i"), c["cls"].alias("cls"))))
-    return scored.withColumn(out, best["cls"]).drop("_t", "_s", "all")
-
-
-def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str, alpha: float = 0.1,
-                n_min: int = 1, n_max: int = 3) -> DataFrame:
-    """Fit on (label, text) of ``train`` and predict ``test`` (id, text, ...); its text is dropped."""
-    work, tokens = Scratch(train.sparkSession, "naive-bayes"), cleaned_tokens(text_col)
-    model = fit(term_occurrences(train, [label_col], tokens, n_min, n_max), train, label_col, work, alpha)
-    return predict(test.drop(text_col), term_occurrences(test, [id_col], tokens, n_min, n_max), model, id_col, alpha)
+    return scored.withColumn("prediction", best["cls"]).drop("_t", "_s", "all")
 
 
 def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str, held_out: Column, trials: list[dict],
@@ -148,7 +229,7 @@ def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str
     most = max(int(t["max_features"]) for t in trials)
     rows = docs.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).alias("cls"), held_out.alias("held"), text_col)
-    counts = work.write(term_occurrences(rows, ["id", "cls", "held"], cleaned_tokens(text_col), n_min, n_max, hashed=False)
+    counts = work.write(term_occurrences(rows, ["id", "cls", "held"], cleaned_tokens(text_col), n_min, n_max)
                         .groupBy("id", "cls", "held", "term").agg(F.count(F.lit(1)).alias("tf")), "counts")
     by_class = (counts.where("NOT held").groupBy("term", "cls").agg(F.sum("tf").alias("n"))
                 .groupBy("term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("cls", "n")).alias("classes")))

@@ -5,7 +5,9 @@ import json
 import math
 import re
 import unicodedata
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -356,3 +358,35 @@ def test_lag_windows_across_blocks(spark, monkeypatch):
             want += [(s, t, v[t], lag, v[t - lag]) for t in range(look_back, len(v) - drop) for lag in range(1, look_back + 1)]
         assert [r[:2] + r[3:4] for r in got] == [r[:2] + r[3:4] for r in sorted(want, key=lambda r: (r[0], r[1], r[3]))]
         assert {(r[0], r[1], r[3]): (r[2], r[4]) for r in got} == {(r[0], r[1], r[3]): (r[2], r[4]) for r in want}
+
+
+def test_variants_of_a_text_are_counted_together(spark):
+    """One row per term with a bit for each variant, however many cells there are; what is left out adds up."""
+    df = spark.createDataFrame([("x", k, "a b a c".split()) for k in range(4)] + [("y", 1, ["b"]), (None, 2, ["b"]), ("y", 0, None)],
+                               "label string, cell int, t array<string>").coalesce(1)
+    rows = nb.ngram_counts(df, ["label"], F.col("t"), 1, 2, "cell").collect()
+    found = {r.label: [x for x in rows if x.label == r.label and x.ta is not None] for r in rows}
+    assert len(found["x"]) == 3 + 3 and {r.held for r in found["x"]} == {0b1111}
+    assert sorted(r.n for r in found["x"]) == [[1] * 4] * 5 + [[2] * 4]
+    assert [(r.held, r.n) for r in found["y"]] == [(2, [1])] and [(r.held, r.n) for r in found[None]] == [(4, [1])]
+    assert {(r.label, r.held, tuple(r.n)) for r in rows if r.ta is None} == {("x", 15, (7,) * 4), ("y", 2, (1,)), (None, 4, (1,))}
+    b = {(r.ta, r.tb) for r in found["y"]}
+    assert b == {(r.ta, r.tb) for r in found[None]} and b < {(r.ta, r.tb) for r in found["x"]}
+
+
+def test_counts_of_chunks_add_up(spark, monkeypatch):
+    monkeypatch.setattr(nb, "CHUNK_TOKENS", 5)
+    texts = pa.RecordBatch.from_arrays([pa.array(["x", "x", "y", "x"]), pa.array([0, 0, 0, 0]), pa.array([list("abcab"), list("ab"), None, list("abcabcab")])],
+                                       names=["label", "_cell", "_tok"])
+    parts = [r for b in nb._count_ngrams(1, 3, ["label", "ta", "tb", "held", "n"], iter([texts])) for r in b.to_pylist()]
+    total = {}
+    for r in parts:
+        total[r["ta"], r["tb"]] = total.get((r["ta"], r["tb"]), 0) + r["n"][0]
+    want = Counter(t[i:i + n] for t in ("abcab", "ab", "abcabcab") for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    assert total.pop((None, None)) == want.total() and sorted(total.values()) == sorted(want.values()) and len(parts) > len(want) + 1
+
+
+def test_augmented_texts_follow_each_other(spark):
+    df = spark.createDataFrame([(k, f"one two three four{k}") for k in range(40)], "doc_id long, text string").coalesce(1)
+    rows = aug.augment(df, "doc_id", "text", ("deletion", "swap")).collect()
+    assert [r.doc_id for r in rows] == [k for k in range(40) for _ in range(3)]
