@@ -6,8 +6,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, NaiveBayes
 from pyspark.ml.feature import (CountVectorizer, IndexToString, NGram, RegexTokenizer, SQLTransformer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
@@ -16,33 +17,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.text import ENGLISH_STOPWORDS, SK_TOKEN_RE
-from kiln.operators import gram
-
-
-#: MLlib's way to say that every term is kept.
-ALL_TERMS = (1 << 31) - 1
+from kiln.lineage import Scratch
+from kiln.operators import gram, naive_bayes
 
 
 def nb_text_pipeline(text_col: str, label_col: str, alpha: float = 1.0, max_features: int | None = None,
-                     ngram: int = 2, stop_words=ENGLISH_STOPWORDS) -> Pipeline:
+                     ngram: int = 2, stop_words=ENGLISH_STOPWORDS):
     """M7: tokens (lower case, 2+ word chars) -> without stop words -> uni+bi-grams -> counts -> multinomial
-    Naive Bayes; labels indexed and mapped back. MLlib keeps the vocabulary and the class matrix on the driver;
-    ``naive_bayes`` is the form for large vocabularies."""
+    Naive Bayes with smoothed priors. Without ``max_features`` all terms count, and they stay in the tasks
+    (``naive_bayes``); with it, MLlib keeps that many terms and their class matrix on the driver, and labels are indexed
+    and mapped back."""
     tok = RegexTokenizer(inputCol=text_col, outputCol="_raw", pattern=SK_TOKEN_RE, gaps=False, toLowercase=True)
     stages = [tok, StopWordsRemover(inputCol="_raw", outputCol="_tok", stopWords=list(stop_words))]
+    if max_features is None:
+        return CountedPipeline(Pipeline(stages=stages), text_col, label_col, alpha, ngram)
     grams = ["_tok"]
     for n in range(2, ngram + 1):
         stages.append(NGram(n=n, inputCol="_tok", outputCol=f"_g{n}"))
         grams.append(f"_g{n}")
     stages.append(SQLTransformer(statement=f"SELECT *, concat({', '.join(grams)}) AS _terms FROM __THIS__"))
     idx = StringIndexer(inputCol=label_col, outputCol="_y", stringOrderType="alphabetAsc")
-    stages += [CountVectorizer(inputCol="_terms", outputCol="_x", vocabSize=ALL_TERMS if max_features is None else max_features),
+    stages += [CountVectorizer(inputCol="_terms", outputCol="_x", vocabSize=max_features),
                idx, NaiveBayes(featuresCol="_x", labelCol="_y", smoothing=alpha, modelType="multinomial",
                                predictionCol="_p")]
     return Pipeline(stages=stages)
 
 
+@dataclass
+class CountedPipeline:
+    """Tokens by MLlib's transformers, counts and scores by ``naive_bayes``: no vocabulary and no class matrix on the driver."""
+
+    tokens: Pipeline
+    text_col: str
+    label_col: str
+    alpha: float
+    ngram: int
+
+    def fit(self, train: DataFrame) -> CountedModel:
+        """A training text without a label is an error."""
+        tokens = self.tokens.fit(train)
+        label = F.coalesce(F.col(self.label_col).cast("string"), F.raise_error("a training text has no label").cast("string"))
+        return CountedModel(self, tokens, tokens.transform(train).select(label.alias(self.label_col), self.text_col, "_tok"))
+
+
+@dataclass
+class CountedModel:
+    """The training texts' tokens; terms are counted where the texts to predict ask for them."""
+
+    pipeline: CountedPipeline
+    tokens: PipelineModel
+    train: DataFrame
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        p = self.pipeline
+        # rows are told apart by a written number: ids may repeat
+        rows = Scratch(df.sparkSession, "text-model").write(
+            self.tokens.transform(df).drop("_raw").withColumn("_row", F.monotonically_increasing_id()), "rows")
+        found = naive_bayes.fit_predict(self.train, rows.select("_row", p.text_col, "_tok"), "_row", p.text_col, p.label_col, p.alpha, 1, p.ngram,
+                                        F.col("_tok"), prior=p.alpha)
+        return rows.drop("_tok").join(found.select("_row", "prediction"), "_row").drop("_row")
+
+
 def nb_predict(model, df: DataFrame, label_col: str) -> DataFrame:
+    if isinstance(model, CountedModel):
+        return model.predict(df)
     labels = model.stages[-2].labels
     out = model.transform(df)
     return IndexToString(inputCol="_p", outputCol="prediction", labels=labels).transform(out)

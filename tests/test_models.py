@@ -98,3 +98,14 @@ def test_models_score_after_components_in_one_session(spark):
     """Clusters must leave nothing in the session that a margin classifier can't serialise."""
     assert run(spark, "fuzzy_clusters", SMOKE).count() > 0
     assert run(spark, "kernel_svc", SMOKE).count() > 0
+
+
+def test_text_pipeline_leaves_its_vocabulary_in_the_tasks(spark):
+    """The same predictions as MLlib's matrix over all terms, for repeated ids too, without a fitted vocabulary."""
+    words = ["alpha beta gamma", "beta beta delta", "Gamma delta the epsilon", "epsilon zeta alpha", "zeta eta", "unseen words only"]
+    rows = spark.createDataFrame([(k % 20, f"{words[k % 6]} {words[k * k % 5]}", "xyz"[k % 3]) for k in range(60)], "id long, text string, label string")
+    model = ml.nb_text_pipeline("text", "label", alpha=0.1).fit(rows.where("id < 12"))
+    assert not any(hasattr(s, "vocabulary") for s in getattr(model, "stages", []))
+    whole = ml.nb_text_pipeline("text", "label", alpha=0.1, max_features=10_000).fit(rows.where("id < 12"))
+    got, want = (sorted(map(tuple, ml.nb_predict(m, rows, "label").select("id", "text", "label", "prediction").collect())) for m in (model, whole))
+    assert got == want and len({r[3] for r in got}) > 1
