@@ -2,7 +2,7 @@
 
 A rule file lists the variables with their ranges and membership functions and the rules that join them. ``parse`` reads it
 into ``sets`` (side, variable, number, shape, corners) and ``rules`` (number, antecedents, consequent, weight, connective).
-``score`` evaluates any such pair of tables: memberships are joined with the antecedents, a rule's strength is their
+``score`` evaluates any such pair of tables: antecedents look up their memberships, a rule's strength is their
 minimum (or maximum), a consequent's the maximum over its rules, and the crisp output the centroid of the clipped sets.
 """
 
@@ -74,25 +74,32 @@ def output_samples(sets: DataFrame, samples: int = SAMPLES) -> DataFrame:
 
 
 def score(df: DataFrame, id_col: str, inputs: list[str], sets: DataFrame, rules: DataFrame, out: str = "u", samples: int = SAMPLES) -> DataFrame:
-    """V9: (id, out): the crisp output of each row of ``df``; null when no rule fires. ``id_col`` must be unique; ``inputs`` are the columns of the
+    """V9: (id, out): the crisp output of each row of ``df``; null when no rule fires. ``inputs`` are the columns of the
     input variables in their order, and a null one has membership 0 in every set.
 
-    The rule tables are as small as their file, so the joins with them move no rows; strengths are reduced by row.
+    The rule tables are as small as their file: each is one broadcast row of arrays, and every row of ``df`` is scored where it lies.
     """
-    values = df.select(F.col(id_col).alias("id"), F.posexplode(F.array(*(F.col(c).cast("double") for c in inputs))).alias("at", "x"))
-    fuzzy = values.join(sets.where("side = 'input'").select((F.col("variable") - 1).alias("at"), F.col("number").alias("set"), "corners"), "at") \
-        .select("id", "at", "set", F.coalesce(membership(F.col("x"), F.col("corners")), F.lit(0.0)).alias("mu"))
-    parts = rules.select("rule", "consequent", "weight", "connective", F.posexplode("antecedents").alias("at", "asked")).where("asked <> 0") \
-        .withColumn("set", F.abs("asked"))
-    met = fuzzy.join(parts, ["at", "set"]).withColumn("mu", F.when(F.col("asked") < 0, 1 - F.col("mu")).otherwise(F.col("mu")))
-    strength = met.groupBy("id", "rule", "consequent", "weight", "connective").agg(F.min("mu").alias("low"), F.max("mu").alias("high")) \
-        .select("id", "consequent", (F.col("weight") * F.when(F.col("connective") == "and", F.col("low")).otherwise(F.col("high"))).alias("s"))
-    fired = (strength.where("s > 0").groupBy("id", "consequent").agg(F.max("s").alias("s"))
-             .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("consequent", "s"))).alias("fired")))
+    known = sets.where("side = 'input'").agg(F.collect_list(F.struct((F.col("variable") - 1).alias("at"), "number", "corners")).alias("_sets"))
+    listed = rules.agg(F.collect_list(F.struct("antecedents", "consequent", "weight", "connective")).alias("_rules"))
+    rows = df.select(F.col(id_col).alias("id"), F.array(*(F.col(c).cast("double") for c in inputs)).alias("_x"))
+    rows = attach_row(attach_row(attach_row(rows, known), listed), output_samples(sets, samples))
+    # membership of the row's inputs in each set of their variable
+    rows = rows.withColumn("_mu", F.map_from_entries(F.transform("_sets", lambda s: F.struct(
+        F.struct(s["at"].alias("at"), s["number"].alias("set")).alias("key"),
+        F.coalesce(membership(F.get("_x", s["at"]), s["corners"]), F.lit(0.0)).alias("mu")))))
+
+    def met(asked: Column, at: Column) -> Column:
+        mu = F.try_element_at("_mu", F.struct(at.alias("at"), F.abs(asked).alias("set")))
+        return F.when(asked < 0, 1 - mu).when(asked > 0, mu)
+
+    def strength(r: Column) -> Column:
+        parts = F.filter(F.transform(r["antecedents"], met), lambda m: m.isNotNull())
+        return F.struct(r["consequent"].alias("key"), (r["weight"] * F.when(r["connective"] == "and", F.array_min(parts)).otherwise(F.array_max(parts))).alias("value"))
+
+    rows = rows.withColumn("fired", F.filter(F.transform("_rules", strength), lambda e: e["value"] > 0))
     height = F.transform("samples", lambda p: F.struct(p["x"].alias("x"), F.array_max(F.transform(
-        F.map_entries("fired"), lambda e: F.least(e["value"], F.coalesce(F.try_element_at(p["heights"], e["key"]), F.lit(0.0))))).alias("h")))
+        "fired", lambda e: F.least(e["value"], F.coalesce(F.try_element_at(p["heights"], e["key"]), F.lit(0.0))))).alias("h")))
     summed = F.aggregate("shape", F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d")),
                          lambda s, p: F.struct((s["n"] + p["x"] * p["h"]).alias("n"), (s["d"] + p["h"]).alias("d")))
-    crisp = attach_row(fired, output_samples(sets, samples)).withColumn("shape", height).withColumn("sum", summed) \
-        .select("id", F.when(F.col("sum.d") > 0, F.col("sum.n") / F.col("sum.d")).alias(out))
-    return df.select(F.col(id_col).alias("id")).join(crisp, "id", "left").select(F.col("id").alias(id_col), out)
+    return rows.withColumn("shape", F.when(F.size("fired") > 0, height)).withColumn("sum", summed) \
+        .select(F.col("id").alias(id_col), F.when(F.col("sum.d") > 0, F.col("sum.n") / F.col("sum.d")).alias(out))

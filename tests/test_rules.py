@@ -58,3 +58,14 @@ def test_other_rule_bases(spark):
         return sum(x * y for x, y in zip(xs, h, strict=True)) / sum(h) if sum(h) else None
 
     assert got == {k: pytest.approx(brute(p, q, r), abs=1e-9) for k, p, q, r in ((1, 5, 0, 5), (2, 0, 0, 0), (3, 10, 1, 10))}
+
+
+def test_rows_are_scored_where_they_lie(spark):
+    """Rows of one id have their own scores, a row without id too, and nothing is grouped by row."""
+    df = spark.createDataFrame([(1, 50.0, 100.0), (1, -50.0, -100.0), (None, 0.0, 0.0)], "id long, y double, theta double")
+    out = rules.score(df, "id", ["y", "theta"], *rules.parse(spark, file_text()))
+    want = fz.mamdani(df, "y", "theta").select("id", "u").collect()
+    order = lambda r: (r.id is None, r.u)
+    got = sorted(out.collect(), key=order)
+    assert [r.id for r in got] == [1, 1, None] and [r.u for r in got] == [pytest.approx(r.u, abs=1e-9) for r in sorted(want, key=order)]
+    assert "hashpartitioning(id" not in out._jdf.queryExecution().executedPlan().toString()
