@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +118,30 @@ def test_components_of_one_task_equal_those_of_rounds(spark):
     nodes = spark.range(95).select(F.col("id").alias("node")).crossJoin(spark.createDataFrame([(0.0,), (1.0,), (2.0,)], "alpha double"))
     got = [sorted(map(tuple, fz.threshold_components(nodes, edges, ["alpha"], finish).collect())) for finish in (0, 1000)]
     assert got[0] == got[1] and len(got[0]) == 285
+
+
+def test_tiles_grow_where_cells_part_nothing(spark):
+    """A vector goes to a fixed number of tiles, so what is shuffled grows with the rows and not with their square."""
+    vectors = np.random.default_rng(3).standard_normal((20_000, 6))
+    found = vx.cosine_join_report(table(spark, vectors), "id", "v", 0.9).first()
+    assert found.vectors == 20_000 and found.tile_pairs_met <= vx.MOST_COPIES * (vx.MOST_COPIES + 1) // 2
+    some = vectors[:1500]
+    rows, pivots = vx._layout(vectors[:4096], 1_000_000, 1.5, True)
+    assert rows * vectors.shape[1] * 8 <= vx.TILE_BYTES and len(pivots) == 1
+    near = clustered(4096, 400, 16, 0.01, 5)
+    assert vx._layout(near, 200_000, 0.1, True)[0] < 200_000 // vx.MOST_COPIES  # clusters keep their small tiles
+    got = {(r.i, r.j) for r in vx.cosine_pairs(table(spark, some), "id", "v", 0.95).collect()}
+    assert got == set(brute(some, 0.95, True))
+
+
+def test_edges_of_a_task_are_thinned_to_a_forest(monkeypatch):
+    rng = np.random.default_rng(8)
+    edges = {(int(min(a, b)), int(max(a, b))): float(rng.integers(1, 5)) for a, b in rng.integers(0, 60, (1500, 2)) if a != b}
+    rows = pa.table({"i": [i for i, _ in edges], "j": [j for _, j in edges], "w": list(edges.values())})
+    want = list(fz._finish([b.append_column("a", b["i"]).append_column("b", b["j"]) for b in rows.to_batches()]))
+    for size in (40, 500, 1 << 19):
+        monkeypatch.setattr(fz, "THIN_EDGES", size)
+        kept = pa.Table.from_batches(fz._thin(rows.to_batches(max_chunksize=50)))
+        assert len(kept) < len(rows) if size == 500 else len(kept) == 59 if size > 500 else True
+        again = list(fz._finish([b.append_column("a", b["i"]).append_column("b", b["j"]) for b in kept.combine_chunks().to_batches()]))
+        assert [b.to_pydict() for b in again] == [b.to_pydict() for b in want]
