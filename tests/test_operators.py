@@ -390,3 +390,36 @@ def test_augmented_texts_follow_each_other(spark):
     df = spark.createDataFrame([(k, f"one two three four{k}") for k in range(40)], "doc_id long, text string").coalesce(1)
     rows = aug.augment(df, "doc_id", "text", ("deletion", "swap")).collect()
     assert [r.doc_id for r in rows] == [k for k in range(40) for _ in range(3)]
+
+
+def test_rouge_counts_pairs_in_place_and_pools_repeated_keys(spark, monkeypatch):
+    """Only pairs of repeated keys become rows of n-grams; a null in a key equals nothing."""
+    import random
+    from collections import Counter
+
+    from kiln.operators import rouge
+    rng = random.Random(5)
+    text = lambda: " ".join(rng.choice("a b c d e".split()) for _ in range(rng.randint(0, 9)))
+    rows = [(k, k % 3, text(), text()) for k in range(700)] + [(5, 2, text(), text()), (5, 2, None, "a b"), (None, 1, "a b", "a b"), (900, 0, None, "a b"), (901, 0, "a", None)]
+    df = spark.createDataFrame(rows, "k long, t long, p string, r string").repartition(3)
+    seen, pooled = [], rouge._pooled
+    monkeypatch.setattr(rouge, "_pooled", lambda toks, *a: seen.append(toks.select("k", "t").distinct().collect()) or pooled(toks, *a))
+
+    def grams(x, n):
+        w = x.split()
+        return Counter(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+
+    want = []
+    for k, t, p, r in rows:
+        line = [k, t]
+        for n in (1, 2, 4):
+            # a pair with one null text has no n-grams of order 1, and none in common of a higher order
+            group = [x for x in rows if x[:2] == (k, t) and None not in x] if k is not None else []
+            a, b = (sum((grams(x[c], n) for x in group), Counter()) for c in (2, 3))
+            common = sum((a & b).values())
+            line += [common / m if m else 0.0 for m in (sum(grams(x or "", n).values()) for x in (p, r))]
+        want.append(tuple(line))
+    got = [tuple(x)[:8] for x in rouge.rouge_n(df, ["k", "t"], "p", "r", (1, 2, 4), strip_eos=False).collect()]
+    order = lambda x: [(v is None, v or 0) for v in x]
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert [tuple(x) for x in seen[0]] == [(5, 2)]
