@@ -9,10 +9,13 @@ distributed ``global_index`` (no single-task window).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.text import clean_text, remove_stopwords
+from kiln.lineage import Scratch
 from kiln.operators.common import global_index, lookup
 
 PAD, UNK = 0, 1          # W1 ids (fixed values of the classifier vocabulary)
@@ -92,8 +95,11 @@ def map_tokens(df: DataFrame, id_col: str, tokens: Column, table: DataFrame,
     """T3/J6-style lookup of every token in a (key -> value) table; tokens
     without an entry are kept, and of several entries of a key the smallest
     counts. Each distinct (id, word) is looked up once, by an equi-join, and
-    a text gets its few found words back as one small map."""
-    entries = table.groupBy(F.col(key).alias("word")).agg(F.min(value).alias("_v"))
+    a text gets its few found words back as one small map. The entries are
+    written before the join, so that their real size decides whether the
+    words are shuffled for it."""
+    entries = Scratch(df.sparkSession, "token-map").write(
+        table.groupBy(F.col(key).alias("word")).agg(F.min(value).alias("_v")), "entries")
     t = df.withColumn("_t", tokens)
     words = t.select(id_col, F.explode(F.array_distinct("_t")).alias("word"))
     found = (words.join(entries, "word").groupBy(id_col)
@@ -104,12 +110,15 @@ def map_tokens(df: DataFrame, id_col: str, tokens: Column, table: DataFrame,
             .drop("_t", "_found"))
 
 
-def preprocess(df: DataFrame, id_col: str, text_col: str, stop_words=None, lemmas: DataFrame | None = None,
-               out: str = "processed") -> DataFrame:
+def preprocess(df: DataFrame, id_col: str, text_col: str, stop_words=None,
+               lemmas: DataFrame | Callable[[DataFrame], DataFrame] | None = None, out: str = "processed") -> DataFrame:
     """T4: clean text (T1), then without ``stop_words`` (T2) if given, then with words mapped by ``lemmas``
-    (word, lemma) (T3) if given; tokens joined by one space."""
+    (word, lemma) (T3) if given; tokens joined by one space. ``lemmas`` may be a function that makes them from the
+    tokens (id, t) of all texts. With lemmas the tokens are made once and written, as several steps read them."""
     tokens = F.filter(F.split(clean_text(text_col), " "), lambda x: x != F.lit(""))
     t = df.withColumn("_p", remove_stopwords(tokens, stop_words) if stop_words else tokens)
     if lemmas is not None:
-        t = map_tokens(t, id_col, F.col("_p"), lemmas, out="_p2").drop("_p").withColumnRenamed("_p2", "_p")
+        t = Scratch(df.sparkSession, "preprocess").write(t, "tokens")
+        table = lemmas(t.select(id_col, F.col("_p").alias("t"))) if callable(lemmas) else lemmas
+        t = map_tokens(t, id_col, F.col("_p"), table, out="_p2").drop("_p").withColumnRenamed("_p2", "_p")
     return t.withColumn(out, F.array_join("_p", " ")).drop("_p")

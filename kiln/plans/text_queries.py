@@ -123,8 +123,8 @@ def q_stopwords(spark, sf_dir):
 def lemma_table(tokens_df):
     """(word, lemma): a lower-case word ending in 's' maps to its stem when the
     stem is itself a word of the corpus (a rule-derived lemma table)."""
-    words = (tokens_df.select(F.explode("t").alias("w")).distinct()
-             .filter(F.col("w").rlike(r"^\p{Ll}+$")))
+    words = Scratch(tokens_df.sparkSession, "lemmas").write(
+        tokens_df.select(F.explode("t").alias("w")).distinct().filter(F.col("w").rlike(r"^\p{Ll}+$")), "words")
     plural = (words.filter((F.length("w") >= 4) & F.col("w").endswith("s"))
               .withColumn("stem", F.expr("substring(w, 1, length(w) - 1)")))
     return plural.join(words.withColumnRenamed("w", "stem"), "stem") \
@@ -165,8 +165,7 @@ SELECT tok.doc_id, coalesce(agg.s, '') AS processed FROM tok LEFT JOIN agg USING
 def q_preprocess(spark, sf_dir):
     """T4 with both switches on."""
     d = documents(spark, sf_dir)
-    tokens = d.select("doc_id", tx.remove_stopwords(nb.cleaned_tokens("text")).alias("t"))
-    return vc.preprocess(d.select("doc_id", "text"), "doc_id", "text", tx.ENGLISH_STOPWORDS, lemma_table(tokens), out="processed") \
+    return vc.preprocess(d.select("doc_id", "text"), "doc_id", "text", tx.ENGLISH_STOPWORDS, lemma_table, out="processed") \
         .select("doc_id", "processed")
 
 

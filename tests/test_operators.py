@@ -423,3 +423,18 @@ def test_rouge_counts_pairs_in_place_and_pools_repeated_keys(spark, monkeypatch)
     order = lambda x: [(v is None, v or 0) for v in x]
     assert sorted(got, key=order) == sorted(want, key=order)
     assert [tuple(x) for x in seen[0]] == [(5, 2)]
+
+
+def test_preprocess_makes_its_tokens_once(spark):
+    """The lemmas are made from the written tokens that the texts are read from, not from the texts again."""
+    df = spark.createDataFrame([(1, "The cats, 2 cat!"), (2, None), (3, "cats dogs")], "id long, text string")
+    given = []
+
+    def lemmas(tokens):
+        given.append(tokens)
+        return tokens.select(F.explode("t").alias("word")).where("word = 'cats'").select("word", F.lit("cat").alias("lemma"))
+
+    out = vocab.preprocess(df, "id", "text", ["the"], lemmas)
+    assert sorted((r.id, r.processed or "") for r in out.collect()) == [(1, "cat cat"), (2, ""), (3, "cat dogs")]
+    plan = given[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "parquet" in plan.lower()
