@@ -125,6 +125,44 @@ def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int
     return toks.select(*keys, F.explode(ngrams(F.col("_tok"), n_min, n_max)).alias("term"))
 
 
+def term_counts(df: DataFrame, key: str, tokens: Column, n_min: int = 1, n_max: int = 3) -> DataFrame:
+    """(key, term, n long): how often the texts of a key have each n-gram. Tasks count some texts that follow each other at a
+    time and make one string for each n-gram of those, so a key and term may have several rows: their counts add up."""
+    rows = df.select(key, tokens.alias("_tok"))
+    kind = rows.select(key).schema.add("term", "string").add("n", "long")
+    return rows.mapInArrow(partial(_count_terms, n_min, n_max, kind.names), kind)
+
+
+def _count_terms(n_min: int, n_max: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        length = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = np.flatnonzero(np.diff((np.cumsum(length) - 1) // CHUNK_TOKENS)) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(length)], strict=True):
+            yield from _count_part(batch.slice(low, high - low), length[low:high], n_min, n_max, names)
+
+
+def _count_part(part: pa.RecordBatch, length: np.ndarray, n_min: int, n_max: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    keys, coded = part.column(0), pc.list_flatten(part.column(1)).dictionary_encode()
+    code, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    places: dict = {}
+    owner = np.array([places.setdefault(k, len(places)) for k in keys.to_pylist()], np.int64)
+    first = np.unique(owner, return_index=True)[1]
+    text, gram = np.repeat(np.arange(len(length)), length), code
+    for n in range(1, n_max + 1):
+        m = len(code) - n + 1
+        if m <= 0:
+            return
+        if n > 1:
+            gram = np.unique(gram[:m] * len(words) + code[n - 1:], return_inverse=True)[1]
+        at = np.flatnonzero(text[:m] == text[n - 1:])  # n-grams end with their text
+        if n >= n_min and len(at):
+            _, shown, counts = np.unique(owner[text[at]] * (gram.max() + 1) + gram[at], return_index=True, return_counts=True)
+            at = at[shown]
+            parts = [words.take(pa.array(code[at + k])) for k in range(n)]
+            terms = pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0]
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(first[owner[text[at]]])), terms, pa.array(counts, pa.int64())], names=names)
+
+
 def fit_predict(train: DataFrame, test: DataFrame, id_col: str, text_col: str, label_col: str, alpha: float = 0.1,
                 n_min: int = 1, n_max: int = 3, tokens: Column | None = None, prior: float = 0.0) -> DataFrame:
     """Fit on (label, text) of ``train`` and predict ``test`` (id, text, ...); its text is dropped. Rows without a label teach
@@ -216,7 +254,8 @@ def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str
                      n_min: int = 1, n_max: int = 2) -> DataFrame:
     """M8: (trial, alpha, max_features, accuracy): every trial fitted on the rows that are not held out, scored on the others.
 
-    Texts are tokenised once for all trials: term counts by document are written, and the fitted terms are ranked once by their
+    Texts are tokenised once for all trials: terms of the fitted texts are counted by class in the task that has the texts, those of
+    the others by document. Terms that occur as often as the last one of the largest vocabulary, or more, are ranked once by their
     number of occurrences (ties in the order of the terms). The vocabulary of a trial is a prefix of that ranking, its class
     masses are sums over the prefix, and its alpha only enters the formula. So trials are rows that meet the
     hits of the held-out documents, and neither the vocabulary nor a class matrix leaves the tasks. Held-out rows without a
@@ -229,12 +268,18 @@ def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str
     most = max(int(t["max_features"]) for t in trials)
     rows = docs.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).alias("cls"), held_out.alias("held"), text_col)
-    counts = work.write(term_occurrences(rows, ["id", "cls", "held"], cleaned_tokens(text_col), n_min, n_max)
-                        .groupBy("id", "cls", "held", "term").agg(F.count(F.lit(1)).alias("tf")), "counts")
-    by_class = (counts.where("NOT held").groupBy("term", "cls").agg(F.sum("tf").alias("n"))
-                .groupBy("term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("cls", "n")).alias("classes")))
-    terms = work.write(global_index(by_class, [F.desc("total"), "term"], out="place").where(F.col("place") <= most)
+    found = (term_counts(rows.where("NOT held"), "cls", cleaned_tokens(text_col), n_min, n_max).repartition("term")
+             .groupBy("term", "cls").agg(F.sum("n").alias("n"))
+             .groupBy("term").agg(F.sum("n").alias("total"), F.collect_list(F.struct("cls", "n")).alias("classes")))
+    found = work.write(found, "found")
+    # a row per number of occurrences; the terms above the one that fills the largest vocabulary are put in order
+    steps = found.groupBy("total").agg(F.count(F.lit(1)).alias("n")).withColumn("n", F.sum("n").over(Window.orderBy(F.desc("total"))))
+    least = steps.agg(F.coalesce(F.max(F.when(F.col("n") >= most, F.col("total"))), F.lit(0)).alias("_least"))
+    asked = found.join(F.broadcast(least), F.col("total") >= F.col("_least")).drop("_least")
+    terms = work.write(global_index(asked, [F.desc("total"), "term"], out="place").where(F.col("place") <= most)
                        .select("term", "place", "classes"), "terms")
+    counts = (term_occurrences(rows.where("held"), ["id"], cleaned_tokens(text_col), n_min, n_max)
+              .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
     # class masses and vocabulary of each trial, from the counts of its prefix
     prefix = terms.join(table, F.col("place") <= F.col("max_features"))
     size = prefix.groupBy("trial").agg(F.count(F.lit(1)).alias("v"))
@@ -245,7 +290,7 @@ def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str
         priors.crossJoin(table).join(mass, ["trial", "cls"], "left").join(size, "trial", "left")
         .select("trial", "cls", F.log(F.col("docs") / F.col("all")).alias("prior"),
                 F.log(F.col("alpha") / (F.coalesce("mass", F.lit(0)) + F.col("alpha") * F.coalesce("v", F.lit(0)))).alias("miss")), "model")
-    hits = (counts.where("held").join(terms, "term").join(table, F.col("place") <= F.col("max_features"))
+    hits = (counts.join(terms, "term").join(table, F.col("place") <= F.col("max_features"))
             .select("trial", "alpha", "id", "tf", F.explode(F.concat(
                 "classes", F.array(F.struct(F.lit(None).cast(terms.schema["classes"].dataType.elementType["cls"].dataType).alias("cls"),
                                             F.lit(0).cast("long").alias("n"))))).alias("c")))
@@ -258,5 +303,5 @@ def parameter_search(docs: DataFrame, id_col: str, text_col: str, label_col: str
               .withColumn("score", F.col("prior") + F.coalesce(F.col("t") * F.col("miss"), F.lit(0.0)) + F.coalesce("s", F.lit(0.0))))
     # the greatest score, of equals the smallest class
     best = scored.groupBy("trial", "id", "truth").agg(F.min(F.struct((-F.col("score")).alias("o"), "cls")).alias("b"))
-    found = best.groupBy("trial").agg(F.avg((F.col("b.cls") == F.col("truth")).cast("double")).alias("accuracy"))
-    return table.join(found, "trial", "left").select("trial", "alpha", "max_features", "accuracy")
+    right = best.groupBy("trial").agg(F.avg((F.col("b.cls") == F.col("truth")).cast("double")).alias("accuracy"))
+    return table.join(right, "trial", "left").select("trial", "alpha", "max_features", "accuracy")

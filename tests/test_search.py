@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -46,3 +47,22 @@ def test_search_equals_brute_force(spark):
     want = brute(docs, TRIALS)
     assert [(r.alpha, r.max_features) for r in rows] == [w[:2] for w in want]
     assert all(math.isclose(r.accuracy, w[2]) for r, w in zip(rows, want, strict=True)) and len({r.accuracy for r in rows}) > 2
+
+
+def test_only_terms_of_the_largest_vocabulary_are_ranked(spark, monkeypatch):
+    """Terms are counted by class where the texts are, and those that no vocabulary can hold are not put in order."""
+    texts = ["a b a b c", "a b <i>x</i> d", "a c", None, "", "b a b"] + [f"a w{k} b" for k in range(60)]
+    rows = [(k, t, "xy"[k % 2] if k != 1 else None, k % 10 == 3) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string, held boolean").repartition(3)
+    want = Counter((y, " ".join(g)) for _, t, y, _ in rows for w in [re.sub("<.*?>|[0-9]", "", t or "").split()] for n in (1, 2, 3)
+                   for g in zip(*(w[k:] for k in range(n)), strict=False))
+    got = Counter()
+    for r in nb.term_counts(df, "label", nb.cleaned_tokens("text")).collect():
+        got[r.label, r.term] += r.n
+    assert got == want
+    many = [(k, f"a u{chr(97 + k % 26)}{chr(97 + k // 26)} b", "xy"[k % 2], k % 10 == 3) for k in range(200)]
+    ranked, index = [], nb.global_index
+    monkeypatch.setattr(nb, "global_index", lambda d, *a, **k: ranked.append(d.count()) or index(d, *a, **k))
+    out = nb.parameter_search(spark.createDataFrame(many, "doc_id long, text string, label string, held boolean"), "doc_id", "text", "label",
+                              F.col("held"), [{"alpha": 0.1, "max_features": 2}])
+    assert out.first().accuracy is not None and ranked == [2]
