@@ -267,6 +267,26 @@ def test_encode_and_decode_whole_texts(spark):
     assert out == {1: "a <unk> a <unk>", 2: " ".join(["z"] * 300)}
 
 
+def test_decode_shuffles_rare_words_only(spark):
+    """Repeated and null ids, blanks in words and unknown ids; words that are common stay in their tasks."""
+    df = spark.createDataFrame([(1, "a b a".split()), (1, ["b", "b"]), (None, ["c", "a b", "c", "a b"]), (None, ["d"]), (2, ["", "", "a"]),
+                                (3, None), (4, [])], "d long, t array<string>")
+    v = vocab.build_vocab(df, "d", F.col("t"), min_freq=2)
+    assert {(r.word, r.idx, r.cnt) for r in v.collect()} == {("c", 2, 2), ("a b", 3, 2), ("a", 4, 3), ("b", 5, 3), ("", 6, 2)}
+    enc = vocab.encode_padded(df, "d", F.col("t"), v, None)
+    out = {r.d: r.decoded for r in vocab.decode(enc, "d", v).collect()}
+    assert out == {1: "a b b b a", None: "<unk> c a b c a b", 2: "  a"}
+    foreign = spark.createDataFrame([(7, 0, 4), (7, 1, 99), (7, 2, 5), (8, 0, 99)], "d long, pos int, token_id int")
+    assert {r.d: r.decoded for r in vocab.decode(foreign, "d", v).collect()} == {7: "a b", 8: ""}
+    words = spark.range(300_000).selectExpr("id", "concat('w', id % 10) AS word")
+    table = words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"), F.max("id").alias("idx"))
+    far = common.lookup_apart(words, "word", table, "idx", "cnt")
+    assert far.count() == 300_000 and far.where("idx IS NULL").count() == 0
+    far.collect()
+    plan = far._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
 def test_preprocess_switches(spark):
     df = spark.createDataFrame([(1, "The cats, sat!")], "id long, text string")
     lemmas = spark.createDataFrame([("cats", "cat")], "word string, lemma string")
