@@ -16,6 +16,8 @@ from kiln.lineage import Scratch
 
 TECHNIQUES = ("synonym", "deletion", "swap")
 TOKENS = "_t"
+#: Words of a text that are looked up first, where one synonym is wanted.
+FIRST_WORDS = 8
 
 
 def with_tokens(df: DataFrame, text_col: str) -> DataFrame:
@@ -69,22 +71,45 @@ def synonym_replacement(df: DataFrame, id_col: str, text_col: str, copy_col: str
     never is the word itself. Without any candidate the tokens are re-joined.
     The synonyms and the choices are written before their joins, so that
     their real size decides: while they are short, no token and no text is
-    shuffled."""
-    return _replaced(with_tokens(df, text_col), id_col, copy_col, synonyms, out, n).drop("_t")
+    shuffled. For one synonym, the first ``FIRST_WORDS`` words of a text are
+    looked up, and the others only where none of those has one."""
+    return _replaced(with_tokens(df, text_col), id_col, text_col, copy_col, synonyms, out, n).drop("_t")
 
 
-def _replaced(t: DataFrame, id_col: str, copy_col: str, synonyms: DataFrame, out: str, n: int = 1) -> DataFrame:
+def _replaced(t: DataFrame, id_col: str, text_col: str, copy_col: str, synonyms: DataFrame, out: str, n: int = 1) -> DataFrame:
     work = Scratch(t.sparkSession, "synonyms")
     clean = F.trim(F.regexp_replace("synonym", r"[^\p{L}\p{N} ]", ""))
     syn = work.write(synonyms.select("word", clean.alias("synonym")).where("synonym <> '' AND synonym <> word")
                      .where(F.col("word").rlike(r"^[\p{L}\p{N}]+$")).groupBy("word").agg(F.array_sort(F.collect_set("synonym")).alias("_syns")), "words")
-    cands = (t.select(id_col, copy_col, F.explode(F.array_distinct("_t")).alias("word")).join(syn, "word"))
-    pick = F.get("_syns", (hash32(F.col(id_col), F.col(copy_col), "synpick") % F.size("_syns")).cast("int"))
-    choice = work.write(cands.select(id_col, copy_col, F.struct(
-        hash_digits(F.col(id_col), F.col(copy_col), "synword", F.col("word")).alias("h"), "word", pick.alias("to")).alias("c"))
-        .groupBy(id_col, copy_col)
-        .agg((F.array(F.min("c")) if n == 1 else F.slice(F.array_sort(F.collect_list("c")), 1, n)).alias("_c")), "choice")
-    j = t.join(choice, [id_col, copy_col], "left")
+    keys, pick = [id_col, copy_col], F.get("_syns", (hash32(F.col(id_col), F.col(copy_col), "synpick") % F.size("_syns")).cast("int"))
+
+    def draw(word: Column) -> Column:
+        return hash_digits(F.col(id_col), F.col(copy_col), "synword", word).alias("h")
+
+    def choices(rows: DataFrame) -> DataFrame:
+        cands = rows.select(*keys, F.explode(F.array_distinct("_t")).alias("word")).join(syn, "word")
+        return cands.select(*keys, F.struct(draw(F.col("word")), "word", pick.alias("to")).alias("c")).groupBy(*keys) \
+            .agg((F.array(F.min("c")) if n == 1 else F.slice(F.array_sort(F.collect_list("c")), 1, n)).alias("_c"))
+
+    if n == 1:
+        # the first words in hash order are looked up; only texts without a synonym among them send all their words
+        drawn = t.select(*keys, F.array_sort(F.transform(F.filter(F.array_distinct("_t"), lambda w: w.rlike(r"^[\p{L}\p{N}]+$")),
+                                                         lambda w: F.struct(draw(w), w.alias("word")))).alias("w"))
+        seen = drawn.select(*keys, F.when(F.size("w") > FIRST_WORDS, F.get("w", F.lit(FIRST_WORDS - 1))["h"]).alias("last"),
+                            F.explode(F.slice("w", 1, FIRST_WORDS)).alias("w")).select(*keys, "last", "w.h", "w.word")
+        best = seen.join(syn, "word", "left").groupBy(*keys).agg(
+            F.min("last").alias("last"), F.min(F.when(F.col("_syns").isNotNull(), F.struct("h", "word", pick.alias("to")))).alias("c"))
+        best = work.write(best, "first")
+        settled = F.col("c").isNotNull() & (F.col("last").isNull() | (F.col("c.h") <= F.col("last")))
+        choice = best.where(settled).select(*keys, F.array("c").alias("_c"))
+        late = work.write(best.where(~settled & F.col("last").isNotNull()).select(*keys), "late")
+        if not late.isEmpty():
+            choice = choice.unionByName(choices(t.join(late, keys, "left_semi")))
+    else:
+        choice = choices(t)
+    choice = work.write(choice, "choice")
+    # tokens are made again rather than shuffled with their text
+    j = with_tokens(t.drop(TOKENS).join(choice, keys, "left"), text_col)
     chosen = F.map_from_arrays(F.transform("_c", lambda c: c["word"]), F.transform("_c", lambda c: c["to"]))
     res = F.array_join(F.when(F.col("_m").isNull(), F.col("_t")).otherwise(
         F.transform("_t", lambda x: F.coalesce(F.try_element_at("_m", x), x))), " ")
@@ -108,7 +133,7 @@ def augment(df: DataFrame, id_col: str, text_col: str, techniques=TECHNIQUES,
         elif tech == "swap":
             t = _swapped(t, id_col, text_col, "copy", "_v_swap")
         else:
-            t = _replaced(t, id_col, "copy", synonyms, "_v_synonym")
+            t = _replaced(t, id_col, text_col, "copy", synonyms, "_v_synonym")
 
     def variant(copy, tech: str, text: str) -> Column:
         return F.struct(copy.alias("copy"), F.lit(tech).alias("technique"), F.col(text).alias("text"))

@@ -1,6 +1,7 @@
 """Operator checks on small fixtures against plain-Python formulas."""
 
 import datetime as dt
+import hashlib
 import json
 import math
 import re
@@ -295,6 +296,29 @@ def test_preprocess_switches(spark):
     assert one(["the"], lemmas) == "cat sat"
 
 
+def test_first_synonym_beyond_the_first_words(spark):
+    """The least word in hash order that has a synonym, also where it comes late or an id is repeated; few words are sent."""
+    texts = [(k, " ".join(f"w{(k * 7 + i * i) % 61}" for i in range(k + 1))) for k in range(40)] + [(39, "w3 w60 w5"), (5, "w1 w2 " * 9), (None, "w3")]
+    rows = spark.createDataFrame([(k, t, 1) for k, t in texts], "doc_id long, text string, copy int")
+    syn = spark.createDataFrame([("w3", "x3"), ("w40", "x40"), ("w40", "y40"), ("w60", "x60")], "word string, synonym string")
+    have, words = {"w3": ["x3"], "w40": ["x40", "y40"], "w60": ["x60"]}, {}
+    for k, t in texts:
+        words.setdefault(k, set()).update(t.split())
+
+    def digits(*parts):
+        return hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8]
+
+    want = []
+    for k, t in texts:
+        found = min(((digits(k, 1, "synword", w), w) for w in words[k] if w in have), default=None) if k is not None else None
+        to = found and have[found[1]][int(digits(k, 1, "synpick"), 16) % len(have[found[1]])]
+        want.append((k, " ".join(to if found and w == found[1] else w for w in t.split())))
+    assert len({d for _, d in want if "x" in d or "y" in d}) > 20
+    got = [(r.doc_id, r.aug_text) for r in aug.synonym_replacement(rows, "doc_id", "text", "copy", syn).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert aug.FIRST_WORDS < max(map(len, words.values()))
+
+
 def test_several_swaps_and_synonyms(spark):
     df = spark.createDataFrame([(k, " ".join("abcdefgh"), 1) for k in range(30)], "doc_id long, text string, copy int")
     once = {r.doc_id: r.aug_text for r in aug.random_swap(df, "doc_id", "text", "copy").collect()}
