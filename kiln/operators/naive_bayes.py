@@ -188,7 +188,7 @@ def cell_predictions(texts: DataFrame, test: DataFrame, configs: DataFrame, cell
     spark, a = texts.sparkSession, F.lit(float(alpha))
     plans = work.write(configs.select("config", "members"), "configs")
     tf = work.write(ngram_counts(test, [id_col], tokens, n_min, n_max).where(F.col("ta").isNotNull())
-                    .select(F.col(id_col).alias("id"), *TERM, F.get("n", F.lit(0)).alias("tf")), "held-out")
+                    .select(F.col(id_col).alias("id"), *TERM, F.get("n", F.lit(0)).alias("tf")), "held-out", "zstd")
     chars = texts.agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS))
     seen = ngram_counts(texts, [label_col], tokens, n_min, n_max, "cell").select(

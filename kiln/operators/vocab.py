@@ -107,7 +107,7 @@ def decode(encoded: DataFrame, id_col: str, vocab: DataFrame) -> DataFrame:
     """Ids back to words, padding dropped, '<unk>' for 1; one text per id. The ids are written once; only those of rare
     words are shuffled for the words, and the words of a text leave a task as one row."""
     ids = vocab.select(F.col("idx").cast("int").alias("_key"), "word", "cnt")
-    rows = Scratch(encoded.sparkSession, "decode").write(encoded.filter(F.col("token_id") != PAD), "ids")
+    rows = Scratch(encoded.sparkSession, "decode").write(encoded.filter(F.col("token_id") != PAD), "ids", "zstd")
     words = (lookup_apart(rows.withColumn("_key", F.when(F.col("token_id") != UNK, F.col("token_id"))), "_key", ids, "word", "cnt")
              .select(id_col, "pos", F.when(F.col("token_id") == UNK, F.lit("<unk>")).otherwise(F.col("word")).alias("word")))
     piece = T.ArrayType(T.StructType().add("pos", "integer").add("n", "integer").add("text", "string"))

@@ -36,7 +36,7 @@ def _variants(name):
 def experiment_grid(spark, sf_dir):
     """(model, augmentation, dataset_size, accuracy, precision, recall, f1, n_train), one row per configuration."""
     work = Scratch(spark, "experiments")
-    s = work.write(split_documents(spark, sf_dir), "split")
+    s = work.write(split_documents(spark, sf_dir), "split", "zstd")
     train = s.filter(F.col("split") == "train").select("doc_id", "text", "label")
     h = hash32(F.col("doc_id"), 42, "size")
     place = F.struct(h.alias("h"), F.col("doc_id").alias("i"))
@@ -49,7 +49,8 @@ def experiment_grid(spark, sf_dir):
     train = train.withColumn("band", band).drop("_c0", "_c1")
     texts = aug.augment(train, "doc_id", "text", aug.TECHNIQUES, 1, _synonyms_from(documents(spark, sf_dir)))
     variant = F.array_position(F.array(*[F.lit(v) for v in VARIANTS]), F.col("technique")) - 1
-    texts = work.write(texts.select((variant * len(SIZES) + F.col("band")).cast("int").alias("cell"), "label", "text"), "texts")
+    texts = work.write(texts.select((variant * len(SIZES) + F.col("band")).cast("int").alias("cell"), "label", "text"), "texts",
+                       "zstd")
     cells = len(VARIANTS) * len(SIZES)
     rows = [(n, name, size, [VARIANTS.index(v) * len(SIZES) + b for v in _variants(name) for b in range(SIZES.index(size) + 1)])
             for n, (size, name) in enumerate(CONFIGS)]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions import text as tx
 from kiln.functions.hashing import hash32
+from kiln.lineage import Scratch
 from kiln.operators import augment as aug
 from kiln.operators import common, metrics, sets, split, vectors, vocab
 from kiln.operators import experiments as ex
@@ -288,6 +289,13 @@ def test_decode_shuffles_rare_words_only(spark):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
+def test_a_written_table_may_name_its_codec(spark):
+    df = spark.range(10)
+    packed = Scratch(spark, "codec-test").write(df, "rows", "zstd")
+    assert packed.count() == 10 and all(".zstd." in f for f in packed.inputFiles())
+    assert not any(".zstd." in f for f in Scratch(spark, "codec-test").write(df, "rows").inputFiles())
+
+
 def test_preprocess_switches(spark):
     df = spark.createDataFrame([(1, "The cats, sat!")], "id long, text string")
     lemmas = spark.createDataFrame([("cats", "cat")], "word string, lemma string")
