@@ -7,8 +7,8 @@ score is
     score(d, c) = logP(c) + T_d * ln(a / (N_c + a*V)) + sum_t tf * ln((N_tc + a) / a)
 
 where ``T_d`` counts the document's in-vocabulary term occurrences. Training is one aggregation of counts made by chunks of
-texts; scoring is one equi-join of (document, term, tf) with the counts of the terms that are asked for, and one aggregation
-per document.
+texts, where (document, term, tf) of the texts to be scored meet the counts of their terms; scoring is one aggregation per
+document.
 Classes are rows: there is no class list on the driver, no column per class and no bound on their number.
 """
 
@@ -24,13 +24,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kiln.functions.text import clean_text, ngrams
 from kiln.lineage import Scratch
 from kiln.operators.common import global_index
 
-TERM = ["ta", "tb"]
-
 
 def cleaned_tokens(text_col: str) -> Column:
     """T1 text split on blanks."""
@@ -62,6 +61,12 @@ def ngram_counts(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1,
 
 
 def _count_ngrams(n_min: int, n_max: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in _gram_chunks(n_min, n_max, batches):
+        yield from _count_chunk(*chunk, names)
+
+
+def _gram_chunks(n_min: int, n_max: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(key columns, a row of each key, then for each n-gram: ta, tb, number of its key, cell)."""
     for batch in batches:
         *keys, cell, tokens = batch.columns
         length = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -76,12 +81,14 @@ def _count_ngrams(n_min: int, n_max: int, names: list[str], batches: Iterator[pa
         for low, high in zip([0, *cuts], [*cuts, len(length)], strict=True):
             part = code[ends[low] - length[low]:ends[high - 1]] if high > low else code[:0]
             if len(part):
-                yield from _count_chunk(keys, first, words[part], np.repeat(np.arange(low, high), length[low:high]), owner, cells, n_min, n_max, names)
+                ta, tb, row = _grams(words[part], np.repeat(np.arange(low, high), length[low:high]), n_min, n_max)
+                if len(ta):
+                    yield keys, first, ta, tb, owner[row], cells[row]
 
 
-def _count_chunk(keys, first, words, row, owner, cells, n_min, n_max, names) -> Iterator[pa.RecordBatch]:
+def _grams(words: np.ndarray, row: np.ndarray, n_min: int, n_max: int) -> list[np.ndarray]:
     a = b = np.zeros(len(words), np.uint64)
-    grams = []
+    grams = [(a[:0], b[:0], row[:0])]
     for n in range(1, n_max + 1):
         m = len(words) - n + 1
         if m <= 0:
@@ -90,10 +97,10 @@ def _count_chunk(keys, first, words, row, owner, cells, n_min, n_max, names) ->
         at = np.flatnonzero(row[:m] == row[n - 1:])  # n-grams end with their text
         if n >= n_min and len(at):
             grams.append((a[at], b[at] >> np.uint64(32), row[at]))
-    if not grams:
-        return
-    ta, tb, row = (np.concatenate(x) for x in zip(*grams, strict=True))
-    own, cell = owner[row], cells[row]
+    return [np.concatenate(x) for x in zip(*grams, strict=True)]
+
+
+def _count_chunk(keys, first, ta, tb, own, cell, names) -> Iterator[pa.RecordBatch]:
     # equal terms of a key come together, by cell; should others come between, they only have more rows
     order = np.argsort((_mix(ta ^ _mix(own.astype(np.uint64))) << np.uint64(6)) | cell.astype(np.uint64), kind="stable")
     ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
@@ -117,6 +124,149 @@ def _count_rows(keys, at, ta, tb, starts, cell, n, names) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(k.take(pa.array(at)) for k in keys), *ids, pa.array(held), counts], names=names)
 
 
+#: Counts that a task gathers before it packs them, and occurrences that a packed number holds for certain.
+WAITING, MOST = 1 << 22, 1 << 31
+
+
+def packed_counts(df: DataFrame, key: str, tokens: Column, parts: int, n_min: int = 1, n_max: int = 3, cell: str | None = None) -> DataFrame:
+    """(part int, keys array, data binary): the counts of ``ngram_counts`` for one key, for a shuffle by part.
+
+    An id has 80 bits here (two of m distinct n-grams share one with probability about m^2 / 2^81), and its first bits name its
+    part. A task adds up the counts of many chunks, puts the ids of a part in order and packs their differences, so an n-gram takes
+    about half the bytes of a row. ``_unpacked`` reads a row's data; key numbers in it are places in ``keys``.
+    """
+    rows = df.select(F.col(key).alias("_key"), (F.col(cell) if cell else F.lit(0)).cast("long").alias("_cell"), tokens.alias("_tok"))
+    kind = T.StructType().add("part", "integer").add("keys", T.ArrayType(rows.schema["_key"].dataType)).add("data", "binary")
+    return rows.mapInArrow(partial(_pack_ngrams, n_min, n_max, parts), kind)
+
+
+def _pack_ngrams(n_min: int, n_max: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    waiting, places, kind, seen = [], {}, None, 0
+    for (key,), first, ta, tb, own, cell in _gram_chunks(n_min, n_max, batches):
+        code = np.array([places.setdefault(v, len(places)) for v in key.take(pa.array(first)).to_pylist()], np.int64)
+        waiting.append(_added(ta, tb >> np.uint64(16), code[own], cell, np.ones(len(ta), np.int64)))
+        kind, seen = key.type, seen + len(ta)
+        if sum(len(w[0]) for w in waiting) >= WAITING or seen >= MOST:
+            yield _packed(waiting, pa.array(list(places), kind), parts)
+            waiting, places, seen = [], {}, 0
+    if waiting:
+        yield _packed(waiting, pa.array(list(places), kind), parts)
+
+
+def _added(ta, tb, own, cell, n) -> tuple[np.ndarray, ...]:
+    """Counts of equal ids, keys and cells added up, in order of ta, key and cell; should equal ids not be neighbours, they only have more counts."""
+    order = np.lexsort(((own << 6) | cell, ta))
+    ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
+    at = np.flatnonzero(_changes(ta, tb, own, cell))
+    return ta[at], tb[at], own[at], cell[at], np.add.reduceat(n[order], at)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
+def _packed(waiting: list[tuple], keys: pa.Array, parts: int) -> pa.RecordBatch:
+    ta, tb, own, cell, n = _added(*map(np.concatenate, zip(*waiting, strict=True))) if len(waiting) > 1 else waiting[0]
+    row = np.flatnonzero(_changes(ta, tb, own))
+    held, ends = np.bitwise_or.reduceat(np.int64(1) << cell, row), np.append(row[1:], len(ta))
+    ta, tb, own = ta[row], tb[row], own[row]
+    part = ((ta >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cuts = np.flatnonzero(_changes(part))
+    found, data = [], []
+    for low, high in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+        used, local = np.unique(own[low:high], return_inverse=True)
+        found.append(used)
+        planes = [np.diff(ta[low:high], prepend=np.uint64(0)), tb[low:high].astype(np.uint16), local.astype(np.uint32), held[low:high],
+                  n[row[low]:ends[high - 1]].astype(np.uint32)]
+        # bytes of the same place follow each other, so those that hardly vary pack well
+        raw = b"".join(p.view(np.uint8).reshape(len(p), -1).T.tobytes() for p in planes)
+        data.append(np.array([high - low, len(planes[-1])], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), keys.take(pa.array(np.concatenate(found))))
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), lists, pa.array(data, pa.binary())], names=["part", "keys", "data"])
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    """ta, tb, place of the key, held, and the counts of the held cells, row by row."""
+    rows, counts = np.frombuffer(data, np.int64, 2)
+    kinds = [(np.uint64, rows), (np.uint16, rows), (np.uint32, rows), (np.int64, rows), (np.uint32, counts)]
+    raw = np.frombuffer(pa.decompress(data[16:], int(sum(np.dtype(k).itemsize * m for k, m in kinds)), codec="zstd"), np.uint8)
+    out, at = [], 0
+    for kind, m in kinds:
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(raw[at:at + width * m].reshape(width, m).T).view(kind).ravel())
+        at += width * m
+    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+
+
+def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
+    """The counts of a part: rows of kind 0 say how many terms are ``held`` by a set of cells, those of kind 1 are a text's terms that were seen
+    in training with their counts per class and cell, that of kind 2 has the sum of all counts per class and cell."""
+    classes: dict = {}
+    seen, asked, ids = [], [], []
+    for cls, its, data in zip(*(table.column(c).to_pylist() for c in ("cls", "ids", "data")), strict=True):
+        ta, tb, own, held, n = _unpacked(data)
+        if its is None:
+            seen.append((ta, tb, np.array([classes.setdefault(c, len(classes)) for c in cls], np.int64)[own], held, n))
+        else:
+            asked.append((ta, tb, own.astype(np.int64) + len(ids), n))
+            ids += its
+    if not seen:
+        return schema.empty_table()
+    ta, tb, own, held, n = map(np.concatenate, zip(*seen, strict=True))
+    counted = np.bitwise_count(held).astype(np.int64)
+    start = np.cumsum(counted) - counted
+
+    def cell_counts(rows, k: int) -> np.ndarray:
+        here, bit = held[rows], np.int64(1) << np.int64(k)
+        at = start[rows] + np.bitwise_count(here & (bit - np.int64(1)))
+        return np.where(here & bit != 0, n[np.minimum(at, len(n) - 1)].astype(np.int64), 0)
+
+    # terms are numbered together with those asked for
+    want = list(map(np.concatenate, zip(*asked, strict=True))) if asked else [ta[:0], tb[:0], own[:0], n[:0]]
+    all_a, all_b = np.concatenate([ta, want[0]]), np.concatenate([tb, want[1]])
+    order = np.lexsort((all_b, all_a))
+    new = _changes(all_a[order], all_b[order])
+    term = np.empty(len(order), np.int64)
+    term[order] = np.cumsum(new) - 1
+    cells_of = np.bitwise_or.reduceat(np.concatenate([held, np.zeros(len(want[0]), np.int64)])[order], np.flatnonzero(new))
+    term, wanted = term[:len(ta)], term[len(ta):]
+    sets, terms = np.unique(cells_of[cells_of != 0], return_counts=True)
+    mass = np.stack([np.bincount(own, cell_counts(slice(None), k), len(classes)).astype(np.int64) for k in range(cells)], 1)
+    # the counts of the terms asked for, by term and class
+    is_asked = np.zeros(len(cells_of), bool)
+    is_asked[wanted] = True
+    rows = np.flatnonzero(is_asked[term])
+    rows = rows[np.lexsort((own[rows], term[rows]))]
+    at = np.flatnonzero(_changes(term[rows], own[rows]))
+    dense = np.stack([np.add.reduceat(cell_counts(rows, k), at) if len(at) else at for k in range(cells)], 1)
+    rows = rows[at]
+    names = pa.array(list(classes), schema.field("classes").type.value_type.field("cls").type)
+
+    def lists(offsets, own, dense) -> pa.Array:
+        n = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * cells, pa.int32()), pa.array(dense.ravel(), pa.int64()))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([names.take(pa.array(own)), n], ["cls", "n"]))
+
+    one = np.flatnonzero(_changes(term[rows]))
+    place = np.full(len(cells_of), -1, np.int64)
+    place[term[rows[one]]] = np.arange(len(one))
+    hit = np.flatnonzero(place[wanted] >= 0)
+    by_term = lists([*one, len(rows)], own[rows], dense).take(pa.array(place[wanted[hit]]))
+    owners = pa.array(ids, schema.field("id").type).take(pa.array(want[2][hit]))
+
+    def made(kind: int, m: int, **columns) -> pa.Table:
+        columns["kind"] = pa.array(np.full(m, kind), pa.int32())
+        return pa.table([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(m, f.type) for f in schema], schema=schema)
+
+    return pa.concat_tables([made(0, len(sets), held=pa.array(sets), n=pa.array(terms, pa.int64())),
+                             made(1, len(hit), id=owners, n=pa.array(want[3][hit].astype(np.int64)), classes=by_term),
+                             made(2, 1, classes=lists([0, len(classes)], np.arange(len(classes)), mass))])
+
+
 def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3) -> DataFrame:
     """One row per n-gram occurrence: (*keys, term)."""
     # tokens get their own projection: the n-gram lambdas then read a plain
@@ -179,44 +329,38 @@ def cell_predictions(texts: DataFrame, test: DataFrame, configs: DataFrame, cell
 
     ``texts`` (cell, label, text) are the training texts, each in one of ``cells`` disjoint cells; ``configs`` (config,
     members array<int>) says which cells a configuration trains on. Counts of the training texts meet the terms of the
-    test texts in one shuffle by term. What leaves it is the vocabulary by the cells that a term occurs in, and the counts of
-    those terms only that a test text has: the others enter a score by their number alone. A term has a row per class and chunk of
-    texts there, so no term makes that shuffle uneven. With ``bare`` a configuration without any term predicts by its priors;
+    test texts in one shuffle by term, packed. What leaves it is the size of the vocabulary by the cells that a term occurs in, and the
+    counts of those terms only that a test text has: the others enter a score by their number alone. A term enters it once per class
+    and many chunks of texts, so no term makes that shuffle uneven. With ``bare`` a configuration without any term predicts by its priors;
     otherwise it has no rows.
     """
     work = Scratch(texts.sparkSession, "naive-bayes")
     spark, a = texts.sparkSession, F.lit(float(alpha))
     plans = work.write(configs.select("config", "members"), "configs")
-    tf = work.write(ngram_counts(test, [id_col], tokens, n_min, n_max).where(F.col("ta").isNotNull())
-                    .select(F.col(id_col).alias("id"), *TERM, F.get("n", F.lit(0)).alias("tf")), "held-out", "zstd")
-    chars = texts.agg(F.sum(F.length(text_col))).first()[0] or 0
+    chars = texts.select(text_col).unionByName(test.select(text_col)).agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // PART_CHARS))
-    seen = ngram_counts(texts, [label_col], tokens, n_min, n_max, "cell").select(
-        *TERM, F.col(label_col).alias("cls"), "held", "n", F.when(F.col("ta").isNull(), 2).otherwise(0).alias("kind"))
-    asked = tf.select(*TERM, F.lit(None).cast(seen.schema["cls"].dataType).alias("cls"), F.lit(0).cast("long").alias("held"),
-                      F.lit(None).cast("array<int>").alias("n"), F.lit(1).alias("kind"))
-
-    def count(k: int) -> Column:
-        bit = F.lit(1 << k).cast("long")
-        return F.sum(F.when(F.col("held").bitwiseAND(bit) != 0, F.get("n", F.bit_count(F.col("held").bitwiseAND(bit - 1)))).otherwise(0)).alias(f"n{k}")
-
-    by_class = (seen.unionByName(asked).repartition(parts, *TERM).groupBy(*TERM, "cls")
-                .agg(F.bit_or("held").alias("held"), F.max("kind").alias("kind"), *[count(k) for k in range(cells)]))
-    by_term = by_class.groupBy(*TERM).agg(
-        F.bit_or("held").alias("held"), F.max("kind").alias("kind"),
-        F.collect_list(F.when(F.col("held") != 0, F.struct("cls", F.array(*[f"n{k}" for k in range(cells)]).alias("n")))).alias("classes"))
-    found = F.col("kind") > 0
-    terms = work.write(by_term.where("held <> 0").select(
-        *[F.when(found, F.col(c)).alias(c) for c in TERM], "held", "kind", F.when(found, F.col("classes")).alias("classes")), "terms")
+    seen = packed_counts(texts, label_col, tokens, parts, n_min, n_max, "cell").withColumnRenamed("keys", "cls")
+    asked = packed_counts(test.where(F.col(id_col).isNotNull()), id_col, tokens, parts, n_min, n_max).withColumnRenamed("keys", "ids")
+    label, key = seen.schema["cls"].dataType.elementType, asked.schema["ids"].dataType.elementType
+    counts = T.ArrayType(T.StructType().add("cls", label).add("n", T.ArrayType(T.LongType())))
+    kind = T.StructType().add("kind", "integer").add("id", key).add("held", "long").add("n", "long").add("classes", counts)
+    schema = to_arrow_schema(kind)
+
+    def met(table):
+        return _meet(cells, schema, table)
+
+    terms = seen.unionByName(asked, allowMissingColumns=True).repartition(parts, "part").groupBy("part").applyInArrow(met, kind)
+    terms = work.write(terms, "terms", "zstd")
 
     def chosen(n: Column) -> Column:
         return F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.get(n, k))
 
     # totals per class and cell, and the vocabulary size per set of cells that a term occurs in
-    mass = terms.where("kind = 2").select(F.explode("classes").alias("c")).select("c.cls", F.col("c.n").alias("mass"))
+    mass = (terms.where("kind = 2").select(F.explode("classes").alias("c")).groupBy("c.cls")
+            .agg(F.array(*[F.sum(F.get("c.n", F.lit(k))) for k in range(cells)]).alias("mass")))
     docs = texts.groupBy(F.col(label_col).alias("cls")).agg(F.array(*[
         F.sum(F.when(F.col("cell") == k, 1).otherwise(0)).cast("long") for k in range(cells)]).alias("docs"))
-    shapes = terms.where("kind < 2").groupBy("held").agg(F.count(F.lit(1)).alias("terms"))
+    shapes = terms.where("kind = 0").groupBy("held").agg(F.sum("n").alias("terms"))
     bits = F.aggregate("members", F.lit(0).cast("long"), lambda s, k: s + F.pow(F.lit(2.0), k).cast("long"))
     size = (plans.crossJoin(shapes).where(F.col("held").bitwiseAND(bits) != 0)
             .groupBy("config").agg(F.sum("terms").alias("v")))
@@ -230,8 +374,7 @@ def cell_predictions(texts: DataFrame, test: DataFrame, configs: DataFrame, cell
         F.when(weight > 0, F.log(a / weight)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
     heads = work.write(classes.groupBy("config").agg(F.array_sort(F.collect_list("c")).alias("all")), "classes")
     # dealt by text before the configurations multiply the rows
-    hits = (tf.where(F.col("id").isNotNull()).join(terms.where("kind = 1").select(*TERM, "classes"), TERM)
-            .select("id", "tf", "classes").repartition("id").crossJoin(F.broadcast(plans))
+    hits = (terms.where("kind = 1").select("id", F.col("n").alias("tf"), "classes").repartition("id").crossJoin(F.broadcast(plans))
             .select("config", "id", "tf", F.transform("classes", lambda c: F.struct(c["cls"].alias("cls"), chosen(c["n"]).alias("n"))).alias("c"))
             .where(F.exists("c", lambda c: c["n"] > 0)))
     # the extra entry carries the text's term count
