@@ -143,8 +143,8 @@ def packed_counts(df: DataFrame, key: str, tokens: Column, parts: int, n_min: in
 def _pack_ngrams(n_min: int, n_max: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting, places, kind, seen = [], {}, None, 0
     for (key,), first, ta, tb, own, cell in _gram_chunks(n_min, n_max, batches):
-        code = np.array([places.setdefault(v, len(places)) for v in key.take(pa.array(first)).to_pylist()], np.int64)
-        waiting.append(_added(ta, tb >> np.uint64(16), code[own], cell, np.ones(len(ta), np.int64)))
+        code = np.array([places.setdefault(v, len(places)) for v in key.take(pa.array(first)).to_pylist()], np.int32)
+        waiting.append(_added(ta, (tb >> np.uint64(16)).astype(np.uint16), code[own], cell.astype(np.int8), np.ones(len(ta), np.uint32)))
         kind, seen = key.type, seen + len(ta)
         if sum(len(w[0]) for w in waiting) >= WAITING or seen >= MOST:
             yield _packed(waiting, pa.array(list(places), kind), parts)
@@ -155,10 +155,10 @@ def _pack_ngrams(n_min: int, n_max: int, parts: int, batches: Iterator[pa.Record
 
 def _added(ta, tb, own, cell, n) -> tuple[np.ndarray, ...]:
     """Counts of equal ids, keys and cells added up, in order of ta, key and cell; should equal ids not be neighbours, they only have more counts."""
-    order = np.lexsort(((own << 6) | cell, ta))
+    order = np.lexsort(((own.astype(np.int64) << 6) | cell, ta))
     ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
     at = np.flatnonzero(_changes(ta, tb, own, cell))
-    return ta[at], tb[at], own[at], cell[at], np.add.reduceat(n[order], at)
+    return ta[at], tb[at], own[at], cell[at], np.add.reduceat(n[order], at).astype(np.uint32)
 
 
 def _changes(*columns: np.ndarray) -> np.ndarray:
@@ -173,7 +173,7 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
 def _packed(waiting: list[tuple], keys: pa.Array, parts: int) -> pa.RecordBatch:
     ta, tb, own, cell, n = _added(*map(np.concatenate, zip(*waiting, strict=True))) if len(waiting) > 1 else waiting[0]
     row = np.flatnonzero(_changes(ta, tb, own))
-    held, ends = np.bitwise_or.reduceat(np.int64(1) << cell, row), np.append(row[1:], len(ta))
+    held, ends = np.bitwise_or.reduceat(np.int64(1) << cell.astype(np.int64), row), np.append(row[1:], len(ta))
     ta, tb, own = ta[row], tb[row], own[row]
     part = ((ta >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     cuts = np.flatnonzero(_changes(part))
@@ -181,8 +181,7 @@ def _packed(waiting: list[tuple], keys: pa.Array, parts: int) -> pa.RecordBatch:
     for low, high in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
         used, local = np.unique(own[low:high], return_inverse=True)
         found.append(used)
-        planes = [np.diff(ta[low:high], prepend=np.uint64(0)), tb[low:high].astype(np.uint16), local.astype(np.uint32), held[low:high],
-                  n[row[low]:ends[high - 1]].astype(np.uint32)]
+        planes = [np.diff(ta[low:high], prepend=np.uint64(0)), tb[low:high], local.astype(np.uint32), held[low:high], n[row[low]:ends[high - 1]]]
         # bytes of the same place follow each other, so those that hardly vary pack well
         raw = b"".join(p.view(np.uint8).reshape(len(p), -1).T.tobytes() for p in planes)
         data.append(np.array([high - low, len(planes[-1])], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
