@@ -30,6 +30,7 @@ SK_TOKEN_RE = r"[\p{L}\p{N}_]{2,}"
 URL_RE = rf"(?:http|www){NOT_WS}+"
 TAG_RE = r"<[^\n]*?>"
 DIGITS_RE = r"\p{Nd}+"
+PUNCT_DIGITS_RE = r"[!-/:-@\[-`{-~\p{Nd}]+"  # one pass: characters are dropped one by one in either
 
 # The English stop-word list of the NLTK corpus (179 words),
 # in the corpus' own order. Operators take the list as a parameter; this is
@@ -63,13 +64,22 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _dropped(s: Column, regex: str, *marks: str) -> Column:
+    """``s`` without the matches of ``regex``, each of which holds one of the marks: a text without any is only searched for those."""
+    def one(x: Column) -> Column:
+        found = F.lit(False)
+        for m in marks:
+            found = found | x.contains(m)
+        return F.when(found, F.regexp_replace(x, regex, "")).otherwise(x)
+
+    return F.get(F.transform(F.array(s), one), F.lit(0))
+
+
 def clean_text(c) -> Column:
     """Lower, drop URLs, tags, punctuation and digits, squeeze spaces."""
-    s = F.lower(_c(c))
-    s = F.regexp_replace(s, URL_RE, "")
-    s = F.regexp_replace(s, TAG_RE, "")
-    s = F.regexp_replace(s, PUNCT, "")
-    s = F.regexp_replace(s, DIGITS_RE, "")
+    s = _dropped(F.lower(_c(c)), URL_RE, "http", "www")
+    s = _dropped(s, TAG_RE, "<")
+    s = F.regexp_replace(s, PUNCT_DIGITS_RE, "")
     s = F.regexp_replace(s, f"{WS}+", " ")
     return F.trim(s)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.functions.hashing import hash32, hash_digits, unit_above
+from kiln.functions.hashing import above_after, digits_after, hash32, hash_digits, with_prefix
 from kiln.functions.text import tokenize
 from kiln.lineage import Scratch
 
@@ -34,12 +34,14 @@ def random_deletion(df: DataFrame, id_col: str, text_col: str, copy_col: str,
 
 
 def _deleted(id_col: str, text_col: str, copy_col: str, p: float) -> Column:
-    kept = F.filter(F.col("_t"), lambda x, i: unit_above(float(p), F.col(id_col), F.col(copy_col), "del", i))
+    kept = with_prefix([F.col(id_col), F.col(copy_col), "del"],
+                       lambda prefix: F.filter(F.col("_t"), lambda x, i: above_after(float(p), prefix, i)))
     pick = F.array(F.element_at(
         "_t", (hash32(F.col(id_col), F.col(copy_col), "delpick")
                 % F.greatest(F.size("_t"), F.lit(1))).cast("int") + 1))
-    return F.when(F.size("_t") <= 1, F.col(text_col)).otherwise(
-        F.array_join(F.when(F.size(kept) == 0, pick).otherwise(kept), " "))
+    # the draws are made once, though their result is named twice
+    made = F.transform(F.array(kept), lambda k: F.array_join(F.when(F.size(k) == 0, pick).otherwise(k), " "))
+    return F.when(F.size("_t") <= 1, F.col(text_col)).otherwise(F.get(made, F.lit(0)))
 
 
 def random_swap(df: DataFrame, id_col: str, text_col: str, copy_col: str,
@@ -93,8 +95,9 @@ def _replaced(t: DataFrame, id_col: str, text_col: str, copy_col: str, synonyms:
 
     if n == 1:
         # the first words in hash order are looked up; only texts without a synonym among them send all their words
-        drawn = t.select(*keys, F.array_sort(F.transform(F.filter(F.array_distinct("_t"), lambda w: w.rlike(r"^[\p{L}\p{N}]+$")),
-                                                         lambda w: F.struct(draw(w), w.alias("word")))).alias("w"))
+        words = F.filter(F.array_distinct("_t"), lambda w: w.rlike(r"^[\p{L}\p{N}]+$"))
+        drawn = t.select(*keys, F.sort_array(with_prefix([F.col(id_col), F.col(copy_col), "synword"], lambda prefix: F.transform(
+            words, lambda w: F.struct(digits_after(prefix, w).alias("h"), w.alias("word"))))).alias("w"))
         seen = drawn.select(*keys, F.when(F.size("w") > FIRST_WORDS, F.get("w", F.lit(FIRST_WORDS - 1))["h"]).alias("last"),
                             F.explode(F.slice("w", 1, FIRST_WORDS)).alias("w")).select(*keys, "last", "w.h", "w.word")
         best = seen.join(syn, "word", "left").groupBy(*keys).agg(

@@ -44,7 +44,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 #: Tokens whose n-grams are counted together, and characters of text whose counts a task of the reduction gets on average.
-CHUNK_TOKENS, PART_CHARS = 1 << 19, 1 << 23
+CHUNK_TOKENS, PART_CHARS = 1 << 17, 1 << 23
 
 
 def ngram_counts(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3, cell: str | None = None) -> DataFrame:
@@ -153,9 +153,38 @@ def _pack_ngrams(n_min: int, n_max: int, parts: int, batches: Iterator[pa.Record
         yield _packed(waiting, pa.array(list(places), kind), parts)
 
 
+def _order(ta: np.ndarray, low: np.ndarray | None = None) -> np.ndarray:
+    """Places in order of the first bits of ``ta``, then of ``low``, then as they are: one sort of plain numbers, in which a place has the last bits."""
+    place = max(1, (len(ta) - 1).bit_length())
+    rest = place + (int(low.max()).bit_length() if low is not None and len(low) else 0)
+    if rest > 40:  # too few bits of ta would be left
+        return np.lexsort((ta,) if low is None else (low, ta))
+    order = (ta >> np.uint64(rest) << np.uint64(rest)) | np.arange(len(ta), dtype=np.uint64)
+    if low is not None:
+        order |= low.astype(np.uint64) << np.uint64(place)
+    order.sort()
+    return (order & np.uint64((1 << place) - 1)).astype(np.int64)
+
+
+def _exact_order(ta: np.ndarray, tb: np.ndarray) -> np.ndarray:
+    """Places with equal (ta, tb) next to each other, in order of them where the first bits of ta are equal."""
+    order = _order(ta)
+    a, b = ta[order], tb[order]
+    same = np.zeros(len(a), bool)  # as the row before by the bits in order, but perhaps not whole
+    bits = np.uint64(max(1, (len(a) - 1).bit_length()))
+    same[1:] = a[1:] >> bits == a[:-1] >> bits
+    odd = np.flatnonzero(same[1:] & ((a[1:] != a[:-1]) | (b[1:] != b[:-1]))) + 1
+    if len(odd):
+        run = np.cumsum(~same)
+        at = np.flatnonzero(np.isin(run, run[odd]))
+        order[at] = order[at[np.lexsort((b[at], a[at], run[at]))]]
+    return order
+
+
 def _added(ta, tb, own, cell, n) -> tuple[np.ndarray, ...]:
     """Counts of equal ids, keys and cells added up, in order of ta, key and cell; should equal ids not be neighbours, they only have more counts."""
-    order = np.lexsort(((own.astype(np.int64) << 6) | cell, ta))
+    cells = int(cell.max()) + 1 if len(cell) else 1
+    order = _order(ta, own.astype(np.int64) * cells + cell)
     ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
     at = np.flatnonzero(_changes(ta, tb, own, cell))
     return ta[at], tb[at], own[at], cell[at], np.add.reduceat(n[order], at).astype(np.uint32)
@@ -228,7 +257,7 @@ def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
     # terms are numbered together with those asked for
     want = list(map(np.concatenate, zip(*asked, strict=True))) if asked else [ta[:0], tb[:0], own[:0], n[:0]]
     all_a, all_b = np.concatenate([ta, want[0]]), np.concatenate([tb, want[1]])
-    order = np.lexsort((all_b, all_a))
+    order = _exact_order(all_a, all_b)
     new = _changes(all_a[order], all_b[order])
     term = np.empty(len(order), np.int64)
     term[order] = np.cumsum(new) - 1
@@ -266,6 +295,61 @@ def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
                              made(2, 1, classes=lists([0, len(classes)], np.arange(len(classes)), mass))])
 
 
+def _hit_sums(fits: list, cells: int, alpha: float, schema: pa.Schema, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(config, id, _t, _s) of the hits (id, tf, classes), in order of id: the number of a text's terms that a configuration has, and
+    per class the sum of tf * ln((n + alpha) / alpha). The sums of a text wait for the next batch, not its hits."""
+    member = np.zeros((cells, len(fits)))
+    for j, (_, held) in enumerate(fits):
+        np.add.at(member[:, j], [k for k in held if 0 <= k < cells], 1)
+    configs, codes, rest = pa.array([c for c, _ in fits], schema.field("config").type), {}, None
+
+    def made(ids: pa.Array, t: np.ndarray, own: np.ndarray, cls: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
+        # the classes of a text follow each other
+        text, config = np.nonzero(t > 0)
+        starts = np.searchsorted(own, np.arange(len(ids) + 1))
+        size = np.diff(starts)[text]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size - starts[text], size)
+        names = pa.array(list(codes), schema.field("_s").type.value_type.field("cls").type).take(pa.array(cls[at]))
+        lists = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.StructArray.from_arrays([names, pa.array(s[at, np.repeat(config, size)])], ["cls", "s"]))
+        columns = [configs.take(pa.array(config)), ids.take(pa.array(text)), pa.array(t[text, config]), lists]
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    for batch in batches:
+        ids, tf, classes = batch.columns
+        if not len(ids):
+            continue
+        code = ids.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        new = _changes(code)
+        first, own = np.flatnonzero(new), np.cumsum(new) - 1
+        ids, tf = ids.take(pa.array(first)), tf.to_numpy(zero_copy_only=False).astype(np.float64)
+        # each hit has classes
+        row, flat = np.repeat(np.arange(len(tf)), pc.list_value_length(classes).to_numpy(zero_copy_only=False)), pc.list_flatten(classes)
+        named = flat.field("cls").dictionary_encode(null_encoding="encode")
+        known = np.array([codes.setdefault(c, len(codes)) for c in named.dictionary.to_pylist()], np.int64)
+        cls = known[named.indices.to_numpy(zero_copy_only=False)]
+        n = pc.list_flatten(flat.field("n")).to_numpy(zero_copy_only=False).reshape(-1, cells) @ member
+        has = np.add.reduceat(n, np.flatnonzero(_changes(row)), axis=0) > 0
+        t = np.add.reduceat(tf[:, None] * has, first, axis=0)
+        s, own = tf[row, None] * np.log((n + alpha) / alpha), own[row]
+        if rest is not None:
+            if len(pc.unique(pa.concat_arrays([rest[0], ids.slice(0, 1)]))) == 1:
+                t[0] += rest[1][0]
+            else:
+                ids, t, own = pa.concat_arrays([rest[0], ids]), np.concatenate([rest[1], t]), own + 1
+            own, cls, s = np.concatenate([rest[2], own]), np.concatenate([rest[3], cls]), np.concatenate([rest[4], s])
+        order = np.lexsort((cls, own))
+        own, cls = own[order], cls[order]
+        at = np.flatnonzero(_changes(own, cls))
+        own, cls, s = own[at], cls[at], np.add.reduceat(s[order], at, axis=0) if len(at) else s
+        last = np.searchsorted(own, len(ids) - 1)
+        if len(ids) > 1:
+            yield made(ids.slice(0, len(ids) - 1), t[:-1], own[:last], cls[:last], s[:last])
+        rest = ids.slice(len(ids) - 1), t[-1:], own[last:] - (len(ids) - 1), cls[last:], s[last:]
+    if rest is not None:
+        yield made(*rest)
+
+
 def term_occurrences(df: DataFrame, keys: list[str], tokens: Column, n_min: int = 1, n_max: int = 3) -> DataFrame:
     """One row per n-gram occurrence: (*keys, term)."""
     # tokens get their own projection: the n-gram lambdas then read a plain
@@ -285,7 +369,7 @@ def term_counts(df: DataFrame, key: str, tokens: Column, n_min: int = 1, n_max:
 def _count_terms(n_min: int, n_max: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         length = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        cuts = np.flatnonzero(np.diff((np.cumsum(length) - 1) // CHUNK_TOKENS)) + 1
+        cuts = np.flatnonzero(np.diff((np.cumsum(length) - 1) // (4 * CHUNK_TOKENS))) + 1
         for low, high in zip([0, *cuts], [*cuts, len(length)], strict=True):
             yield from _count_part(batch.slice(low, high - low), length[low:high], n_min, n_max, names)
 
@@ -372,18 +456,13 @@ def cell_predictions(texts: DataFrame, test: DataFrame, configs: DataFrame, cell
         "cls", F.log((F.col("d") + prior) / (F.sum("d").over(total) + prior * F.count(F.lit(1)).over(total))).alias("prior"),
         F.when(weight > 0, F.log(a / weight)).otherwise(F.lit(0.0)).alias("miss")).alias("c"))
     heads = work.write(classes.groupBy("config").agg(F.array_sort(F.collect_list("c")).alias("all")), "classes")
-    # dealt by text before the configurations multiply the rows
-    hits = (terms.where("kind = 1").select("id", F.col("n").alias("tf"), "classes").repartition("id").crossJoin(F.broadcast(plans))
-            .select("config", "id", "tf", F.transform("classes", lambda c: F.struct(c["cls"].alias("cls"), chosen(c["n"]).alias("n"))).alias("c"))
-            .where(F.exists("c", lambda c: c["n"] > 0)))
-    # the extra entry carries the text's term count
-    whole = F.transform("c", lambda c: F.struct(c["cls"].alias("cls"), (F.col("tf") * F.log((c["n"] + a) / a)).alias("s"), F.lit(False).alias("all")))
-    kind = hits.schema["c"].dataType.elementType["cls"].dataType
-    extra = F.array(F.struct(F.lit(None).cast(kind).alias("cls"), F.col("tf").cast("double").alias("s"), F.lit(True).alias("all")))
-    sums = (hits.select("config", "id", F.explode(F.concat(whole, extra)).alias("g")).groupBy("config", "id", "g.cls", "g.all").agg(F.sum("g.s").alias("s"))
-            .groupBy("config", "id").agg(F.max(F.when(F.col("all"), F.col("s"))).alias("_t"),
-                                         F.map_from_entries(F.collect_list(F.when(~F.col("all"), F.struct("cls", "s")))).alias("_s"))
-            .select("config", F.col("id").alias(id_col), "_t", "_s"))
+    # dealt by text: its counts are read once for all configurations, which are few numbers
+    fits = [(r["config"], r["members"]) for r in plans.collect()]
+    hits = terms.where("kind = 1").select("id", F.col("n").alias("tf"), "classes").repartition("id").sortWithinPartitions("id")
+    kind = (T.StructType().add("config", plans.schema["config"].dataType).add("id", key).add("_t", "double")
+            .add("_s", T.ArrayType(T.StructType().add("cls", label).add("s", "double"))))
+    sums = (hits.mapInArrow(partial(_hit_sums, fits, cells, float(alpha), to_arrow_schema(kind)), kind)
+            .select("config", F.col("id").alias(id_col), "_t", F.map_from_entries("_s").alias("_s")))
     base = test.drop(text_col).join(F.broadcast(heads), F.lit(True), "left" if bare else "inner")
     scored = base.join(sums, ["config", id_col], "left")
     best = F.array_max(F.transform("all", lambda c, i: F.struct(
