@@ -28,6 +28,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kiln.functions.text import clean_text, ngrams
 from kiln.lineage import Scratch
+from kiln.operators.blobs import packed, unpacked
 from kiln.operators.common import global_index
 
 
@@ -71,8 +72,7 @@ def _gram_chunks(n_min: int, n_max: int, batches: Iterator[pa.RecordBatch]) -> I
         *keys, cell, tokens = batch.columns
         length = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         coded = pc.list_flatten(tokens).dictionary_encode()
-        digests = b"".join(hashlib.blake2b(w.encode(), digest_size=16).digest() for w in coded.dictionary.to_pylist())
-        words, code = np.frombuffer(digests, np.uint64).reshape(-1, 2), coded.indices.to_numpy(zero_copy_only=False)
+        words, code = word_ids(coded.dictionary), coded.indices.to_numpy(zero_copy_only=False)
         places: dict[tuple, int] = {}
         owner = np.array([places.setdefault(k, len(places)) for k in zip(*(c.to_pylist() for c in keys), strict=True)], np.int64)
         first = np.unique(owner, return_index=True)[1]
@@ -81,14 +81,21 @@ def _gram_chunks(n_min: int, n_max: int, batches: Iterator[pa.RecordBatch]) -> I
         for low, high in zip([0, *cuts], [*cuts, len(length)], strict=True):
             part = code[ends[low] - length[low]:ends[high - 1]] if high > low else code[:0]
             if len(part):
-                ta, tb, row = _grams(words[part], np.repeat(np.arange(low, high), length[low:high]), n_min, n_max)
+                row = np.repeat(np.arange(low, high), length[low:high])
+                ta, tb, at, _ = gram_ids(words[part], row, n_min, n_max)
                 if len(ta):
-                    yield keys, first, ta, tb, owner[row], cells[row]
+                    yield keys, first, ta, tb, owner[row[at]], cells[row[at]]
 
 
-def _grams(words: np.ndarray, row: np.ndarray, n_min: int, n_max: int) -> list[np.ndarray]:
+def word_ids(words: pa.Array) -> np.ndarray:
+    """Two numbers for each word."""
+    return np.frombuffer(b"".join(hashlib.blake2b(w.encode(), digest_size=16).digest() for w in words.to_pylist()), np.uint64).reshape(-1, 2)
+
+
+def gram_ids(words: np.ndarray, row: np.ndarray, n_min: int, n_max: int) -> list[np.ndarray]:
+    """ta, tb, place of the first word and number of words of the n-grams of ``words`` (by ``word_ids``) that lie in one ``row``."""
     a = b = np.zeros(len(words), np.uint64)
-    grams = [(a[:0], b[:0], row[:0])]
+    grams = [(a[:0], b[:0], np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for n in range(1, n_max + 1):
         m = len(words) - n + 1
         if m <= 0:
@@ -96,7 +103,7 @@ def _grams(words: np.ndarray, row: np.ndarray, n_min: int, n_max: int) -> list[n
         a, b = _mix(a[:m] + words[n - 1:, 0] + np.uint64(n)), _mix((b[:m] ^ words[n - 1:, 1]) + np.uint64(n))
         at = np.flatnonzero(row[:m] == row[n - 1:])  # n-grams end with their text
         if n >= n_min and len(at):
-            grams.append((a[at], b[at] >> np.uint64(32), row[at]))
+            grams.append((a[at], b[at] >> np.uint64(32), at, np.full(len(at), n)))
     return [np.concatenate(x) for x in zip(*grams, strict=True)]
 
 
@@ -166,7 +173,7 @@ def _order(ta: np.ndarray, low: np.ndarray | None = None) -> np.ndarray:
     return (order & np.uint64((1 << place) - 1)).astype(np.int64)
 
 
-def _exact_order(ta: np.ndarray, tb: np.ndarray) -> np.ndarray:
+def exact_order(ta: np.ndarray, tb: np.ndarray) -> np.ndarray:
     """Places with equal (ta, tb) next to each other, in order of them where the first bits of ta are equal."""
     order = _order(ta)
     a, b = ta[order], tb[order]
@@ -186,11 +193,11 @@ def _added(ta, tb, own, cell, n) -> tuple[np.ndarray, ...]:
     cells = int(cell.max()) + 1 if len(cell) else 1
     order = _order(ta, own.astype(np.int64) * cells + cell)
     ta, tb, own, cell = ta[order], tb[order], own[order], cell[order]
-    at = np.flatnonzero(_changes(ta, tb, own, cell))
+    at = np.flatnonzero(changes(ta, tb, own, cell))
     return ta[at], tb[at], own[at], cell[at], np.add.reduceat(n[order], at).astype(np.uint32)
 
 
-def _changes(*columns: np.ndarray) -> np.ndarray:
+def changes(*columns: np.ndarray) -> np.ndarray:
     """Whether a row differs from the one before it."""
     new = np.zeros(len(columns[0]), bool)
     new[:1] = True
@@ -201,34 +208,25 @@ def _changes(*columns: np.ndarray) -> np.ndarray:
 
 def _packed(waiting: list[tuple], keys: pa.Array, parts: int) -> pa.RecordBatch:
     ta, tb, own, cell, n = _added(*map(np.concatenate, zip(*waiting, strict=True))) if len(waiting) > 1 else waiting[0]
-    row = np.flatnonzero(_changes(ta, tb, own))
+    row = np.flatnonzero(changes(ta, tb, own))
     held, ends = np.bitwise_or.reduceat(np.int64(1) << cell.astype(np.int64), row), np.append(row[1:], len(ta))
     ta, tb, own = ta[row], tb[row], own[row]
     part = ((ta >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    cuts = np.flatnonzero(_changes(part))
+    cuts = np.flatnonzero(changes(part))
     found, data = [], []
     for low, high in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
         used, local = np.unique(own[low:high], return_inverse=True)
         found.append(used)
         planes = [np.diff(ta[low:high], prepend=np.uint64(0)), tb[low:high], local.astype(np.uint32), held[low:high], n[row[low]:ends[high - 1]]]
-        # bytes of the same place follow each other, so those that hardly vary pack well
-        raw = b"".join(p.view(np.uint8).reshape(len(p), -1).T.tobytes() for p in planes)
-        data.append(np.array([high - low, len(planes[-1])], np.int64).tobytes() + pa.compress(raw, codec="zstd", asbytes=True))
+        data.append(packed(planes))
     lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), keys.take(pa.array(np.concatenate(found))))
     return pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), lists, pa.array(data, pa.binary())], names=["part", "keys", "data"])
 
 
 def _unpacked(data: bytes) -> list[np.ndarray]:
     """ta, tb, place of the key, held, and the counts of the held cells, row by row."""
-    rows, counts = np.frombuffer(data, np.int64, 2)
-    kinds = [(np.uint64, rows), (np.uint16, rows), (np.uint32, rows), (np.int64, rows), (np.uint32, counts)]
-    raw = np.frombuffer(pa.decompress(data[16:], int(sum(np.dtype(k).itemsize * m for k, m in kinds)), codec="zstd"), np.uint8)
-    out, at = [], 0
-    for kind, m in kinds:
-        width = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(raw[at:at + width * m].reshape(width, m).T).view(kind).ravel())
-        at += width * m
-    return [np.cumsum(out[0], dtype=np.uint64), *out[1:]]
+    steps, *others = unpacked(data, [np.uint64, np.uint16, np.uint32, np.int64, np.uint32])
+    return [np.cumsum(steps, dtype=np.uint64), *others]
 
 
 def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
@@ -257,8 +255,8 @@ def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
     # terms are numbered together with those asked for
     want = list(map(np.concatenate, zip(*asked, strict=True))) if asked else [ta[:0], tb[:0], own[:0], n[:0]]
     all_a, all_b = np.concatenate([ta, want[0]]), np.concatenate([tb, want[1]])
-    order = _exact_order(all_a, all_b)
-    new = _changes(all_a[order], all_b[order])
+    order = exact_order(all_a, all_b)
+    new = changes(all_a[order], all_b[order])
     term = np.empty(len(order), np.int64)
     term[order] = np.cumsum(new) - 1
     cells_of = np.bitwise_or.reduceat(np.concatenate([held, np.zeros(len(want[0]), np.int64)])[order], np.flatnonzero(new))
@@ -270,7 +268,7 @@ def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
     is_asked[wanted] = True
     rows = np.flatnonzero(is_asked[term])
     rows = rows[np.lexsort((own[rows], term[rows]))]
-    at = np.flatnonzero(_changes(term[rows], own[rows]))
+    at = np.flatnonzero(changes(term[rows], own[rows]))
     dense = np.stack([np.add.reduceat(cell_counts(rows, k), at) if len(at) else at for k in range(cells)], 1)
     rows = rows[at]
     names = pa.array(list(classes), schema.field("classes").type.value_type.field("cls").type)
@@ -279,7 +277,7 @@ def _meet(cells: int, schema: pa.Schema, table: pa.Table) -> pa.Table:
         n = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * cells, pa.int32()), pa.array(dense.ravel(), pa.int64()))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([names.take(pa.array(own)), n], ["cls", "n"]))
 
-    one = np.flatnonzero(_changes(term[rows]))
+    one = np.flatnonzero(changes(term[rows]))
     place = np.full(len(cells_of), -1, np.int64)
     place[term[rows[one]]] = np.arange(len(one))
     hit = np.flatnonzero(place[wanted] >= 0)
@@ -320,7 +318,7 @@ def _hit_sums(fits: list, cells: int, alpha: float, schema: pa.Schema, batches:
         if not len(ids):
             continue
         code = ids.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        new = _changes(code)
+        new = changes(code)
         first, own = np.flatnonzero(new), np.cumsum(new) - 1
         ids, tf = ids.take(pa.array(first)), tf.to_numpy(zero_copy_only=False).astype(np.float64)
         # each hit has classes
@@ -329,7 +327,7 @@ def _hit_sums(fits: list, cells: int, alpha: float, schema: pa.Schema, batches:
         known = np.array([codes.setdefault(c, len(codes)) for c in named.dictionary.to_pylist()], np.int64)
         cls = known[named.indices.to_numpy(zero_copy_only=False)]
         n = pc.list_flatten(flat.field("n")).to_numpy(zero_copy_only=False).reshape(-1, cells) @ member
-        has = np.add.reduceat(n, np.flatnonzero(_changes(row)), axis=0) > 0
+        has = np.add.reduceat(n, np.flatnonzero(changes(row)), axis=0) > 0
         t = np.add.reduceat(tf[:, None] * has, first, axis=0)
         s, own = tf[row, None] * np.log((n + alpha) / alpha), own[row]
         if rest is not None:
@@ -340,7 +338,7 @@ def _hit_sums(fits: list, cells: int, alpha: float, schema: pa.Schema, batches:
             own, cls, s = np.concatenate([rest[2], own]), np.concatenate([rest[3], cls]), np.concatenate([rest[4], s])
         order = np.lexsort((cls, own))
         own, cls = own[order], cls[order]
-        at = np.flatnonzero(_changes(own, cls))
+        at = np.flatnonzero(changes(own, cls))
         own, cls, s = own[at], cls[at], np.add.reduceat(s[order], at, axis=0) if len(at) else s
         last = np.searchsorted(own, len(ids) - 1)
         if len(ids) > 1:

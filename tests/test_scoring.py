@@ -55,9 +55,9 @@ def test_orders_keep_equal_ids_together():
     rng = np.random.default_rng(3)
     ta = rng.choice(np.array([5, 6, 7, 1 << 40, (1 << 40) + 1, 1 << 63], np.uint64), 400)
     tb = rng.choice(np.array([0, 9], np.uint16), 400)
-    order = nb._exact_order(ta, tb)
-    assert sorted(order) == list(range(400)) and nb._changes(ta[order], tb[order]).sum() == len(set(zip(ta.tolist(), tb.tolist(), strict=True)))
-    assert len(nb._exact_order(ta[:0], tb[:0])) == 0
+    order = nb.exact_order(ta, tb)
+    assert sorted(order) == list(range(400)) and nb.changes(ta[order], tb[order]).sum() == len(set(zip(ta.tolist(), tb.tolist(), strict=True)))
+    assert len(nb.exact_order(ta[:0], tb[:0])) == 0
     low = rng.integers(0, 9, 400)
     wide = ta << np.uint64(21)
     order = nb._order(wide, low)
